@@ -9,8 +9,12 @@ sample-balanced slice of the global order.  Numbers inside a slice come from
 ``monotonically_increasing_id`` after a sort within the partition, and per-slice
 offsets come from a table with at most ``#groups + #slices`` rows.
 
-The order columns must form a total order (end them with a unique key): the
-numbering is then deterministic, also when a lost task is recomputed.
+The order columns must form a total order (end them with a unique key).  The
+range bounds come from sampling, which can differ between two evaluations of
+the same plan; the sliced rows are therefore written once with a reliable
+``checkpoint()`` (into the shared ``spark.checkpoint.dir``) and both the offset
+table and the rows are read from that copy.  A lost executor then re-reads the
+checkpoint instead of re-sampling.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcraft.session import shuffle_partitions
+from panelcraft.session import checkpoint_root, shuffle_partitions
 
 _PID, _POS = "_oq_pid", "_oq_pos"
 
@@ -31,11 +35,13 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 
 def _ranged(df: DataFrame, keys: list[Column], num_partitions: int | None) -> DataFrame:
     n = num_partitions or shuffle_partitions(df.sparkSession)
+    checkpoint_root(df.sparkSession)
     return (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()
-                          - F.shiftleft(F.col(_PID).cast("long"), 33)))
+                          - F.shiftleft(F.col(_PID).cast("long"), 33))
+              .checkpoint(eager=True))
 
 
 def _null_safe_join(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:

@@ -228,3 +228,109 @@ def group_risk_rank(spark: SparkSession, sf: str) -> DataFrame:
     s = b.scored_orders(spark, sf)
     out = agg.group_mean_rank(s, "grp", "score", 0.55, 0.35)
     return out.select("grp", F.round("mean_score", 9).alias("mean_score"), "band")
+
+
+# ---------------------------------------------------------------- step 6: evaluation
+def _r(c: str, d: int = 9):
+    return F.round(c, d).alias(c)
+
+
+_METRICS = ["accuracy", "balanced_accuracy", "precision", "recall", "f1"]
+
+
+def confusion_at(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.evaluate import confusion_at as conf
+    return conf(b.scored_orders(spark, sf), "y", "score", 0.5, ["grp"])
+
+
+def binary_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators import evaluate as ev
+    m = ev.binary_metrics(ev.confusion_at(b.scored_orders(spark, sf), "y", "score", 0.5, ["grp"]))
+    return m.select("grp", "tp", "fp", "fn", "tn", *[_r(c) for c in _METRICS])
+
+
+def roc_auc(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.evaluate import roc_auc as auc
+    return auc(b.scored_orders(spark, sf), "y", "score", ["grp"]).select("grp", _r("auc", 12))
+
+
+def roc_auc_overall(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.evaluate import roc_auc as auc
+    return auc(b.scored_orders(spark, sf), "y", "score").select(_r("auc", 12))
+
+
+def threshold_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.evaluate import threshold_sweep as sweep
+    s = sweep(b.scored_orders(spark, sf), "y", "score", 10, 90)
+    return s.select("threshold", "tp", "fp", "fn", "tn", *[_r(c) for c in _METRICS])
+
+
+def report_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.evaluate import threshold_sweep as sweep
+    s = sweep(b.scored_orders(spark, sf), "y", "score", 5, 95, group_cols=["grp"])
+    return s.select("grp", "threshold", "tp", "fp", "fn", "tn", _r("precision"), _r("recall"),
+                    _r("f1"))
+
+
+def best_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators import evaluate as ev
+    s = ev.threshold_sweep(b.scored_orders(spark, sf), "y", "score", 10, 90, group_cols=["grp"])
+    return ev.best_threshold(s, "f1", 0.5, ["grp"]).select("grp", "threshold", _r("best_f1"))
+
+
+def roc_curve(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.evaluate import roc_curve as curve
+    c = curve(b.scored_orders(spark, sf), "y", "score")
+    return c.select("threshold", "tp", "fp", _r("fpr", 12), _r("tpr", 12))
+
+
+def _nation_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Per customer nation: metrics at 0.5 and AUC, a stand-in for a per-model table."""
+    from panelcraft.operators import evaluate as ev
+    o = b.scored_orders(spark, sf)
+    cust = b.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nat = b.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    orders = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"), "o_custkey")
+    s = (o.join(orders, "row_id").join(cust, F.col("o_custkey") == F.col("c_custkey"))
+          .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
+          .select(F.col("n_name").alias("name"), "y", "score"))
+    m = ev.binary_metrics(ev.confusion_at(s, "y", "score", 0.5, ["name"]))
+    a = ev.roc_auc(s, "y", "score", ["name"])
+    return m.join(a, "name")
+
+
+def argmax_tuple(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.evaluate import argmax_tuple as am
+    return am(_nation_metrics(spark, sf), "name", ["f1", "recall", "auc"])
+
+
+def topk_by_metric(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.evaluate import top_k
+    m = _nation_metrics(spark, sf)
+    return top_k(m, [F.col("f1").desc(), F.col("name")], 8).select(
+        "name", _r("f1"), _r("recall"), _r("auc", 12))
+
+
+def soft_vote(spark: SparkSession, sf: str) -> DataFrame:
+    """Three per-order scores in long form, averaged per order."""
+    from panelcraft.functions.expressions import hash_uniform
+    from panelcraft.operators.evaluate import soft_vote as vote
+    o = b.table(spark, sf, "orders")
+    long = o.select(F.col("o_orderkey").alias("row_id"), F.explode(F.array(
+        F.col("o_totalprice") / F.lit(b.SCORE_SCALE),
+        (F.col("o_custkey") % 100).cast("double") / 100.0,
+        hash_uniform(F.col("o_orderkey"), F.lit(b.SEED)))).alias("score"))
+    return vote(long, "row_id", "score").select("row_id", _r("score", 12))
+
+
+def quantile_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """Per region: exact q75 / q40 of account balance, then strict > bands."""
+    from panelcraft.operators.ordered import exact_quantiles
+    d = b.entity_dim(spark, sf).join(
+        b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"), "s_acctbal"),
+        "entity")
+    q = exact_quantiles(d, "s_acctbal", [0.75, 0.4], ["grp"], tiebreak=["entity"])
+    out = d.join(q, "grp").withColumn("band", F.when(F.col("s_acctbal") > F.col("q_0"), "high")
+                                      .when(F.col("s_acctbal") > F.col("q_1"), "medium")
+                                      .otherwise("low"))
+    return out.select("entity", "grp", "s_acctbal", _r("q_0"), _r("q_1"), "band")

@@ -41,6 +41,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "positives_per_year": c.positives_per_year,
     "class_balance": c.class_balance,
     "group_risk_rank": c.group_risk_rank,
+    # evaluation without models
+    "confusion_at": c.confusion_at,
+    "binary_metrics": c.binary_metrics,
+    "roc_auc": c.roc_auc,
+    "roc_auc_overall": c.roc_auc_overall,
+    "threshold_sweep": c.threshold_sweep,
+    "report_sweep": c.report_sweep,
+    "best_threshold": c.best_threshold,
+    "roc_curve": c.roc_curve,
+    "argmax_tuple": c.argmax_tuple,
+    "topk_by_metric": c.topk_by_metric,
+    "soft_vote": c.soft_vote,
+    "quantile_bands": c.quantile_bands,
 }
 
 
