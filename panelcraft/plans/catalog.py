@@ -334,3 +334,88 @@ def quantile_bands(spark: SparkSession, sf: str) -> DataFrame:
                                       .when(F.col("s_acctbal") > F.col("q_1"), "medium")
                                       .otherwise("low"))
     return out.select("entity", "grp", "s_acctbal", _r("q_0"), _r("q_1"), "band")
+
+
+# ---------------------------------------------------------------- step 7: model matrix, sampling
+BASE_FEATURES = ["annual_total", "annual_max", "season_total", "season_avg", "season_max",
+                 "season_wet_days", "pre_season_total", "elevation", "river", "terrain_code",
+                 "geo_risk_code", "group_code", "intensity_score", "intensity_code"]
+EXTRA_FEATURES = ["rain_x_river", "rain_x_geo_risk", "intensity_x_river", "elev_inverse",
+                  "low_elev_high_rain", "season_intensity", "rain_concentration",
+                  "saturation_index", "pre_season_ratio", "entity_prior", "group_prior",
+                  "season_anomaly", "year_pressure", "year_feature"]
+FEATURES = BASE_FEATURES + EXTRA_FEATURES
+
+
+def model_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """entity, grp, year, flag and the 28 numeric features (all double)."""
+    p = feature_panel(spark, sf)
+    p = feat.interaction_features(p, "season_total", "season_avg", "season_max",
+                                  "season_wet_days", "pre_season_total", "annual_total",
+                                  "intensity_score", "river", "geo_risk_code", "elevation",
+                                  low_elev_cut=1000.0)
+    p = feat.smoothed_prior(p, "entity", "flag", 4, "entity_prior")
+    p = feat.smoothed_prior(p, "grp", "flag", 8, "group_prior")
+    p = feat.entity_anomaly(p, "entity", "season_total", "season_anomaly")
+    p = feat.period_pressure(p, "year", "season_total", "year_pressure")
+    p = p.withColumn("year_feature", F.col("year"))
+    return p.select("entity", "grp", "year", "flag",
+                    *[F.col(c).cast("double").alias(c) for c in FEATURES])
+
+
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.sampling import stratified_split as split
+    return split(model_matrix(spark, sf), "flag", ["entity", "year"], 0.2, b.SEED)
+
+
+def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _split(spark, sf).select("entity", "year", "flag", "split")
+
+
+def stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.sampling import stratified_folds as folds
+    tr = _split(spark, sf).where(F.col("split") == "train")
+    return folds(tr, "flag", ["entity", "year"], 5, b.SEED).select("entity", "year", "flag", "fold")
+
+
+def split_year_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return _split(spark, sf).groupBy("split", "year", "flag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def standardize(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.sampling import standardize as std
+    s = _split(spark, sf)
+    out = std(s, FEATURES, fit=s.where(F.col("split") == "train"))
+    return out.select("entity", "year", *[F.round(c, 6).alias(c) for c in FEATURES])
+
+
+def class_weights(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.sampling import class_weights as cw
+    tr = _split(spark, sf).where(F.col("split") == "train")
+    return cw(tr, "flag").select("flag", "n_class", _r("balanced_weight"), _r("pos_weight"))
+
+
+def balanced_bags(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.sampling import balanced_bags as bags
+    tr = _split(spark, sf).where(F.col("split") == "train").select("entity", "year", "flag")
+    return bags(tr, "flag", ["entity", "year"], 10, b.SEED, 1).select("bag", "entity", "year", "flag")
+
+
+def _embedding_rows(spark: SparkSession, sf: str) -> DataFrame:
+    e = b.table(spark, sf, "embeddings")
+    return e.select("vec_id", "embedding", (F.col("label") == 0).cast("int").alias("minority"))
+
+
+def knn_topk(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.sampling import knn_within
+    m = _embedding_rows(spark, sf).where(F.col("minority") == 1)
+    return knn_within(m, "vec_id", "embedding", 5).select("vec_id", "nn_rank", "nn_id",
+                                                          F.round("dist", 6).alias("dist"))
+
+
+def smote_oversample(spark: SparkSession, sf: str) -> DataFrame:
+    from panelcraft.operators.sampling import smote
+    s = smote(_embedding_rows(spark, sf), "vec_id", "embedding", "minority", 1, 5, b.SEED)
+    return s.select("syn_id", "base_id", "nn_id", F.round("gap", 9).alias("gap"),
+                    F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6)
+                    .alias("vec_sum"))

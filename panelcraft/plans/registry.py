@@ -54,6 +54,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_by_metric": c.topk_by_metric,
     "soft_vote": c.soft_vote,
     "quantile_bands": c.quantile_bands,
+    # sampling and rebalancing
+    "stratified_split": c.stratified_split,
+    "stratified_folds": c.stratified_folds,
+    "split_year_distribution": c.split_year_distribution,
+    "standardize": c.standardize,
+    "class_weights": c.class_weights,
+    "balanced_bags": c.balanced_bags,
+    "knn_topk": c.knn_topk,
+    "smote_oversample": c.smote_oversample,
 }
 
 
