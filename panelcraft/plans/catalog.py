@@ -419,3 +419,255 @@ def smote_oversample(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("syn_id", "base_id", "nn_id", F.round("gap", 9).alias("gap"),
                     F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x), 6)
                     .alias("vec_sum"))
+
+
+# ---------------------------------------------------------------- step 8: models (rows-only checks)
+# Sizes of the bound model queries (the library defaults keep the reference's sizes:
+# 500 trees / depth 12, 400 boosting rounds); the bound queries use smaller ensembles
+# so the whole registry runs in minutes on one machine.
+RF_TREES, RF_DEPTH, GBT_ITERS, MLP_ITERS, N_BAGS = 100, 8, 50, 100, 5
+_TRAINING: dict = {}
+
+
+def _training(spark: SparkSession, sf: str) -> DataFrame:
+    """Split + standardised model matrix, checkpointed once per session and data set."""
+    from panelcraft.operators.sampling import standardize as std
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINING:
+        s = _split(spark, sf)
+        scaled = std(s, FEATURES, fit=s.where(F.col("split") == "train"))
+        scaled = scaled.withColumn("rid", F.col("entity") * 10000 + F.col("year"))
+        _TRAINING[key] = scaled.checkpoint(eager=True)
+    return _TRAINING[key]
+
+
+def _train_test(spark, sf):
+    t = _training(spark, sf)
+    return t.where(F.col("split") == "train"), t.where(F.col("split") == "test")
+
+
+def _smote_train(spark, sf) -> DataFrame:
+    from panelcraft.operators.models import vectors_to_columns
+    from panelcraft.operators.sampling import smote
+    tr, _ = _train_test(spark, sf)
+    base = tr.select("rid", "flag", F.array(*FEATURES).alias("vec"))
+    syn = smote(base, "rid", "vec", "flag", 1, 5, b.SEED)
+    syn = vectors_to_columns(syn.select(F.col("syn_id").alias("rid"), "flag", "vec"), "vec", FEATURES)
+    return tr.select("rid", "flag", *FEATURES).unionByName(syn)
+
+
+def _fit_eval(spark, sf, name, kind, train, weight=None, **p):
+    from panelcraft.operators import models as md
+    _, te = _train_test(spark, sf)
+    est = md.estimator(kind, len(FEATURES), "flag", "weight" if weight else None, **p)
+    if weight:
+        from panelcraft.operators.sampling import with_class_weight
+        train = with_class_weight(train, "flag", "weight", weight)
+    model = md.fit(train, FEATURES, est)
+    scored = md.score(model, te, ["rid", "flag"])
+    return model, md.evaluate(name, scored, "flag")
+
+
+def rf_balanced(spark, sf):
+    tr, _ = _train_test(spark, sf)
+    return _fit_eval(spark, sf, "rf_balanced", "rf", tr, "balanced", numTrees=RF_TREES,
+                     maxDepth=RF_DEPTH)[1]
+
+
+def rf_smote(spark, sf):
+    return _fit_eval(spark, sf, "rf_smote", "rf", _smote_train(spark, sf), numTrees=RF_TREES,
+                     maxDepth=RF_DEPTH)[1]
+
+
+def gbt_balanced(spark, sf):
+    tr, _ = _train_test(spark, sf)
+    return _fit_eval(spark, sf, "gbt_balanced", "gbt", tr, "balanced", maxIter=GBT_ITERS)[1]
+
+
+def gbt_pos_weight(spark, sf):
+    tr, _ = _train_test(spark, sf)
+    return _fit_eval(spark, sf, "gbt_pos_weight", "gbt_sub", tr, "positive", maxIter=GBT_ITERS)[1]
+
+
+def gbt_smote(spark, sf):
+    return _fit_eval(spark, sf, "gbt_smote", "gbt_sub", _smote_train(spark, sf),
+                     maxIter=GBT_ITERS, stepSize=0.035, minInstancesPerNode=2)[1]
+
+
+def mlp_smote(spark, sf):
+    return _fit_eval(spark, sf, "mlp_smote", "mlp", _smote_train(spark, sf), maxIter=MLP_ITERS)[1]
+
+
+def balanced_rf(spark, sf):
+    from panelcraft.operators import models as md
+    from panelcraft.operators.sampling import balanced_bags as bags
+    tr, te = _train_test(spark, sf)
+    bg = bags(tr.select("entity", "year", "rid", "flag", *FEATURES), "flag", ["entity", "year"],
+              N_BAGS, b.SEED, 1)
+    models = md.bagged_forest(bg, FEATURES, "flag", N_BAGS, max(1, RF_TREES // N_BAGS), RF_DEPTH)
+    scored = md.score_vote(models, te, ["rid", "flag"], "rid")
+    return md.evaluate("balanced_rf", scored, "flag")
+
+
+def soft_vote_ensemble(spark, sf):
+    """Mean probability of a forest and two boosted models (soft voting)."""
+    from panelcraft.operators import models as md
+    from panelcraft.operators.sampling import with_class_weight
+    tr, te = _train_test(spark, sf)
+    bal = with_class_weight(tr, "flag", "weight", "balanced")
+    pos = with_class_weight(tr, "flag", "weight", "positive")
+    members = [md.fit(bal, FEATURES, md.estimator("rf", len(FEATURES), "flag", "weight",
+                                                  numTrees=RF_TREES, maxDepth=RF_DEPTH)),
+               md.fit(pos, FEATURES, md.estimator("gbt_sub", len(FEATURES), "flag", "weight",
+                                                  maxIter=GBT_ITERS)),
+               md.fit(bal, FEATURES, md.estimator("gbt", len(FEATURES), "flag", "weight",
+                                                  maxIter=GBT_ITERS))]
+    return md.evaluate("soft_vote", md.score_vote(members, te, ["rid", "flag"], "rid"), "flag")
+
+
+def _rf_model(spark, sf):
+    tr, _ = _train_test(spark, sf)
+    return _fit_eval(spark, sf, "rf_balanced", "rf", tr, "balanced", numTrees=RF_TREES,
+                     maxDepth=RF_DEPTH)
+
+
+def batch_score(spark, sf):
+    from panelcraft.operators import models as md
+    model, _ = _rf_model(spark, sf)
+    allrows = _training(spark, sf)
+    return md.score(model, allrows, ["entity", "grp", "year", "flag"]).withColumnRenamed(
+        "score", "risk_score")
+
+
+def feature_importance(spark, sf):
+    from panelcraft.operators import models as md
+    model, _ = _rf_model(spark, sf)
+    return md.feature_importance(model, FEATURES, spark, 15)
+
+
+def cv_f1(spark, sf):
+    from panelcraft.operators import models as md
+    from panelcraft.operators.sampling import stratified_folds, with_class_weight
+    tr, _ = _train_test(spark, sf)
+    folded = stratified_folds(tr, "flag", ["entity", "year"], 5, b.SEED)
+    return md.cv_f1(folded, FEATURES,
+                    lambda: md.estimator("rf", len(FEATURES), "flag", "weight",
+                                         numTrees=RF_TREES, maxDepth=RF_DEPTH),
+                    "flag", "fold", 5,
+                    weight_fn=lambda d: with_class_weight(d, "flag", "weight", "balanced"))
+
+
+def model_leaderboard(spark, sf):
+    """Metrics of several models, rounded as the published table, best F1 first."""
+    rows = [rf_balanced(spark, sf), gbt_balanced(spark, sf), gbt_pos_weight(spark, sf),
+            rf_smote(spark, sf)]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.select("model", F.round("threshold", 2).alias("threshold"),
+                      *[F.round(c, 3).alias(c) for c in ("accuracy", "balanced_accuracy",
+                                                         "precision", "recall", "f1", "auc")],
+                      "tp", "fp", "fn", "tn").orderBy(F.col("f1").desc(), "model")
+
+
+def model_save_load_score(spark, sf):
+    """Fit, save pipeline + metadata to the shared folder, load back, score every row."""
+    from panelcraft.operators import models as md
+    from panelcraft.session import work_dir
+    model, metrics = _rf_model(spark, sf)
+    path = work_dir(spark, "models")
+    meta = metrics.select("model", "threshold", "f1", "auc",
+                          F.lit(",".join(FEATURES)).alias("features"))
+    md.save_model(model, meta, path)
+    loaded, meta2 = md.load_model(spark, path)
+    t = meta2.select("threshold").scalar()
+    return (md.score(loaded, _training(spark, sf), ["entity", "grp", "year", "flag"])
+              .withColumn("predicted", (F.col("score") >= t).cast("int")))
+
+
+# ---------------------------------------------------------------- step 9: sources, sinks, streams
+def csv_roundtrip_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Write an orders projection as CSV (header) to the shared folder, scan it back typed."""
+    from panelcraft.session import work_dir
+    from panelcraft.sources.tables import read_table, write_table
+    o = b.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                            "o_totalprice", "o_orderpriority")
+    path = write_table(o, work_dir(spark, "csv"), "csv")
+    schema = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderpriority string")
+    return read_table(spark, path, schema, "csv")
+
+
+def resume_pending_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Dimension keys not yet present in the sink (customers without a 1998 order)."""
+    from panelcraft.sources.tables import pending_keys
+    dim = b.table(spark, sf, "customer").select(F.col("c_custkey").alias("key"))
+    done = (b.table(spark, sf, "orders").where(F.year("o_orderdate") == 1998)
+             .select(F.col("o_custkey").alias("key")))
+    return pending_keys(dim, done, ["key"])
+
+
+def append_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Existing rows (before 1998) + new rows (1998 on): bag union counted per key."""
+    from panelcraft.sources.tables import append_rows, union_keys
+    m = b.measures(spark, sf).select("entity", F.year("day").alias("year"))
+    old, new = m.where(F.col("year") < 1998), m.where(F.col("year") >= 1998)
+    bag = append_rows(old, new).groupBy("entity", "year").agg(F.count(F.lit(1)).alias("n"))
+    return union_keys(old, new, ["entity", "year"]).join(bag, ["entity", "year"], "left")
+
+
+def event_map_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """Per customer a map<year, array<priority>> (sizes bounded by the value domains),
+    exploded back to one (customer, year, priority) row per list element."""
+    from panelcraft.sources.tables import explode_keyed_lists
+    o = b.table(spark, sf, "orders").select(F.col("o_custkey").alias("entity"),
+                                            F.year("o_orderdate").alias("year"),
+                                            F.col("o_orderpriority").alias("priority"))
+    per_year = o.groupBy("entity", "year").agg(F.collect_set("priority").alias("prios"))
+    maps = per_year.groupBy("entity").agg(
+        F.map_from_entries(F.collect_list(F.struct("year", "prios"))).alias("events"))
+    return explode_keyed_lists(maps, "events", ["entity"], "year", "priority")
+
+
+def date_spine(spark: SparkSession, sf: str) -> DataFrame:
+    """Supplier x every calendar day between the first and last ship date."""
+    li = b.table(spark, sf, "lineitem")
+    lo = li.select(F.min(F.to_date("l_shipdate"))).scalar()
+    hi = li.select(F.max(F.to_date("l_shipdate"))).scalar()
+    s = b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"))
+    return (pnl.date_spine(s, "entity", lo, hi)
+              .select("entity", date_key("day").alias("day_key"), "year", "month",
+                      "day_of_month", "days_in_month"))
+
+
+def seasonal_weight(spark: SparkSession, sf: str) -> DataFrame:
+    """Per line: fixed month weight x year multiplier (yearly mean quantity / overall mean)."""
+    from panelcraft.functions.fixed_values import MONTH_WEIGHTS
+    li = b.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                                "l_shipdate", "l_quantity")
+    base = li.select(F.avg("l_quantity")).scalar()
+    ym = (li.groupBy(F.year("l_shipdate").alias("year"))
+            .agg((F.avg("l_quantity") / base).alias("mult")))
+    out = pnl.seasonal_weight(li, F.month("l_shipdate"), F.year("l_shipdate"), MONTH_WEIGHTS, ym)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("weight", 9).alias("weight"))
+
+
+def stream_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """events.parquet as a file stream: flatten props, clean values, dedupe, append."""
+    from panelcraft.functions.expressions import sentinel_clamp as clamp
+    from panelcraft.session import work_dir
+    from panelcraft.sources.payload import flatten_json_map
+    from panelcraft.streaming.ingest import run_ingest
+    schema = b.table(spark, sf, "events").schema
+    base = work_dir(spark, "stream")
+
+    def transform(df: DataFrame) -> DataFrame:
+        src = (df.withColumnRenamed("value", "amount")
+                 .withColumn("ts", F.col("ts").cast("timestamp")))   # watermark needs TIMESTAMP
+        flat = flatten_json_map(src, "props", ["event_id", "ts", "user_id", "event_type", "amount"],
+                                value_type="int")
+        return flat.withColumn("clean_amount", clamp("amount", -999.0, 0.0, 0.0, 3))
+
+    return run_ingest(spark, sf, schema, f"{base}/sink", f"{base}/checkpoint", transform,
+                      ["event_id", "key"], event_time="ts", delay="1 day",
+                      source_glob="events.parquet")

@@ -63,6 +63,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "balanced_bags": c.balanced_bags,
     "knn_topk": c.knn_topk,
     "smote_oversample": c.smote_oversample,
+    # sources, sinks, streams
+    "csv_roundtrip_scan": c.csv_roundtrip_scan,
+    "resume_pending_keys": c.resume_pending_keys,
+    "append_union": c.append_union,
+    "event_map_explode": c.event_map_explode,
+    "date_spine": c.date_spine,
+    "seasonal_weight": c.seasonal_weight,
+    "stream_incremental_ingest": c.stream_incremental_ingest,
+    # models (rows-only checks: no SQL counterpart for a fitted model)
+    "rf_balanced": c.rf_balanced,
+    "rf_smote": c.rf_smote,
+    "gbt_balanced": c.gbt_balanced,
+    "gbt_pos_weight": c.gbt_pos_weight,
+    "gbt_smote": c.gbt_smote,
+    "mlp_smote": c.mlp_smote,
+    "balanced_rf": c.balanced_rf,
+    "soft_vote_ensemble": c.soft_vote_ensemble,
+    "batch_score": c.batch_score,
+    "feature_importance": c.feature_importance,
+    "cv_f1": c.cv_f1,
+    "model_leaderboard": c.model_leaderboard,
+    "model_save_load_score": c.model_save_load_score,
 }
 
 
