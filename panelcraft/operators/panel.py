@@ -16,12 +16,15 @@ from panelcraft.functions.expressions import col_of, days_in_month, dictionary_e
 
 
 def panel_scaffold(entities: DataFrame, key: str, start: int | Column, end: int | Column,
-                   period: str = "year") -> DataFrame:
-    """One row per (distinct entity, period in [start, end])."""
+                   period: str = "year", unique: bool = False) -> DataFrame:
+    """One row per (distinct entity, period in [start, end]).
+
+    ``unique=True`` skips the distinct (a shuffle) when ``key`` is already a key.
+    """
     s = F.lit(start) if isinstance(start, int) else start
     e = F.lit(end) if isinstance(end, int) else end
-    return (entities.select(key).distinct()
-                    .select(key, F.explode(F.sequence(s.cast("int"), e.cast("int"))).alias(period)))
+    ents = entities.select(key) if unique else entities.select(key).distinct()
+    return ents.select(key, F.explode(F.sequence(s.cast("int"), e.cast("int"))).alias(period))
 
 
 def membership_flag(panel: DataFrame, events: DataFrame, keys: Sequence[str],

@@ -39,9 +39,19 @@ def _season_and_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- step 2: panel
+def _scaffold_from(spark: SparkSession, sf: str, season: DataFrame) -> DataFrame:
+    """Supplier x every year between the first and last year of the aggregated series.
+
+    The bounds are one scalar subquery over the (entity, year) aggregate, which
+    reuses its exchange, instead of another scan of the raw series.
+    """
+    bounds = season.select(F.struct(F.min("year").alias("lo"), F.max("year").alias("hi"))).scalar()
+    return pnl.panel_scaffold(b.entity_dim(spark, sf), "entity", bounds.getField("lo"),
+                              bounds.getField("hi"), unique=True)
+
+
 def panel_scaffold(spark: SparkSession, sf: str) -> DataFrame:
-    lo, hi = b.year_bounds(spark, sf)
-    return pnl.panel_scaffold(b.entity_dim(spark, sf), "entity", lo, hi)
+    return _scaffold_from(spark, sf, _season_and_label(spark, sf))
 
 
 def membership_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,7 +67,7 @@ def membership_panel(spark: SparkSession, sf: str) -> DataFrame:
 
 def panel_left_join(spark: SparkSession, sf: str) -> DataFrame:
     s = _season_and_label(spark, sf)
-    return (pnl.panel_left_join(panel_scaffold(spark, sf), [s], ["entity", "year"])
+    return (pnl.panel_left_join(_scaffold_from(spark, sf, s), [s], ["entity", "year"])
             .withColumn("flag", F.coalesce(F.col("label_raw"), F.lit(0))).drop("label_raw"))
 
 
@@ -349,7 +359,10 @@ FEATURES = BASE_FEATURES + EXTRA_FEATURES
 
 def model_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """entity, grp, year, flag and the 28 numeric features (all double)."""
-    p = feature_panel(spark, sf)
+    # The panel is entity x period sized (far smaller than the raw series); it is
+    # written once so the priors, anomalies and pressure below read the copy
+    # instead of re-aggregating the series for every statistic.
+    p = feature_panel(spark, sf).checkpoint(eager=True)
     p = feat.interaction_features(p, "season_total", "season_avg", "season_max",
                                   "season_wet_days", "pre_season_total", "annual_total",
                                   "intensity_score", "river", "geo_risk_code", "elevation",
@@ -671,3 +684,36 @@ def stream_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return run_ingest(spark, sf, schema, f"{base}/sink", f"{base}/checkpoint", transform,
                       ["event_id", "key"], event_time="ts", delay="1 day",
                       source_glob="events.parquet")
+
+
+def payload_daily_series(spark: SparkSession, sf: str) -> DataFrame:
+    """One nested JSON payload per (supplier, year) shaped like the remote daily-series
+    response ({"properties":{"parameter":{"X":{"yyyyMMdd": v}}}}), built from lineitem,
+    then flattened back to daily rows with the sentinel / clamp / round-3 cleaning.
+    Each payload holds at most 366 entries (one per day), so the collect is bounded."""
+    from panelcraft.sources.payload import daily_series_rows
+    li = b.table(spark, sf, "lineitem")
+    daily = (li.groupBy(F.col("l_suppkey").alias("entity"), F.year("l_shipdate").alias("year"),
+                        date_key("l_shipdate").alias("day_key"))
+               .agg(F.sum("l_quantity").alias("_q"), F.count(F.lit(1)).alias("_n"))
+               .withColumn("value", F.when(F.col("_n") == 3, F.lit(-999.0))
+                                     .otherwise(F.col("_q") - 20.0)))
+    payload = (daily.groupBy("entity", "year")
+                    .agg(F.to_json(F.struct(F.struct(F.struct(
+                        F.map_from_entries(F.collect_list(F.struct("day_key", "value")))
+                        .alias("X")).alias("parameter")).alias("properties"))).alias("payload")))
+    return daily_series_rows(payload, "payload", ["entity"], ("properties", "parameter", "X"))
+
+
+def cv_test_gap(spark, sf):
+    """Cross-validated F1 next to the hold-out F1 of the same model, and their gap."""
+    t = rf_balanced(spark, sf).select("model", F.col("f1").alias("test_f1"))
+    c = cv_f1(spark, sf)
+    cv = c.select("cv_f1").scalar()
+    return t.select("model", F.round(cv, 3).alias("cv_f1"), F.round("test_f1", 3).alias("test_f1"),
+                    F.round(cv - F.col("test_f1"), 3).alias("gap"))
+
+
+def group_risk_from_model(spark, sf):
+    """Mean model risk score per group with the three-tier band (> .55, > .35)."""
+    return agg.group_mean_rank(batch_score(spark, sf), "grp", "risk_score", 0.55, 0.35)

@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_keep_first": c.dedupe_keep_first,
     "date_key_parts": c.date_key_parts,
     "json_series_flatten": c.json_series_flatten,
+    "payload_daily_series": c.payload_daily_series,
     "sentinel_clamp": c.sentinel_clamp,
     "literal_lookup_table": c.literal_lookup_table,
     # rules and encodings
@@ -85,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cv_f1": c.cv_f1,
     "model_leaderboard": c.model_leaderboard,
     "model_save_load_score": c.model_save_load_score,
+    "cv_test_gap": c.cv_test_gap,
+    "group_risk_from_model": c.group_risk_from_model,
 }
 
 

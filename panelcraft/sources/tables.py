@@ -63,3 +63,22 @@ def append_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
 def union_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Set union of the key columns."""
     return a.select(*keys).union(b.select(*keys)).distinct()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster file system (works for any Hadoop URI)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_with_fallback(spark: SparkSession, path: str, schema: StructType,
+                       fallback, fmt: str = "parquet") -> DataFrame:
+    """Read ``path`` if it exists, else build the frame with ``fallback()``.
+
+    Both branches are projected onto ``schema`` (names and types), so callers
+    always see one schema whichever source was used.
+    """
+    df = read_table(spark, path, schema if fmt == "csv" else None, fmt) \
+        if path_exists(spark, path) else fallback()
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
