@@ -42,24 +42,33 @@ def stratified_folds(df: DataFrame, label: str, keys: Sequence[str], k: int = 5,
     return r.withColumn(name, ((F.col("_fd_rn") - 1) % k).cast("int")).drop("_fd_rn")
 
 
-def standardize(df: DataFrame, columns: Sequence[str], fit: DataFrame | None = None,
-                suffix: str = "") -> DataFrame:
-    """``(x - mean) / std`` with the mean and POPULATION std of ``fit`` (default: df).
+def fit_standardizer(fit: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Fit: mean and POPULATION std of each column in one aggregate pass.
 
-    A zero std divides by 1 (the column becomes 0).  The statistics are one row,
-    read through scalar subqueries, so no join is needed.
+    Like MLlib's scaler models, the fitted state is one row of 2 x d numbers
+    (bounded by the schema, not the data) held by the caller.
     """
-    fit = df if fit is None else fit
-    stats = fit.select(F.struct(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(columns)],
-                                *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(columns)])
-                       .alias("st")).scalar()
+    row = fit.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(columns)],
+                  *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(columns)]).first()
+    return {c: (row[f"m_{i}"], row[f"s_{i}"]) for i, c in enumerate(columns)}
+
+
+def apply_standardizer(df: DataFrame, stats: dict[str, tuple[float, float]],
+                       suffix: str = "") -> DataFrame:
+    """Transform: ``(x - mean) / std``; a zero (or undefined) std divides by 1."""
     out = {}
-    for i, c in enumerate(columns):
-        m, s = stats.getField(f"m_{i}"), stats.getField(f"s_{i}")
-        out[c + suffix] = (F.col(c) - m) / F.when((s == 0) | s.isNull(), F.lit(1.0)).otherwise(s)
+    for c, (m, s) in stats.items():
+        den = 1.0 if (s is None or s == 0 or s != s) else float(s)
+        out[c + suffix] = (F.col(c) - F.lit(m if m is not None else 0.0)) / F.lit(den)
     return df.withColumns(out)
 
 
+def standardize(df: DataFrame, columns: Sequence[str], fit: DataFrame | None = None,
+                suffix: str = "") -> DataFrame:
+    """``(x - mean) / std`` with the mean and population std of ``fit`` (default: df)."""
+    return apply_standardizer(df, fit_standardizer(df if fit is None else fit, columns), suffix)
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Per class: count, "balanced" weight n / (k * n_c), and the positive weight
     n_neg / max(n_pos, 1) of the whole frame."""
