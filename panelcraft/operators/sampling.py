@@ -118,16 +118,19 @@ def _knn_block(k: int):
         R = np.stack(r["vec"].to_numpy()).astype(np.float64)
         qid, rid = q["id"].to_numpy(), r["id"].to_numpy()
         rn = (R * R).sum(1)
-        keep = min(k + 2, len(r))
+        kk = min(k, len(r))
         out = []
         for s in range(0, len(Q), 256):          # bounded memory: 256 x |R| at a time
             Qs, ids = Q[s:s + 256], qid[s:s + 256]
-            d2 = (Qs * Qs).sum(1)[:, None] + rn[None, :] - 2.0 * Qs @ R.T
+            qn = (Qs * Qs).sum(1)
+            d2 = qn[:, None] + rn[None, :] - 2.0 * Qs @ R.T
             d2[ids[:, None] == rid[None, :]] = np.inf          # no self match
-            cand = np.argpartition(d2, keep - 1, axis=1)[:, :keep] if keep < len(r) else \
-                np.tile(np.arange(len(r)), (len(Qs), 1))
+            # every candidate within rounding error of the k-th approximate distance,
+            # so ties (e.g. duplicate points) are settled exactly below
+            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
+            tol = 1e-9 * (qn + rn.max()) + 1e-12
             for row in range(len(Qs)):
-                c = cand[row][np.isfinite(d2[row, cand[row]])]
+                c = np.nonzero(np.isfinite(d2[row]) & (d2[row] <= kth[row] + tol[row]))[0]
                 if len(c) == 0:
                     continue
                 exact = np.sqrt(((R[c] - Qs[row]) ** 2).sum(1))   # exact distances
@@ -139,7 +142,7 @@ def _knn_block(k: int):
 
 
 def knn_within(df: DataFrame, id_col: str, vec_col: str, k: int = 5,
-               block_rows: int = 2048) -> DataFrame:
+               block_rows: int = 8192) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by id) of every row among the rows.
 
     Rows are hashed into T balanced tiles; each (query tile, reference tile) pair
@@ -164,7 +167,7 @@ def knn_within(df: DataFrame, id_col: str, vec_col: str, k: int = 5,
 
 
 def smote(df: DataFrame, id_col: str, vec_col: str, label: str, minority: int = 1,
-          k: int = 5, seed: int = 42, block_rows: int = 2048) -> DataFrame:
+          k: int = 5, seed: int = 42, block_rows: int = 8192) -> DataFrame:
     """Synthetic minority rows until both classes have equal counts.
 
     Synthetic row ``s`` starts from the minority row of hash ordinal ``s mod m``,

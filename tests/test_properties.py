@@ -98,3 +98,17 @@ def test_knn_matches_brute_force(spark):
     for r in got.where("nn_rank = 1").collect():
         d = sorted((np.sqrt(((vec[r["vec_id"]] - vec[j]) ** 2).sum()), j) for j in ids if j != r["vec_id"])
         assert r["nn_id"] == d[0][1]
+
+
+def test_knn_exact_with_duplicate_points(spark):
+    """A third of the points are copies: ties must be settled by id, never by luck."""
+    e = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
+    dup = e.where(F.col("vec_id") % 3 == 0).select((F.col("vec_id") + 100000).alias("vec_id"), "embedding")
+    both = e.unionByName(dup)
+    got = smp.knn_within(both, "vec_id", "embedding", 4, block_rows=16)
+    vec = {r["vec_id"]: np.array(r["embedding"], dtype=float) for r in both.collect()}
+    ids = sorted(vec)
+    for r in got.collect():
+        q = vec[r["vec_id"]]
+        ranked = sorted((np.sqrt(((q - vec[j]) ** 2).sum()), j) for j in ids if j != r["vec_id"])
+        assert ranked[r["nn_rank"] - 1][1] == r["nn_id"]
