@@ -44,12 +44,29 @@ URGENT = "1-URGENT"
 SEED = 42
 
 
+_LAZY: dict = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build):
+    """Reuse lazily defined DataFrames within one session (no data is cached;
+    this only skips re-listing files and re-analysing the same plan)."""
+    k = (spark.sparkContext.applicationId, *key)
+    if k not in _LAZY:
+        _LAZY[k] = build()
+    return _LAZY[k]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _memo(spark, ("table", sf_dir, name),
+                 lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def entity_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """entity, name, grp, elevation, river, terrain, geo_risk (one row per supplier)."""
+    return _memo(spark, ("entity_dim", sf_dir), lambda: _entity_dim(spark, sf_dir))
+
+
+def _entity_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")

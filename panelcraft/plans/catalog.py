@@ -110,8 +110,10 @@ def date_key_parts(spark: SparkSession, sf: str) -> DataFrame:
                       F.substring("date_key", 1, 4).cast("int").alias("key_year"),
                       F.substring("date_key", 5, 2).cast("int").alias("key_month"),
                       F.substring("date_key", 7, 2).cast("int").alias("key_day"),
-                      F.year(d).alias("year"), F.month(d).alias("month"),
-                      F.dayofmonth(F.last_day(d)).alias("days_in_month")))
+                      # null for the invalid keys; DOUBLE so both engines' frames agree on type
+                      F.year(d).cast("double").alias("year"),
+                      F.month(d).cast("double").alias("month"),
+                      F.dayofmonth(F.last_day(d)).cast("double").alias("days_in_month")))
 
 
 def json_series_flatten(spark: SparkSession, sf: str) -> DataFrame:
