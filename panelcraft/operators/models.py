@@ -113,12 +113,17 @@ def cv_f1(train: DataFrame, features: Sequence[str], make_est, label: str, fold_
     return out.agg(F.avg("f1").alias("cv_f1"))
 
 
-def feature_importance(model: PipelineModel, features: Sequence[str], spark: SparkSession,
-                       top: int = 15) -> DataFrame:
-    """(feature, importance) of the fitted tree model, uniform when it has none;
+def feature_importance(model: PipelineModel | Sequence[PipelineModel], features: Sequence[str],
+                       spark: SparkSession, top: int = 15) -> DataFrame:
+    """(feature, importance) of the fitted tree model (or the first member of a vote
+    that has them), uniform when none has;
     the ``top`` largest with bands by strict ``>`` q75 / q40 of those values."""
-    last = model.stages[-1]
-    imp = getattr(last, "featureImportances", None)
+    members = list(model) if isinstance(model, (list, tuple)) else [model]
+    imp = None
+    for m in members:            # a vote takes its first member that has importances
+        imp = getattr(m.stages[-1], "featureImportances", None)
+        if imp is not None:
+            break
     vals = imp.toArray().tolist() if imp is not None else [1.0 / len(features)] * len(features)
     # a fitted model's importances are one small vector per feature (bounded by the schema)
     df = spark.createDataFrame(list(zip(features, [float(v) for v in vals])),
