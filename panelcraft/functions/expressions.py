@@ -95,7 +95,7 @@ def sentinel_clamp(c: str | Column, sentinel: float = -999.0, replacement: float
     """
     x = nan_to_null(c)
     x = F.when(x == F.lit(sentinel), F.lit(replacement)).otherwise(x)
-    return F.round(F.greatest(F.lit(float(floor)), x), digits)
+    return F.bround(F.greatest(F.lit(float(floor)), x), digits)      # half-even, like Python round
 
 
 def parse_yyyymmdd(c: str | Column) -> Column:
@@ -143,11 +143,11 @@ def composite_intensity(season_total: str | Column, annual_max: str | Column,
                         geo_code: str | Column, elevation: str | Column,
                         w_season: float = 0.6, w_max: float = 2.0, w_rainy: float = 1.5,
                         digits: int = 4) -> Column:
-    """``round((ws*S + wm*M + wr*R) * (river+1) * geo / sqrt(elev+1), digits)``."""
+    """``round((ws*S + wm*M + wr*R) * (river+1) * geo / sqrt(elev+1), digits)``, half-even."""
     s, m, r, rv, g, e = map(col_of, (season_total, annual_max, rainy_days, river, geo_code, elevation))
     raw = ((s * F.lit(w_season) + m * F.lit(w_max) + r * F.lit(w_rainy))
            * (rv + F.lit(1)) * g / F.sqrt(e + F.lit(1)))
-    return F.round(raw, digits)
+    return F.bround(raw, digits)
 
 
 def round_half_even(c: str | Column, digits: int) -> Column:

@@ -39,7 +39,8 @@ def interaction_features(df: DataFrame, season_total: str, season_avg: str, seas
 
 def fill_and_round(df: DataFrame, value: float = 0.0, digits: int = 4,
                    columns: Sequence[str] | None = None) -> DataFrame:
-    """Fill nulls in numeric columns with ``value`` and round every double column.
+    """Fill nulls in numeric columns with ``value`` and round every double column
+    (half-even, NumPy's rule).
 
     Spark's fill skips string columns (the reference's fill also hits strings;
     the panel has no null strings).  NaN in doubles is treated like null.
@@ -50,7 +51,7 @@ def fill_and_round(df: DataFrame, value: float = 0.0, digits: int = 4,
         if isinstance(f.dataType, (DoubleType, FloatType)):
             c = F.col(f.name)
             c = F.when(F.isnan(c) | c.isNull(), F.lit(float(value))).otherwise(c)
-            exprs[f.name] = F.round(c, digits)
+            exprs[f.name] = F.bround(c, digits)      # half-even, like NumPy
         elif f.dataType.typeName() in ("integer", "long", "short", "byte", "decimal"):
             exprs[f.name] = F.coalesce(F.col(f.name), F.lit(value).cast(f.dataType))
     return df.withColumns(exprs)
