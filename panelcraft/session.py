@@ -15,6 +15,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of slices no longer referenced are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
