@@ -57,8 +57,9 @@ def panel_scaffold(spark: SparkSession, sf: str) -> DataFrame:
 def membership_panel(spark: SparkSession, sf: str) -> DataFrame:
     o = b.table(spark, sf, "orders")
     c = b.table(spark, sf, "customer").select(F.col("c_custkey").alias("entity"))
-    lo = o.select(F.min(F.year("o_orderdate"))).scalar()
-    hi = o.select(F.max(F.year("o_orderdate"))).scalar()
+    yb = o.select(F.struct(F.min(F.year("o_orderdate")).alias("lo"),
+                           F.max(F.year("o_orderdate")).alias("hi"))).scalar()   # one scan
+    lo, hi = yb.getField("lo"), yb.getField("hi")
     events = (o.where(F.col("o_orderpriority") == b.URGENT)
                .select(F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("year")))
     return pnl.membership_flag(pnl.panel_scaffold(c, "entity", lo, hi), events,
@@ -647,8 +648,9 @@ def event_map_explode(spark: SparkSession, sf: str) -> DataFrame:
 def date_spine(spark: SparkSession, sf: str) -> DataFrame:
     """Supplier x every calendar day between the first and last ship date."""
     li = b.table(spark, sf, "lineitem")
-    lo = li.select(F.min(F.to_date("l_shipdate"))).scalar()
-    hi = li.select(F.max(F.to_date("l_shipdate"))).scalar()
+    db = li.select(F.struct(F.min(F.to_date("l_shipdate")).alias("lo"),
+                            F.max(F.to_date("l_shipdate")).alias("hi"))).scalar()   # one scan
+    lo, hi = db.getField("lo"), db.getField("hi")
     s = b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"))
     return (pnl.date_spine(s, "entity", lo, hi)
               .select("entity", date_key("day").alias("day_key"), "year", "month",
@@ -660,9 +662,13 @@ def seasonal_weight(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.functions.fixed_values import MONTH_WEIGHTS
     li = b.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
                                                 "l_shipdate", "l_quantity")
-    base = li.select(F.avg("l_quantity")).scalar()
-    ym = (li.groupBy(F.year("l_shipdate").alias("year"))
-            .agg((F.avg("l_quantity") / base).alias("mult")))
+    # the per-year sums and counts also give the overall mean; the aggregate has
+    # one row per year, so it is materialised once and read by both uses
+    yearly = (li.groupBy(F.year("l_shipdate").alias("year"))
+                .agg(F.sum("l_quantity").alias("_s"), F.count("l_quantity").alias("_c"))
+                .checkpoint(eager=True))
+    base = yearly.select(F.sum("_s") / F.sum("_c")).scalar()
+    ym = yearly.select("year", ((F.col("_s") / F.col("_c")) / base).alias("mult"))
     out = pnl.seasonal_weight(li, F.month("l_shipdate"), F.year("l_shipdate"), MONTH_WEIGHTS, ym)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("weight", 9).alias("weight"))
 
