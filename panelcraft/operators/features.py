@@ -96,9 +96,8 @@ def entity_anomaly(df: DataFrame, key: str, x: str, name: str = "anomaly") -> Da
 
 def period_pressure(df: DataFrame, period: str, x: str, name: str = "period_pressure") -> DataFrame:
     """``(mean(x) of the period - mean(x)) / (stddev_samp(x) + 1)``."""
-    g = df.select(F.avg(x).alias("m"), F.stddev_samp(x).alias("s"))
-    base = g.select("m").scalar()
-    std = g.select("s").scalar()
+    g = df.select(F.struct(F.avg(x).alias("m"), F.stddev_samp(x).alias("s"))).scalar()  # one pass
+    base, std = g.getField("m"), g.getField("s")
     return (group_mean_back(df, period, x, "_pm")
             .withColumn(name, (F.col("_pm") - base) / (std + F.lit(1.0))).drop("_pm"))
 
