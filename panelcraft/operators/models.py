@@ -82,6 +82,8 @@ def evaluate(name: str, scored: DataFrame, label: str, tune: DataFrame | None =
     no threshold has F1 > 0.  The sweep already holds the confusion counts at every
     grid threshold, so the chosen row is picked from it with an equi-join on the
     threshold (<= hi - lo rows per side) and the AUC is added as a scalar."""
+    # the scores feed both the sweep and the AUC: score once, read twice
+    scored = scored.select(label, "score").checkpoint(eager=True)
     sweep = ev.threshold_sweep(scored, label, "score", lo, hi)
     tsweep = sweep if tune is None else ev.threshold_sweep(tune, label, "score", lo, hi)
     w = F.max(F.col("f1")).over(Window.partitionBy())
