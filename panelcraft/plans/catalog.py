@@ -375,8 +375,9 @@ def model_matrix(spark: SparkSession, sf: str) -> DataFrame:
     p = feat.entity_anomaly(p, "entity", "season_total", "season_anomaly")
     p = feat.period_pressure(p, "year", "season_total", "year_pressure")
     p = p.withColumn("year_feature", F.col("year"))
+    # materialised once: the split samples and writes it, the scaler fits on it
     return p.select("entity", "grp", "year", "flag",
-                    *[F.col(c).cast("double").alias(c) for c in FEATURES])
+                    *[F.col(c).cast("double").alias(c) for c in FEATURES]).checkpoint(eager=True)
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
