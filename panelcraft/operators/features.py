@@ -9,13 +9,13 @@ scalars (overall mean, sample std) enter as scalar subqueries, not joins.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from panelcraft.functions.expressions import col_of, gate
+from panelcraft.functions.expressions import gate
 
 
 def interaction_features(df: DataFrame, season_total: str, season_avg: str, season_max: str,
@@ -102,9 +102,5 @@ def period_pressure(df: DataFrame, period: str, x: str, name: str = "period_pres
             .withColumn(name, (F.col("_pm") - base) / (std + F.lit(1.0))).drop("_pm"))
 
 
-def add_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
-    return df.withColumns(dict(exprs))
-
-
 __all__ = ["interaction_features", "fill_and_round", "select_available", "smoothed_prior",
-           "group_mean_back", "entity_anomaly", "period_pressure", "add_columns", "col_of"]
+           "group_mean_back", "entity_anomaly", "period_pressure"]

@@ -9,7 +9,6 @@ SVM have no MLlib counterpart and are not offered (see README).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
@@ -68,13 +67,6 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame
     return score_column(model.transform(df)).select(*keep, "score")
 
 
-@dataclass
-class Evaluation:
-    name: str
-    metrics: DataFrame        # one row
-    scored: DataFrame         # keep..., label, score
-
-
 def evaluate(name: str, scored: DataFrame, label: str, tune: DataFrame | None = None,
              lo: int = 10, hi: int = 90, default: float = 0.5) -> DataFrame:
     """One metrics row at the F1-best threshold of ``tune`` (default: the scored rows

@@ -88,14 +88,6 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_quantity").alias("amount"), "l_returnflag"))
 
 
-def year_bounds(spark: SparkSession, sf_dir: str):
-    """(min year, max year) of the measure series: one scalar subquery, one scan."""
-    li = table(spark, sf_dir, "lineitem")
-    b = li.select(F.struct(F.min(F.year("l_shipdate")).alias("lo"),
-                           F.max(F.year("l_shipdate")).alias("hi"))).scalar()
-    return b.getField("lo"), b.getField("hi")
-
-
 def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """row_id, y, score: the evaluation binding."""
     o = table(spark, sf_dir, "orders")
