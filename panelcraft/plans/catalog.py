@@ -449,7 +449,7 @@ _TRAINING: dict = {}
 def _training(spark: SparkSession, sf: str) -> DataFrame:
     """Split + standardised model matrix, checkpointed once per session and data set."""
     from panelcraft.operators.sampling import standardize as std
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf)
     if key not in _TRAINING:
         s = _split(spark, sf)
         scaled = std(s, FEATURES, fit=s.where(F.col("split") == "train"))
@@ -581,9 +581,9 @@ def model_leaderboard(spark, sf):
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    return out.select("model", F.round("threshold", 2).alias("threshold"),
-                      *[F.round(c, 3).alias(c) for c in ("accuracy", "balanced_accuracy",
-                                                         "precision", "recall", "f1", "auc")],
+    return out.select("model", F.bround("threshold", 2).alias("threshold"),
+                      *[F.bround(c, 3).alias(c) for c in ("accuracy", "balanced_accuracy",
+                                                          "precision", "recall", "f1", "auc")],
                       "tp", "fp", "fn", "tn").orderBy(F.col("f1").desc(), "model")
 
 
