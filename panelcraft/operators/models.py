@@ -141,15 +141,16 @@ def feature_importance(model: PipelineModel | Sequence[PipelineModel], features:
 
 
 def bagged_forest(bags: DataFrame, features: Sequence[str], label: str, n_bags: int,
-                  trees_per_bag: int, max_depth: int = 12, min_leaf: int = 2) -> list[PipelineModel]:
-    """One random forest per balanced bag; scores are averaged by ``soft_vote``."""
-    models = []
-    for b in range(n_bags):
+                  trees_per_bag: int, max_depth: int = 12, min_leaf: int = 2,
+                  parallelism: int = 4) -> list[PipelineModel]:
+    """One random forest per balanced bag (fitted concurrently); scores are
+    averaged by ``score_vote``."""
+    def one(b: int) -> PipelineModel:
         est = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees_per_bag,
                                      maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                      featureSubsetStrategy="sqrt", seed=SEED + b)
-        models.append(fit(bags.where(F.col("bag") == b), features, est))
-    return models
+        return fit(bags.where(F.col("bag") == b), features, est)
+    return run_parallel([lambda b=b: one(b) for b in range(n_bags)], parallelism)
 
 
 def score_vote(models: Sequence[PipelineModel], df: DataFrame, keep: Sequence[str], row_id: str

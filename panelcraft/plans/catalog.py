@@ -533,12 +533,13 @@ def soft_vote_ensemble(spark, sf):
     tr, te = _train_test(spark, sf)
     bal = with_class_weight(tr, "flag", "weight", "balanced")
     pos = with_class_weight(tr, "flag", "weight", "positive")
-    members = [md.fit(bal, FEATURES, md.estimator("rf", len(FEATURES), "flag", "weight",
-                                                  numTrees=RF_TREES, maxDepth=RF_DEPTH)),
-               md.fit(pos, FEATURES, md.estimator("gbt_sub", len(FEATURES), "flag", "weight",
-                                                  maxIter=GBT_ITERS)),
-               md.fit(bal, FEATURES, md.estimator("gbt", len(FEATURES), "flag", "weight",
-                                                  maxIter=GBT_ITERS))]
+    members = md.run_parallel([
+        lambda: md.fit(bal, FEATURES, md.estimator("rf", len(FEATURES), "flag", "weight",
+                                                   numTrees=RF_TREES, maxDepth=RF_DEPTH)),
+        lambda: md.fit(pos, FEATURES, md.estimator("gbt_sub", len(FEATURES), "flag", "weight",
+                                                   maxIter=GBT_ITERS)),
+        lambda: md.fit(bal, FEATURES, md.estimator("gbt", len(FEATURES), "flag", "weight",
+                                                   maxIter=GBT_ITERS))], 3)
     return md.evaluate("soft_vote", md.score_vote(members, te, ["rid", "flag"], "rid"), "flag")
 
 
