@@ -75,8 +75,12 @@ def roc_curve(df: DataFrame, label: str, score: str, group_cols: Sequence[str] =
     c = _score_counts(df, label, score, group_cols)
     c = ordered_running_sum(c, [F.col(score).desc()], ["pos", "neg"], group_cols)
     tot = c.groupBy(*group_cols).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    c = c.join(tot, list(group_cols), "inner") if group_cols else c.select(
-        "*", tot.select("_P").scalar().alias("_P"), tot.select("_N").scalar().alias("_N"))
+    if group_cols:
+        c = c.join(tot, list(group_cols), "inner")
+    else:                                        # one scalar subquery, projected once
+        t = tot.select(F.struct("_P", "_N")).scalar()
+        c = c.withColumn("_t", t).select("*", F.col("_t._P").alias("_P"),
+                                         F.col("_t._N").alias("_N")).drop("_t")
     return c.select(*group_cols, F.col(score).alias("threshold"),
                     F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"),
                     F.try_divide(F.col("neg_cum").cast("double"), F.col("_N")).alias("fpr"),
@@ -118,9 +122,10 @@ def threshold_sweep(df: DataFrame, label: str, score: str, lo: int = 10, hi: int
     totals = bins.groupBy(*group_cols).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     if group_cols:
         joined = joined.join(totals, list(group_cols), "inner")
-    else:
-        joined = joined.select("*", totals.select("_P").scalar().alias("_P"),
-                               totals.select("_N").scalar().alias("_N"))
+    else:                                        # one scalar subquery, projected once
+        t = totals.select(F.struct("_P", "_N")).scalar()
+        joined = joined.withColumn("_t", t).select("*", F.col("_t._P").alias("_P"),
+                                                   F.col("_t._N").alias("_N")).drop("_t")
     conf = joined.select(
         *group_cols, (F.col("i").cast("double") / F.lit(float(scale))).alias("threshold"),
         F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("fp", F.lit(0)).alias("fp"),

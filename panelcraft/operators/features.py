@@ -75,10 +75,12 @@ def smoothed_prior(df: DataFrame, key: str, label: str, m: float, name: str,
     p = fit.select(F.avg(F.col(label).cast("double"))).scalar()
     stats = fit.groupBy(key).agg(F.sum(F.col(label).cast("double")).alias("_ps"),
                                  F.count(F.lit(1)).alias("_pn"))
-    return (df.join(stats, key, "left")
-              .withColumn(name, F.coalesce((F.col("_ps") + p * F.lit(float(m)))
-                                           / (F.col("_pn") + F.lit(float(m))), p))
-              .drop("_ps", "_pn"))
+    # the scalar is projected once and then read as a column: every reference to
+    # a scalar-subquery Column would otherwise plan (and run) its own subquery
+    return (df.join(stats, key, "left").withColumn("_pp", p)
+              .withColumn(name, F.coalesce((F.col("_ps") + F.col("_pp") * F.lit(float(m)))
+                                           / (F.col("_pn") + F.lit(float(m))), F.col("_pp")))
+              .drop("_ps", "_pn", "_pp"))
 
 
 def group_mean_back(df: DataFrame, key: str | Sequence[str], x: str, name: str) -> DataFrame:
@@ -97,9 +99,9 @@ def entity_anomaly(df: DataFrame, key: str, x: str, name: str = "anomaly") -> Da
 def period_pressure(df: DataFrame, period: str, x: str, name: str = "period_pressure") -> DataFrame:
     """``(mean(x) of the period - mean(x)) / (stddev_samp(x) + 1)``."""
     g = df.select(F.struct(F.avg(x).alias("m"), F.stddev_samp(x).alias("s"))).scalar()  # one pass
-    base, std = g.getField("m"), g.getField("s")
-    return (group_mean_back(df, period, x, "_pm")
-            .withColumn(name, (F.col("_pm") - base) / (std + F.lit(1.0))).drop("_pm"))
+    return (group_mean_back(df, period, x, "_pm").withColumn("_g", g)     # one subquery
+            .withColumn(name, (F.col("_pm") - F.col("_g.m")) / (F.col("_g.s") + F.lit(1.0)))
+            .drop("_pm", "_g"))
 
 
 __all__ = ["interaction_features", "fill_and_round", "select_available", "smoothed_prior",

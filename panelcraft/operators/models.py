@@ -135,9 +135,11 @@ def feature_importance(model: PipelineModel | Sequence[PipelineModel], features:
                                "feature string, importance double")
     topk = df.orderBy(F.col("importance").desc(), F.col("feature")).limit(top)
     q = topk.select(F.percentile("importance", F.array(F.lit(0.75), F.lit(0.4))).alias("q")).scalar()
-    return topk.select("feature", "importance",
-                       F.when(F.col("importance") > q[0], "high")
-                        .when(F.col("importance") > q[1], "medium").otherwise("low").alias("band"))
+    return (topk.withColumn("_q", q)             # one subquery, projected once
+                .select("feature", "importance",
+                        F.when(F.col("importance") > F.col("_q")[0], "high")
+                         .when(F.col("importance") > F.col("_q")[1], "medium")
+                         .otherwise("low").alias("band")))
 
 
 def bagged_forest(bags: DataFrame, features: Sequence[str], label: str, n_bags: int,

@@ -15,15 +15,22 @@ from pyspark.sql import functions as F
 from panelcraft.functions.expressions import col_of, days_in_month, dictionary_encode
 
 
-def panel_scaffold(entities: DataFrame, key: str, start: int | Column, end: int | Column,
-                   period: str = "year", unique: bool = False) -> DataFrame:
+def panel_scaffold(entities: DataFrame, key: str, start: int | Column | None = None,
+                   end: int | Column | None = None, period: str = "year", unique: bool = False,
+                   bounds: Column | None = None) -> DataFrame:
     """One row per (distinct entity, period in [start, end]).
 
-    ``unique=True`` skips the distinct (a shuffle) when ``key`` is already a key.
+    ``bounds`` may replace ``start``/``end``: a struct column ``(lo, hi)``, e.g. one
+    scalar subquery, which is projected once.  ``unique=True`` skips the
+    distinct (a shuffle) when ``key`` is already a key.
     """
-    s = F.lit(start) if isinstance(start, int) else start
-    e = F.lit(end) if isinstance(end, int) else end
     ents = entities.select(key) if unique else entities.select(key).distinct()
+    if bounds is not None:
+        ents = ents.withColumn("_b", bounds)
+        s, e = F.col("_b.lo"), F.col("_b.hi")
+    else:
+        s = F.lit(start) if isinstance(start, int) else start
+        e = F.lit(end) if isinstance(end, int) else end
     return ents.select(key, F.explode(F.sequence(s.cast("int"), e.cast("int"))).alias(period))
 
 
@@ -54,12 +61,20 @@ def dim_join(panel: DataFrame, dim: DataFrame, key: str, columns: Sequence[str])
     return panel.join(dim.select(key, *columns), key, "left")
 
 
-def date_spine(entities: DataFrame, key: str, start: str | Column, end: str | Column) -> DataFrame:
-    """One row per (entity, calendar day in [start, end]) with its calendar parts."""
-    s = F.to_date(F.lit(start)) if isinstance(start, str) else F.to_date(start)
-    e = F.to_date(F.lit(end)) if isinstance(end, str) else F.to_date(end)
-    return (entities.select(key).distinct()
-                    .select(key, F.explode(F.sequence(s, e, F.expr("INTERVAL 1 DAY"))).alias("day"))
+def date_spine(entities: DataFrame, key: str, start: str | Column | None = None,
+               end: str | Column | None = None, bounds: Column | None = None) -> DataFrame:
+    """One row per (entity, calendar day in [start, end]) with its calendar parts.
+
+    ``bounds`` may replace ``start``/``end``: a struct column ``(lo, hi)`` projected once.
+    """
+    ents = entities.select(key).distinct()
+    if bounds is not None:
+        ents = ents.withColumn("_b", bounds)
+        s, e = F.to_date(F.col("_b.lo")), F.to_date(F.col("_b.hi"))
+    else:
+        s = F.to_date(F.lit(start)) if isinstance(start, str) else F.to_date(start)
+        e = F.to_date(F.lit(end)) if isinstance(end, str) else F.to_date(end)
+    return (ents.select(key, F.explode(F.sequence(s, e, F.expr("INTERVAL 1 DAY"))).alias("day"))
                     .select(key, "day", F.year("day").alias("year"), F.month("day").alias("month"),
                             F.dayofmonth("day").alias("day_of_month"),
                             days_in_month("day").alias("days_in_month")))

@@ -73,9 +73,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Per class: count, "balanced" weight n / (k * n_c), and the positive weight
     n_neg / max(n_pos, 1) of the whole frame."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    tot = df.select(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("k"),
-                             F.count_if(F.col(label) == 1).alias("p"))).scalar()   # one pass
-    n, k, p = (tot.getField(c) for c in ("n", "k", "p"))
+    # totals over the per-class table (one row per class): no second pass, no subquery
+    w = Window.partitionBy()
+    n = F.sum("n_class").over(w)
+    k = F.count(F.lit(1)).over(w)
+    p = F.coalesce(F.sum(F.when(F.col(label) == 1, F.col("n_class"))).over(w), F.lit(0))
     return per.select(label, "n_class",
                       (n.cast("double") / (k * F.col("n_class"))).alias("balanced_weight"),
                       ((n - p).cast("double") / F.greatest(p, F.lit(1))).alias("pos_weight"))

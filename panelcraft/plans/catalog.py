@@ -46,8 +46,8 @@ def _scaffold_from(spark: SparkSession, sf: str, season: DataFrame) -> DataFrame
     reuses its exchange, instead of another scan of the raw series.
     """
     bounds = season.select(F.struct(F.min("year").alias("lo"), F.max("year").alias("hi"))).scalar()
-    return pnl.panel_scaffold(b.entity_dim(spark, sf), "entity", bounds.getField("lo"),
-                              bounds.getField("hi"), unique=True)
+    keys = b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"))
+    return pnl.panel_scaffold(keys, "entity", unique=True, bounds=bounds)
 
 
 def panel_scaffold(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,15 +59,16 @@ def membership_panel(spark: SparkSession, sf: str) -> DataFrame:
     c = b.table(spark, sf, "customer").select(F.col("c_custkey").alias("entity"))
     yb = o.select(F.struct(F.min(F.year("o_orderdate")).alias("lo"),
                            F.max(F.year("o_orderdate")).alias("hi"))).scalar()   # one scan
-    lo, hi = yb.getField("lo"), yb.getField("hi")
     events = (o.where(F.col("o_orderpriority") == b.URGENT)
                .select(F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("year")))
-    return pnl.membership_flag(pnl.panel_scaffold(c, "entity", lo, hi), events,
+    return pnl.membership_flag(pnl.panel_scaffold(c, "entity", bounds=yb), events,
                                ["entity", "year"], "flag")
 
 
 def panel_left_join(spark: SparkSession, sf: str) -> DataFrame:
-    s = _season_and_label(spark, sf)
+    # the (entity, year) aggregate is read twice (year bounds, join): it is
+    # materialised once so the raw series is scanned and shuffled only once
+    s = _season_and_label(spark, sf).checkpoint(eager=True)
     return (pnl.panel_left_join(_scaffold_from(spark, sf, s), [s], ["entity", "year"])
             .withColumn("flag", F.coalesce(F.col("label_raw"), F.lit(0))).drop("label_raw"))
 
@@ -165,7 +166,8 @@ def literal_lookup_table(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- step 4: statistical features
 def _model_panel(spark: SparkSession, sf: str) -> DataFrame:
-    return feature_panel(spark, sf)
+    """The feature panel, materialised: the statistics below read it several times."""
+    return feature_panel(spark, sf).checkpoint(eager=True)
 
 
 def interaction_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -654,9 +656,8 @@ def date_spine(spark: SparkSession, sf: str) -> DataFrame:
     li = b.table(spark, sf, "lineitem")
     db = li.select(F.struct(F.min(F.to_date("l_shipdate")).alias("lo"),
                             F.max(F.to_date("l_shipdate")).alias("hi"))).scalar()   # one scan
-    lo, hi = db.getField("lo"), db.getField("hi")
     s = b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"))
-    return (pnl.date_spine(s, "entity", lo, hi)
+    return (pnl.date_spine(s, "entity", bounds=db)
               .select("entity", date_key("day").alias("day_key"), "year", "month",
                       "day_of_month", "days_in_month"))
 
@@ -722,8 +723,9 @@ def cv_test_gap(spark, sf):
     t = rf_balanced(spark, sf).select("model", F.col("f1").alias("test_f1"))
     c = cv_f1(spark, sf)
     cv = c.select("cv_f1").scalar()
-    return t.select("model", F.round(cv, 3).alias("cv_f1"), F.round("test_f1", 3).alias("test_f1"),
-                    F.round(cv - F.col("test_f1"), 3).alias("gap"))
+    t = t.withColumn("_cv", cv)                  # one subquery, projected once
+    return t.select("model", F.round("_cv", 3).alias("cv_f1"), F.round("test_f1", 3).alias("test_f1"),
+                    F.round(F.col("_cv") - F.col("test_f1"), 3).alias("gap"))
 
 
 def group_risk_from_model(spark, sf):
