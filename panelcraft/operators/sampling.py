@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelcraft.functions.expressions import hash_key, hash_uniform
 from panelcraft.operators.ordered import ordered_row_number
+from panelcraft.session import shuffle_partitions
 
 
 def _hash_order(keys: Sequence[str], seed: int | str, *salt: Column) -> list[Column]:
@@ -192,11 +193,23 @@ def smote(df: DataFrame, id_col: str, vec_col: str, label: str, minority: int =
                               [], "_o")
     per, extra = divmod(need, n_min)
     cnt = F.lit(per) + F.when(F.col("_o") <= extra, 1).otherwise(0)
-    syn = (ordn.where(cnt > 0)
-               .select(F.col(id_col).alias("base_id"), F.col(vec_col).cast("array<double>").alias("_x"),
-                       "_o", F.explode(F.sequence(F.lit(0), cnt - 1)).alias("_j"))
-               .withColumn("syn_id", (F.col("_j") * F.lit(n_min) + F.col("_o") - 1).cast("long"))
-               .drop("_j", "_o"))
+    # A row's copies are generated in chunks of at most ``chunk`` rows that are
+    # spread over tasks first, so a tiny minority facing a huge majority never
+    # makes one task produce all the copies of one row.
+    chunk = 65536
+    n_parts = max(1, min(shuffle_partitions(df.sparkSession), math.ceil(need / chunk)))
+    chunks = (ordn.where(cnt > 0)
+                  .select(F.col(id_col).alias("base_id"),
+                          F.col(vec_col).cast("array<double>").alias("_x"), "_o",
+                          cnt.alias("_cnt"),
+                          F.explode(F.sequence(F.lit(0), F.floor((cnt - 1) / chunk).cast("int")))
+                          .alias("_ch"))
+                  .repartition(n_parts, "base_id", "_ch"))
+    j_lo = F.col("_ch") * chunk
+    j_hi = F.least(j_lo + chunk, F.col("_cnt")) - 1
+    syn = (chunks.select("base_id", "_x", "_o", F.explode(F.sequence(j_lo, j_hi)).alias("_j"))
+                 .withColumn("syn_id", (F.col("_j") * F.lit(n_min) + F.col("_o") - 1).cast("long"))
+                 .drop("_j", "_o"))
     syn = syn.select("*",
                      (F.floor(hash_uniform("syn_id", F.lit(seed), F.lit("nn")) * kk) + 1)
                      .cast("int").alias("_pick"),

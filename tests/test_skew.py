@@ -43,3 +43,16 @@ def test_dedupe_and_season_on_hot_key(spark):
     d = agg.dedupe_keep_first(df, ["k"], "id")
     assert d.where(F.col("k") == 0).first()["v"] == 0.0
     assert d.count() == df.select("k").distinct().count()
+
+
+def test_smote_many_copies_per_row(spark):
+    """3 minority rows facing 300k majority rows: ~100k copies per row, chunked."""
+    from panelcraft.operators.sampling import smote
+    df = spark.range(300003).select(
+        F.col("id"), F.array((F.col("id") % 7).cast("double"), (F.col("id") % 11).cast("double")).alias("v"),
+        (F.col("id") < 3).cast("int").alias("y"))
+    syn = smote(df, "id", "v", "y", 1, 5, 42)
+    stats = syn.agg(F.count("*").alias("n"), F.countDistinct("syn_id").alias("d"),
+                    F.min("syn_id").alias("lo"), F.max("syn_id").alias("hi")).first()
+    need = 300000 - 3
+    assert tuple(stats) == (need, need, 0, need - 1)
