@@ -705,6 +705,12 @@ def payload_daily_series(spark: SparkSession, sf: str) -> DataFrame:
     then flattened back to daily rows with the sentinel / clamp / round-3 cleaning.
     Each payload holds at most 366 entries (one per day), so the collect is bounded."""
     from panelcraft.sources.payload import daily_series_rows
+    return daily_series_rows(_payload_docs(spark, sf), "payload", ["entity"],
+                             ("properties", "parameter", "X"))
+
+
+def _payload_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """(entity, payload): one nested JSON document per (supplier, year)."""
     li = b.table(spark, sf, "lineitem")
     daily = (li.groupBy(F.col("l_suppkey").alias("entity"), F.year("l_shipdate").alias("year"),
                         date_key("l_shipdate").alias("day_key"))
@@ -715,7 +721,7 @@ def payload_daily_series(spark: SparkSession, sf: str) -> DataFrame:
                     .agg(F.to_json(F.struct(F.struct(F.struct(
                         F.map_from_entries(F.collect_list(F.struct("day_key", "value")))
                         .alias("X")).alias("parameter")).alias("properties"))).alias("payload")))
-    return daily_series_rows(payload, "payload", ["entity"], ("properties", "parameter", "X"))
+    return payload.select("entity", "payload")
 
 
 def cv_test_gap(spark, sf):
@@ -731,3 +737,24 @@ def cv_test_gap(spark, sf):
 def group_risk_from_model(spark, sf):
     """Mean model risk score per group with the three-tier band (> .55, > .35)."""
     return agg.group_mean_rank(batch_score(spark, sf), "grp", "risk_score", 0.55, 0.35)
+
+
+def stream_payload_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Payload documents (one JSON line per supplier and year, built from lineitem)
+    land as text files; a file stream parses, flattens and cleans them and appends
+    idempotently to a year-partitioned sink.  Equals ``payload_daily_series``."""
+    from panelcraft.session import work_dir
+    from panelcraft.sources.payload import daily_series_rows
+    from panelcraft.streaming.ingest import start_payload_ingest
+    base = work_dir(spark, "payload-stream")
+    docs = _payload_docs(spark, sf)
+    docs.select(F.to_json(F.struct("entity", "payload")).alias("value")).write.text(f"{base}/landing")
+
+    def transform(lines: DataFrame) -> DataFrame:
+        d = lines.select(F.from_json("value", "entity long, payload string").alias("d")).select("d.*")
+        return daily_series_rows(d, "payload", ["entity"], ("properties", "parameter", "X"))
+
+    q = start_payload_ingest(spark, f"{base}/landing", f"{base}/sink", f"{base}/checkpoint",
+                             transform, ["entity", "date"], ["year"])
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/sink").select("entity", "date", "year", "month", "day", "value")

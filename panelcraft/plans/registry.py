@@ -72,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_spine": c.date_spine,
     "seasonal_weight": c.seasonal_weight,
     "stream_incremental_ingest": c.stream_incremental_ingest,
+    "stream_payload_ingest": c.stream_payload_ingest,
     # models (rows-only checks: no SQL counterpart for a fitted model)
     "rf_balanced": c.rf_balanced,
     "rf_smote": c.rf_smote,

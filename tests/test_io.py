@@ -47,3 +47,16 @@ def test_pending_keys_and_stream_resume(spark):
     done = spark.read.parquet(f"{base}/sink").select("event_id")
     pend = tb.pending_keys(ev.select("event_id"), done, ["event_id"])
     assert pend.count() == 0
+
+
+def test_idempotent_append_survives_batch_retry(spark):
+    from panelcraft.streaming.ingest import idempotent_append
+    sink = work_dir(spark, "idem") + "/sink"
+    ev = spark.read.parquet(f"{SF}/events.parquet").select(
+        "event_id", "value", F.lit(2024).alias("year"))
+    write = idempotent_append(sink, ["event_id"], ["year"])
+    write(ev.where("event_id < 50"), 0)
+    write(ev.where("event_id < 50"), 0)           # the same batch again (a retry)
+    write(ev.where("event_id < 80"), 1)           # overlaps the first batch
+    got = spark.read.parquet(sink)
+    assert got.count() == 80 and got.select("event_id").distinct().count() == 80
