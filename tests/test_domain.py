@@ -12,7 +12,7 @@ def _payload(days):
     return json.dumps({"properties": {"parameter": {"PRECTOTCORR": days}}})
 
 
-def test_reference_pipeline_end_to_end(spark):
+def test_reference_domain_end_to_end(spark):
     raw = spark.createDataFrame([
         ("Karachi", "Sindh", 24.8, 67.0, 8, "coastal", 0, 1),
         ("Lahore", "Punjab", 31.5, 74.3, 217, "plains", 1, 2),

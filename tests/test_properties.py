@@ -112,3 +112,16 @@ def test_knn_exact_with_duplicate_points(spark):
         q = vec[r["vec_id"]]
         ranked = sorted((np.sqrt(((q - vec[j]) ** 2).sum()), j) for j in ids if j != r["vec_id"])
         assert ranked[r["nn_rank"] - 1][1] == r["nn_id"]
+
+
+def test_grouped_running_sum_matches_window(spark):
+    df = spark.read.parquet(f"{SF}/orders.parquet").select(
+        "o_orderkey", "o_orderpriority", F.col("o_totalprice").alias("v"))
+    got = od.ordered_running_sum(df, [F.col("v").desc(), "o_orderkey"], ["v"], ["o_orderpriority"],
+                                 num_partitions=5)
+    w = (Window.partitionBy("o_orderpriority").orderBy(F.col("v").desc(), "o_orderkey")
+         .rowsBetween(Window.unboundedPreceding, 0))
+    ref = df.withColumn("ref", F.sum("v").over(w))
+    j = got.join(ref, ["o_orderkey", "o_orderpriority", "v"])
+    assert j.count() == df.count()
+    assert j.where(F.abs(F.col("v_cum") - F.col("ref")) > 1e-6 * F.abs(F.col("ref"))).count() == 0
