@@ -122,25 +122,47 @@ def _knn_block(k: int):
         qid, rid = q["id"].to_numpy(), r["id"].to_numpy()
         rn = (R * R).sum(1)
         kk = min(k, len(r))
-        out = []
+        keep = min(kk + 4, len(r))
+        ids_out, nn_out, d_out = [], [], []
+
+        def emit(qi, cand_idx, exact):
+            order = np.lexsort((rid[cand_idx], exact))[:k]
+            ok = np.isfinite(exact[order])
+            ids_out.append(np.full(ok.sum(), qi, dtype=np.int64))
+            nn_out.append(rid[cand_idx][order][ok])
+            d_out.append(exact[order][ok])
+
         for s in range(0, len(Q), 256):          # bounded memory: 256 x |R| at a time
             Qs, ids = Q[s:s + 256], qid[s:s + 256]
             qn = (Qs * Qs).sum(1)
-            d2 = qn[:, None] + rn[None, :] - 2.0 * Qs @ R.T
+            d2 = qn[:, None] + rn[None, :] - 2.0 * Qs @ R.T     # approximate, for selection
             d2[ids[:, None] == rid[None, :]] = np.inf          # no self match
-            # every candidate within rounding error of the k-th approximate distance,
-            # so ties (e.g. duplicate points) are settled exactly below
             kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
             tol = 1e-9 * (qn + rn.max()) + 1e-12
-            for row in range(len(Qs)):
-                c = np.nonzero(np.isfinite(d2[row]) & (d2[row] <= kth[row] + tol[row]))[0]
-                if len(c) == 0:
-                    continue
-                exact = np.sqrt(((R[c] - Qs[row]) ** 2).sum(1))   # exact distances
-                order = np.lexsort((rid[c], exact))[:k]
-                out.append(pd.DataFrame({"id": ids[row], "nn_id": rid[c][order],
-                                         "dist": exact[order]}))
-        return pd.concat(out, ignore_index=True) if out else empty
+            within = np.isfinite(d2) & (d2 <= (kth + tol)[:, None])
+            n_within = within.sum(1)
+            part = np.argpartition(d2, keep - 1, axis=1)[:, :keep] if keep < len(r) else \
+                np.tile(np.arange(len(r)), (len(Qs), 1))
+            fast = n_within <= keep        # every near-tie candidate is inside ``part``
+            if fast.any():
+                rows = np.nonzero(fast)[0]
+                cand = part[rows]                                        # (n, keep)
+                exact = np.sqrt(((R[cand] - Qs[rows][:, None, :]) ** 2).sum(-1))
+                exact[~np.isfinite(np.take_along_axis(d2[rows], cand, 1))] = np.inf
+                order = np.lexsort((rid[cand], exact), axis=-1)[:, :k]
+                ex = np.take_along_axis(exact, order, 1)
+                nn = np.take_along_axis(rid[cand], order, 1)
+                ok = np.isfinite(ex)
+                ids_out.append(np.repeat(ids[rows], ok.sum(1)))
+                nn_out.append(nn[ok])
+                d_out.append(ex[ok])
+            for row in np.nonzero(~fast)[0]:   # many exact ties: rank all of them exactly
+                c = np.nonzero(within[row])[0]
+                emit(ids[row], c, np.sqrt(((R[c] - Qs[row]) ** 2).sum(1)))
+        if not ids_out:
+            return empty
+        return pd.DataFrame({"id": np.concatenate(ids_out), "nn_id": np.concatenate(nn_out),
+                             "dist": np.concatenate(d_out)})
     return run
 
 

@@ -125,3 +125,13 @@ def test_grouped_running_sum_matches_window(spark):
     j = got.join(ref, ["o_orderkey", "o_orderpriority", "v"])
     assert j.count() == df.count()
     assert j.where(F.abs(F.col("v_cum") - F.col("ref")) > 1e-6 * F.abs(F.col("ref"))).count() == 0
+
+
+def test_knn_many_exact_ties_ranked_by_id(spark):
+    """20 identical points (more than k + 4): neighbours are the copies with the smallest ids."""
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(20)] + [(100 + i, [9.0, float(i), 0.0]) for i in range(10)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["vec_id"], r["nn_rank"]): (r["nn_id"], r["dist"])
+           for r in smp.knn_within(df, "vec_id", "embedding", 3).collect()}
+    assert [got[(5, i)] for i in (1, 2, 3)] == [(0, 0.0), (1, 0.0), (2, 0.0)]
+    assert [got[(0, i)][0] for i in (1, 2, 3)] == [1, 2, 3]
