@@ -135,3 +135,13 @@ def test_knn_many_exact_ties_ranked_by_id(spark):
            for r in smp.knn_within(df, "vec_id", "embedding", 3).collect()}
     assert [got[(5, i)] for i in (1, 2, 3)] == [(0, 0.0), (1, 0.0), (2, 0.0)]
     assert [got[(0, i)][0] for i in (1, 2, 3)] == [1, 2, 3]
+
+
+def test_ordered_row_number_null_group(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.lit(None))
+                                  .otherwise(F.col("id") % 2).alias("g"))
+    got = od.ordered_row_number(df, ["id"], ["g"], "rn", "n", num_partitions=6)
+    w = Window.partitionBy("g").orderBy("id")
+    ref = df.withColumn("ref", F.row_number().over(w))
+    j = got.join(ref, ["id"])
+    assert j.count() == 1000 and j.where(F.col("rn") != F.col("ref")).count() == 0
