@@ -52,3 +52,12 @@ def test_reference_domain_end_to_end(spark):
     assert tm.count() == 6
     assert {"district_flood_prior", "province_flood_prior", "monsoon_anomaly",
             "year_rain_pressure", "premonsoon_ratio"} <= set(tm.columns)
+
+
+def test_label_panel_from_keyed_list_map(spark):
+    dim = spark.createDataFrame([("A",), ("B",), ("C",)], "district string")
+    ev = spark.createDataFrame([({2010: ["A", "C"], 2011: ["B"]},)], "events map<int, array<string>>")
+    got = {(r["district"], r["year"]): r["flooded"]
+           for r in domain.label_panel(dim, ev, 2010, 2011).collect()}
+    assert got == {("A", 2010): 1, ("B", 2010): 0, ("C", 2010): 1,
+                   ("A", 2011): 0, ("B", 2011): 1, ("C", 2011): 0}
