@@ -65,3 +65,25 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the given inputs, read from the (cluster) file system."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            target_bytes: int = 256 << 20, lo: int = 8, hi: int = 200_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about one partition per ``target_bytes``
+    of input (bounded by [lo, hi]).  AQE coalesces partitions that come out small,
+    so erring high is cheap, while too few partitions would spill at 100 TB."""
+    n = max(lo, min(hi, -(-input_bytes(spark, paths) // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
+    return n

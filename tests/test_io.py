@@ -60,3 +60,14 @@ def test_idempotent_append_survives_batch_retry(spark):
     write(ev.where("event_id < 80"), 1)           # overlaps the first batch
     got = spark.read.parquet(sink)
     assert got.count() == 80 and got.select("event_id").distinct().count() == 80
+
+
+def test_shuffle_partition_sizing(spark):
+    from panelcraft.session import input_bytes, size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert input_bytes(spark, [f"{SF}/lineitem.parquet"]) > 0
+        assert size_shuffle_partitions(spark, [f"{SF}/lineitem.parquet"]) == 8     # tiny input
+        assert size_shuffle_partitions(spark, [f"{SF}/lineitem.parquet"], target_bytes=1024) > 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
