@@ -302,11 +302,12 @@ def roc_curve(spark: SparkSession, sf: str) -> DataFrame:
 def _nation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Per customer nation: metrics at 0.5 and AUC, a stand-in for a per-model table."""
     from panelcraft.operators import evaluate as ev
-    o = b.scored_orders(spark, sf)
+    o = b.table(spark, sf, "orders").select(
+        "o_custkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
+        (F.col("o_totalprice") / F.lit(b.SCORE_SCALE)).alias("score"))
     cust = b.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nat = b.table(spark, sf, "nation").select("n_nationkey", "n_name")
-    orders = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"), "o_custkey")
-    s = (o.join(orders, "row_id").join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    s = (o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
           .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
           .select(F.col("n_name").alias("name"), "y", "score"))
     m = ev.binary_metrics(ev.confusion_at(s, "y", "score", 0.5, ["name"]))
