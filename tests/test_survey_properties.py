@@ -78,3 +78,27 @@ def test_forest_separates_a_separable_fixture(spark):
     assert auc > 0.95
     m = md.evaluate("rf", scored, "y").first()
     assert m["tp"] + m["fp"] + m["fn"] + m["tn"] == te.count()
+
+
+def test_grouped_roc_curve_matches_brute_force(spark):
+    o = spark.read.parquet(f"{SF}/orders.parquet").select(
+        F.col("o_orderpriority").alias("g"), (F.col("o_orderstatus") == "F").cast("int").alias("y"),
+        (F.col("o_totalprice") / 500000.0).alias("s"))
+    cur = ev.roc_curve(o, "y", "s", ["g"]).collect()
+    rows = o.collect()
+    for r in cur[:40]:
+        tp = sum(1 for x in rows if x["g"] == r["g"] and x["s"] >= r["threshold"] and x["y"] == 1)
+        fp = sum(1 for x in rows if x["g"] == r["g"] and x["s"] >= r["threshold"] and x["y"] != 1)
+        assert (r["tp"], r["fp"]) == (tp, fp)
+
+
+def test_evaluate_with_separate_tuning_frame(spark):
+    o = spark.read.parquet(f"{SF}/orders.parquet").select(
+        "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
+        (F.col("o_totalprice") / 500000.0).alias("score"))
+    tune, test = o.where(F.col("o_orderkey") % 2 == 0), o.where(F.col("o_orderkey") % 2 == 1)
+    m = md.evaluate("m", test, "y", tune=tune).first()
+    best = ev.best_threshold(ev.threshold_sweep(tune, "y", "score")).first()["threshold"]
+    assert m["threshold"] == best
+    conf = ev.confusion_at(test, "y", "score", best).first()
+    assert (m["tp"], m["fp"], m["fn"], m["tn"]) == (conf["tp"], conf["fp"], conf["fn"], conf["tn"])
