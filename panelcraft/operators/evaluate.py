@@ -48,7 +48,7 @@ def binary_metrics(conf: DataFrame) -> DataFrame:
 def _score_counts(df: DataFrame, label: str, score: str, group_cols: Sequence[str]) -> DataFrame:
     """Pre-aggregate to one row per distinct (group, score): positives and negatives."""
     y = F.col(label) == 1
-    return (df.where(F.col(score).isNotNull())
+    return (df.where(F.col(score).isNotNull() & ~F.isnan(score))      # unscored rows are skipped
               .groupBy(*group_cols, score)
               .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
@@ -97,11 +97,14 @@ def threshold_sweep(df: DataFrame, label: str, score: str, lo: int = 10, hi: int
     most ``hi - lo + 1`` rows per group.
     """
     s = F.col(score)
-    b0 = F.floor(s * scale).cast("int")
+    # clamp before the int cast (ANSI casts raise on overflow); NaN never reaches a cut
+    sc = F.least(F.greatest(s, F.lit((lo - 2) / scale)), F.lit((hi + 1) / scale))
+    b0 = F.floor(sc * scale).cast("int")
     # repair floating error of floor(s * scale) against the exact comparison s >= i/scale
     b1 = (F.when(s < b0.cast("double") / scale, b0 - 1)
            .when(s >= (b0 + 1).cast("double") / scale, b0 + 1).otherwise(b0))
-    bin_ = F.least(F.greatest(b1, F.lit(lo - 1)), F.lit(hi - 1))
+    bin_ = F.when(F.isnan(s), F.lit(lo - 1)).otherwise(
+        F.least(F.greatest(b1, F.lit(lo - 1)), F.lit(hi - 1)))
     y = F.col(label) == 1
     bins = (df.where(s.isNotNull())
               .groupBy(*group_cols, bin_.alias("i"))

@@ -102,3 +102,11 @@ def test_evaluate_with_separate_tuning_frame(spark):
     assert m["threshold"] == best
     conf = ev.confusion_at(test, "y", "score", best).first()
     assert (m["tp"], m["fp"], m["fn"], m["tn"]) == (conf["tp"], conf["fp"], conf["fn"], conf["tn"])
+
+
+def test_sweep_and_auc_tolerate_nan_and_extreme_scores(spark):
+    df = spark.createDataFrame([(1, 0.9), (1, float("nan")), (0, 1e300), (0, -5.0), (0, 0.2)],
+                               "y int, s double")
+    sw = {round(r["threshold"], 2): r for r in ev.threshold_sweep(df, "y", "s").collect()}
+    assert (sw[0.5]["tp"], sw[0.5]["fp"], sw[0.5]["fn"], sw[0.5]["tn"]) == (1, 1, 1, 2)
+    assert ev.roc_auc(df, "y", "s").first()["auc"] == 2 / 3
