@@ -22,18 +22,23 @@ def interaction_features(df: DataFrame, season_total: str, season_avg: str, seas
                          wet_days: str, pre_total: str, annual_total: str, score: str,
                          river: str, geo_code: str, elevation: str, low_elev_cut: float = 100.0
                          ) -> DataFrame:
-    """The nine ratio / product features of the training step."""
+    """The nine ratio / product features of the training step.
+
+    Ratios use ``try_divide``: a zero denominator gives null instead of an ANSI
+    error (values are identical otherwise).
+    """
     s, r, e = F.col(season_total), F.col(river), F.col(elevation)
+    div = F.try_divide
     return df.withColumns({
         "rain_x_river": s * (r + 1),
         "rain_x_geo_risk": s * F.col(geo_code),
         "intensity_x_river": F.col(score) * (r + 1),
-        "elev_inverse": F.lit(1.0) / (e + 1),
+        "elev_inverse": div(F.lit(1.0), e + 1),
         "low_elev_high_rain": gate(e < F.lit(low_elev_cut), s),
-        "season_intensity": s / (F.col(wet_days) + 1),
-        "rain_concentration": F.col(season_max) / (F.col(season_avg) + 0.1),
-        "saturation_index": F.col(pre_total) * s / (e + 1),
-        "pre_season_ratio": F.col(pre_total) / (F.col(annual_total) + 1),
+        "season_intensity": div(s, F.col(wet_days) + 1),
+        "rain_concentration": div(F.col(season_max), F.col(season_avg) + 0.1),
+        "saturation_index": div(F.col(pre_total) * s, e + 1),
+        "pre_season_ratio": div(F.col(pre_total), F.col(annual_total) + 1),
     })
 
 
