@@ -145,8 +145,9 @@ def composite_intensity(season_total: str | Column, annual_max: str | Column,
                         digits: int = 4) -> Column:
     """``round((ws*S + wm*M + wr*R) * (river+1) * geo / sqrt(elev+1), digits)``, half-even."""
     s, m, r, rv, g, e = map(col_of, (season_total, annual_max, rainy_days, river, geo_code, elevation))
-    raw = ((s * F.lit(w_season) + m * F.lit(w_max) + r * F.lit(w_rainy))
-           * (rv + F.lit(1)) * g / F.sqrt(e + F.lit(1)))
+    # try_divide: elevation -1 (sqrt 0) gives null, later filled, instead of an ANSI error
+    raw = F.try_divide((s * F.lit(w_season) + m * F.lit(w_max) + r * F.lit(w_rainy))
+                       * (rv + F.lit(1)) * g, F.sqrt(e + F.lit(1)))
     return F.bround(raw, digits)
 
 

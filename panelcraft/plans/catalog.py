@@ -674,7 +674,7 @@ def seasonal_weight(spark: SparkSession, sf: str) -> DataFrame:
                 .agg(F.sum("l_quantity").alias("_s"), F.count("l_quantity").alias("_c"))
                 .checkpoint(eager=True))
     base = yearly.select(F.sum("_s") / F.sum("_c")).scalar()
-    ym = yearly.select("year", ((F.col("_s") / F.col("_c")) / base).alias("mult"))
+    ym = yearly.select("year", F.try_divide(F.col("_s") / F.col("_c"), base).alias("mult"))
     out = pnl.seasonal_weight(li, F.month("l_shipdate"), F.year("l_shipdate"), MONTH_WEIGHTS, ym)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.round("weight", 9).alias("weight"))
 
