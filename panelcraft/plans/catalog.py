@@ -307,9 +307,10 @@ def _nation_metrics(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("o_totalprice") / F.lit(b.SCORE_SCALE)).alias("score"))
     cust = b.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nat = b.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    # the joined rows feed both the confusion counts and the AUC: joined once
     s = (o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
           .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
-          .select(F.col("n_name").alias("name"), "y", "score"))
+          .select(F.col("n_name").alias("name"), "y", "score")).checkpoint(eager=True)
     m = ev.binary_metrics(ev.confusion_at(s, "y", "score", 0.5, ["name"]))
     a = ev.roc_auc(s, "y", "score", ["name"])
     return m.join(a, "name")
@@ -384,8 +385,11 @@ def model_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
+    """The split panel, materialised once: folds, weights, bags and the scaler all
+    read it, some of them several times."""
     from panelcraft.operators.sampling import stratified_split as split
-    return split(model_matrix(spark, sf), "flag", ["entity", "year"], 0.2, b.SEED)
+    return split(model_matrix(spark, sf), "flag", ["entity", "year"], 0.2, b.SEED
+                 ).checkpoint(eager=True)
 
 
 def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
