@@ -110,3 +110,13 @@ def test_sweep_and_auc_tolerate_nan_and_extreme_scores(spark):
     sw = {round(r["threshold"], 2): r for r in ev.threshold_sweep(df, "y", "s").collect()}
     assert (sw[0.5]["tp"], sw[0.5]["fp"], sw[0.5]["fn"], sw[0.5]["tn"]) == (1, 1, 1, 2)
     assert ev.roc_auc(df, "y", "s").first()["auc"] == 2 / 3
+
+
+def test_profile_exact_and_approximate(spark):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    exact = agg.dataset_profile(li, ["l_orderkey"], ["l_quantity"]).first()
+    approx = agg.dataset_profile(li, ["l_orderkey"], ["l_quantity"], approx=True).first()
+    assert exact["n_distinct_l_orderkey"] == li.select("l_orderkey").distinct().count()
+    assert abs(approx["n_distinct_l_orderkey"] - exact["n_distinct_l_orderkey"]) \
+        <= 0.05 * exact["n_distinct_l_orderkey"]
+    assert approx["n_rows"] == exact["n_rows"] and approx["max_l_quantity"] == exact["max_l_quantity"]
