@@ -50,7 +50,7 @@ _LAZY: dict = {}
 def _memo(spark: SparkSession, key: tuple, build):
     """Reuse lazily defined DataFrames within one session (no data is cached;
     this only skips re-listing files and re-analysing the same plan)."""
-    k = (spark.conf.get("spark.app.id", None) or id(spark), *key)
+    k = (spark.conf.get("spark.app.id", None), id(spark), *key)
     if k not in _LAZY:
         _LAZY[k] = build()
     return _LAZY[k]

@@ -456,7 +456,7 @@ _TRAINING: dict = {}
 def _training(spark: SparkSession, sf: str) -> DataFrame:
     """Split + standardised model matrix, checkpointed once per session and data set."""
     from panelcraft.operators.sampling import standardize as std
-    key = (spark.conf.get("spark.app.id", None) or id(spark), sf)
+    key = (spark.conf.get("spark.app.id", None), id(spark), sf)
     if key not in _TRAINING:
         s = _split(spark, sf)
         scaled = std(s, FEATURES, fit=s.where(F.col("split") == "train"))
