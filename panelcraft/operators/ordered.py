@@ -115,7 +115,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     so no group is ever gathered into one buffer.
     """
     group_cols = list(group_cols)
-    base = df.where(F.col(col).isNotNull())
+    # missing values (null, NaN) are left out; Spark would sort NaN above every number
+    base = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
     numbered = ordered_row_number(base, [F.col(col), *_cols(tiebreak)], group_cols,
                                   name="_q_rn", count_name="_q_n")
     h = [(F.col("_q_n") - 1) * F.lit(float(p)) for p in probs]

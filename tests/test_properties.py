@@ -145,3 +145,10 @@ def test_ordered_row_number_null_group(spark):
     ref = df.withColumn("ref", F.row_number().over(w))
     j = got.join(ref, ["id"])
     assert j.count() == 1000 and j.where(F.col("rn") != F.col("ref")).count() == 0
+
+
+def test_exact_quantiles_skip_nan(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, float("nan")), (4, 3.0), (5, None)],
+                               "k int, v double")
+    q = od.exact_quantiles(df, "v", [0.5, 1.0], tiebreak=["k"]).first()
+    assert (q["q_0"], q["q_1"]) == (2.0, 3.0)
