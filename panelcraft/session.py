@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -40,27 +39,47 @@ def get_session(master: str | None = None, app: str = "panelcraft",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (a URI is kept as it is).
 
-    On a cluster this must be set by the deployment (a shared file system);
-    only when it is unset (local tests) a scratch folder is created.
+    Every checkpoint and every written table of the library goes through here.  A
+    session without that setting is an error, since executors on other machines would
+    each write to their own disk; only a ``local[...]`` master, where there is one
+    machine, gets a folder of its own.
     """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="panelcraft-ckpt-", dir="/tmp")
-        sc.setCheckpointDir(base)
-    elif not sc.getCheckpointDir():
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
+        base = tempfile.mkdtemp(prefix="panelcraft-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Eager reliable checkpoint in the shared folder: for a frame with several consumers."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared checkpoint root."""
-    base = checkpoint_root(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "panelcraft", name, uuid.uuid4().hex)
+    """A fresh folder under the shared root, removed when the application ends."""
+    path = "/".join([checkpoint_root(spark).rstrip("/"), "panelcraft", name, uuid.uuid4().hex])
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back (cuts the lineage,
+    and keeps column pruning, which a checkpoint does not)."""
+    path = work_dir(df.sparkSession, name) + "/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -79,11 +98,11 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def size_shuffle_partitions(spark: SparkSession, paths: list[str],
-                            target_bytes: int = 256 << 20, lo: int = 8, hi: int = 200_000) -> int:
+                            target_bytes: int = 256 << 20, lo: int = 8) -> int:
     """Set ``spark.sql.shuffle.partitions`` to about one partition per ``target_bytes``
-    of input (bounded by [lo, hi]).  AQE coalesces partitions that come out small,
+    of input (at least ``lo``).  AQE coalesces partitions that come out small,
     so erring high is cheap, while too few partitions would spill at 100 TB."""
-    n = max(lo, min(hi, -(-input_bytes(spark, paths) // target_bytes)))
+    n = max(lo, -(-input_bytes(spark, paths) // target_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes // 2))
     return n
