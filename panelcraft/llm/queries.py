@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcraft.llm import quality_llr
+from panelcraft.llm import quality_llr, winnowing
 from panelcraft.llm.common import documents, labels
 
 
@@ -16,8 +16,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.verdicts(docs, weights)
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_edited(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_winnowing": op3_winnowing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
