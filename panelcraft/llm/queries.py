@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcraft.llm import quality_llr, winnowing
+from panelcraft.llm import quality_llr, slack_packing, winnowing
 from panelcraft.llm.common import documents, labels
 
 
@@ -20,9 +21,14 @@ def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_edited(documents(spark, sf_dir))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return slack_packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_winnowing": op3_winnowing,
+    "op4_best_fit_packing": op4_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
 
 #: entries a generation of remembered chunks may have, and the longest chunk remembered
-GENERATION = 250_000
+GENERATION = 300_000
 LONGEST = 64
 
 
@@ -60,8 +61,7 @@ class ChunkEncoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_letters = {ord(c): as_bytes.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.chunks = _Chunks(self._learn)
         self.parts: dict[str, bytes] = {}
 
     def _part(self, part: str) -> bytes:
@@ -70,40 +70,44 @@ class ChunkEncoder:
             tokens = self.library.model.tokenize(part if part.isascii() else part.translate(self.byte_letters))
             ids = b"".join([t.id.to_bytes(2, "little") for t in tokens])
             if len(self.parts) > GENERATION:
-                self.parts = {}
+                self.parts.clear()
             if len(part) <= LONGEST:
                 self.parts[part] = ids
         return ids
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        found, rest = {}, []
-        for chunk in chunks:
-            if PLAIN.fullmatch(chunk) and not ("<" in chunk and any(t in chunk for t in self.special)):
-                found[chunk] = b"".join(map(self._part, PARTS.findall(chunk.lower())))
-            else:
-                rest.append(chunk)
-        for chunk, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            found[chunk] = np.array(e.ids, dtype="<u2").tobytes()
-        return found
-
-    def _remember(self, more: dict[str, bytes]) -> None:
-        self.young.update((c, v) for c, v in more.items() if len(c) <= LONGEST)
-        if len(self.young) > GENERATION:
-            self.old, self.young = self.young, {}
+    def _learn(self, chunk: str) -> bytes:
+        if PLAIN.fullmatch(chunk) and not ("<" in chunk and any(t in chunk for t in self.special)):
+            return b"".join(map(self._part, PARTS.findall(chunk.lower())))
+        return np.array(self.library.encode(chunk, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids of one whole text (null: none)."""
         if not text:
             return b""
-        chunks = text.replace("\n", " ").split(" ")
-        ids = list(map(self.young.get, chunks))
-        if None in ids:
-            new = {c for c, v in zip(chunks, ids, strict=True) if v is None}
-            more = {c: self.old[c] for c in new if c in self.old}
-            more |= self._learn([c for c in new if c not in more])
-            ids = [more[c] if v is None else v for c, v in zip(chunks, ids, strict=True)]
-            self._remember(more)
-        return b"".join(ids)
+        ids = b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+        self.chunks.age()
+        return ids
+
+
+class _Chunks(dict):
+    """Remembered chunks: the younger generation, that asks the older one and then ``learn``."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn, self.old = learn, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.learn(chunk)
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > GENERATION:
+            self.old = dict(self)
+            self.clear()
 
 
 @cache
