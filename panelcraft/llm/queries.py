@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcraft.llm import quality_llr, slack_packing, winnowing
+from panelcraft.llm import quality_llr, rans_store, slack_packing, winnowing
 from panelcraft.llm.common import documents, labels
 
 
@@ -25,10 +25,15 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slack_packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans_store.write_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), vocab=49_408)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_winnowing": op3_winnowing,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}
