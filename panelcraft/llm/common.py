@@ -31,3 +31,16 @@ def words(text: Column) -> Column:
 
 def code_points(text: Column) -> Column:
     return F.length(F.coalesce(text, F.lit(""))).cast("long")
+
+
+def keyed_join(big: DataFrame, small: DataFrame, key: str, total: int, heavy: int = 1024) -> DataFrame:
+    """Inner join on ``key`` where one key may hold a large part of ``big``.
+
+    ``small`` has one row for each key, and in ``n`` how many rows of ``big`` have it; ``total``
+    is the number of rows of ``big``.  Fewer than ``heavy`` keys can hold more than one in
+    ``heavy`` of the rows: these are joined by broadcast, the others by shuffle.
+    """
+    hot = F.broadcast(small.filter(F.col("n") * heavy > total).drop("n"))
+    cold = small.filter(F.col("n") * heavy <= total).drop("n")
+    rest = big.join(hot.select(key), key, "left_anti").join(cold, key)
+    return big.join(hot, key).unionByName(rest)

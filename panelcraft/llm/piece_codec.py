@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 #: entries a generation of remembered words may have, and the longest word remembered
-GENERATION = 200_000
+GENERATION = 300_000
 LONGEST = 48
 
 
@@ -66,8 +66,6 @@ class Vocabulary:
     def merge(self, text: str) -> tuple[int, ...]:
         """Ids of escaped text by the agenda of adjacent pairs."""
         pieces = self.pieces
-        if len(text) > 1 and text in pieces and len(text) == 2:
-            return (pieces[text][1],)
         symbols: list[str] = list(text)
         after = list(range(1, len(text) + 1))
         before = list(range(-1, len(text) - 1))
@@ -97,17 +95,49 @@ class Vocabulary:
         return tuple([i for s in symbols if s for i in self.symbol(s)])
 
 
+class _Words(dict):
+    """Remembered words: the younger generation, that asks the older one and then ``learn``."""
+
+    def __init__(self, learn: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.learn, self.old = learn, {}
+        self.new: dict[str, tuple[int, ...]] = {}       # learned, and not checked yet
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.new[word] = self.learn(word)
+        self[word] = ids
+        return ids
+
+    def age(self) -> None:
+        for w in [w for w in self.new if len(w) > LONGEST]:
+            del self[w]
+        self.new = {}
+        if len(self) > GENERATION:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Encodes whole texts, remembering the ids of words."""
 
     #: an escaped text in words: line ends, blanks with the word after them, and what is left
     WORDS = re.compile(f"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
+    #: marks of which each starts a word of its own where no piece joins them to what is before
+    MARKS = ",."
+    PAIRS = ",,", ",.", ".,", ".."
+    BEFORE_MARK = re.compile("(.)[,.]", re.DOTALL)
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.young: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.old: dict[str, tuple[tuple[int, ...], str]] = {}
+        joined = self.vocabulary.joined
+        self.plain = not any("\n" in x for x in joined)
+        self.no_mark_after = {c for c in map(chr, range(0x3000))
+                              if not any(c + m in joined for m in self.MARKS)} - {" ", "\n", BLANK}
+        self.known = _Words(lambda key: self.encode_word(self.escaped(key)))
         self.parts: dict[str, tuple[int, ...]] = {}
+        self.digits = [str(i) for i in range(self.vocabulary.library.get_piece_size())]
 
     def _part(self, part: str) -> tuple[int, ...]:
         ids = self.parts.get(part)
@@ -130,9 +160,13 @@ class Encoder:
 
     def words(self, text: str) -> list[str]:
         """Keys of a text's words: a word with a blank before it is written without that
-        blank, and text of a line's start with the line end; others are as escaped."""
-        if BLANK not in text:
-            cut = text.replace("\n", " \n").split(" ")
+        blank, text after a line end with the line end, other text after two of them."""
+        if BLANK not in text and text[0] not in self.MARKS and self.plain:
+            cut = text.replace("\n", " \n")
+            if (not any(p in text for p in self.PAIRS)
+                    and self.no_mark_after.issuperset(self.BEFORE_MARK.findall(text))):
+                cut = cut.replace(",", " \n\n,").replace(".", " \n\n.")
+            cut = cut.split(" ")
             if "" not in cut:
                 return cut
         found = self.WORDS.findall(BLANK + text.replace(" ", BLANK))
@@ -140,45 +174,41 @@ class Encoder:
                 w if w == "\n" or w[0] == BLANK else "\n\n" + w for w in found]
 
     def escaped(self, key: str) -> str:
-        if key.startswith("\n\n"):                   # the rest of a line, after its end
+        if key.startswith("\n\n"):
             return key[2:]
         return key if key[0] in ("\n", BLANK) else BLANK + key
 
-    def encode_batch(self, texts: list[str]) -> Iterator[tuple[list[int], str, int]]:
-        """For each text: ids with the end id, their decimal text, words corrected."""
+    def encode_batch(self, texts: list[str]) -> tuple[list[list[int]], list[int]]:
+        """For each text its ids with the end id, and the number of its words corrected."""
+        known, tail = self.known, [self.vocabulary.end]
         cuts = [self.words(t) if t else [] for t in texts]
-        new = {w for cut in cuts for w in cut if w not in self.young}
-        more = {w: self.old[w] for w in new if w in self.old}
-        learn = [w for w in new if w not in more]
-        wrong = set()
-        mine = [self.encode_word(self.escaped(w)) for w in learn]
-        for w, ids, theirs in zip(learn, mine, self._by_library(learn), strict=True):
-            if ids != theirs:
-                wrong.add(w)
-                ids = theirs
-            more[w] = ids, " ".join(map(str, ids))
-        self.young.update((w, v) for w, v in more.items() if len(w) <= LONGEST)
-        young, end = self.young, self.vocabulary.end
-        for cut in cuts:
-            found = [young.get(w) or more[w] for w in cut]
-            ids = [i for v in found for i in v[0]]
-            ids.append(end)
-            yield ids, " ".join([v[1] for v in found] + [str(end)]), sum(w in wrong for w in cut) if wrong else 0
-        if len(young) > GENERATION:
-            self.old, self.young = young, {}
-
-    def _by_library(self, keys: list[str]) -> Iterator[tuple[int, ...]]:
-        """The library's ids; it puts a blank before every text, which is cut off again."""
-        blank = self.vocabulary.symbol(BLANK)
-        whole = [e[1:] if (e := self.escaped(w))[0] == BLANK else e for w in keys]
-        for w, ids in zip(keys, self.vocabulary.library.encode(whole, num_threads=1), strict=True):
-            if self.escaped(w)[0] == BLANK:
-                yield tuple(ids) if len(self.escaped(w)) > 1 else blank
-            elif self.escaped(w)[0] == "\n":         # nothing joins a blank and a line end
-                yield tuple(ids[len(blank):])
-            else:
-                own = self.vocabulary.library.encode("\n" + self.escaped(w))
-                yield tuple(own[len(blank) + len(self.vocabulary.symbol("\n")):])
+        out = [[i for ids in map(known.__getitem__, cut) for i in ids] + tail for cut in cuts]
+        corrected = [0] * len(texts)
+        wrong = self.differing(known.new)
+        if wrong:
+            known.update(wrong)
+            out = [[i for ids in map(known.__getitem__, cut) for i in ids] + tail for cut in cuts]
+            corrected = [sum(w in wrong for w in cut) for cut in cuts]
+        known.age()
+        return out, corrected
+
+    def differing(self, new: dict[str, tuple[int, ...]]) -> dict[str, tuple[int, ...]]:
+        """The library's ids of those words for which it has others.  It puts a blank before
+        every text; where the word has none, a line end keeps that blank apart."""
+        sp, wrong = self.vocabulary.library, {}
+        usual = [w for w in new if w[0] not in ("\n", BLANK)]
+        for w, ids in zip(usual, sp.encode(usual, num_threads=1), strict=True):
+            if tuple(ids) != new[w]:
+                wrong[w] = tuple(ids)
+        lead = len(self.vocabulary.symbol(BLANK))
+        line = lead + len(self.vocabulary.symbol("\n"))
+        other = [w for w in new if w[0] in ("\n", BLANK)]
+        texts = [e if (e := self.escaped(w))[0] == "\n" else "\n" + e for w in other]
+        for w, text, ids in zip(other, texts, sp.encode(texts, num_threads=1), strict=True):
+            ids = tuple(ids[lead if text is self.escaped(w) or text == self.escaped(w) else line:])
+            if ids != new[w]:
+                wrong[w] = ids
+        return wrong
 
 
 @cache
@@ -212,7 +242,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
         e = encoder(model)
         for batch in batches:
             for first, texts in _groups(batch.column(1)):
-                ids = [x for x, _, _ in e.encode_batch(texts)]
+                ids, _ = e.encode_batch(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ids)), pa.array(ids, pa.list_(pa.int32()))],
                                                  names=["doc_id", "ids"])
 
@@ -223,11 +253,12 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
     """Ids of every document encoded, decoded again, and both as SHA-256."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(model)
-        decode = e.vocabulary.library.decode
+        decode, digits = e.vocabulary.library.decode, e.digits
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for batch in batches:
             for first, texts in _groups(batch.column(1)):
-                rows = [(len(ids), sha(digits), sha(decode(ids)), c) for ids, digits, c in e.encode_batch(texts)]
+                rows = [(len(ids), sha(" ".join([digits[i] for i in ids])), sha(decode(ids)), c)
+                        for ids, c in zip(*e.encode_batch(texts), strict=True)]
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(rows)), *map(pa.array, cols)],

@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcraft.llm import quality_llr, rans_store, slack_packing, winnowing
+from panelcraft.llm import piece_codec, quality_llr, rans_store, simhash_grid, slack_packing, winnowing
 from panelcraft.llm.common import documents, labels
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     weights = quality_llr.bucket_weights(docs, quality_llr.trusted_sample(labels(spark, sf_dir)))
@@ -25,14 +29,20 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slack_packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_grid.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_store.write_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), vocab=49_408)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
     "op3_winnowing": op3_winnowing,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_simhash": op5_simhash,
     "op9_token_files": op9_token_files,
 }
 
