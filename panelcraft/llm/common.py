@@ -44,3 +44,11 @@ def keyed_join(big: DataFrame, small: DataFrame, key: str, total: int, heavy: in
     cold = small.filter(F.col("n") * heavy <= total).drop("n")
     rest = big.join(hot.select(key), key, "left_anti").join(cold, key)
     return big.join(hot, key).unionByName(rest)
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
