@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcraft.llm import piece_codec, quality_llr, rans_store, simhash_grid, slack_packing, winnowing
+from panelcraft.llm import (line_dedup, piece_codec, quality_llr, rans_store, simhash_grid, slack_packing,
+                            toxicity_channel, winnowing)
 from panelcraft.llm.common import documents, labels
 
 
@@ -33,17 +34,28 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_grid.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity_channel.judgements(docs, toxicity_channel.train(docs, labels(spark, sf_dir)))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_store.write_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), vocab=49_408)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
     "op3_winnowing": op3_winnowing,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
+    "op6_toxicity": op6_toxicity,
     "op9_token_files": op9_token_files,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
