@@ -1,32 +1,65 @@
-"""Corpus pipeline: the stages, in order, from documents to packed sequences."""
+"""Corpus pipeline: from documents to packed sequences.
+
+Each stage takes all that the one before kept and applies one operator; its output is written
+as Parquet and read again by the next.  All stages but the last return the columns of
+``documents``.  Fitted parts (bucket weights, toxicity model) are fitted on the stage's own input.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcraft.llm import quality_llr
+from panelcraft.llm import line_dedup, quality_llr, simhash_grid, slack_packing, toxicity_channel
 from panelcraft.llm.common import documents, labels
 from panelcraft.session import written
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    weights = quality_llr.bucket_weights(docs, quality_llr.trusted_sample(labels(spark, sf_dir)))
-    return quality_llr.keep(docs, weights)
+    """Documents that the quality rules keep."""
+    trusted = quality_llr.trusted_sample(labels(spark, sf_dir))
+    return quality_llr.keep(docs, quality_llr.bucket_weights(docs, trusted))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the toxicity threshold."""
+    return toxicity_channel.keep(docs, toxicity_channel.train(docs, labels(spark, sf_dir)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near-duplicates."""
+    return simhash_grid.keep_one(docs)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier one has."""
+    return line_dedup.strip(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequence and offset."""
+    return slack_packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality", quality),
+    ("quality rules", quality),
+    ("toxicity", toxicity),
+    ("SimHash near-dedup", near_duplicates),
+    ("substring dedup", substrings),
+    ("best-fit packing", packing),
 ]
 
-#: hashed weights, fitted models and tokenizers are no SQL
+#: hashed weights, a fitted model and a tokenizer are not SQL: tests hold the rows against plain Python
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each one's output is written and read again."""
+    """All stages, applied to ``documents``."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcraft.llm import (line_dedup, piece_codec, quality_llr, rans_store, simhash_grid, slack_packing,
-                            toxicity_channel, winnowing)
+from panelcraft.llm import (host_trust, line_dedup, masked_lm, piece_codec, quality_llr, rans_store, simhash_grid,
+                            slack_packing, toxicity_channel, winnowing)
 from panelcraft.llm.common import documents, labels
 
 
@@ -39,6 +39,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_channel.judgements(docs, toxicity_channel.train(docs, labels(spark, sf_dir)))
 
 
+def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.train_and_score(documents(spark, sf_dir))
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_trust.verdicts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans_store.write_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), vocab=49_408)
 
@@ -54,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
+    "op7_masked_lm": op7_masked_lm,
+    "op8_url_filters": op8_url_filters,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -59,13 +59,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint's bits as a signed 64-bit integer."""
+    """(doc_id, t, fp): a hash of the text, the fingerprint's bits as a signed 64-bit integer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))],
+                                             names=["doc_id", "t", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.hash("text").alias("t")).mapInArrow(
+        run, "doc_id long, t int, fp long")
 
 
 def _segment_counts(fp: np.ndarray, segments: int) -> np.ndarray:
@@ -129,26 +131,39 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS,
     return pairs.unionAll(stars).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
-    marked = written(fingerprints(docs, shingle), "simhash")       # points, and the result
-    points = marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(doc_id, t, fp, grp, component_id): ``grp`` is a fingerprint that all of a component share."""
+    marked = written(fingerprints(docs, shingle), "simhash")       # points, counts and the result
+    points = marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     edges = links(points.select("fp"), max_bits)
     label = components(edges, "a", "b")                            # (node, label): linked ones alone
     named = points.join(label, points["fp"] == label["node"])
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    linked = named.select("fp", "label").join(least, "label").select("fp", "component_id")
+    linked = named.select("fp", "label").join(least, "label")
     by_fp = (points.join(linked, "fp", "left")
-             .select("fp", F.coalesce("component_id", "doc_id").alias("component_id")))
+             .select("fp", "n", F.coalesce("label", "fp").alias("grp"),
+                     F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
     # many documents of one text share a fingerprint
-    named = by_fp.join(marked.groupBy("fp").agg(F.count("*").alias("n")), "fp")
-    return keyed_join(marked, named, "fp", marked.count()).select(
+    return keyed_join(marked, by_fp, "fp", marked.count())
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document."""
+    return _grouped(docs, shingle, max_bits).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents without those whose component has a smaller id; of several rows with
-    the smallest id all stay only if they are linked to no other id."""
-    found = near_duplicates(docs, shingle, max_bits)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(gone.select(F.col("doc_id").alias("_gone")), docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each group of near-duplicates: that of the smallest (id, hash of the text)."""
+    place = F.struct("doc_id", "t")
+    found = written(_grouped(docs, shingle, max_bits).select(place.alias("_place"), "grp"), "simhash-groups")
+    groups = found.groupBy("grp").agg(F.min("_place").alias("_first"), F.count("*").alias("n")).filter("n > 1")
+    member = keyed_join(found, groups, "grp", found.count())
+    # of the documents in groups: the one that stays, if it is there more than once, and all others
+    flag = (member.groupBy("_place").agg(F.max(F.col("_place").eqNullSafe(F.col("_first"))).alias("_stays"), F.count("*").alias("_n"))
+            .filter("not _stays or _n > 1"))
+    key = F.struct(docs["doc_id"].cast("long").alias("doc_id"), F.hash(docs["text"]).alias("t"))
+    met = docs.join(flag, key.eqNullSafe(flag["_place"]), "left")
+    own = [docs[c] for c in docs.columns]
+    once = met.filter(flag["_stays"]).dropDuplicates(["_place"])
+    return met.filter(flag["_place"].isNull()).select(*own).unionByName(once.select(*own))

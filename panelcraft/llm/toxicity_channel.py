@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcraft.llm.common import unused
 from panelcraft.session import written
 
 #: fixed values: letters that a sign may stand for
@@ -301,17 +302,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1)."""
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with one more column: the score (0 to 1)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             scores = [m.score(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def judgements(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -319,3 +320,9 @@ def judgements(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     s = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
     return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score below the threshold, with their own columns."""
+    s = unused(docs.columns, "_toxicity")
+    return score(docs, model, s).filter(F.col(s) < threshold).drop(s)
