@@ -113,38 +113,40 @@ def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def judge(docs: DataFrame, weights: np.ndarray, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` with the counts, the score and the verdict of every document."""
-    n_buckets = len(weights)
-    table = F.lit(weights)
+def judged(text: Column, weights: np.ndarray, threshold: int = THRESHOLD) -> Column:
+    """struct of the counts, the base rules, the score and the verdict of a text."""
+    n_buckets, table = len(weights), F.lit(weights)
 
     def ratio(wh: Column) -> Column:
         return F.aggregate(ngram_hashes(wh), F.lit(0).cast("long"),
                            lambda a, h: a + F.get(table, F.pmod(h, F.lit(n_buckets)).cast("int")))
 
-    q = let(words(F.col("text")), lambda w: let(_word_hashes(w), lambda wh: F.struct(
+    counted = let(words(text), lambda w: let(_word_hashes(w), lambda wh: F.struct(
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         _repeat_words(wh).alias("n_repeat_words"),
         ratio(wh).alias("llr"))))
-    d = docs.withColumn("_q", q)
-    n = F.col("_q.n_words")
-    grams = F.greatest(2 * n - 1, F.lit(1))
-    return (d.withColumn("_base", (n < 20) | (100 * F.col("_q.n_repeat_words") > 30 * n))
-            .withColumn("_score", F.floor(F.col("_q.llr") / grams).cast("long"))
-            .withColumn("_kept", ~F.col("_base") & (F.col("_score") >= threshold)))
+
+    def verdict(q: Column) -> Column:
+        n = q["n_words"]
+        base = (n < 20) | (100 * q["n_repeat_words"] > 30 * n)
+        score = F.floor(q["llr"] / F.greatest(2 * n - 1, F.lit(1))).cast("long")
+        return F.struct(n.alias("n_words"), q["word_chars"].alias("word_chars"), q["n_repeat_words"].alias("n_repeat_words"),
+                        base.alias("base_failed"), score.alias("score"), (~base & (score >= threshold)).alias("kept"))
+
+    return let(counted, verdict)
 
 
 def verdicts(docs: DataFrame, weights: np.ndarray, threshold: int = THRESHOLD) -> DataFrame:
     """One row per document: counts, base rules, score (millionths of a nat), verdict."""
-    return judge(docs.select("doc_id", "text"), weights, threshold).select(
-        "doc_id", "_q.n_words", "_q.word_chars",
+    q = docs.select("doc_id", "text", judged(F.col("text"), weights, threshold).alias("q"))
+    return q.select(
+        "doc_id", "q.n_words", "q.word_chars",
         F.length(F.regexp_replace(F.coalesce("text", F.lit("")), SYMBOLS, "")).cast("long").alias("n_symbols"),
-        _dup_lines(F.col("text")).alias("n_dup_lines"), "_q.n_repeat_words",
-        F.col("_base").alias("base_failed"), F.col("_score").alias("score_micronats"),
-        F.col("_kept").alias("kept"))
+        _dup_lines(F.col("text")).alias("n_dup_lines"), "q.n_repeat_words",
+        "q.base_failed", F.col("q.score").alias("score_micronats"), "q.kept")
 
 
 def keep(docs: DataFrame, weights: np.ndarray, threshold: int = THRESHOLD) -> DataFrame:
     """The kept documents with their own columns."""
-    return judge(docs, weights, threshold).filter("_kept").select(*[docs[c] for c in docs.columns])
+    return docs.filter(judged(docs["text"], weights, threshold)["kept"])
