@@ -38,7 +38,7 @@ from pyspark.sql import Window
 from panelcraft.llm.word_ids import encoder
 from panelcraft.session import shuffle_partitions, work_dir, written
 
-SCALE, LANES, SPAN, BLOCK = 20, 512, 128, 1 << 17
+SCALE, LANES, SPAN, BLOCK = 20, 1024, 128, 1 << 18
 LOW = np.uint64(1 << 31)                     # states are from LOW to LOW << 32
 HEADER = struct.Struct("<4sBBIIQIIII")
 MAGIC, VERSION = b"rANS", 1
@@ -79,7 +79,8 @@ class Coder:
     def encode(self, ids: np.ndarray, lanes: int = LANES, span: int = SPAN) -> bytes:
         rounds = -(-len(ids) // lanes)
         x = np.full(lanes, LOW, dtype=np.uint64)
-        freq, first = self.freq[ids], self.first[ids]
+        index = ids.astype(np.intp)
+        freq, first = self.freq[index], self.first[index]
         if len(ids) and not freq.all():
             raise ValueError("an id without a frequency")
         limit = freq << np.uint64(63 - int(self.scale))
@@ -172,10 +173,8 @@ def frequencies(tokens: DataFrame, vocab: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocab, dtype=np.int64)
         for batch in batches:
-            for ids in _raw(batch.column(0)):
-                total += np.bincount(ids, minlength=vocab) if len(ids) > vocab // 8 else 0
-                if len(ids) <= vocab // 8:
-                    np.add.at(total, ids, 1)
+            if len(batch):
+                total += np.bincount(np.concatenate(list(_raw(batch.column(0)))), minlength=vocab)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 

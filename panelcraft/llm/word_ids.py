@@ -38,17 +38,20 @@ def check_chunked(path: str) -> None:
         raise ValueError(f"{path}: its tokens may depend on what stands beyond a blank")
 
 
-#: chunks that need no normaliser: printable ASCII and Latin-1 letters, composed already
-PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: chunks that need no normaliser but lower case: printable ASCII and Latin-1 letters
+PLAIN = re.compile("[!-~ªµºÀ-ÖØ-öø-ÿ]+")
 #: the file's own pattern over lower-cased plain chunks
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9]|[^a-zªµºß-öø-ÿ0-9]+")
+#: what a comma or a full stop may follow if it is to start a chunk of its own
+_AFTER = {"", *(chr(c) for c in range(256) if chr(c).isalpha() or chr(c) in "0123456789 \n")}
 
 
 class ChunkEncoder:
     """Ids of texts, as the bytes of little-endian unsigned 16-bit integers.
 
-    New plain chunks are lower-cased and cut here, and each part goes through the
-    library's merge model alone; all others go through the whole library.
+    Texts of Latin-1 characters are lower-cased at once.  New plain chunks are cut here,
+    and each part goes through the library's merge model alone; all others go
+    through the whole library.
     """
 
     def __init__(self, path: str):
@@ -60,15 +63,20 @@ class ChunkEncoder:
             raise ValueError("ids must fit into 16 bits")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.byte_letters = {ord(c): as_bytes.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
+        self.byte_letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100) if chr(c).isalpha()}
+        self.two = [i.to_bytes(2, "little") for i in range(self.library.get_vocab_size(with_added_tokens=True))]
         self.chunks = _Chunks(self._learn)
         self.parts: dict[str, bytes] = {}
 
+    def _merged(self, part: str) -> bytes:
+        two = self.two
+        tokens = self.library.model.tokenize(part if part.isascii() else part.translate(self.byte_letters))
+        return b"".join([two[t.id] for t in tokens])
+
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            tokens = self.library.model.tokenize(part if part.isascii() else part.translate(self.byte_letters))
-            ids = b"".join([t.id.to_bytes(2, "little") for t in tokens])
+            ids = self._merged(part)
             if len(self.parts) > GENERATION:
                 self.parts.clear()
             if len(part) <= LONGEST:
@@ -77,14 +85,28 @@ class ChunkEncoder:
 
     def _learn(self, chunk: str) -> bytes:
         if PLAIN.fullmatch(chunk) and not ("<" in chunk and any(t in chunk for t in self.special)):
-            return b"".join(map(self._part, PARTS.findall(chunk.lower())))
+            low = chunk.lower()
+            return self._merged(low) if low.isalpha() else b"".join(map(self._part, PARTS.findall(low)))
         return np.array(self.library.encode(chunk, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
+    def _cut(self, text: str) -> list[str]:
+        """Chunks of a text: between blanks, and in plain texts from each single mark."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.replace("\n", " ").split(" ")
+        if not any(t in text for t in self.special):
+            text = text.lower()
+            ends = {x[-1:] for x in text.replace(",", ".").split(".")[:-1]}
+            if _AFTER.issuperset(ends) and not any(p in text for p in (",,", ",.", ".,", "..")):
+                text = text.replace(",", " ,").replace(".", " .")
+        return text.replace("\n", " ").split(" ")
+
     def encode(self, text: str | None) -> bytes:
         """Ids of one whole text (null: none)."""
         if not text:
             return b""
-        ids = b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+        ids = b"".join(map(self.chunks.__getitem__, self._cut(text)))
         self.chunks.age()
         return ids
 
