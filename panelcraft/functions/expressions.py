@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of", "rule_cascade", "geo_rule", "bucketize", "dictionary_encode",
     "sentinel_clamp", "nan_to_null", "parse_yyyymmdd", "date_key", "days_in_month",
-    "hash_uniform", "hash_key", "safe_div", "gate", "composite_intensity",
-    "round_half_even",
+    "hash_uniform", "hash_key", "gate", "composite_intensity",
 ]
 
 
@@ -128,11 +127,6 @@ def hash_uniform(*parts: str | Column) -> Column:
     return F.conv(h, 16, 10).cast("long") / F.lit(4294967296.0)
 
 
-def safe_div(num: str | Column, den: str | Column, default: float | None = 0.0) -> Column:
-    q = F.try_divide(col_of(num), col_of(den))
-    return q if default is None else F.coalesce(q, F.lit(default))
-
-
 def gate(cond: Column, value: str | Column) -> Column:
     """``int(cond) * value``."""
     return cond.cast("int") * col_of(value)
@@ -149,8 +143,3 @@ def composite_intensity(season_total: str | Column, annual_max: str | Column,
     raw = F.try_divide((s * F.lit(w_season) + m * F.lit(w_max) + r * F.lit(w_rainy))
                        * (rv + F.lit(1)) * g, F.sqrt(e + F.lit(1)))
     return F.bround(raw, digits)
-
-
-def round_half_even(c: str | Column, digits: int) -> Column:
-    """NumPy-style rounding (``bround``); DuckDB's counterpart is ``round_even``."""
-    return F.bround(col_of(c), digits)

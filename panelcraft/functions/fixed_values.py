@@ -63,5 +63,3 @@ SMOTE_K = 5
 # --- fixed values: seasonal weight lookups of the sample-series generator ---
 MONTH_WEIGHTS = {1: 0.5, 2: 0.4, 3: 0.6, 4: 0.5, 5: 0.4, 6: 1.2,
                  7: 4.0, 8: 4.5, 9: 2.5, 10: 0.8, 11: 0.3, 12: 0.4}
-YEAR_MULTIPLIERS = {2010: 2.2, 2011: 1.8, 2012: 1.3, 2013: 0.8, 2014: 1.4, 2015: 1.1, 2016: 1.0,
-                    2017: 1.2, 2018: 0.9, 2019: 1.1, 2020: 1.5, 2021: 1.0, 2022: 2.5}

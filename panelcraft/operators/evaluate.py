@@ -20,13 +20,24 @@ def _div0(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
+def with_score(df: DataFrame, score: str) -> DataFrame:
+    """Rows that have a score.  The one rule of this module: rows whose score is null or NaN are
+    left out of every measure; ``unscored`` counts them."""
+    return df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)))
+
+
+def unscored(df: DataFrame, score: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Number of rows (per group) that the measures leave out."""
+    return df.groupBy(*group_cols).agg(F.count_if(F.col(score).isNull() | F.isnan(F.col(score))).alias("n_unscored"))
+
+
 def confusion_at(df: DataFrame, label: str, score: str, threshold: float | Column,
                  group_cols: Sequence[str] = ()) -> DataFrame:
     """TP, FP, FN, TN of ``score >= threshold`` per group (one pass)."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     pred = F.col(score) >= t
     y = F.col(label) == 1
-    return df.groupBy(*group_cols).agg(
+    return with_score(df, score).groupBy(*group_cols).agg(
         F.count_if(pred & y).alias("tp"), F.count_if(pred & ~y).alias("fp"),
         F.count_if(~pred & y).alias("fn"), F.count_if(~pred & ~y).alias("tn"))
 
@@ -48,7 +59,7 @@ def binary_metrics(conf: DataFrame) -> DataFrame:
 def _score_counts(df: DataFrame, label: str, score: str, group_cols: Sequence[str]) -> DataFrame:
     """Pre-aggregate to one row per distinct (group, score): positives and negatives."""
     y = F.col(label) == 1
-    return (df.where(F.col(score).isNotNull() & ~F.isnan(score))      # unscored rows are skipped
+    return (with_score(df, score)
               .groupBy(*group_cols, score)
               .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
@@ -70,8 +81,10 @@ def roc_auc(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (
                      F.try_divide(F.col("_u"), F.col("_p").cast("double") * F.col("_n")).alias("auc")))
 
 
-def roc_curve(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """One ROC point per distinct score (predict positive when ``score >= s``)."""
+def roc_curve(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (),
+              origin: bool = False) -> DataFrame:
+    """One ROC point per distinct score (predict positive when ``score >= s``); with ``origin``
+    also the point (0, 0) of each curve, at an infinite threshold."""
     c = _score_counts(df, label, score, group_cols)
     c = ordered_running_sum(c, [F.col(score).desc()], ["pos", "neg"], group_cols)
     tot = c.groupBy(*group_cols).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
@@ -81,6 +94,12 @@ def roc_curve(df: DataFrame, label: str, score: str, group_cols: Sequence[str] =
         t = tot.select(F.struct("_P", "_N")).scalar()
         c = c.withColumn("_t", t).select("*", F.col("_t._P").alias("_P"),
                                          F.col("_t._N").alias("_N")).drop("_t")
+    if origin:
+        inf = F.lit(float("inf")).alias(score)
+        zero = F.lit(0).cast("long")
+        start = c.select(*group_cols, "_P", "_N").distinct().select(
+            *group_cols, "_P", "_N", inf, zero.alias("pos_cum"), zero.alias("neg_cum"))
+        c = c.select(*start.columns).unionByName(start)
     return c.select(*group_cols, F.col(score).alias("threshold"),
                     F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"),
                     F.try_divide(F.col("neg_cum").cast("double"), F.col("_N")).alias("fpr"),
@@ -97,16 +116,15 @@ def threshold_sweep(df: DataFrame, label: str, score: str, lo: int = 10, hi: int
     most ``hi - lo + 1`` rows per group.
     """
     s = F.col(score)
-    # clamp before the int cast (ANSI casts raise on overflow); NaN never reaches a cut
+    # clamp before the int cast (ANSI casts raise on overflow)
     sc = F.least(F.greatest(s, F.lit((lo - 2) / scale)), F.lit((hi + 1) / scale))
     b0 = F.floor(sc * scale).cast("int")
     # repair floating error of floor(s * scale) against the exact comparison s >= i/scale
     b1 = (F.when(s < b0.cast("double") / scale, b0 - 1)
            .when(s >= (b0 + 1).cast("double") / scale, b0 + 1).otherwise(b0))
-    bin_ = F.when(F.isnan(s), F.lit(lo - 1)).otherwise(
-        F.least(F.greatest(b1, F.lit(lo - 1)), F.lit(hi - 1)))
+    bin_ = F.least(F.greatest(b1, F.lit(lo - 1)), F.lit(hi - 1))
     y = F.col(label) == 1
-    bins = (df.where(s.isNotNull())
+    bins = (with_score(df, score)
               .groupBy(*group_cols, bin_.alias("i"))
               .agg(F.count_if(y).alias("_pos"), F.count_if(~y).alias("_neg")))
     grid = df.sparkSession.range(lo, hi).select(F.col("id").cast("int").alias("i"))
@@ -161,6 +179,12 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def top_roc_curves(df: DataFrame, label: str, score: str, name: str, k: int = 8) -> DataFrame:
+    """ROC curves, with their origins, of the ``k`` names of the largest AUC (ties by name)."""
+    best = top_k(roc_auc(df, label, score, [name]), [F.col("auc").desc(), F.col(name)], k)
+    return roc_curve(df, label, score, [name], origin=True).join(F.broadcast(best), name)   # k rows
+
+
 def soft_vote(scores: DataFrame, row_id: str, score: str, name: str = "score") -> DataFrame:
     """Mean of several models' probabilities per row (long input: row_id, model, score)."""
     return scores.groupBy(row_id).agg(F.avg(score).alias(name))

@@ -14,12 +14,13 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcraft.operators import evaluate as ev
+from panelcraft.session import work_dir, written
 
 SEED = 42
 
@@ -51,7 +52,7 @@ def estimator(kind: str, n_features: int, label: str = "label", weight: str | No
         hidden = p.get("hidden", (128, 64, 32))
         common.pop("weightCol", None)
         return MultilayerPerceptronClassifier(layers=[n_features, *hidden, 2],
-                                              maxIter=p.get("maxIter", 200), **common)
+                                              maxIter=p.get("maxIter", 1000), **common)
     raise ValueError(f"unknown estimator kind {kind!r}")
 
 
@@ -68,15 +69,15 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame
     return score_column(model.transform(df)).select(*keep, "score")
 
 
-def evaluate(name: str, scored: DataFrame, label: str, tune: DataFrame | None = None,
+def evaluate(name: str, scored: DataFrame, label: str, tune: DataFrame | None,
              lo: int = 10, hi: int = 90, default: float = 0.5) -> DataFrame:
-    """One metrics row at the F1-best threshold of ``tune`` (default: the scored rows
-    themselves, as the reference does): lowest threshold on ties, ``default`` when
-    no threshold has F1 > 0.  The sweep already holds the confusion counts at every
-    grid threshold, so the chosen row is picked from it with an equi-join on the
-    threshold (<= hi - lo rows per side) and the AUC is added as a scalar."""
-    # the scores feed both the sweep and the AUC: score once, read twice
-    scored = scored.select(label, "score").checkpoint(eager=True)
+    """One metrics row of ``scored`` at the F1-best threshold of ``tune``: scores of validation rows
+    (``None``: the scored rows themselves, as the reference does, which is optimistic).  The
+    lowest threshold wins ties, ``default`` holds when none has F1 > 0.  The sweep
+    already has the confusion counts at every grid threshold, so the chosen row is
+    picked from it with an equi-join on the threshold (<= hi - lo rows per side)."""
+    # the scores feed both the sweep and the AUC: scored once, read twice
+    scored = written(scored.select(label, "score"), "scores")
     sweep = ev.threshold_sweep(scored, label, "score", lo, hi)
     tsweep = sweep if tune is None else ev.threshold_sweep(tune, label, "score", lo, hi)
     w = F.max(F.col("f1")).over(Window.partitionBy())
@@ -100,22 +101,24 @@ def run_parallel(tasks: Sequence[Callable[[], object]], parallelism: int = 4) ->
         return list(pool.map(lambda t: t(), tasks))
 
 
-def cv_f1(train: DataFrame, features: Sequence[str], make_est, label: str, fold_col: str = "fold",
-          k: int = 5, weight_fn=None, parallelism: int = 4) -> DataFrame:
-    """Mean F1 at the 0.5 cut over ``k`` folds (fit on k-1 folds, score the held-out one)."""
-    def fold(f: int) -> DataFrame:
-        tr = train.where(F.col(fold_col) != f)
-        if weight_fn is not None:
-            tr = weight_fn(tr)
-        model = fit(tr, features, make_est())
-        s = score(model, train.where(F.col(fold_col) == f), [label])
-        return ev.binary_metrics(ev.confusion_at(s, label, "score", 0.5)).select("f1")
+def fold_scores(train: DataFrame, fit_one: Callable[[DataFrame], list[PipelineModel]], keep: Sequence[str],
+                row_id: str, folds: Sequence[int], fold_col: str = "fold", parallelism: int = 5) -> DataFrame:
+    """(keep..., score, fold) of every row of ``folds``, by models that were fitted on the others."""
+    def one(f: int) -> DataFrame:
+        models = fit_one(train.where(F.col(fold_col) != f))
+        return score_vote(models, train.where(F.col(fold_col) == f), keep, row_id).withColumn(fold_col, F.lit(f))
 
-    parts = run_parallel([lambda f=f: fold(f) for f in range(k)], parallelism)
+    parts = run_parallel([lambda f=f: one(f) for f in folds], parallelism)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.agg(F.avg("f1").alias("cv_f1"))
+    return out
+
+
+def cv_f1(scores: DataFrame, label: str, fold_col: str = "fold") -> DataFrame:
+    """Mean over the folds of F1 at the 0.5 cut, from ``fold_scores``."""
+    per = ev.binary_metrics(ev.confusion_at(scores, label, "score", 0.5, [fold_col]))
+    return per.agg(F.avg("f1").alias("cv_f1"))
 
 
 def feature_importance(model: PipelineModel | Sequence[PipelineModel], features: Sequence[str],
@@ -143,28 +146,53 @@ def feature_importance(model: PipelineModel | Sequence[PipelineModel], features:
 
 
 def bagged_forest(bags: DataFrame, features: Sequence[str], label: str, n_bags: int,
-                  trees_per_bag: int, max_depth: int = 12, min_leaf: int = 2,
-                  parallelism: int = 4) -> list[PipelineModel]:
-    """One random forest per balanced bag (fitted concurrently); scores are
-    averaged by ``score_vote``."""
+                  max_depth: int = 12, min_leaf: int = 2, parallelism: int = 8) -> list[PipelineModel]:
+    """One tree for each balanced bag (fitted concurrently); scores are averaged by
+    ``score_vote``.  The bags are written by bag, so that a fit reads its own rows only."""
+    spark, path = bags.sparkSession, work_dir(bags.sparkSession, "bags") + "/t"
+    bags.repartition("bag").write.partitionBy("bag").parquet(path)
+
     def one(b: int) -> PipelineModel:
-        est = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees_per_bag,
-                                     maxDepth=max_depth, minInstancesPerNode=min_leaf,
+        est = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=1, subsamplingRate=1.0,
+                                     bootstrap=False, maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                      featureSubsetStrategy="sqrt", seed=SEED + b)
-        return fit(bags.where(F.col("bag") == b), features, est)
+        rows = spark.read.parquet(f"{path}/bag={b}")
+        return fit(rows, features, est)
     return run_parallel([lambda b=b: one(b) for b in range(n_bags)], parallelism)
 
 
+#: members whose probabilities are added up in one pass over the rows
+MEMBERS_AT_ONCE = 50
+
+
 def score_vote(models: Sequence[PipelineModel], df: DataFrame, keep: Sequence[str], row_id: str
                ) -> DataFrame:
-    """Average the class-1 probability of several models per row (soft voting)."""
-    parts = [score(m, df, keep).withColumn("_member", F.lit(i)) for i, m in enumerate(models)]
+    """Average the class-1 probability of several models per row (soft voting).
+
+    All members see the same assembled vector; each pass over the rows adds up to
+    ``MEMBERS_AT_ONCE`` of them."""
+    if len(models) == 1:
+        return score(models[0], df, keep)
+    vectors = models[0].stages[0].transform(df).select(*keep, "features")
+    parts = []
+    for a in range(0, len(models), MEMBERS_AT_ONCE):
+        part, total = vectors, F.lit(0.0)
+        for i, m in enumerate(models[a:a + MEMBERS_AT_ONCE]):
+            member = m.stages[-1].copy()
+            member.setPredictionCol("")
+            member.setRawPredictionCol("")
+            member.setProbabilityCol(f"_p{i}")
+            part = member.transform(part)
+            total = total + vector_to_array(F.col(f"_p{i}"))[1]
+        parts.append(part.select(*keep, total.alias("_s")))
+    if len(parts) == 1:
+        return parts[0].select(*keep, (F.col("_s") / len(models)).alias("score"))
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
     others = [k for k in keep if k != row_id]
-    return long.groupBy(row_id).agg(*[F.first(k).alias(k) for k in others],
-                                     F.avg("score").alias("score"))
+    return (long.groupBy(row_id).agg(*[F.first(k).alias(k) for k in others], F.sum("_s").alias("_s"))
+            .select(*keep, (F.col("_s") / len(models)).alias("score")))
 
 
 def vectors_to_columns(df: DataFrame, vec_col: str, features: Sequence[str]) -> DataFrame:
@@ -172,16 +200,28 @@ def vectors_to_columns(df: DataFrame, vec_col: str, features: Sequence[str]) ->
     return df.select("*", *[F.col(vec_col)[i].alias(c) for i, c in enumerate(features)]).drop(vec_col)
 
 
-def save_model(model: PipelineModel, meta: DataFrame, path: str) -> None:
-    """Fitted pipeline plus a one-row metadata table (name, threshold, metrics)."""
-    model.write().overwrite().save(f"{path}/model")
-    meta.write.mode("overwrite").parquet(f"{path}/meta")
+def scaler_model(stats: dict[str, tuple[float, float]]) -> PipelineModel:
+    """The fitted standardizer as a stage that can be saved: raw columns to standardised ones."""
+    names = ", ".join(f"`{c}`" for c in stats)
+    scaled = ", ".join(f"(`{c}` - ({m!r})) / ({(s if s and s == s else 1.0)!r}) AS `{c}`" for c, (m, s) in stats.items())
+    return PipelineModel(stages=[SQLTransformer(statement=f"SELECT * EXCEPT ({names}), {scaled} FROM __THIS__")])
+
+
+def save_model(models: Sequence[PipelineModel], scaler: PipelineModel, meta: DataFrame, path: str) -> None:
+    """All members of a fitted model, its scaler, and a one-row metadata table."""
+    scaler.write().overwrite().save(f"{path}/scaler")
+    for i, m in enumerate(models):
+        m.write().overwrite().save(f"{path}/member-{i:04d}")
+    meta.withColumn("n_members", F.lit(len(models))).write.mode("overwrite").parquet(f"{path}/meta")
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
-    return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/meta")
+def load_model(spark: SparkSession, path: str) -> tuple[list[PipelineModel], PipelineModel, DataFrame]:
+    meta = spark.read.parquet(f"{path}/meta")
+    n = meta.first()["n_members"]
+    return ([PipelineModel.load(f"{path}/member-{i:04d}") for i in range(n)],
+            PipelineModel.load(f"{path}/scaler"), meta)
 
 
-__all__ = ["assembler", "estimator", "fit", "score", "evaluate", "cv_f1", "feature_importance",
-           "bagged_forest", "score_vote", "vectors_to_columns", "save_model", "load_model",
+__all__ = ["assembler", "estimator", "fit", "score", "evaluate", "cv_f1", "fold_scores", "feature_importance",
+           "bagged_forest", "score_vote", "vectors_to_columns", "scaler_model", "save_model", "load_model",
            "array_to_vector"]

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcraft.session import checkpoint_root, shuffle_partitions
+from panelcraft.session import checkpointed, shuffle_partitions
 
 _PID, _POS = "_oq_pid", "_oq_pos"
 
@@ -35,13 +35,11 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 
 def _ranged(df: DataFrame, keys: list[Column], num_partitions: int | None) -> DataFrame:
     n = num_partitions or shuffle_partitions(df.sparkSession)
-    checkpoint_root(df.sparkSession)
-    return (df.repartitionByRange(n, *keys)
+    return checkpointed(df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()
-                          - F.shiftleft(F.col(_PID).cast("long"), 33))
-              .checkpoint(eager=True))
+                          - F.shiftleft(F.col(_PID).cast("long"), 33)))
 
 
 def _null_safe_join(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:

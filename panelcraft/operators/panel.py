@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.functions.expressions import col_of, days_in_month, dictionary_encode
+from panelcraft.sources.tables import lookup_map
 
 
 def panel_scaffold(entities: DataFrame, key: str, start: int | Column | None = None,
@@ -87,14 +88,16 @@ def seasonal_weight(df: DataFrame, month: str | Column, year: str | Column,
     """``weight = month_weights[month] * year_mult[year]``; unknown keys give null.
 
     Either lookup is a literal map (inlined into the projection) or a keyed
-    DataFrame ``(key, value)`` of bounded size (months, periods) that is joined.
+    DataFrame ``(key, value)`` of bounded size (months, periods), read as a scalar map: the
+    rows are never dealt out by month or year.
     """
     out = df.withColumn("_m", col_of(month)).withColumn("_y", col_of(year))
     parts = []
     for src, key, tag in ((month_weights, "_m", "_mw"), (year_mult, "_y", "_ym")):
         if isinstance(src, DataFrame):
             k, v = src.columns[:2]
-            out = out.join(src.select(F.col(k).alias(key), F.col(v).alias(tag)), key, "left")
+            out = (out.withColumn("_lm", lookup_map(src, k, v))
+                   .withColumn(tag, F.try_element_at("_lm", F.col(key))).drop("_lm"))
         else:
             m = F.create_map(*[x for kv in src.items() for x in (F.lit(kv[0]), F.lit(float(kv[1])))])
             out = out.withColumn(tag, F.try_element_at(m, F.col(key)))

@@ -18,29 +18,35 @@ from pyspark.sql import functions as F
 
 from panelcraft.functions.expressions import hash_key, hash_uniform
 from panelcraft.operators.ordered import ordered_row_number
-from panelcraft.session import shuffle_partitions
+from panelcraft.session import shuffle_partitions, written
+from panelcraft.sources.tables import lookup_map
 
 
 def _hash_order(keys: Sequence[str], seed: int | str, *salt: Column) -> list[Column]:
     return [F.md5(hash_key(*keys, F.lit(str(seed)), *salt)), *[F.col(k) for k in keys]]
 
 
+def _joined_back(df: DataFrame, chosen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Only keys, class and order are numbered; the rows' other columns meet the result here."""
+    return df.join(chosen, list(keys))
+
+
 def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_fraction: float = 0.2,
                      seed: int = 42, name: str = "split") -> DataFrame:
     """``name`` = 'test' for the first ``ceil(f * n_c)`` rows of each class in hash
     order, else 'train'.  Each class's test share is exact to one row."""
-    r = ordered_row_number(df, _hash_order(keys, seed), [label], "_sp_rn", "_sp_n")
+    r = ordered_row_number(df.select(label, *keys), _hash_order(keys, seed), [label], "_sp_rn", "_sp_n")
     is_test = F.col("_sp_rn") <= F.ceil(F.col("_sp_n") * F.lit(float(test_fraction)))
-    return (r.withColumn(name, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
-             .drop("_sp_rn", "_sp_n"))
+    chosen = r.select(*keys, F.when(is_test, F.lit("test")).otherwise(F.lit("train")).alias(name))
+    return _joined_back(df, chosen, keys)
 
 
 def stratified_folds(df: DataFrame, label: str, keys: Sequence[str], k: int = 5,
                      seed: int = 42, name: str = "fold") -> DataFrame:
     """``name`` = (rank within class in hash order - 1) mod k: class sizes per fold
     differ by at most one row."""
-    r = ordered_row_number(df, _hash_order(keys, seed), [label], "_fd_rn")
-    return r.withColumn(name, ((F.col("_fd_rn") - 1) % k).cast("int")).drop("_fd_rn")
+    r = ordered_row_number(df.select(label, *keys), _hash_order(keys, seed), [label], "_fd_rn")
+    return _joined_back(df, r.select(*keys, ((F.col("_fd_rn") - 1) % k).cast("int").alias(name)), keys)
 
 
 def fit_standardizer(fit: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -89,7 +95,8 @@ def with_class_weight(df: DataFrame, label: str, name: str = "weight",
     """Attach a per-row weight column ('balanced' or 'positive') for ``weightCol``."""
     w = class_weights(df, label)
     if mode == "balanced":
-        return df.join(w.select(label, F.col("balanced_weight").alias(name)), label, "left")
+        m = lookup_map(w, label, "balanced_weight")
+        return df.withColumn("_wm", m).withColumn(name, F.try_element_at("_wm", F.col(label))).drop("_wm")
     pw = w.select(F.max("pos_weight")).scalar()
     return df.withColumn(name, F.when(F.col(label) == 1, pw).otherwise(F.lit(1.0)))
 
@@ -98,14 +105,24 @@ def balanced_bags(df: DataFrame, label: str, keys: Sequence[str], n_bags: int,
                   seed: int = 42, minority: int = 1) -> DataFrame:
     """For each bag: every minority row plus ``n_minority`` majority rows drawn by hash
     rank (without replacement).  Output: the rows with a ``bag`` column."""
-    n_min = df.where(F.col(label) == minority).select(F.count(F.lit(1))).scalar()
-    mino = df.where(F.col(label) == minority).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(n_bags - 1))).alias("bag"))
-    majo = df.where(F.col(label) != minority).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(n_bags - 1))).alias("bag"))
-    ranked = ordered_row_number(majo, _hash_order(keys, seed, F.col("bag")), ["bag"], "_bg_rn")
-    picked = ranked.where(F.col("_bg_rn") <= n_min).drop("_bg_rn")
-    return mino.unionByName(picked)
+    per = {bool(r["m"]): r["n"] for r in df.groupBy((F.col(label) == minority).alias("m")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}          # two rows
+    n_min, n_maj = per.get(True, 0), per.get(False, 0)
+    bags = F.explode(F.sequence(F.lit(0), F.lit(n_bags - 1))).alias("bag")
+    majority = df.where(F.col(label) != minority).select(*keys, bags)
+    # the rank decides by the first 8 digits of the same hash: only rows below a bound that holds
+    # n_min of them with certainty enough are ranked, and the bound is raised if it was short
+    first = F.conv(F.substring(_hash_order(keys, seed, F.col("bag"))[0], 1, 8), 16, 10).cast("long")
+    share = min(1.0, (n_min + 8 * math.sqrt(n_min + 1) + 16) / max(n_maj, 1))
+    while True:
+        few = written(majority.where(first < F.lit(math.ceil(share * (1 << 32)))), "bag-candidates")
+        enough = few.groupBy("bag").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(n_min, n_maj)).count()
+        if share >= 1.0 or enough == n_bags:
+            break
+        share = min(1.0, share * 2)
+    ranked = ordered_row_number(few, _hash_order(keys, seed, F.col("bag")), ["bag"], "_bg_rn")
+    picked = df.join(ranked.where(F.col("_bg_rn") <= n_min).select(*keys, "bag"), list(keys))
+    return df.where(F.col(label) == minority).select("*", bags).unionByName(picked)
 
 
 # ----------------------------------------------------------------------------- k-NN
@@ -167,8 +184,11 @@ def _knn_block(k: int):
 
 
 def knn_within(df: DataFrame, id_col: str, vec_col: str, k: int = 5,
-               block_rows: int = 8192) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by id) of every row among the rows.
+               block_rows: int = 8192, method: str = "exact", **lsh) -> DataFrame:
+    """k nearest neighbours (Euclidean, ties by id) of every row among the rows.
+
+    ``method="exact"`` compares all tiles, at a cost that grows with the square of the rows.
+    ``method="lsh"`` is approximate: see ``knn_lsh``, which takes the remaining arguments.
 
     Rows are hashed into T balanced tiles; each (query tile, reference tile) pair
     is one ``applyInPandas`` group that keeps only the k best per query row, so
@@ -176,6 +196,10 @@ def knn_within(df: DataFrame, id_col: str, vec_col: str, k: int = 5,
     rows whatever the data's skew.  The T*k candidates per row are then reduced
     to the final k.  Output: ``id_col, nn_rank, nn_id, dist``.
     """
+    if method == "lsh":
+        return knn_lsh(df, id_col, vec_col, k, **lsh)
+    if method != "exact":
+        raise ValueError(f"unknown method {method!r}")
     m = df.select(F.count(F.lit(1))).first()[0]
     t = max(1, math.ceil(m / block_rows))
     base = df.select(F.col(id_col).cast("long").alias("id"),
@@ -191,26 +215,53 @@ def knn_within(df: DataFrame, id_col: str, vec_col: str, k: int = 5,
                 .select(F.col("id").alias(id_col), "nn_rank", "nn_id", "dist"))
 
 
+def knn_lsh(df: DataFrame, id_col: str, vec_col: str, k: int = 5, tables: int = 8,
+            bucket_length: float | None = None, radius: float = math.inf, seed: int = 42) -> DataFrame:
+    """Approximate k nearest neighbours by bucketed random projections (MLlib's LSH).
+
+    Rows that share a bucket in any of ``tables`` hash tables within ``radius`` are compared.
+    A longer ``bucket_length`` finds more and compares more (default: from the spread of the
+    coordinates).  Output as ``knn_within``; a row may have fewer than ``k`` neighbours.
+    """
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+    v = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("x"))
+    if bucket_length is None:
+        spread = v.select(F.explode("x").alias("x")).agg(F.stddev_pop("x")).first()[0]
+        bucket_length = max(4.0 * (spread or 0.0), 1e-9)
+    v = v.select("id", array_to_vector("x").alias("v"))
+    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
+                                      numHashTables=tables, seed=seed)
+    pairs = lsh.fit(v).approxSimilarityJoin(v, v, radius, "dist").select(
+        F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("nn_id"), "dist").where("id <> nn_id")
+    w = Window.partitionBy("id").orderBy("dist", "nn_id")
+    return (pairs.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+                 .select(F.col("id").alias(id_col), "nn_rank", "nn_id", "dist"))
+
+
 def smote(df: DataFrame, id_col: str, vec_col: str, label: str, minority: int = 1,
-          k: int = 5, seed: int = 42, block_rows: int = 8192) -> DataFrame:
+          k: int = 5, seed: int = 42, block_rows: int = 8192, method: str = "exact") -> DataFrame:
     """Synthetic minority rows until both classes have equal counts.
 
     Synthetic row ``s`` starts from the minority row of hash ordinal ``s mod m``,
     picks one of its ``min(k, m-1)`` nearest minority neighbours and a gap
     ``g`` in [0, 1) from ``md5(s, seed)``, and is ``x + g * (nn - x)``.
-    Output: ``syn_id, base_id, nn_id, gap, <vec_col>, <label>``.  Requires >= 2
-    minority rows (otherwise no rows are produced).
+    Output: ``syn_id, base_id, nn_id, gap, <vec_col>, <label>``.  Fewer than 2
+    minority rows are an error (unless nothing is needed).  ``method``: see ``knn_within``.
     """
     mino = df.where(F.col(label) == minority).select(id_col, vec_col)
     n_min = df.where(F.col(label) == minority).select(F.count(F.lit(1))).first()[0]
     n_maj = df.where(F.col(label) != minority).select(F.count(F.lit(1))).first()[0]
     need = n_maj - n_min
+    if need <= 0:                      # balanced already: nothing to add
+        return df.sparkSession.createDataFrame([], f"syn_id long, base_id long, nn_id long, gap double, "
+                                                   f"{vec_col} array<double>, {label} int")
+    if n_min < 2:
+        raise ValueError(f"SMOTE needs two rows of class {minority} at least, there are {n_min}")
     kk = min(k, n_min - 1)
-    spark = df.sparkSession
-    if need <= 0 or kk < 1:
-        return spark.createDataFrame([], f"syn_id long, base_id long, nn_id long, gap double, "
-                                         f"{vec_col} array<double>, {label} int")
-    nn = knn_within(mino, id_col, vec_col, kk, block_rows)
+    nn = knn_within(mino, id_col, vec_col, kk, block_rows, method)
+    if method == "lsh":                # approximate: a row may have found fewer than kk
+        nn = nn.withColumn("_found", F.count(F.lit(1)).over(Window.partitionBy(id_col)))
     ordn = ordered_row_number(mino, [F.md5(hash_key(id_col, F.lit(str(seed)))), F.col(id_col)],
                               [], "_o")
     per, extra = divmod(need, n_min)
@@ -233,9 +284,16 @@ def smote(df: DataFrame, id_col: str, vec_col: str, label: str, minority: int =
                  .withColumn("syn_id", (F.col("_j") * F.lit(n_min) + F.col("_o") - 1).cast("long"))
                  .drop("_j", "_o"))
     syn = syn.select("*",
-                     (F.floor(hash_uniform("syn_id", F.lit(seed), F.lit("nn")) * kk) + 1)
-                     .cast("int").alias("_pick"),
+                     hash_uniform("syn_id", F.lit(seed), F.lit("nn")).alias("_u"),
                      hash_uniform("syn_id", F.lit(seed), F.lit("gap")).alias("gap"))
+    found = F.lit(kk)
+    if method == "lsh":                # neighbours found differ by row; a row without any takes itself
+        held = nn.select(F.col(id_col).alias("base_id"), "_found").distinct()
+        syn, found = syn.join(held, "base_id", "left"), F.coalesce("_found", F.lit(0))
+        nn = nn.drop("_found").unionByName(mino.select(F.col(id_col).cast("long").alias(id_col)).join(
+            held.select(F.col("base_id").alias(id_col)), id_col, "left_anti").select(
+            id_col, F.lit(1).alias("nn_rank"), F.col(id_col).alias("nn_id"), F.lit(0.0).alias("dist")))
+    syn = syn.withColumn("_pick", (F.floor(F.col("_u") * F.greatest(found, F.lit(1))) + 1).cast("int"))
     nbr = nn.select(F.col(id_col).alias("base_id"), F.col("nn_rank").alias("_pick"), "nn_id")
     vecs = mino.select(F.col(id_col).alias("nn_id"), F.col(vec_col).cast("array<double>").alias("_nv"))
     out = syn.join(nbr, ["base_id", "_pick"]).join(vecs, "nn_id")

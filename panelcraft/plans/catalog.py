@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from panelcraft.functions.expressions import (bucketize, composite_intensity, date_key,
                                               dictionary_encode, parse_yyyymmdd)
+from panelcraft.functions import fixed_values as fv
 from panelcraft.functions.fixed_values import INTENSITY_CODES, INTENSITY_CUTS, INTENSITY_LABELS
 from panelcraft.operators import aggregate as agg
 from panelcraft.operators import features as feat
 from panelcraft.operators import panel as pnl
 from panelcraft.plans import bindings as b
+from panelcraft.session import work_dir, written
 
 _RISK_CODES = {"high": 3, "medium": 2, "low": 1}
 _TERRAIN_CODES = {"coastal": 1, "plains": 2, "hills": 3, "mountains": 4}
@@ -68,7 +70,7 @@ def membership_panel(spark: SparkSession, sf: str) -> DataFrame:
 def panel_left_join(spark: SparkSession, sf: str) -> DataFrame:
     # the (entity, year) aggregate is read twice (year bounds, join): it is
     # materialised once so the raw series is scanned and shuffled only once
-    s = _season_and_label(spark, sf).checkpoint(eager=True)
+    s = written(_season_and_label(spark, sf), "season")
     return (pnl.panel_left_join(_scaffold_from(spark, sf, s), [s], ["entity", "year"])
             .withColumn("flag", F.coalesce(F.col("label_raw"), F.lit(0))).drop("label_raw"))
 
@@ -165,13 +167,13 @@ def literal_lookup_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- step 4: statistical features
-def _model_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """The feature panel, materialised: the statistics below read it several times."""
-    return feature_panel(spark, sf).checkpoint(eager=True)
+def _model_panel(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Columns of the feature panel, written: the statistics read them and the rows do."""
+    return written(feature_panel(spark, sf).select("entity", "year", *columns), "panel")
 
 
 def interaction_features(spark: SparkSession, sf: str) -> DataFrame:
-    p = _model_panel(spark, sf)
+    p = feature_panel(spark, sf)
     out = feat.interaction_features(p, "season_total", "season_avg", "season_max",
                                     "season_wet_days", "pre_season_total", "annual_total",
                                     "intensity_score", "river", "geo_risk_code", "elevation",
@@ -190,31 +192,31 @@ def fill_and_round(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def smoothed_prior(spark: SparkSession, sf: str) -> DataFrame:
-    p = _model_panel(spark, sf)
-    out = feat.smoothed_prior(p, "entity", "flag", 4, "entity_prior")
+    p = _model_panel(spark, sf, "flag")
+    out = feat.smoothed_prior(p, "entity", "flag", fv.ENTITY_PRIOR_M, "entity_prior")
     return out.select("entity", "year", F.round("entity_prior", 9).alias("entity_prior"))
 
 
 def smoothed_prior_group(spark: SparkSession, sf: str) -> DataFrame:
-    p = _model_panel(spark, sf)
-    out = feat.smoothed_prior(p, "grp", "flag", 8, "group_prior")
+    p = _model_panel(spark, sf, "grp", "flag")
+    out = feat.smoothed_prior(p, "grp", "flag", fv.GROUP_PRIOR_M, "group_prior", few_keys=True)
     return out.select("entity", "year", F.round("group_prior", 9).alias("group_prior"))
 
 
 def entity_anomaly(spark: SparkSession, sf: str) -> DataFrame:
-    p = _model_panel(spark, sf)
+    p = _model_panel(spark, sf, "season_total")
     out = feat.entity_anomaly(p, "entity", "season_total", "season_anomaly")
     return out.select("entity", "year", F.round("season_anomaly", 6).alias("season_anomaly"))
 
 
 def period_pressure(spark: SparkSession, sf: str) -> DataFrame:
-    p = _model_panel(spark, sf)
+    p = _model_panel(spark, sf, "season_total")
     out = feat.period_pressure(p, "year", "season_total", "year_pressure")
     return out.select("entity", "year", F.round("year_pressure", 6).alias("year_pressure"))
 
 
 def select_available(spark: SparkSession, sf: str) -> DataFrame:
-    p = _model_panel(spark, sf)
+    p = feature_panel(spark, sf)
     return feat.select_available(p, ["entity", "year", "season_total", "no_such_column",
                                      "elevation", "flag"])
 
@@ -230,18 +232,18 @@ def value_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def positives_per_year(spark: SparkSession, sf: str) -> DataFrame:
-    return agg.group_sizes(_model_panel(spark, sf), ["year"], F.col("flag") == 1, "n_pos")
+    return agg.group_sizes(panel_left_join(spark, sf), ["year"], F.col("flag") == 1, "n_pos")
 
 
 def class_balance(spark: SparkSession, sf: str) -> DataFrame:
-    out = agg.class_balance(_model_panel(spark, sf), "flag")
+    out = agg.class_balance(panel_left_join(spark, sf), "flag")
     return out.select("n_rows", "n_pos", "n_neg", F.round("pct_pos", 6).alias("pct_pos"),
                       F.round("neg_pos_ratio", 6).alias("neg_pos_ratio"), "imbalanced")
 
 
 def group_risk_rank(spark: SparkSession, sf: str) -> DataFrame:
     s = b.scored_orders(spark, sf)
-    out = agg.group_mean_rank(s, "grp", "score", 0.55, 0.35)
+    out = agg.group_mean_rank(s, "grp", "score", fv.RISK_BAND_HIGH, fv.RISK_BAND_MEDIUM)
     return out.select("grp", F.round("mean_score", 9).alias("mean_score"), "band")
 
 
@@ -276,21 +278,21 @@ def roc_auc_overall(spark: SparkSession, sf: str) -> DataFrame:
 
 def threshold_sweep(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.operators.evaluate import threshold_sweep as sweep
-    s = sweep(b.scored_orders(spark, sf), "y", "score", 10, 90)
+    s = sweep(b.scored_orders(spark, sf), "y", "score", *fv.TUNE_GRID)
     return s.select("threshold", "tp", "fp", "fn", "tn", *[_r(c) for c in _METRICS])
 
 
 def report_sweep(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.operators.evaluate import threshold_sweep as sweep
-    s = sweep(b.scored_orders(spark, sf), "y", "score", 5, 95, group_cols=["grp"])
+    s = sweep(b.scored_orders(spark, sf), "y", "score", *fv.REPORT_GRID, group_cols=["grp"])
     return s.select("grp", "threshold", "tp", "fp", "fn", "tn", _r("precision"), _r("recall"),
                     _r("f1"))
 
 
 def best_threshold(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.operators import evaluate as ev
-    s = ev.threshold_sweep(b.scored_orders(spark, sf), "y", "score", 10, 90, group_cols=["grp"])
-    return ev.best_threshold(s, "f1", 0.5, ["grp"]).select("grp", "threshold", _r("best_f1"))
+    s = ev.threshold_sweep(b.scored_orders(spark, sf), "y", "score", *fv.TUNE_GRID, group_cols=["grp"])
+    return ev.best_threshold(s, "f1", fv.DEFAULT_THRESHOLD, ["grp"]).select("grp", "threshold", _r("best_f1"))
 
 
 def roc_curve(spark: SparkSession, sf: str) -> DataFrame:
@@ -299,23 +301,36 @@ def roc_curve(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("threshold", "tp", "fp", _r("fpr", 12), _r("tpr", 12))
 
 
-def _nation_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Per customer nation: metrics at 0.5 and AUC, a stand-in for a per-model table."""
-    from panelcraft.operators import evaluate as ev
+def _nation_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """(name, y, score): orders by customer nation, a stand-in for scores of several models."""
     o = b.table(spark, sf, "orders").select(
         "o_custkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
         (F.col("o_totalprice") / F.lit(b.SCORE_SCALE)).alias("score"))
     cust = b.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     nat = b.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    return (o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+             .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select(F.col("n_name").alias("name"), "y", "score"))
+
+
+def _nation_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Per customer nation: metrics at 0.5 and AUC, a stand-in for a per-model table."""
+    from panelcraft.operators import evaluate as ev
     # the joined rows feed both the confusion counts and the AUC: joined once
-    s = (o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-          .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
-          .select(F.col("n_name").alias("name"), "y", "score")).checkpoint(eager=True)
+    s = written(_nation_scores(spark, sf), "nation-scores")
     m = ev.binary_metrics(ev.confusion_at(s, "y", "score", 0.5, ["name"]))
     a = ev.roc_auc(s, "y", "score", ["name"])
     return m.join(a, "name")
 
 
+def roc_curves_top8(spark: SparkSession, sf: str) -> DataFrame:
+    """ROC curves, each from its origin, of the eight nations of the largest AUC."""
+    from panelcraft.operators.evaluate import top_roc_curves
+    s = written(_nation_scores(spark, sf), "nation-scores")
+    return top_roc_curves(s, "y", "score", "name", 8).select(
+        "name", "threshold", "tp", "fp", _r("fpr", 12), _r("tpr", 12), _r("auc", 12))
+
+
 def argmax_tuple(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.operators.evaluate import argmax_tuple as am
     return am(_nation_metrics(spark, sf), "name", ["f1", "recall", "auc"])
@@ -343,13 +358,13 @@ def soft_vote(spark: SparkSession, sf: str) -> DataFrame:
 def quantile_bands(spark: SparkSession, sf: str) -> DataFrame:
     """Per region: exact q75 / q40 of account balance, then strict > bands."""
     from panelcraft.operators.ordered import exact_quantiles
-    d = b.entity_dim(spark, sf).join(
-        b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"), "s_acctbal"),
-        "entity")
-    q = exact_quantiles(d, "s_acctbal", [0.75, 0.4], ["grp"], tiebreak=["entity"])
-    out = d.join(q, "grp").withColumn("band", F.when(F.col("s_acctbal") > F.col("q_0"), "high")
-                                      .when(F.col("s_acctbal") > F.col("q_1"), "medium")
-                                      .otherwise("low"))
+    from panelcraft.sources.tables import lookup_map
+    d = b.entity_dim(spark, sf, "s_acctbal").select("entity", "grp", "s_acctbal")
+    q = exact_quantiles(d, "s_acctbal", fv.IMPORTANCE_QUANTILES, ["grp"], tiebreak=["entity"])
+    out = (d.withColumn("_m", lookup_map(q, "grp", F.struct("q_0", "q_1")))
+            .withColumn("_q", F.try_element_at("_m", F.col("grp"))).select("*", "_q.q_0", "_q.q_1"))
+    out = out.withColumn("band", F.when(F.col("s_acctbal") > F.col("q_0"), "high")
+                         .when(F.col("s_acctbal") > F.col("q_1"), "medium").otherwise("low"))
     return out.select("entity", "grp", "s_acctbal", _r("q_0"), _r("q_1"), "band")
 
 
@@ -364,64 +379,73 @@ EXTRA_FEATURES = ["rain_x_river", "rain_x_geo_risk", "intensity_x_river", "elev_
 FEATURES = BASE_FEATURES + EXTRA_FEATURES
 
 
-def model_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    """entity, grp, year, flag and the 28 numeric features (all double)."""
-    # The panel is entity x period sized (far smaller than the raw series); it is
-    # written once so the priors, anomalies and pressure below read the copy
-    # instead of re-aggregating the series for every statistic.
-    p = feature_panel(spark, sf).checkpoint(eager=True)
-    p = feat.interaction_features(p, "season_total", "season_avg", "season_max",
+def model_matrix(p: DataFrame, fit: DataFrame | None = None) -> DataFrame:
+    """entity, grp, year, flag and the 28 numeric features (all double) of a feature panel.
+
+    ``fit``: the rows that priors, anomaly and pressure are estimated on (default: all,
+    as the reference does)."""
+    x = feat.interaction_features(p, "season_total", "season_avg", "season_max",
                                   "season_wet_days", "pre_season_total", "annual_total",
                                   "intensity_score", "river", "geo_risk_code", "elevation",
                                   low_elev_cut=1000.0)
-    p = feat.smoothed_prior(p, "entity", "flag", 4, "entity_prior")
-    p = feat.smoothed_prior(p, "grp", "flag", 8, "group_prior")
-    p = feat.entity_anomaly(p, "entity", "season_total", "season_anomaly")
-    p = feat.period_pressure(p, "year", "season_total", "year_pressure")
-    p = p.withColumn("year_feature", F.col("year"))
-    # materialised once: the split samples and writes it, the scaler fits on it
-    return p.select("entity", "grp", "year", "flag",
-                    *[F.col(c).cast("double").alias(c) for c in FEATURES]).checkpoint(eager=True)
+    x = feat.smoothed_prior(x, "entity", "flag", fv.ENTITY_PRIOR_M, "entity_prior", p if fit is None else fit)
+    x = feat.smoothed_prior(x, "grp", "flag", fv.GROUP_PRIOR_M, "group_prior", p if fit is None else fit, few_keys=True)
+    x = feat.entity_anomaly(x, "entity", "season_total", "season_anomaly", fit)
+    x = feat.period_pressure(x, "year", "season_total", "year_pressure", fit)
+    x = x.withColumn("year_feature", F.col("year"))
+    return x.select("entity", "grp", "year", "flag",
+                    *[F.col(c).cast("double").alias(c) for c in FEATURES])
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    """The split panel, materialised once: folds, weights, bags and the scaler all
-    read it, some of them several times."""
+    """(entity, year, flag, split): the split needs keys and classes alone."""
     from panelcraft.operators.sampling import stratified_split as split
-    return split(model_matrix(spark, sf), "flag", ["entity", "year"], 0.2, b.SEED
-                 ).checkpoint(eager=True)
+    keys = written(panel_left_join(spark, sf).select("entity", "year", "flag"), "panel-keys")
+    return split(keys, "flag", ["entity", "year"], fv.TEST_FRACTION, fv.SEED)
 
 
 def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
     return _split(spark, sf).select("entity", "year", "flag", "split")
 
 
+def _train_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return _split(spark, sf).where(F.col("split") == "train").select("entity", "year", "flag")
+
+
 def stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.operators.sampling import stratified_folds as folds
-    tr = _split(spark, sf).where(F.col("split") == "train")
-    return folds(tr, "flag", ["entity", "year"], 5, b.SEED).select("entity", "year", "flag", "fold")
+    tr = written(_train_keys(spark, sf), "train-keys")       # ranked, and joined back
+    return folds(tr, "flag", ["entity", "year"], fv.N_FOLDS, fv.SEED).select("entity", "year", "flag", "fold")
 
 
 def split_year_distribution(spark: SparkSession, sf: str) -> DataFrame:
     return _split(spark, sf).groupBy("split", "year", "flag").agg(F.count(F.lit(1)).alias("n"))
 
 
+def split_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """The model matrix with its split; the feature panel is written once and the split made
+    from its keys."""
+    from panelcraft.operators.sampling import stratified_split as split
+    p = written(feature_panel(spark, sf), "feature-panel")
+    keys = split(p.select("entity", "year", "flag"), "flag", ["entity", "year"], fv.TEST_FRACTION, fv.SEED)
+    return model_matrix(p).join(keys.select("entity", "year", "split"), ["entity", "year"])
+
+
 def standardize(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.operators.sampling import standardize as std
-    s = _split(spark, sf)
+    s = split_matrix(spark, sf)
     out = std(s, FEATURES, fit=s.where(F.col("split") == "train"))
     return out.select("entity", "year", *[F.round(c, 6).alias(c) for c in FEATURES])
 
 
 def class_weights(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.operators.sampling import class_weights as cw
-    tr = _split(spark, sf).where(F.col("split") == "train")
-    return cw(tr, "flag").select("flag", "n_class", _r("balanced_weight"), _r("pos_weight"))
+    return cw(_train_keys(spark, sf), "flag").select("flag", "n_class", _r("balanced_weight"), _r("pos_weight"))
 
 
 def balanced_bags(spark: SparkSession, sf: str) -> DataFrame:
     from panelcraft.operators.sampling import balanced_bags as bags
-    tr = _split(spark, sf).where(F.col("split") == "train").select("entity", "year", "flag")
+    tr = written(_train_keys(spark, sf), "train-keys")       # counted, hashed and joined back
     return bags(tr, "flag", ["entity", "year"], 10, b.SEED, 1).select("bag", "entity", "year", "flag")
 
 
@@ -445,177 +469,9 @@ def smote_oversample(spark: SparkSession, sf: str) -> DataFrame:
                     .alias("vec_sum"))
 
 
-# ---------------------------------------------------------------- step 8: models (rows-only checks)
-# Sizes of the bound model queries (the library defaults keep the reference's sizes:
-# 500 trees / depth 12, 400 boosting rounds); the bound queries use smaller ensembles
-# so the whole registry runs in minutes on one machine.
-RF_TREES, RF_DEPTH, GBT_ITERS, MLP_ITERS, N_BAGS = 100, 8, 50, 100, 5
-_TRAINING: dict = {}
-
-
-def _training(spark: SparkSession, sf: str) -> DataFrame:
-    """Split + standardised model matrix, checkpointed once per session and data set."""
-    from panelcraft.operators.sampling import standardize as std
-    key = (spark.conf.get("spark.app.id", None), id(spark), sf)
-    if key not in _TRAINING:
-        s = _split(spark, sf)
-        scaled = std(s, FEATURES, fit=s.where(F.col("split") == "train"))
-        scaled = scaled.withColumn("rid", F.col("entity") * 10000 + F.col("year"))
-        _TRAINING[key] = scaled.checkpoint(eager=True)
-    return _TRAINING[key]
-
-
-def _train_test(spark, sf):
-    t = _training(spark, sf)
-    return t.where(F.col("split") == "train"), t.where(F.col("split") == "test")
-
-
-def _smote_train(spark, sf) -> DataFrame:
-    from panelcraft.operators.models import vectors_to_columns
-    from panelcraft.operators.sampling import smote
-    tr, _ = _train_test(spark, sf)
-    base = tr.select("rid", "flag", F.array(*FEATURES).alias("vec"))
-    syn = smote(base, "rid", "vec", "flag", 1, 5, b.SEED)
-    syn = vectors_to_columns(syn.select(F.col("syn_id").alias("rid"), "flag", "vec"), "vec", FEATURES)
-    return tr.select("rid", "flag", *FEATURES).unionByName(syn)
-
-
-def _fit_eval(spark, sf, name, kind, train, weight=None, **p):
-    from panelcraft.operators import models as md
-    _, te = _train_test(spark, sf)
-    est = md.estimator(kind, len(FEATURES), "flag", "weight" if weight else None, **p)
-    if weight:
-        from panelcraft.operators.sampling import with_class_weight
-        train = with_class_weight(train, "flag", "weight", weight)
-    model = md.fit(train, FEATURES, est)
-    scored = md.score(model, te, ["rid", "flag"])
-    return model, md.evaluate(name, scored, "flag")
-
-
-def rf_balanced(spark, sf):
-    tr, _ = _train_test(spark, sf)
-    return _fit_eval(spark, sf, "rf_balanced", "rf", tr, "balanced", numTrees=RF_TREES,
-                     maxDepth=RF_DEPTH)[1]
-
-
-def rf_smote(spark, sf):
-    return _fit_eval(spark, sf, "rf_smote", "rf", _smote_train(spark, sf), numTrees=RF_TREES,
-                     maxDepth=RF_DEPTH)[1]
-
-
-def gbt_balanced(spark, sf):
-    tr, _ = _train_test(spark, sf)
-    return _fit_eval(spark, sf, "gbt_balanced", "gbt", tr, "balanced", maxIter=GBT_ITERS)[1]
-
-
-def gbt_pos_weight(spark, sf):
-    tr, _ = _train_test(spark, sf)
-    return _fit_eval(spark, sf, "gbt_pos_weight", "gbt_sub", tr, "positive", maxIter=GBT_ITERS)[1]
-
-
-def gbt_smote(spark, sf):
-    return _fit_eval(spark, sf, "gbt_smote", "gbt_sub", _smote_train(spark, sf),
-                     maxIter=GBT_ITERS, stepSize=0.035, minInstancesPerNode=2)[1]
-
-
-def mlp_smote(spark, sf):
-    return _fit_eval(spark, sf, "mlp_smote", "mlp", _smote_train(spark, sf), maxIter=MLP_ITERS)[1]
-
-
-def balanced_rf(spark, sf):
-    from panelcraft.operators import models as md
-    from panelcraft.operators.sampling import balanced_bags as bags
-    tr, te = _train_test(spark, sf)
-    bg = bags(tr.select("entity", "year", "rid", "flag", *FEATURES), "flag", ["entity", "year"],
-              N_BAGS, b.SEED, 1)
-    models = md.bagged_forest(bg, FEATURES, "flag", N_BAGS, max(1, RF_TREES // N_BAGS), RF_DEPTH)
-    scored = md.score_vote(models, te, ["rid", "flag"], "rid")
-    return md.evaluate("balanced_rf", scored, "flag")
-
-
-def soft_vote_ensemble(spark, sf):
-    """Mean probability of a forest and two boosted models (soft voting)."""
-    from panelcraft.operators import models as md
-    from panelcraft.operators.sampling import with_class_weight
-    tr, te = _train_test(spark, sf)
-    bal = with_class_weight(tr, "flag", "weight", "balanced")
-    pos = with_class_weight(tr, "flag", "weight", "positive")
-    members = md.run_parallel([
-        lambda: md.fit(bal, FEATURES, md.estimator("rf", len(FEATURES), "flag", "weight",
-                                                   numTrees=RF_TREES, maxDepth=RF_DEPTH)),
-        lambda: md.fit(pos, FEATURES, md.estimator("gbt_sub", len(FEATURES), "flag", "weight",
-                                                   maxIter=GBT_ITERS)),
-        lambda: md.fit(bal, FEATURES, md.estimator("gbt", len(FEATURES), "flag", "weight",
-                                                   maxIter=GBT_ITERS))], 3)
-    return md.evaluate("soft_vote", md.score_vote(members, te, ["rid", "flag"], "rid"), "flag")
-
-
-def _rf_model(spark, sf):
-    tr, _ = _train_test(spark, sf)
-    return _fit_eval(spark, sf, "rf_balanced", "rf", tr, "balanced", numTrees=RF_TREES,
-                     maxDepth=RF_DEPTH)
-
-
-def batch_score(spark, sf):
-    from panelcraft.operators import models as md
-    model, _ = _rf_model(spark, sf)
-    allrows = _training(spark, sf)
-    return md.score(model, allrows, ["entity", "grp", "year", "flag"]).withColumnRenamed(
-        "score", "risk_score")
-
-
-def feature_importance(spark, sf):
-    from panelcraft.operators import models as md
-    model, _ = _rf_model(spark, sf)
-    return md.feature_importance(model, FEATURES, spark, 15)
-
-
-def cv_f1(spark, sf):
-    from panelcraft.operators import models as md
-    from panelcraft.operators.sampling import stratified_folds, with_class_weight
-    tr, _ = _train_test(spark, sf)
-    folded = stratified_folds(tr, "flag", ["entity", "year"], 5, b.SEED)
-    return md.cv_f1(folded, FEATURES,
-                    lambda: md.estimator("rf", len(FEATURES), "flag", "weight",
-                                         numTrees=RF_TREES, maxDepth=RF_DEPTH),
-                    "flag", "fold", 5,
-                    weight_fn=lambda d: with_class_weight(d, "flag", "weight", "balanced"))
-
-
-def model_leaderboard(spark, sf):
-    """Metrics of several models, rounded as the published table, best F1 first."""
-    from panelcraft.operators.models import run_parallel
-    _training(spark, sf)                       # materialise the shared matrix first
-    rows = run_parallel([lambda: rf_balanced(spark, sf), lambda: gbt_balanced(spark, sf),
-                         lambda: gbt_pos_weight(spark, sf), lambda: rf_smote(spark, sf)], 4)
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.select("model", F.bround("threshold", 2).alias("threshold"),
-                      *[F.bround(c, 3).alias(c) for c in ("accuracy", "balanced_accuracy",
-                                                          "precision", "recall", "f1", "auc")],
-                      "tp", "fp", "fn", "tn").orderBy(F.col("f1").desc(), "model")
-
-
-def model_save_load_score(spark, sf):
-    """Fit, save pipeline + metadata to the shared folder, load back, score every row."""
-    from panelcraft.operators import models as md
-    from panelcraft.session import work_dir
-    model, metrics = _rf_model(spark, sf)
-    path = work_dir(spark, "models")
-    meta = metrics.select("model", "threshold", "f1", "auc",
-                          F.lit(",".join(FEATURES)).alias("features"))
-    md.save_model(model, meta, path)
-    loaded, meta2 = md.load_model(spark, path)
-    t = meta2.select("threshold").scalar()
-    return (md.score(loaded, _training(spark, sf), ["entity", "grp", "year", "flag"])
-              .withColumn("predicted", (F.col("score") >= t).cast("int")))
-
-
 # ---------------------------------------------------------------- step 9: sources, sinks, streams
 def csv_roundtrip_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Write an orders projection as CSV (header) to the shared folder, scan it back typed."""
-    from panelcraft.session import work_dir
     from panelcraft.sources.tables import read_table, write_table
     o = b.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                             "o_totalprice", "o_orderpriority")
@@ -636,11 +492,10 @@ def resume_pending_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def append_union(spark: SparkSession, sf: str) -> DataFrame:
     """Existing rows (before 1998) + new rows (1998 on): bag union counted per key."""
-    from panelcraft.sources.tables import append_rows, union_keys
+    from panelcraft.sources.tables import union_counts
     m = b.measures(spark, sf).select("entity", F.year("day").alias("year"))
     old, new = m.where(F.col("year") < 1998), m.where(F.col("year") >= 1998)
-    bag = append_rows(old, new).groupBy("entity", "year").agg(F.count(F.lit(1)).alias("n"))
-    return union_keys(old, new, ["entity", "year"]).join(bag, ["entity", "year"], "left")
+    return union_counts(old, new, ["entity", "year"])
 
 
 def event_map_explode(spark: SparkSession, sf: str) -> DataFrame:
@@ -674,9 +529,8 @@ def seasonal_weight(spark: SparkSession, sf: str) -> DataFrame:
                                                 "l_shipdate", "l_quantity")
     # the per-year sums and counts also give the overall mean; the aggregate has
     # one row per year, so it is materialised once and read by both uses
-    yearly = (li.groupBy(F.year("l_shipdate").alias("year"))
-                .agg(F.sum("l_quantity").alias("_s"), F.count("l_quantity").alias("_c"))
-                .checkpoint(eager=True))
+    yearly = written(li.groupBy(F.year("l_shipdate").alias("year"))
+                     .agg(F.sum("l_quantity").alias("_s"), F.count("l_quantity").alias("_c")), "yearly")
     base = yearly.select(F.sum("_s") / F.sum("_c")).scalar()
     ym = yearly.select("year", F.try_divide(F.col("_s") / F.col("_c"), base).alias("mult"))
     out = pnl.seasonal_weight(li, F.month("l_shipdate"), F.year("l_shipdate"), MONTH_WEIGHTS, ym)
@@ -686,22 +540,20 @@ def seasonal_weight(spark: SparkSession, sf: str) -> DataFrame:
 def stream_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """events.parquet as a file stream: flatten props, clean values, dedupe, append."""
     from panelcraft.functions.expressions import sentinel_clamp as clamp
-    from panelcraft.session import work_dir
     from panelcraft.sources.payload import flatten_json_map
     from panelcraft.streaming.ingest import run_ingest
     schema = b.table(spark, sf, "events").schema
     base = work_dir(spark, "stream")
 
     def transform(df: DataFrame) -> DataFrame:
-        src = (df.withColumnRenamed("value", "amount")
-                 .withColumn("ts", F.col("ts").cast("timestamp")))   # watermark needs TIMESTAMP
+        src = df.withColumnRenamed("value", "amount")
         flat = flatten_json_map(src, "props", ["event_id", "ts", "user_id", "event_type", "amount"],
                                 value_type="int")
         return flat.withColumn("clean_amount", clamp("amount", -999.0, 0.0, 0.0, 3))
 
     return run_ingest(spark, sf, schema, f"{base}/sink", f"{base}/checkpoint", transform,
-                      ["event_id", "key"], event_time="ts", delay="1 day",
-                      source_glob="events.parquet")
+                      ["event_id", "key"], source_glob="events.parquet").select(
+        "event_id", "user_id", "event_type", "amount", "key", "value", "clean_amount")
 
 
 def payload_daily_series(spark: SparkSession, sf: str) -> DataFrame:
@@ -729,28 +581,27 @@ def _payload_docs(spark: SparkSession, sf: str) -> DataFrame:
     return payload.select("entity", "payload")
 
 
-def cv_test_gap(spark, sf):
-    """Cross-validated F1 next to the hold-out F1 of the same model, and their gap."""
-    t = rf_balanced(spark, sf).select("model", F.col("f1").alias("test_f1"))
-    c = cv_f1(spark, sf)
-    cv = c.select("cv_f1").scalar()
-    t = t.withColumn("_cv", cv)                  # one subquery, projected once
-    return t.select("model", F.round("_cv", 3).alias("cv_f1"), F.round("test_f1", 3).alias("test_f1"),
-                    F.round(F.col("_cv") - F.col("test_f1"), 3).alias("gap"))
-
-
-def group_risk_from_model(spark, sf):
-    """Mean model risk score per group with the three-tier band (> .55, > .35)."""
-    return agg.group_mean_rank(batch_score(spark, sf), "grp", "risk_score", 0.55, 0.35)
+def optional_source_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """An optional series that is not there, built from the raw table instead; a second one that is."""
+    from pyspark.sql.types import StructType
+    from panelcraft.sources.tables import read_with_fallback
+    schema = StructType.fromDDL("entity long, year int, total double")
+    yearly = lambda: (b.measures(spark, sf).groupBy("entity", F.year("day").alias("year"))
+                      .agg(F.sum("amount").alias("total")))
+    missing = read_with_fallback(spark, f"{sf}/no_such_series.parquet", schema, yearly)
+    there = StructType.fromDDL("n_nationkey long, n_name string")
+    names = read_with_fallback(spark, f"{sf}/nation.parquet", there, yearly)
+    sup = b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"), "s_nationkey")
+    return (missing.join(sup, "entity").join(names, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select("entity", "n_name", "year", _r("total", 4)))
 
 
 def stream_payload_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Payload documents (one JSON line per supplier and year, built from lineitem)
     land as text files; a file stream parses, flattens and cleans them and appends
     idempotently to a year-partitioned sink.  Equals ``payload_daily_series``."""
-    from panelcraft.session import work_dir
     from panelcraft.sources.payload import daily_series_rows
-    from panelcraft.streaming.ingest import start_payload_ingest
+    from panelcraft.streaming.ingest import read_sink, start_payload_ingest
     base = work_dir(spark, "payload-stream")
     docs = _payload_docs(spark, sf)
     docs.select(F.to_json(F.struct("entity", "payload")).alias("value")).write.text(f"{base}/landing")
@@ -760,6 +611,6 @@ def stream_payload_ingest(spark: SparkSession, sf: str) -> DataFrame:
         return daily_series_rows(d, "payload", ["entity"], ("properties", "parameter", "X"))
 
     q = start_payload_ingest(spark, f"{base}/landing", f"{base}/sink", f"{base}/checkpoint",
-                             transform, ["entity", "date"], ["year"])
+                             transform, ["entity", "date"])
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/sink").select("entity", "date", "year", "month", "day", "value")
+    return read_sink(spark, f"{base}/sink").select("entity", "date", "year", "month", "day", "value")

@@ -102,18 +102,13 @@ def training_matrix(features: DataFrame, fit: DataFrame | None = None,
     """
     have = [c for c in base if c in features.columns]
     x = features.na.fill(0, subset=have)
-    x = x.withColumns({
-        "rain_x_river": F.col("monsoon_total_mm") * (F.col("river_proximity") + 1),
-        "rain_x_geo_risk": F.col("monsoon_total_mm") * F.col("geo_risk_code"),
-        "intensity_x_river": F.col("flood_intensity_score") * (F.col("river_proximity") + 1),
-        "elev_inverse": F.try_divide(F.lit(1.0), F.col("elevation_m") + 1),
-        "low_elev_high_rain": (F.col("elevation_m") < 100).cast("int") * F.col("monsoon_total_mm"),
-        "monsoon_intensity": F.try_divide(F.col("monsoon_total_mm"), F.col("monsoon_rainy_days") + 1),
-        "rain_concentration": F.try_divide(F.col("monsoon_max_daily"), F.col("monsoon_avg_daily") + 0.1),
-        "saturation_index": F.try_divide(F.col("premonsoon_total_mm") * F.col("monsoon_total_mm"),
-                                         F.col("elevation_m") + 1),
-        "premonsoon_ratio": F.try_divide(F.col("premonsoon_total_mm"), F.col("annual_total_mm") + 1)})
+    x = feat.interaction_features(
+        x, "monsoon_total_mm", "monsoon_avg_daily", "monsoon_max_daily", "monsoon_rainy_days",
+        "premonsoon_total_mm", "annual_total_mm", "flood_intensity_score", "river_proximity",
+        "geo_risk_code", "elevation_m", low_elev_cut=100.0)
+    x = x.withColumnsRenamed({"season_intensity": "monsoon_intensity", "pre_season_ratio": "premonsoon_ratio"})
     x = feat.smoothed_prior(x, "district", "flooded", fv.ENTITY_PRIOR_M, "district_flood_prior", fit)
-    x = feat.smoothed_prior(x, "province", "flooded", fv.GROUP_PRIOR_M, "province_flood_prior", fit)
-    x = feat.entity_anomaly(x, "district", "monsoon_total_mm", "monsoon_anomaly")
-    return feat.period_pressure(x, "year", "monsoon_total_mm", "year_rain_pressure")
+    x = feat.smoothed_prior(x, "province", "flooded", fv.GROUP_PRIOR_M, "province_flood_prior", fit,
+                            few_keys=True)
+    x = feat.entity_anomaly(x, "district", "monsoon_total_mm", "monsoon_anomaly", fit)
+    return feat.period_pressure(x, "year", "monsoon_total_mm", "year_rain_pressure", fit)

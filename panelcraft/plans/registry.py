@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelcraft.plans import catalog as c
+from panelcraft.plans import models as m
 from panelcraft.plans.oracle import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -51,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_sweep": c.report_sweep,
     "best_threshold": c.best_threshold,
     "roc_curve": c.roc_curve,
+    "roc_curves_top8": c.roc_curves_top8,
     "argmax_tuple": c.argmax_tuple,
     "topk_by_metric": c.topk_by_metric,
     "soft_vote": c.soft_vote,
@@ -66,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "smote_oversample": c.smote_oversample,
     # sources, sinks, streams
     "csv_roundtrip_scan": c.csv_roundtrip_scan,
+    "optional_source_fallback": c.optional_source_fallback,
     "resume_pending_keys": c.resume_pending_keys,
     "append_union": c.append_union,
     "event_map_explode": c.event_map_explode,
@@ -73,22 +76,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seasonal_weight": c.seasonal_weight,
     "stream_incremental_ingest": c.stream_incremental_ingest,
     "stream_payload_ingest": c.stream_payload_ingest,
-    # models (rows-only checks: no SQL counterpart for a fitted model)
-    "rf_balanced": c.rf_balanced,
-    "rf_smote": c.rf_smote,
-    "gbt_balanced": c.gbt_balanced,
-    "gbt_pos_weight": c.gbt_pos_weight,
-    "gbt_smote": c.gbt_smote,
-    "mlp_smote": c.mlp_smote,
-    "balanced_rf": c.balanced_rf,
-    "soft_vote_ensemble": c.soft_vote_ensemble,
-    "batch_score": c.batch_score,
-    "feature_importance": c.feature_importance,
-    "cv_f1": c.cv_f1,
-    "model_leaderboard": c.model_leaderboard,
-    "model_save_load_score": c.model_save_load_score,
-    "cv_test_gap": c.cv_test_gap,
-    "group_risk_from_model": c.group_risk_from_model,
+    # models (checked by what SQL can state of their output)
+    "rf_balanced": m.rf_balanced,
+    "rf_smote": m.rf_smote,
+    "gbt_balanced": m.gbt_balanced,
+    "gbt_pos_weight": m.gbt_pos_weight,
+    "gbt_smote": m.gbt_smote,
+    "mlp_smote": m.mlp_smote,
+    "balanced_rf": m.balanced_rf,
+    "soft_vote_ensemble": m.soft_vote_ensemble,
+    "batch_score": m.batch_score,
+    "feature_importance": m.feature_importance,
+    "cv_f1": m.cv_f1,
+    "model_leaderboard": m.model_leaderboard,
+    "model_save_load_score": m.model_save_load_score,
+    "cv_test_gap": m.cv_test_gap,
+    "group_risk_from_model": m.group_risk_from_model,
+    "champion_scores": m.champion_scores,
 }
 
 

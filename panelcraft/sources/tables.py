@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,8 +34,25 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """A small reference table given inline (code lists, lookups)."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small reference table given inline (code lists, lookups): literals in the plan, so
+    the optimizer knows its size, which a frame made of a driver's list hides."""
+    fields = StructType.fromDDL(schema).fields
+    literals = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, fields, strict=True)])
+                for r in rows]
+    return spark.range(1).select(F.inline(F.array(*literals)))
+
+
+def lookup_map(small: DataFrame, key: str, value: str | Column) -> Column:
+    """A scalar subquery that holds ``small`` (one row per key, few keys) as a map, to be read
+    with ``try_element_at``: no join, so no exchange of the large side on a few values."""
+    entry = F.struct(F.col(key), (F.col(value) if isinstance(value, str) else value).alias("v"))
+    return small.where(F.col(key).isNotNull()).agg(F.map_from_entries(F.collect_list(entry))).scalar()
+
+
+def union_counts(a: DataFrame, b: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
+    """Set union of the key columns with the number of rows in the bag union: one grouping."""
+    return (append_rows(a.select(*keys), b.select(*keys)).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias(name)))
 
 
 def explode_keyed_lists(df: DataFrame, map_col: str, keep: Sequence[str] = (),

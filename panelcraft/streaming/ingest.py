@@ -3,10 +3,11 @@
 The reference downloads one payload per key, appends rows and records the
 finished keys in a progress file.  Here payload files land in a folder; a file
 stream picks up only files it has not seen (the checkpoint is the progress
-record, committed together with the sink's rows), cleans them, drops repeats
-within a watermark and appends to a Parquet sink.  ``availableNow`` processes
-everything present and stops, so the same job serves batch catch-up and
-continuous running.
+record), cleans them and appends to a Parquet sink the rows whose keys it does not
+hold yet.  A key whose whole date range arrives after other keys' loses nothing:
+repeats are found in the sink, not in a state that a watermark clears.
+``availableNow`` processes everything present and stops, so the same job serves
+batch catch-up and continuous running.
 """
 
 from __future__ import annotations
@@ -14,20 +15,28 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from panelcraft.sources.tables import path_exists
+
+
+#: partition column of the sinks: rows of a key are in one of a fixed number of buckets
+BUCKET, BUCKETS = "key_bucket", 64
+
 
 def start_ingest(spark: SparkSession, source: str, schema: StructType | str, sink: str,
                  checkpoint: str, transform: Callable[[DataFrame], DataFrame],
                  keys: Sequence[str], event_time: str | None = None,
-                 delay: str = "1 day", fmt: str = "parquet", source_glob: str | None = None,
-                 partition_by: Sequence[str] = (), max_files: int | None = None,
-                 available_now: bool = True) -> StreamingQuery:
-    """Start the stream ``source -> transform -> dedupe(keys) -> sink``.
+                 delay: str | None = None, fmt: str = "parquet", source_glob: str | None = None,
+                 max_files: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Start the stream ``source -> transform -> rows with new keys -> sink``.
 
-    With ``event_time`` the dedupe state is bounded by a watermark
-    (``dropDuplicatesWithinWatermark``); without it the state keeps every key.
+    By default every row whose ``keys`` the sink lacks is appended (``idempotent_append``).
+    With ``event_time`` and ``delay`` repeats are found in a state bounded by a watermark
+    instead, which DROPS rows that come later than ``delay`` after newer ones; it is only
+    for sources in time order, so both must be given.
     """
     r = spark.readStream.schema(schema).format(fmt)
     if source_glob:
@@ -35,14 +44,14 @@ def start_ingest(spark: SparkSession, source: str, schema: StructType | str, sin
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     rows = transform(r.load(source))
+    if (event_time is None) != (delay is None):
+        raise ValueError("event_time and delay go together: rows later than delay are dropped")
     if event_time:
         rows = rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+        w = rows.writeStream.format("parquet").option("path", sink).outputMode("append")
     else:
-        rows = rows.dropDuplicates(list(keys))
-    w = (rows.writeStream.format("parquet").option("path", sink)
-             .option("checkpointLocation", checkpoint).outputMode("append"))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = rows.writeStream.foreachBatch(idempotent_append(sink, keys))
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
@@ -52,46 +61,45 @@ def run_ingest(spark: SparkSession, *args, **kw) -> DataFrame:
     q = start_ingest(spark, *args, **kw)
     q.awaitTermination()
     sink = args[2] if len(args) > 2 else kw["sink"]
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink)
+
 
+def read_sink(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.parquet(sink).drop(BUCKET)
 
-def idempotent_append(sink: str, keys: Sequence[str], partition_by: Sequence[str] = ()):
+
+def idempotent_append(sink: str, keys: Sequence[str]):
     """A ``foreachBatch`` writer that appends only rows whose keys the sink does
     not hold yet.
 
-    "Done" is read from the sink's committed files (pruned to the partitions the
-    batch touches), never from a side file, so a batch that is re-run after a
-    failure adds nothing twice: at-least-once delivery becomes exactly-once rows.
+    "Done" is read from the sink's committed files, never from a side file, so a batch
+    that is re-run after a failure adds nothing twice.  The sink is partitioned by a hash
+    of the first key, and only the buckets that the batch touches are read.
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates(list(keys))
+        rows = batch.dropDuplicates(list(keys)).withColumn(
+            BUCKET, F.pmod(F.xxhash64(keys[0]), F.lit(BUCKETS)).cast("int"))
+        rows.persist()                       # read for its buckets, and to be appended
         try:
-            existing = spark.read.parquet(sink)
-        except Exception:                     # no committed data yet  # noqa: BLE001
-            existing = None
-        if existing is not None:
-            if partition_by:
-                touched = rows.select(*partition_by).distinct()
-                existing = existing.join(touched, list(partition_by), "left_semi")
-            rows = rows.join(existing.select(*keys), list(keys), "left_anti")
-        w = rows.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(sink)
+            if path_exists(spark, sink):
+                touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]   # <= BUCKETS
+                held = (spark.read.schema(rows.schema).parquet(sink)
+                        .where(F.col(BUCKET).isin(touched)).select(BUCKET, *keys))
+                new = rows.join(held, [BUCKET, *keys], "left_anti")
+            else:
+                new = rows
+            new.write.mode("append").partitionBy(BUCKET).parquet(sink)
+        finally:
+            rows.unpersist()
     return write
 
 
 def start_payload_ingest(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                          transform: Callable[[DataFrame], DataFrame], keys: Sequence[str],
-                         partition_by: Sequence[str] = (), fmt: str = "text",
-                         schema: StructType | str = "value string",
+                         fmt: str = "text", schema: StructType | str = "value string",
                          max_files: int | None = None) -> StreamingQuery:
     """Landed payload files -> ``transform`` (parse, flatten, clean) -> idempotent
     append to a Parquet sink; runs what is present and stops (``availableNow``)."""
-    r = spark.readStream.format(fmt).schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    rows = transform(r.load(landing))
-    return (rows.writeStream.foreachBatch(idempotent_append(sink, keys, partition_by))
-                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return start_ingest(spark, landing, schema, sink, checkpoint, transform, keys, fmt=fmt,
+                        max_files=max_files)
