@@ -1,5 +1,6 @@
 """Sources, sinks and the stream: typed round trips, fallback, resumable ingestion."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelcraft.session import work_dir
@@ -12,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_fallback_reader_one_schema(spark):
     schema = spark.read.parquet(f"{SF}/region.parquet").schema
-    missing = work_dir(spark, "absent")
+    missing = work_dir(spark, "absent") + "/t"
     df = tb.read_with_fallback(spark, missing, schema,
                                lambda: spark.read.parquet(f"{SF}/region.parquet"))
     assert df.schema == schema and df.count() == 5
@@ -35,26 +36,48 @@ def test_pending_keys_and_stream_resume(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     ev.where(F.col("event_id") < 100).write.parquet(f"{src}/part1")
 
-    def tr(df):
-        return df.withColumn("ts", F.col("ts").cast("timestamp"))
-
-    args = (spark, f"{src}/*", ev.schema, f"{base}/sink", f"{base}/ck", tr, ["event_id"])
-    first = run_ingest(*args, event_time="ts").count()
+    args = (spark, f"{src}/*", ev.schema, f"{base}/sink", f"{base}/ck", lambda df: df, ["event_id"])
+    first = run_ingest(*args).count()
     ev.where(F.col("event_id") >= 100).write.parquet(f"{src}/part2")
-    second = run_ingest(*args, event_time="ts").count()
-    third = run_ingest(*args, event_time="ts").count()
+    second = run_ingest(*args).count()
+    third = run_ingest(*args).count()
     assert first == 100 and second == ev.count() and third == second
     done = spark.read.parquet(f"{base}/sink").select("event_id")
     pend = tb.pending_keys(ev.select("event_id"), done, ["event_id"])
     assert pend.count() == 0
 
 
+def test_second_key_with_the_same_dates_loses_nothing(spark):
+    """Key after key, each with the full date range: the later key's rows are all kept."""
+    base = work_dir(spark, "two-keys")
+    days = spark.sql("SELECT explode(sequence(DATE'2010-01-01', DATE'2011-12-31')) AS day")
+    args = (spark, f"{base}/landing/*", "key string, day date", f"{base}/sink", f"{base}/ck", lambda df: df, ["key", "day"])
+    days.select(F.lit("A").alias("key"), "day").write.parquet(f"{base}/landing/a")
+    run_ingest(*args)
+    days.select(F.lit("B").alias("key"), "day").write.parquet(f"{base}/landing/b")
+    got = {r["key"]: r["n"] for r in run_ingest(*args).groupBy("key").agg(F.count("*").alias("n")).collect()}
+    assert got == {"A": 730, "B": 730}
+
+
+def test_watermark_needs_a_stated_delay(spark):
+    with pytest.raises(ValueError):
+        run_ingest(spark, "/x", "k int", "/y", "/z", lambda df: df, ["k"], event_time="ts")
+
+
+def test_shared_folder(spark):
+    from panelcraft.session import checkpoint_root, written
+    assert work_dir(spark, "x").startswith(checkpoint_root(spark).rstrip("/"))
+    assert work_dir(spark, "x") != work_dir(spark, "x")
+    df = spark.createDataFrame([(1, None)], "a int not null, b string")
+    assert written(df, "x").collect() == df.collect()
+
+
 def test_idempotent_append_survives_batch_retry(spark):
     from panelcraft.streaming.ingest import idempotent_append
     sink = work_dir(spark, "idem") + "/sink"
     ev = spark.read.parquet(f"{SF}/events.parquet").select(
         "event_id", "value", F.lit(2024).alias("year"))
-    write = idempotent_append(sink, ["event_id"], ["year"])
+    write = idempotent_append(sink, ["event_id"])
     write(ev.where("event_id < 50"), 0)
     write(ev.where("event_id < 50"), 0)           # the same batch again (a retry)
     write(ev.where("event_id < 80"), 1)           # overlaps the first batch

@@ -11,7 +11,9 @@ import __spark_entry__ as entry  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
-KEYS = sorted(entry.oracle_sql())
+#: fits at the reference's sizes take minutes each: with PANELCRAFT_SLOW=1 only
+SLOW = {k for k, f in entry.queries().items() if f.__module__ == "panelcraft.plans.models"}
+KEYS = sorted(set(entry.oracle_sql()) - (set() if os.environ.get("PANELCRAFT_SLOW") else SLOW))
 
 
 @pytest.fixture(scope="module")

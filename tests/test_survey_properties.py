@@ -76,7 +76,7 @@ def test_forest_separates_a_separable_fixture(spark):
     scored = md.score(model, te, ["o_orderkey", "y"])
     auc = ev.roc_auc(scored, "y", "score").first()["auc"]
     assert auc > 0.95
-    m = md.evaluate("rf", scored, "y").first()
+    m = md.evaluate("rf", scored, "y", None).first()
     assert m["tp"] + m["fp"] + m["fn"] + m["tn"] == te.count()
 
 
@@ -108,7 +108,7 @@ def test_sweep_and_auc_tolerate_nan_and_extreme_scores(spark):
     df = spark.createDataFrame([(1, 0.9), (1, float("nan")), (0, 1e300), (0, -5.0), (0, 0.2)],
                                "y int, s double")
     sw = {round(r["threshold"], 2): r for r in ev.threshold_sweep(df, "y", "s").collect()}
-    assert (sw[0.5]["tp"], sw[0.5]["fp"], sw[0.5]["fn"], sw[0.5]["tn"]) == (1, 1, 1, 2)
+    assert (sw[0.5]["tp"], sw[0.5]["fp"], sw[0.5]["fn"], sw[0.5]["tn"]) == (1, 1, 0, 2)
     assert ev.roc_auc(df, "y", "s").first()["auc"] == 2 / 3
 
 
