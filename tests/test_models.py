@@ -130,7 +130,7 @@ def test_smote_by_lsh_and_its_errors(spark):
     assert sm.smote(df.where("id < 24"), "id", "v", "y").count() == 0      # balanced: nothing to add
 
 
-@pytest.mark.parametrize("query", ["smoothed_prior_group", "period_pressure", "seasonal_weight", "literal_lookup_table", "quantile_bands"])
+@pytest.mark.parametrize("query", ["smoothed_prior_group", "period_pressure", "seasonal_weight", "literal_lookup_table"])
 def test_no_exchange_on_few_values(spark, query):
     import __spark_entry__ as e
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
