@@ -35,25 +35,79 @@ from panelcraft.session import written
 
 SIDE, VECTOR, HIDDEN = 2, 16, 32
 CLASSES, TOP_CLASSES, VOCABULARY, CONTEXT = 64, 40, 16_384, 4_096
-ROUNDS, STRIDE, BATCH, RATE = 2, 8, 512, 0.01
-#: remembered words of a worker; windows that are scored together
-MEMORY, TOGETHER = 300_000, 16_384
+ROUNDS, STRIDE, BATCH, RATE = 2, 8, 1024, 0.1
+#: windows that are scored together, code points that are cut into words together
+TOGETHER, CHARACTERS = 8_192, 1 << 19
 SHAPES = {"vectors": (CONTEXT + CLASSES + 1, VECTOR), "w1": (2 * SIDE * VECTOR, HIDDEN), "b1": (HIDDEN,),
           "w2": (HIDDEN, CLASSES), "b2": (CLASSES,)}
 
 
-def ending_class(word: str) -> int:
-    return TOP_CLASSES + zlib.crc32(word[-2:].encode()) % (CLASSES - TOP_CLASSES)
-
-
-class Words(dict):
-    """word (its bytes) -> its number: rank in the vocabulary, or ``VOCABULARY`` + class."""
-
-    def __missing__(self, word: bytes) -> int:
-        k = VOCABULARY + ending_class(word.decode(errors="replace"))
-        if len(self) < VOCABULARY + MEMORY and len(word) <= 64:
-            self[word] = k
-        return k
+def ending_class(word: bytes) -> int:
+    """Class of a word that is none of its own: by a hash of its last two bytes."""
+    return TOP_CLASSES + zlib.crc32(word[-2:]) % (CLASSES - TOP_CLASSES)
+
+
+# -- words of a text as numbers, by array operations over its bytes
+
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LONGEST = 1 << 14
+with np.errstate(over="ignore"):
+    _POWERS = np.cumprod(np.full(_LONGEST, 0x9E3779B97F4A7C15, dtype=np.uint64))
+_BYTES = np.arange(1, 257, dtype=np.uint64)
+_ONE = np.array([ending_class(bytes([i])) for i in range(256)])
+_TWO = np.array([[ending_class(bytes([i, j])) for j in range(256)] for i in range(256)])
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit polynomial hash, ending class, first byte) of each word among bytes."""
+    inside = np.flatnonzero(~_SPACE[data]).astype(np.int32)
+    if not len(inside):
+        return np.empty(0, np.uint64), np.empty(0, np.int64), inside
+    first = np.flatnonzero(np.diff(inside, prepend=np.int32(-2)) != 1).astype(np.int32)   # of each word, among ``inside``
+    size = np.diff(first, append=np.int32(len(inside)))
+    place = (np.arange(len(inside), dtype=np.int32) - np.repeat(first, size)) & np.int32(_LONGEST - 1)
+    part = _POWERS[place] * _BYTES[data[inside]]
+    ends = inside[first + size - 1]
+    classes = np.where(size == 1, _ONE[data[ends]], _TWO[data[ends - 1], data[ends]])
+    return np.add.reduceat(part, first), classes, inside[first]
+
+
+class Numbers:
+    """Numbers of words: rank in the vocabulary, or ``VOCABULARY`` + class.
+
+    An open hash table of 64-bit word hashes, four times as large as the vocabulary; a lookup
+    steps through it for all words of a text at once."""
+
+    def __init__(self, vocabulary: list[str]):
+        self.bits = max(4, (4 * len(vocabulary)).bit_length())
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.ranks = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.steps = 1
+        for i, w in enumerate(vocabulary):
+            h = word_hashes(np.frombuffer(w.encode(), np.uint8))[0]
+            at, n = int(self._slot(h)[0]), 1
+            while self.ranks[at] >= 0:
+                at, n = (at + 1) % len(self.keys), n + 1
+            self.keys[at], self.ranks[at] = h[0], i
+            self.steps = max(self.steps, n)
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number, first byte) of each word."""
+        h, classes, at_byte = word_hashes(data)
+        out, at, left = VOCABULARY + classes, self._slot(h), np.arange(len(h))
+        for _ in range(self.steps):
+            rank = self.ranks[at]
+            hit = self.keys[at] == h[left]
+            found = hit & (rank >= 0)
+            out[left[found]] = rank[found]
+            more = np.flatnonzero(~hit & (rank >= 0))
+            if not len(more):
+                break
+            left, at = left[more], (at[more] + 1) % len(self.keys)
+        return out, at_byte
 
 
 @dataclass
@@ -63,12 +117,12 @@ class Lexicon:
     counts: np.ndarray              # of the vocabulary's words
     rest: np.ndarray                # for each class the count of its words beyond the vocabulary
     types: np.ndarray               # and how many such words there are
-    numbers: Words = field(init=False, repr=False)
+    numbers: Numbers = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
-        self.numbers = Words((w.encode(), i) for i, w in enumerate(self.vocabulary))
+        self.numbers = Numbers(self.vocabulary)
         n = len(self.vocabulary)
-        own = np.array([i if i < TOP_CLASSES else ending_class(w) for i, w in enumerate(self.vocabulary)], dtype=np.int64)
+        own = np.array([i if i < TOP_CLASSES else ending_class(w.encode()) for i, w in enumerate(self.vocabulary)], dtype=np.int64)
         size = VOCABULARY + CLASSES
         self.class_of = np.zeros(size, dtype=np.int64)
         self.class_of[:n] = own
@@ -85,9 +139,19 @@ class Lexicon:
     def __reduce__(self):
         return Lexicon, (self.vocabulary, self.counts, self.rest, self.types)
 
-    def ids(self, text: str | None) -> np.ndarray:
-        found = text.lower().encode(errors="replace").split() if text else []   # at ASCII white space
-        return np.fromiter(map(self.numbers.__getitem__, found), dtype=np.int64, count=len(found))
+    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the words of all texts in a row, how many each text has)."""
+        parts = [(t or "").lower().encode(errors="replace") for t in texts]
+        ids, at = self.numbers.of(np.frombuffer(b"\n".join(parts), np.uint8))
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        return ids, np.diff(np.searchsorted(at, ends), prepend=0)
+
+    def line(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' rows of the vectors, each text between boundaries, and the place of every word."""
+        at = np.arange(len(ids)) + SIDE * (1 + np.repeat(np.arange(len(size)), size))
+        line = np.full(len(ids) + SIDE * (len(size) + 1), self.boundary)
+        line[at] = self.context[ids]
+        return line, at
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -99,13 +163,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def lexicon(counts: DataFrame) -> Lexicon:
     """The vocabulary and, for all other words, sums by class."""
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    k = F.lit(TOP_CLASSES) + F.pmod(F.crc32(F.substring("word", -2, 2).cast("binary")), F.lit(CLASSES - TOP_CLASSES))
+    k = F.lit(TOP_CLASSES) + F.pmod(F.crc32(F.substring(F.col("word").cast("binary"), -2, 2)), F.lit(CLASSES - TOP_CLASSES))
     by_class = counts.groupBy(k.cast("int").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect()
     rest, types = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in by_class:
         rest[r["k"]], types[r["k"]] = r["n"], r["types"]
     for r in top:
-        rest[c := ending_class(r["word"])] -= r["n"]
+        rest[c := ending_class(r["word"].encode())] -= r["n"]
         types[c] -= 1
     return Lexicon([r["word"] for r in top], np.array([r["n"] for r in top], dtype=float), rest, types)
 
@@ -122,11 +186,21 @@ def initial(lex: Lexicon) -> Network:
     return {k: v.astype(np.float32) for k, v in net.items()}
 
 
-def windows(ids: np.ndarray, lex: Lexicon, at: np.ndarray) -> np.ndarray:
-    """Rows of the vectors for both sides of the places ``at``."""
-    edge = np.full(SIDE, lex.boundary)
-    c = np.concatenate([edge, lex.context[ids], edge])
-    return c[at[:, None] + np.array([*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)])]
+#: places of a window beside the word
+SIDES = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
+
+
+def batches_of(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of texts of about ``CHARACTERS`` code points, with their first row."""
+    first, held, size = 0, [], 0
+    for i, value in enumerate(column):
+        held.append(value.as_py())
+        size += len(held[-1] or "")
+        if size >= CHARACTERS:
+            yield first, held
+            first, held, size = i + 1, [], 0
+    if held:
+        yield first, held
 
 
 def _forward(net: Network, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,9 +221,9 @@ def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray
     p[np.arange(n), target] -= 1
     p /= n
     dh = (p @ net["w2"].T) * (1 - h * h)
-    rows, inverse = np.unique(context, return_inverse=True)
-    dv = np.zeros((len(rows), VECTOR), dtype=np.float32)
-    np.add.at(dv, inverse.reshape(-1), (dh @ net["w1"].T).reshape(-1, VECTOR))
+    order = np.argsort(context, axis=None, kind="stable")
+    rows, starts = np.unique(context.reshape(-1)[order], return_index=True)
+    dv = np.add.reduceat((dh @ net["w1"].T).reshape(-1, VECTOR)[order], starts, axis=0)
     for k, g in (("w2", h.T @ p), ("b2", p.sum(axis=0)), ("w1", x.T @ dh), ("b1", dh.sum(axis=0))):
         squares[k] += g * g
         net[k] -= rate * g / np.sqrt(squares[k] + 1e-8)
@@ -180,12 +254,15 @@ def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int) -> Net
             held, size, seen = [(context[order[done:]], target[order[done:]])], len(target) - done, seen + done
 
         for batch in batches:
-            for value in batch.column(0):
-                ids = lex.ids(value.as_py())
-                at = np.arange((number + len(ids)) % STRIDE, len(ids), STRIDE)
-                if len(at):
-                    held.append((windows(ids, lex, at), lex.class_of[ids[at]]))
-                    size += len(at)
+            for _, texts in batches_of(batch.column(0)):
+                ids, count = lex.ids(texts)
+                line, places = lex.line(ids, count)
+                start = np.cumsum(count) - count
+                inside = np.arange(len(ids)) - np.repeat(start, count)
+                chosen = np.flatnonzero(inside % STRIDE == np.repeat((number + count) % STRIDE, count))
+                if len(chosen):
+                    held.append((line[places[chosen, None] + SIDES], lex.class_of[ids[chosen]]))
+                    size += len(chosen)
                 if size >= 16 * BATCH:
                     flush(BATCH)
         if size:
@@ -210,15 +287,37 @@ def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int) -> Net
     return out
 
 
-def log_likelihood(ids: np.ndarray, lex: Lexicon, net: Network) -> float:
-    """Sum over all places of log P(word | words on both sides)."""
-    total = 0.0
-    for a in range(0, len(ids), TOGETHER):
-        at = np.arange(a, min(a + TOGETHER, len(ids)))
-        _, _, z = _forward(net, windows(ids, lex, at))
-        k = lex.class_of[ids[at]]
-        total += float((z[np.arange(len(at)), k] - np.log(np.exp(z).sum(axis=1))).sum(dtype=np.float64) + lex.log_share[ids[at]].sum())
-    return total
+class Scorer:
+    """Scores texts with a network whose first layer is folded into a table for each place of a window."""
+
+    def __init__(self, lex: Lexicon, net: Network):
+        self.lex, self.net = lex, net
+        w1 = net["w1"].reshape(2 * SIDE, VECTOR, HIDDEN)
+        self.tables = [net["vectors"] @ w for w in w1]
+        self.ones = np.ones(CLASSES, dtype=np.float32)
+        # hidden values are within (-1, 1): logits that cannot overflow need no shift
+        self.bounded = float(np.abs(net["w2"]).sum(axis=0).max() + np.abs(net["b2"]).max()) < 60.0
+
+    def _places(self, context: np.ndarray) -> np.ndarray:
+        h = self.net["b1"] + self.tables[0][context[:, 0]]
+        for k in range(1, 2 * SIDE):
+            h += self.tables[k][context[:, k]]
+        return np.tanh(h, out=h)
+
+    def log_likelihoods(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """For each text the sum over its words of log P(word | both sides)."""
+        lex, out = self.lex, np.empty(len(ids))
+        line, at = lex.line(ids, size)
+        for a in range(0, len(ids), TOGETHER):
+            z = self._places(line[at[a:a + TOGETHER, None] + SIDES]) @ self.net["w2"]
+            z += self.net["b2"]
+            if not self.bounded:
+                z -= z.max(axis=1, keepdims=True)
+            own = z[np.arange(len(z)), lex.class_of[ids[a:a + TOGETHER]]]
+            out[a:a + TOGETHER] = own - np.log(np.exp(z, out=z) @ self.ones)
+        out += lex.log_share[ids]
+        # each text by itself, so that a sum depends on no other text
+        return np.array([x.sum() for x in np.split(out, np.cumsum(size)[:-1])]) if len(size) else np.empty(0)
 
 
 @dataclass
@@ -241,16 +340,15 @@ def score(docs: DataFrame, model: MaskedModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        scorer = Scorer(m.lexicon, m.network)
         for batch in batches:
-            n, s = [], []
-            for value in batch.column(1):
-                ids = m.lexicon.ids(value.as_py())
-                n.append(len(ids))
-                s.append(log_likelihood(ids, m.lexicon, m.network))
-            mean = [x / k if k else None for x, k in zip(s, n, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(s, pa.float64()), pa.array(mean, pa.float64())],
-                names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+            for first, texts in batches_of(batch.column(1)):
+                ids, size = m.lexicon.ids(texts)
+                n, s = size.tolist(), scorer.log_likelihoods(ids, size).tolist()
+                mean = [x / k if k else None for x, k in zip(s, n, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(n)), pa.array(n, pa.int64()), pa.array(s, pa.float64()), pa.array(mean, pa.float64())],
+                    names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")

@@ -4,6 +4,8 @@ import math
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from panelcraft.llm import masked_lm as q
 
@@ -21,7 +23,7 @@ def docs_(spark):
 def plain(text, m):
     """Sum of log P(word | words on both sides), word by word."""
     lex, net = m.lexicon, {k: v.astype(float) for k, v in m.network.items()}
-    ids, total = lex.ids(text), 0.0
+    ids, total = lex.ids([text])[0], 0.0
     for i in range(len(ids)):
         rows = [lex.context[ids[j]] if 0 <= j < len(ids) else lex.boundary for j in (i - 2, i - 1, i + 1, i + 2)]
         h = np.tanh(np.concatenate([net["vectors"][r] for r in rows]) @ net["w1"] + net["b1"])
@@ -40,9 +42,23 @@ def test_scores_against_plain_python(spark, model, docs):
 
 def test_word_itself_is_masked(model):
     lex = model.lexicon
-    a, b = lex.ids("of the and"), lex.ids("of zzzz and")
-    at = np.array([1])
-    assert (q.windows(a, lex, at) == q.windows(b, lex, at)).all()
+    seen = []
+    for text in ("of the and", "of zzzz and"):
+        line, at = lex.line(*lex.ids([text]))
+        seen.append(line[at[1] + q.SIDES].tolist())
+    assert seen[0] == seen[1] and seen[0][0] == seen[0][3] == lex.boundary
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab éß日THE\n\t\x0b\x1c\x00\xa0", max_size=40) | st.none(), max_size=6))
+def test_numbers_of_words(texts):
+    words = ["a", "b", "the", "é", "日", "ab", "aa", "ba", "éß", "日日"]
+    lex = q.Lexicon(words, np.ones(len(words)), np.zeros(q.CLASSES), np.zeros(q.CLASSES))
+    ids, size = lex.ids(texts)
+    cut = [(t or "").lower().encode().split() for t in texts]
+    assert size.tolist() == [len(c) for c in cut]
+    rank = {w.encode(): i for i, w in enumerate(words)}
+    assert ids.tolist() == [rank.get(w, q.VOCABULARY + q.ending_class(w)) for c in cut for w in c]
 
 
 def test_shares_sum_to_one_in_each_class(model, docs_):
@@ -57,7 +73,8 @@ def test_training_beats_the_classes_alone(docs_, model):
     lex = model.lexicon
     texts = [r["text"] for r in docs_.limit(200).collect()]
     flat = {**q.initial(lex), "w2": np.zeros(q.SHAPES["w2"], np.float32)}
-    mean = lambda net: sum(q.log_likelihood(lex.ids(t), lex, net) for t in texts) / sum(len(lex.ids(t)) for t in texts)
+    ids, size = lex.ids(texts)
+    mean = lambda net: q.Scorer(lex, net).log_likelihoods(ids, size).sum() / size.sum()
     assert mean(model.network) > mean(flat) + 0.1
 
 
