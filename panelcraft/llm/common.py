@@ -52,3 +52,14 @@ def unused(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def hash_sample(df: DataFrame, column: str, rows: int) -> DataFrame:
+    """The ``rows`` rows with the least hashes of ``column`` (all, if there are no more).
+
+    Only rows whose hash is below a bound that about ``1.2 * rows`` of them keep are put in order,
+    so what is gathered doesn't grow with the table."""
+    n, h = df.count(), F.xxhash64(column)
+    if n > rows:
+        df = df.filter(h < F.lit(int(min(1.0, (1.2 * rows + 200) / n) * (1 << 64)) - (1 << 63) - 1))
+    return df.orderBy(h, column).limit(rows)

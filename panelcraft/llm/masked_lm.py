@@ -160,9 +160,32 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return written(w.groupBy("word").agg(F.count("*").alias("n")), "word-counts")
 
 
+def least_count(counts: DataFrame, most: int, parts: int = 1024) -> int:
+    """The least count that ``most`` words or fewer reach.  A histogram of at most ``parts`` cells is
+    narrowed to the cell of the limit until a cell is one count; words tied at the limit stay out."""
+    lo, hi, above = 1, counts.agg(F.max("n")).first()[0] or 0, 0
+    while lo <= hi:
+        width = -(-(hi - lo + 1) // parts)
+        cell = ((F.col("n") - lo) / width).cast("long")
+        rows = counts.filter(F.col("n").between(lo, hi)).groupBy(cell.alias("c")).agg(F.count("*").alias("k")).collect()
+        held = {r["c"]: r["k"] for r in rows}
+        limit = None
+        for c in sorted(held, reverse=True):
+            if above + held[c] > most:
+                limit = c
+                break
+            above += held[c]
+        if limit is None:
+            return lo
+        if width == 1:
+            return lo + limit + 1
+        lo, hi = lo + limit * width, min(hi, lo + (limit + 1) * width - 1)
+    return lo
+
+
 def lexicon(counts: DataFrame) -> Lexicon:
     """The vocabulary and, for all other words, sums by class."""
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    top = sorted(counts.filter(F.col("n") >= least_count(counts, VOCABULARY)).collect(), key=lambda r: (-r["n"], r["word"]))
     k = F.lit(TOP_CLASSES) + F.pmod(F.crc32(F.substring(F.col("word").cast("binary"), -2, 2)), F.lit(CLASSES - TOP_CLASSES))
     by_class = counts.groupBy(k.cast("int").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect()
     rest, types = np.zeros(CLASSES), np.zeros(CLASSES)

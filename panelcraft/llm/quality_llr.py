@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcraft.llm.common import let, words
+from panelcraft.llm.common import hash_sample, let, words
 
 N_BUCKETS = 8192
 TRUSTED_ROWS = 20_000
@@ -110,7 +110,7 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, n_buckets: int = N_BUCKE
 def trusted_sample(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
     """At most ``rows`` documents labelled good, taken in the order of a hash of the id."""
     good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return hash_sample(good, "doc_id", rows)
 
 
 def judged(text: Column, weights: np.ndarray, threshold: int = THRESHOLD) -> Column:

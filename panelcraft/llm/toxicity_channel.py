@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcraft.llm.common import unused
+from panelcraft.llm.common import hash_sample, unused
 from panelcraft.session import written
 
 #: fixed values: letters that a sign may stand for
@@ -243,7 +243,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     """(text, toxic): at most ``rows`` labelled documents of each class, none held out."""
     own = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     one = own.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
-    part = lambda c: one.filter(F.col("_toxic") == c).orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    part = lambda c: hash_sample(one.filter(F.col("_toxic") == c), "_id", rows)
     chosen = F.broadcast(part(0).unionAll(part(1)))   # 2 * rows small rows at most
     return docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id")).select("text", "_toxic")
 

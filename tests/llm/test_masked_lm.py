@@ -99,3 +99,15 @@ def test_edge_cases(edge, model):
 
 def test_empty_table(empty):
     assert q.train_and_score(empty).collect() == []
+
+
+@pytest.mark.parametrize("most", [1, 7, 50, 10_000])
+@pytest.mark.parametrize("parts", [2, 1024])
+def test_least_count(spark, most, parts):
+    n = [1] * 40 + [2] * 9 + [3, 3, 5, 8, 8, 100, 70_000, 70_001]
+    df = spark.createDataFrame([(f"w{i}", k) for i, k in enumerate(n)], "word string, n long")
+    least = q.least_count(df, most, parts)
+    assert sum(k >= least for k in n) <= most
+    below = max((k for k in n if k < least), default=None)
+    assert below is None or sum(k >= below for k in n) > most
+    assert q.least_count(df.limit(0), most, parts) >= 0

@@ -6,6 +6,7 @@ import struct
 from collections import Counter
 
 import xxhash
+from pyspark.sql import functions as F
 
 from panelcraft.llm import quality_llr as q
 
@@ -98,3 +99,11 @@ def test_no_python_in_the_plan(docs, labels):
     import numpy as np
     plan = q.verdicts(docs, np.zeros(16, dtype=np.int64))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_sample_is_the_least_hashes(spark):
+    from panelcraft.llm.common import hash_sample
+    df = spark.range(5000)
+    want = [r["id"] for r in df.orderBy(F.xxhash64("id"), "id").limit(700).collect()]
+    assert [r["id"] for r in hash_sample(df, "id", 700).collect()] == want
+    assert hash_sample(df, "id", 9000).count() == 5000
