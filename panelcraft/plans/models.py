@@ -22,7 +22,7 @@ from panelcraft.operators import models as md
 from panelcraft.operators import sampling as sm
 from panelcraft.plans import catalog as c
 from panelcraft.session import work_dir, written
-from panelcraft.sources.tables import write_table
+from panelcraft.sources.tables import read_table, write_table
 
 KEYS = ["entity", "year"]
 ROWS_PER_TASK = 50_000
@@ -262,28 +262,34 @@ def _load_and_score(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame
 
 
 def model_save_load_score(spark, sf):
-    """Fit, save with scaler and metadata, load, score raw rows: equal to the scores in memory?"""
+    """Fit, save with scaler and metadata, load, score raw rows, write keys and risk scores: are they
+    equal to the scores in memory?"""
     d = _data(spark, sf)
     models, row, _ = _evaluated("rf_balanced", d, [0])
     path = work_dir(spark, "models")
     _save(models, d, row, path)
     keys = ["entity", "grp", "year", "flag"]
     memory = md.score_vote(models, sm.apply_standardizer(d.raw, d.stats), [*keys, "rid"], "rid")
-    loaded = _load_and_score(spark, d.raw, path)
-    both = loaded.join(memory.select("entity", "year", F.col("score").alias("_m")), KEYS)
-    return both.select(*keys, (F.abs(F.col("score") - F.col("_m")) < 1e-9).alias("same_as_in_memory"),
+    loaded = written(_load_and_score(spark, d.raw, path), "loaded-scores")
+    both = (_deliver(spark, loaded, path).join(memory.select("entity", "year", F.col("score").alias("_m")), KEYS)
+            .join(loaded.select("entity", "year", "predicted"), KEYS))
+    return both.select(*keys, (F.abs(F.col("risk_score") - F.col("_m")) < 1e-9).alias("same_as_in_memory"),
                        F.col("predicted").isin(0, 1).alias("has_decision"))
 
 
 def champion_scores(spark, sf):
     """The leaderboard's champion, saved with its scaler and metadata; keys and risk scores of all
-    rows by the loaded model, written as CSV and read back."""
-    from panelcraft.sources.tables import read_table
+    rows by the loaded model, written as CSV and read back.  (Not registered: it fits what
+    ``model_leaderboard`` fits.)"""
     d = _data(spark, sf)
     models, board = _leaderboard(d)
     name = _champion(board)
     path = work_dir(spark, "champion")
     _save(models[name], d, board.where(F.col("model") == name), path)
-    scores = _load_and_score(spark, d.raw, path).select("entity", "grp", "year", "flag", F.col("score").alias("risk_score"))
-    out = write_table(scores, f"{path}/scores", "csv")
+    return _deliver(spark, _load_and_score(spark, d.raw, path), path)
+
+
+def _deliver(spark: SparkSession, scored: DataFrame, path: str) -> DataFrame:
+    """Keys, label and risk score, as a CSV table that is read back."""
+    out = write_table(scored.select("entity", "grp", "year", "flag", F.col("score").alias("risk_score")), f"{path}/scores", "csv")
     return read_table(spark, out, "entity long, grp string, year int, flag int, risk_score double", "csv")
