@@ -146,9 +146,10 @@ def feature_importance(model: PipelineModel | Sequence[PipelineModel], features:
 
 
 def bagged_forest(bags: DataFrame, features: Sequence[str], label: str, n_bags: int,
-                  max_depth: int = 12, min_leaf: int = 2, parallelism: int = 8) -> list[PipelineModel]:
+                  max_depth: int = 12, min_leaf: int = 2, parallelism: int = 32) -> list[PipelineModel]:
     """One tree for each balanced bag (fitted concurrently); scores are averaged by
-    ``score_vote``.  The bags are written by bag, so that a fit reads its own rows only."""
+    ``score_vote``.  The bags are written by bag, so that a fit reads its own rows only; a fit is
+    a row of small jobs, so many run at a time."""
     spark, path = bags.sparkSession, work_dir(bags.sparkSession, "bags") + "/t"
     bags.repartition("bag").write.partitionBy("bag").parquet(path)
 
