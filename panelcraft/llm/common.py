@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcraft.session import written
+
 #: words are runs of anything but ASCII white space
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -40,10 +42,12 @@ def keyed_join(big: DataFrame, small: DataFrame, key: str, total: int, heavy: in
     is the number of rows of ``big``.  Fewer than ``heavy`` keys can hold more than one in
     ``heavy`` of the rows: these are joined by broadcast, the others by shuffle.
     """
-    hot = F.broadcast(small.filter(F.col("n") * heavy > total).drop("n"))
+    hot = written(small.filter(F.col("n") * heavy > total).drop("n"), "hot-keys")
+    if hot.isEmpty():
+        return big.join(small.drop("n"), key)
     cold = small.filter(F.col("n") * heavy <= total).drop("n")
-    rest = big.join(hot.select(key), key, "left_anti").join(cold, key)
-    return big.join(hot, key).unionByName(rest)
+    rest = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return big.join(F.broadcast(hot), key).unionByName(rest)
 
 
 def unused(columns: list[str], name: str) -> str:

@@ -140,9 +140,9 @@ def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     named = points.join(label, points["fp"] == label["node"])
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     linked = named.select("fp", "label").join(least, "label")
-    by_fp = (points.join(linked, "fp", "left")
-             .select("fp", "n", F.coalesce("label", "fp").alias("grp"),
-                     F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    by_fp = written(points.join(linked, "fp", "left").select(
+        "fp", "n", F.coalesce("label", "fp").alias("grp"),
+        F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")), "simhash-classes")
     # many documents of one text share a fingerprint
     return keyed_join(marked, by_fp, "fp", marked.count())
 

@@ -113,3 +113,14 @@ def test_very_long_text_equals_the_plain_sum():
 def test_hash_of_the_engine(spark):
     got = spark.range(1).select(F.xxhash64(F.lit("a b c"))).first()[0]
     assert got & (1 << 64) - 1 == xxhash.xxh64_intdigest(b"a b c", 42)
+
+
+def test_keyed_join_with_and_without_hot_keys(spark):
+    from panelcraft.llm.common import keyed_join
+    for hot in (0, 3000):
+        big = spark.createDataFrame([(7, i) for i in range(hot)] + [(100 + i % 1500, i) for i in range(3000)], "k long, x long")
+        small = big.groupBy("k").agg(F.count("*").alias("n"), (F.max("k") * 2).alias("y")).filter("k <> 105")
+        want = Counter((r["k"], r["x"], 2 * r["k"]) for r in big.collect() if r["k"] != 105)
+        for heavy in (2, 1024, 10 ** 9):
+            got = keyed_join(big, small, "k", 3000 + hot, heavy).select("k", "x", "y")
+            assert Counter(tuple(r) for r in got.collect()) == want
