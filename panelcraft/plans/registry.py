@@ -94,6 +94,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_risk_from_model": m.group_risk_from_model,
 }
 
+#: queries that fit models, the longest last
+MODEL_FITS = [k for k, f in QUERIES.items() if f.__module__ == m.__name__ and k not in ("model_leaderboard", "cv_test_gap")]
+MODEL_FITS += ["model_leaderboard", "cv_test_gap"]
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
