@@ -5,10 +5,10 @@ word itself masked; a document's score is the sum of these conditional log proba
 
 Word counts come from the whole corpus.  The probability of a word is that of its class given the
 window (a one-layer network on word vectors, softmax over ``CLASSES``) times the share of
-the word in its class: the ``TOP_CLASSES`` most frequent words are classes of their own, the
-others go by a hash of their ending; words beyond the ``VOCABULARY`` most frequent share their
-class's remaining count evenly.  So all words of the corpus have a probability, and they sum
-to one.
+the word in its class by its exact count: the ``TOP_CLASSES`` most frequent words are classes of
+their own, the others go by a hash of their ending.  The counts of the ``VOCABULARY`` most frequent
+words are broadcast, those of all others meet their texts by a join on the word.  So all words of
+the corpus have a probability, and they sum to one.
 
 Training covers all documents: in each round every task takes the current network through its
 documents by mini-batches in numpy (one window in ``STRIDE``, at an offset given by the round),
@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from panelcraft.llm.common import words
 from panelcraft.session import written
 
 SIDE, VECTOR, HIDDEN = 2, 16, 32
-CLASSES, TOP_CLASSES, VOCABULARY, CONTEXT = 64, 40, 16_384, 4_096
+CLASSES, TOP_CLASSES, VOCABULARY, CONTEXT = 256, 200, 131_072, 8_192
 ROUNDS, STRIDE, BATCH, RATE = 2, 8, 1024, 0.1
 #: windows that are scored together, code points that are cut into words together
 TOGETHER, CHARACTERS = 8_192, 1 << 19
@@ -83,13 +84,15 @@ class Numbers:
         self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
         self.ranks = np.full(1 << self.bits, -1, dtype=np.int64)
         self.steps = 1
-        for i, w in enumerate(vocabulary):
-            h = word_hashes(np.frombuffer(w.encode(), np.uint8))[0]
-            at, n = int(self._slot(h)[0]), 1
-            while self.ranks[at] >= 0:
-                at, n = (at + 1) % len(self.keys), n + 1
-            self.keys[at], self.ranks[at] = h[0], i
-            self.steps = max(self.steps, n)
+        h = word_hashes(np.frombuffer("\n".join(vocabulary).encode(), np.uint8))[0]
+        at, left = self._slot(h), np.arange(len(h))
+        while len(left):                                 # each word takes the next free slot
+            free = np.flatnonzero(self.ranks[at] < 0)
+            slots, first = np.unique(at[free], return_index=True)
+            won = free[first]
+            self.keys[slots], self.ranks[slots] = h[left[won]], left[won]
+            left, at = np.delete(left, won), (np.delete(at, won) + 1) % len(self.keys)
+            self.steps += bool(len(left))
 
     def _slot(self, h: np.ndarray) -> np.ndarray:
         return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -132,6 +135,8 @@ class Lexicon:
         self.log_share = np.zeros(size)
         self.log_share[:n] = np.log(np.maximum(self.counts, 1) / total[own])
         self.log_share[VOCABULARY:] = np.log((self.rest + 1) / (self.types + 1) / total)
+        #: the share of one count for all words beyond the vocabulary, whose own counts come by a join
+        self.log_share_of_one = np.where(np.arange(size) < VOCABULARY, self.log_share, -np.log(total)[self.class_of])
         #: row of the vectors: frequent words, then classes, then the boundary
         self.context = np.where(np.arange(size) < CONTEXT, np.arange(size), CONTEXT + self.class_of)
         self.boundary = CONTEXT + CLASSES
@@ -141,10 +146,15 @@ class Lexicon:
 
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the words of all texts in a row, how many each text has)."""
+        return self.read(texts)[:2]
+
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What ``ids`` returns, the texts' bytes, and the first byte of each word."""
         parts = [(t or "").lower().encode(errors="replace") for t in texts]
-        ids, at = self.numbers.of(np.frombuffer(b"\n".join(parts), np.uint8))
+        data = np.frombuffer(b"\n".join(parts), np.uint8)
+        ids, at = self.numbers.of(data)
         ends = np.cumsum([len(p) + 1 for p in parts])
-        return ids, np.diff(np.searchsorted(at, ends), prepend=0)
+        return ids, np.diff(np.searchsorted(at, ends), prepend=0), data, at
 
     def line(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The texts' rows of the vectors, each text between boundaries, and the place of every word."""
@@ -154,6 +164,17 @@ class Lexicon:
         return line, at
 
 
+def rare_words(ids: np.ndarray, size: np.ndarray, data: np.ndarray, at: np.ndarray) -> pa.ListArray:
+    """For each text its words beyond the vocabulary, from what ``Lexicon.read`` returns."""
+    rare = np.flatnonzero(ids >= VOCABULARY)
+    first, gaps = at[rare].astype(np.int64), np.append(np.flatnonzero(_SPACE[data]), len(data))
+    length = gaps[np.searchsorted(gaps, first)] - first
+    edges = np.concatenate([[0], np.cumsum(length)])
+    own = data[np.arange(edges[-1]) + np.repeat(first - edges[:-1], length)]
+    found = pa.StringArray.from_buffers(len(rare), pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(own))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, np.concatenate([[0], np.cumsum(size)])), pa.int32()), found)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all documents, written (it is read several times)."""
     w = docs.select(F.explode(words(F.lower("text"))).alias("word"))
@@ -183,9 +204,9 @@ def least_count(counts: DataFrame, most: int, parts: int = 1024) -> int:
     return lo
 
 
-def lexicon(counts: DataFrame) -> Lexicon:
-    """The vocabulary and, for all other words, sums by class."""
-    top = sorted(counts.filter(F.col("n") >= least_count(counts, VOCABULARY)).collect(), key=lambda r: (-r["n"], r["word"]))
+def lexicon(counts: DataFrame, least: int) -> Lexicon:
+    """The words with at least ``least`` counts and, for all other words, sums by class."""
+    top = sorted(counts.filter(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["word"]))
     k = F.lit(TOP_CLASSES) + F.pmod(F.crc32(F.substring(F.col("word").cast("binary"), -2, 2)), F.lit(CLASSES - TOP_CLASSES))
     by_class = counts.groupBy(k.cast("int").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect()
     rest, types = np.zeros(CLASSES), np.zeros(CLASSES)
@@ -244,8 +265,11 @@ def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray
     p[np.arange(n), target] -= 1
     p /= n
     dh = (p @ net["w2"].T) * (1 - h * h)
-    order = np.argsort(context, axis=None, kind="stable")
-    rows, starts = np.unique(context.reshape(-1)[order], return_index=True)
+    flat = context.reshape(-1).astype(np.uint16)                        # sorted by radix
+    order = np.argsort(flat, kind="stable")
+    rows = flat[order]
+    starts = np.flatnonzero(np.diff(rows, prepend=-1))
+    rows = rows[starts]
     dv = np.add.reduceat((dh @ net["w1"].T).reshape(-1, VECTOR)[order], starts, axis=0)
     for k, g in (("w2", h.T @ p), ("b2", p.sum(axis=0)), ("w1", x.T @ dh), ("b1", dh.sum(axis=0))):
         squares[k] += g * g
@@ -313,8 +337,8 @@ def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int) -> Net
 class Scorer:
     """Scores texts with a network whose first layer is folded into a table for each place of a window."""
 
-    def __init__(self, lex: Lexicon, net: Network):
-        self.lex, self.net = lex, net
+    def __init__(self, lex: Lexicon, net: Network, share: np.ndarray | None = None):
+        self.lex, self.net, self.share = lex, net, lex.log_share if share is None else share
         w1 = net["w1"].reshape(2 * SIDE, VECTOR, HIDDEN)
         self.tables = [net["vectors"] @ w for w in w1]
         self.ones = np.ones(CLASSES, dtype=np.float32)
@@ -338,7 +362,7 @@ class Scorer:
                 z -= z.max(axis=1, keepdims=True)
             own = z[np.arange(len(z)), lex.class_of[ids[a:a + TOGETHER]]]
             out[a:a + TOGETHER] = own - np.log(np.exp(z, out=z) @ self.ones)
-        out += lex.log_share[ids]
+        out += self.share[ids]
         # each text by itself, so that a sum depends on no other text
         return np.array([x.sum() for x in np.split(out, np.cumsum(size)[:-1])]) if len(size) else np.empty(0)
 
@@ -347,34 +371,48 @@ class Scorer:
 class MaskedModel:
     lexicon: Lexicon
     network: Network
+    rare: DataFrame                 # (word, n) of all words beyond the vocabulary
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> MaskedModel:
-    lex = lexicon(word_counts(docs))
+def train(docs: DataFrame, rounds: int = ROUNDS, vocabulary: int = VOCABULARY) -> MaskedModel:
+    counts = word_counts(docs)
+    least = least_count(counts, vocabulary)
+    lex = lexicon(counts, least)
     net = initial(lex)
     for number in range(rounds):
         net = train_round(docs, lex, net, number)
-    return MaskedModel(lex, net)
+    return MaskedModel(lex, net, counts.filter(F.col("n") < least))
 
 
 def score(docs: DataFrame, model: MaskedModel) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        scorer = Scorer(m.lexicon, m.network)
+        lex, net = shared.value
+        scorer = Scorer(lex, net, lex.log_share_of_one)
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, texts in batches_of(batch.column(1)):
-                ids, size = m.lexicon.ids(texts)
-                n, s = size.tolist(), scorer.log_likelihoods(ids, size).tolist()
-                mean = [x / k if k else None for x, k in zip(s, n, strict=True)]
+                ids, size, data, at = lex.read(texts)
+                n = len(size)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(n)), pa.array(n, pa.int64()), pa.array(s, pa.float64()), pa.array(mean, pa.float64())],
-                    names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n), pa.array(size, pa.int64()),
+                     pa.array(scorer.log_likelihoods(ids, size), pa.float64()), rare_words(ids, size, data, at)],
+                    names=["row", "doc_id", "n_tokens", "s", "rare"])
+                row += n
+
+    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "row long, doc_id long, n_tokens long, s double, rare array<string>")
+    total = F.col("s")
+    if model.lexicon.types.any():
+        # words beyond the vocabulary are rare ones: none is hot, and one never counted has one count
+        found = written(found, "masked-scores")
+        own = (found.select("row", F.explode("rare").alias("word")).join(model.rare, "word", "left")
+               .groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)))).alias("more")))
+        found, total = found.drop("rare").join(own, "row", "left"), total + F.coalesce("more", F.lit(0.0))
+    return found.select("doc_id", "n_tokens", total.alias("log_likelihood")).withColumn(
+        "mean_log_likelihood", F.try_divide("log_likelihood", "n_tokens"))
 
 
 def train_and_score(docs: DataFrame) -> DataFrame:

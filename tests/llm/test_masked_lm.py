@@ -111,3 +111,29 @@ def test_least_count(spark, most, parts):
     below = max((k for k in n if k < least), default=None)
     assert below is None or sum(k >= below for k in n) > most
     assert q.least_count(df.limit(0), most, parts) >= 0
+
+
+def test_words_beyond_the_vocabulary_have_their_own_counts(spark, docs):
+    m = q.train(docs, vocabulary=300)
+    lex, count = m.lexicon, {}
+    texts = [r["text"] for r in docs.select("text").collect()]
+    for t in texts:
+        for w in (t or "").lower().encode().split():
+            count[w] = count.get(w, 0) + 1
+    assert len(lex.vocabulary) <= 300 < len(count)
+    known = {w.encode() for w in lex.vocabulary}
+    total = np.bincount([lex.class_of[lex.ids([w.decode()])[0][0]] for w in count], list(count.values()), q.CLASSES) + 1
+    got = {r["doc_id"]: r["log_likelihood"] for r in q.score(docs, m).collect()}
+    for r in docs.limit(30).collect():
+        s = plain(r["text"], m)[1]
+        for w in r["text"].lower().encode().split():
+            if w not in known:
+                i = lex.ids([w.decode()])[0][0]
+                s += math.log(count[w] / total[lex.class_of[i]]) - lex.log_share[i]
+        assert got[r["doc_id"]] == pytest.approx(s, rel=1e-4)
+
+
+def test_repeated_rows_stay_apart_beside_the_join(spark, edge):
+    m = q.train(edge, vocabulary=3)
+    whole = sorted((r["doc_id"] or -1, r["n_tokens"]) for r in q.score(edge, m).collect())
+    assert whole == sorted((r["doc_id"] or -1, len((r["text"] or "").encode().split())) for r in edge.collect())
