@@ -10,9 +10,10 @@ their own, the others go by a hash of their ending.  The counts of the ``VOCABUL
 words are broadcast, those of all others meet their texts by a join on the word.  So all words of
 the corpus have a probability, and they sum to one.
 
-Training covers all documents: in each round every task takes the current network through its
-documents by mini-batches in numpy (one window in ``STRIDE``, at an offset given by the round),
-and the tasks' networks are averaged by a Spark aggregation, weighted by their windows.
+Training covers every window of every text once: in each of ``ROUNDS`` rounds every task takes
+the current network through its documents by mini-batches in numpy (in round r the words at
+place r mod ``ROUNDS``), and the tasks' networks are averaged by a Spark aggregation, weighted
+by their windows.
 
 Defined cases: null, empty and blank texts have no token, a log probability of 0 and a null mean;
 windows end at the text's ends (a boundary mark stands for what is beyond); repeated rows are
@@ -36,7 +37,7 @@ from panelcraft.session import written
 
 SIDE, VECTOR, HIDDEN = 2, 16, 32
 CLASSES, TOP_CLASSES, VOCABULARY, CONTEXT = 256, 200, 131_072, 8_192
-ROUNDS, STRIDE, BATCH, RATE = 2, 8, 1024, 0.1
+ROUNDS, BATCH, RATE = 2, 1024, 0.1
 #: windows that are scored together, code points that are cut into words together
 TOGETHER, CHARACTERS = 8_192, 1 << 19
 SHAPES = {"vectors": (CONTEXT + CLASSES + 1, VECTOR), "w1": (2 * SIDE * VECTOR, HIDDEN), "b1": (HIDDEN,),
@@ -279,7 +280,14 @@ def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray
     return float(loss)
 
 
-def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int) -> Network:
+def windows(size: np.ndarray, number: int, rounds: int) -> np.ndarray:
+    """Which words of the texts a round trains on: over all rounds every word of every text, once."""
+    start = np.cumsum(size) - size
+    inside = np.arange(size.sum()) - np.repeat(start, size)
+    return np.flatnonzero(inside % rounds == number)
+
+
+def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int, rounds: int = ROUNDS) -> Network:
     """Every task trains on its documents; the mean of their networks, weighted by windows."""
     shared = docs.sparkSession.sparkContext.broadcast((lex, net))      # of a fixed size
 
@@ -304,9 +312,7 @@ def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int) -> Net
             for _, texts in batches_of(batch.column(0)):
                 ids, count = lex.ids(texts)
                 line, places = lex.line(ids, count)
-                start = np.cumsum(count) - count
-                inside = np.arange(len(ids)) - np.repeat(start, count)
-                chosen = np.flatnonzero(inside % STRIDE == np.repeat((number + count) % STRIDE, count))
+                chosen = windows(count, number, rounds)
                 if len(chosen):
                     held.append((line[places[chosen, None] + SIDES], lex.class_of[ids[chosen]]))
                     size += len(chosen)
@@ -380,7 +386,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, vocabulary: int = VOCABULARY) -
     lex = lexicon(counts, least)
     net = initial(lex)
     for number in range(rounds):
-        net = train_round(docs, lex, net, number)
+        net = train_round(docs, lex, net, number, rounds)
     return MaskedModel(lex, net, counts.filter(F.col("n") < least))
 
 

@@ -113,6 +113,19 @@ def test_least_count(spark, most, parts):
     assert q.least_count(df.limit(0), most, parts) >= 0
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3, 8])
+def test_rounds_cover_every_window_once(rounds):
+    size = np.array([0, 1, 2, 3, 6, 7, 0, 20])
+    seen = np.concatenate([q.windows(size, r, rounds) for r in range(rounds)])
+    assert sorted(seen.tolist()) == list(range(size.sum()))
+
+
+def test_short_texts_are_trained_on(spark):
+    df = spark.createDataFrame([(i, ["one", "two words", "three short words"][i % 3]) for i in range(90)], "doc_id long, text string")
+    m = q.train(df)
+    assert all(not np.allclose(m.network[k], v) for k, v in q.initial(m.lexicon).items() if k in ("b2", "w2", "vectors"))
+
+
 def test_words_beyond_the_vocabulary_have_their_own_counts(spark, docs):
     m = q.train(docs, vocabulary=300)
     lex, count = m.lexicon, {}
