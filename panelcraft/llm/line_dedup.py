@@ -5,6 +5,8 @@ space collapsed) and hashed to 128 bits.  Digests are grouped over the whole cor
 units the earliest in the order (doc_id, content, position) stays.  A later one is removed
 if the run of later units around it has at least ``MIN_WORDS`` words: a repeated passage
 goes as a whole, while a short sentence that other documents happen to have stays.
+With ``whole_lines`` (the queries) every
+later one of equal whole lines goes as well, however short.
 Spans are code point offsets into the original text.
 
 The texts travel once, to meet their spans.  Digests of which there are many are resolved by
@@ -46,9 +48,23 @@ def units(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def repeated_spans(text: str, later: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """The spans of runs of later units with enough words; ``later``: positions of units."""
-    found, marks = units(text), set(later.tolist())
+def lines(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """(first, last) units of each line."""
+    out, a = [], 0
+    for k, (_, end, _) in enumerate(found):
+        if k == len(found) - 1 or text[end - 1] == "\n":
+            out.append((a, k))
+            a = k + 1
+    return out
+
+
+def repeated_spans(text: str, later: np.ndarray, min_words: int = MIN_WORDS, later_lines: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """The spans of runs of later units with enough words, and of later lines; ``later``: positions of
+    units, ``later_lines``: of the first units of lines."""
+    found = units(text)
+    begun = set() if later_lines is None else set(later_lines.tolist())
+    whole = {k for a, b in (lines(text, found) if begun else []) if a in begun for k in range(a, b + 1)}
+    marks = set(later.tolist()) | whole
     spans, i = [], 0
     while i < len(found):
         if i not in marks:
@@ -61,12 +77,18 @@ def repeated_spans(text: str, later: np.ndarray, min_words: int = MIN_WORDS) ->
             j += 1
         if words >= min_words:
             spans.append((found[i][0], found[end][1]))
+        else:
+            for k in range(i, end + 1):
+                if k in whole:
+                    joined = spans and spans[-1][1] == found[k][0]
+                    spans.append((spans.pop()[0] if joined else found[k][0], found[k][1]))
         i = end + 1
     return spans
 
 
-def _digests(docs: DataFrame) -> DataFrame:
-    """A row for each unit with a word: digest (h, g), place (doc_id, t: hash of the text, unit)."""
+def _digests(docs: DataFrame, whole_lines: bool) -> DataFrame:
+    """A row for each unit with a word: digest (h, g), place (doc_id, t: hash of the text, unit: twice
+    its position).  Whole lines have digests of their own, with the position of their first unit, plus a half."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, t, value in zip(*batch.columns, strict=True):
@@ -74,10 +96,16 @@ def _digests(docs: DataFrame) -> DataFrame:
                 if not text:
                     continue
                 at, hashes = [], []
-                for k, (_, _, content) in enumerate(units(text)):
+                found = units(text)
+                for k, (_, _, content) in enumerate(found):
                     if content:
-                        at.append(k)
+                        at.append(2 * k)
                         hashes.append(xxhash.xxh3_128_digest(content))
+                for a, b in lines(text, found) if whole_lines else []:
+                    content = " ".join(text[found[a][0]:found[b][1]].casefold().split())
+                    if content:
+                        at.append(2 * a + 1)
+                        hashes.append(xxhash.xxh3_128_digest(content, seed=1))
                 if at:
                     h = np.frombuffer(b"".join(hashes), dtype="<i8").reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays(
@@ -87,11 +115,12 @@ def _digests(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "h long, g long, doc_id long, t int, unit int")
 
 
-def later_units(docs: DataFrame) -> DataFrame:
-    """(doc_id, t, later array<int>): positions of the units that came before, for each text with any."""
+def later_units(docs: DataFrame, whole_lines: bool = False) -> DataFrame:
+    """(doc_id, t, later array<int>): the units (and lines) that came before, as ``_digests`` numbers
+    them, for each text with any."""
     place = F.struct("doc_id", "t", "unit")
     d = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("t"), "text")
-    u = written(_digests(d), "unit-digests").select(F.struct("h", "g").alias("key"), place.alias("place"))
+    u = written(_digests(d, whole_lines), "unit-digests").select(F.struct("h", "g").alias("key"), place.alias("place"))
     first = written(u.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1"),
                     "repeated-digests")                          # joined in two parts, hot and other
     later = keyed_join(u, first, "key", u.count()).filter(~F.col("place").eqNullSafe(F.col("first")))
@@ -100,9 +129,9 @@ def later_units(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "kept_text",
-                    spans: str = "removed") -> DataFrame:
+                    spans: str = "removed", whole_lines: bool = False) -> DataFrame:
     """``docs`` with two more columns: the text that stays, and the removed spans of the original."""
-    found = later_units(docs)
+    found = later_units(docs, whole_lines)
     later = unused([*docs.columns, text, spans], "_later")
     key = F.hash(docs["text"])
     met = (docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (key == found["t"]), "left")
@@ -115,7 +144,8 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "ke
             for value, marks in zip(batch.column("text"), batch.column(later), strict=True):
                 whole, cut = value.as_py(), []
                 if marks.is_valid:
-                    cut = repeated_spans(whole, np.array(marks.as_py(), dtype=np.int64), min_words)
+                    at = np.array(marks.as_py(), dtype=np.int64)
+                    cut = repeated_spans(whole, at[at % 2 == 0] // 2, min_words, at[at % 2 == 1] // 2)
                     edges = [0, *(x for s in cut for x in s), len(whole)]
                     whole = "".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 texts.append(whole)
@@ -129,16 +159,16 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "ke
     return met.mapInArrow(run, schema)
 
 
-def report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def report(docs: DataFrame, min_words: int = MIN_WORDS, whole_lines: bool = False) -> DataFrame:
     """(doc_id, text that stays, removed spans, their number and code points) of every document."""
-    r = without_repeats(docs.select("doc_id", "text"), min_words)
+    r = without_repeats(docs.select("doc_id", "text"), min_words, whole_lines=whole_lines)
     return r.select("doc_id", F.col("kept_text").alias("text"), "removed", F.size("removed").alias("n_spans"),
                     F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]).alias("n_removed"))
 
 
-def strip(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def strip(docs: DataFrame, min_words: int = MIN_WORDS, whole_lines: bool = False) -> DataFrame:
     """``docs`` with its own columns, ``text`` (and ``n_chars``, if there) of what stays."""
     kept = unused(docs.columns, "_kept")
-    r = without_repeats(docs, min_words, kept, unused([*docs.columns, kept], "_removed"))
+    r = without_repeats(docs, min_words, kept, unused([*docs.columns, kept], "_removed"), whole_lines)
     new = {"text": F.col(kept), "n_chars": F.length(kept)}
     return r.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])

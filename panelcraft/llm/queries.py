@@ -52,7 +52,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(documents(spark, sf_dir))
+    return line_dedup.report(documents(spark, sf_dir), whole_lines=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -70,3 +70,13 @@ def test_passages_go_and_chance_repeats_stay(spark):
     assert got[1]["n_spans"] == 0 and got[3]["text"] == rows[2][1]
     assert got[2]["text"] == "Other words. And other ends."
     assert got[4]["text"] == "a\n"
+
+
+def kept(spark, texts, **options):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["text"] for r in q.report(df, **options).orderBy("doc_id").collect()]
+
+
+def test_every_later_whole_line_goes(spark):
+    texts = ["Yes.\nMine alone.\nA short line here", "a short  LINE here\nOther words. Yes.\n\nyes.\nEnd of two", "Yes. Indeed.\nEnd of two\nEnd of two"]
+    assert kept(spark, texts, whole_lines=True) == [texts[0], "Other words. Yes.\n\nEnd of two", "Yes. Indeed.\n"]
