@@ -1,12 +1,15 @@
-"""Substring dedup by hashes of lines and of the sentences inside them.
-
-A text's units are its lines, cut after sentence ends; each is normalised (case folded, white
-space collapsed) and hashed to 128 bits.  Digests are grouped over the whole corpus; of equal
-units the earliest in the order (doc_id, content, position) stays.  A later one is removed
-if the run of later units around it has at least ``MIN_WORDS`` words: a repeated passage
-goes as a whole, while a short sentence that other documents happen to have stays.
-With ``whole_lines`` (the queries) every
+"""Substring dedup by hashes of lines and of pieces of the sentences inside them.
+
+A text's units are its lines, cut after sentence ends, and sentences of ``LONG`` words or more
+once more before each word whose hash is least among the ``SIDE`` words on either side in the
+sentence: such cuts move with the text, so a passage that was pasted inside a sentence has whole
+units in common with its source.  Each unit is normalised (case folded, white space collapsed)
+and hashed to 128 bits.  Digests are grouped over the whole corpus; of equal units the earliest
+in the order (doc_id, content, position) stays.  A later one is removed if the run of later units
+around it has at least ``MIN_WORDS`` words: a repeated passage goes as a whole, while a
+short sentence that other documents happen to have stays.  With ``whole_lines`` (the queries) every
 later one of equal whole lines goes as well, however short.
+Words are parted by blanks; in scripts without them every character counts as one.
 Spans are code point offsets into the original text.
 
 The texts travel once, to meet their spans.  Digests of which there are many are resolved by
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +37,70 @@ from pyspark.sql import types as T
 from panelcraft.llm.common import keyed_join, unused
 from panelcraft.session import written
 
-MIN_WORDS = 20
-#: a unit with what parts it from the next: up to a line end, or to blanks after a sentence end
-UNIT = re.compile(r"(?:[^.!?\n]++|[.!?]++(?![ \t]))*+(?:[.!?]+[ \t]+|\n|\Z)")
+MIN_WORDS, LONG, SIDE = 20, 8, 3
+#: a sentence with what parts it from the next: up to a line end, to blanks after a sentence end, or to a full-width one
+UNIT = re.compile(r"(?:[^.!?。！？｡\n]++|[.!?]++(?![ \t]))*+(?:[.!?]+[ \t]+|[。！？｡]+[ \t]*|\n|\Z)")
+#: scripts that part no words
+UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF),
+            (0x20000, 0x3FFFF)]
+_LONGEST = 1 << 12
+with np.errstate(over="ignore"):
+    _POWERS = np.cumprod(np.full(_LONGEST, 0x9E3779B97F4A7C15, dtype=np.uint64))
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """For each code point: 0 white space, 2 a word by itself, 1 any other."""
+    kinds = np.ones(0x110000, dtype=np.uint8)
+    kinds[[c for c in range(0x3100) if chr(c).isspace()]] = 0
+    for a, b in UNSPACED:
+        kinds[a:b + 1] = np.where(kinds[a:b + 1], 2, 0)
+    return kinds
+
+
+def _words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words start, the code points and their kinds."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    kinds = _kinds()[points]
+    before = np.concatenate([[np.uint8(0)], kinds[:-1]])
+    return np.flatnonzero((kinds > 0) & ((before != 1) | (kinds == 2))), points, kinds
+
+
+def n_words(content: str) -> int:
+    """How many words a normalised content has."""
+    return content.count(" ") + 1 if content.isascii() else len(_words(content)[0])
+
+
+def _cuts(text: str, starts: np.ndarray) -> np.ndarray:
+    """Where sentences (which begin at ``starts``) are cut by their content."""
+    first = _words(text)[0]
+    if len(first) < LONG:
+        return first[:0]
+    folded, points, kinds = _words(text.casefold())
+    if len(folded) != len(first):
+        folded, points, kinds = _words(text)
+    points, kinds, folded = points[folded[0]:], kinds[folded[0]:], folded - folded[0]
+    place = np.arange(len(points)) - np.repeat(folded, np.diff(folded, append=len(points))) & _LONGEST - 1
+    h = np.add.reduceat(np.where(kinds > 0, _POWERS[place] * (points.astype(np.uint64) + np.uint64(1)), np.uint64(0)), folded)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    of = np.searchsorted(starts, first, "right")
+    least = np.bincount(of, minlength=len(starts) + 1)[of] >= LONG
+    least[0], least[1:] = False, least[1:] & (of[1:] == of[:-1])
+    for d in range(1, min(SIDE, len(h) - 1) + 1):
+        apart = of[d:] != of[:-d]
+        least[d:] &= apart | (h[d:] <= h[:-d])
+        least[:-d] &= apart | (h[:-d] <= h[d:])
+    return first[least]
 
 
 def units(text: str) -> list[tuple[int, int, str]]:
     """(start, end, normalised content) of all units of a text, which they cover."""
-    out, at = [], 0
-    for m in UNIT.finditer(text):
-        if m.end() > at:
-            out.append((m.start(), m.end(), " ".join(m.group().casefold().split())))
-            at = m.end()
-    return out
+    starts = [m.start() for m in UNIT.finditer(text) if m.end() > m.start()]
+    if not starts:
+        return []
+    edges = sorted([*starts, *_cuts(text, np.array(starts)).tolist(), len(text)])
+    return [(a, b, " ".join(text[a:b].casefold().split())) for a, b in zip(edges, edges[1:])]
 
 
 def lines(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
@@ -73,7 +128,7 @@ def repeated_spans(text: str, later: np.ndarray, min_words: int = MIN_WORDS, lat
         j, words, end = i, 0, i
         while j < len(found) and (j in marks or not found[j][2]):   # blank units join runs
             if found[j][2]:
-                words, end = words + found[j][2].count(" ") + 1, j
+                words, end = words + n_words(found[j][2]), j
             j += 1
         if words >= min_words:
             spans.append((found[i][0], found[end][1]))

@@ -80,3 +80,25 @@ def kept(spark, texts, **options):
 def test_every_later_whole_line_goes(spark):
     texts = ["Yes.\nMine alone.\nA short line here", "a short  LINE here\nOther words. Yes.\n\nyes.\nEnd of two", "Yes. Indeed.\nEnd of two\nEnd of two"]
     assert kept(spark, texts, whole_lines=True) == [texts[0], "Other words. Yes.\n\nEnd of two", "Yes. Indeed.\n"]
+
+
+def test_passages_pasted_inside_sentences_go(spark):
+    rng = np.random.default_rng(3)
+    some = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 10**6, n))
+    texts, passages = [], []
+    for _ in range(40):
+        passages.append(some(51))
+        texts += [f"{some(6)} {passages[-1]} {some(5)}.\n"]
+    first = len(texts)
+    texts += [f"{some(7)} {p} {some(9)}." for p in passages]
+    left = kept(spark, texts, whole_lines=True)
+    assert left[:first] == texts[:first]
+    gone = [len(a.split()) - len(b.split()) for a, b in zip(texts[first:], left[first:])]
+    assert all(20 <= n <= 51 for n in gone) and sum(gone) / len(gone) > 35
+
+
+def test_scripts_without_blanks(spark):
+    passage = "".join(chr(0x4E00 + 37 * i) for i in range(60))
+    left = kept(spark, [f"一二三。{passage}四五六。", f"Other {passage} words"])
+    assert len(left[1]) < 35
+    assert [c for _, _, c in q.units("一二三。四五。")] == ["一二三。", "四五。"]
