@@ -2,7 +2,8 @@
 
 Each query builds the split, standardised matrix once (written to the shared folder for its
 fits), and nothing outlives the call.  Thresholds are tuned on validation rows: out-of-fold
-scores of the training rows (all folds for the leaderboard, one fold for single models).
+scores of the training rows, all folds.  The checks that SQL can state of a model's result and
+the result itself (``*_values``: scores, metrics, cross-validated F1) are queries of their own.
 """
 
 from __future__ import annotations
@@ -125,8 +126,8 @@ RATES = ["accuracy", "balanced_accuracy", "precision", "recall", "f1", "auc"]
 
 
 def metrics(name: str, spark: SparkSession, sf: str) -> DataFrame:
-    """The metrics row of one model on the test rows, its threshold tuned on one fold."""
-    return _evaluated(name, _data(spark, sf), [0])[1]
+    """The metrics row of one model on the test rows, its threshold tuned on all folds."""
+    return _evaluated(name, _data(spark, sf), list(range(fv.N_FOLDS)))[1]
 
 
 def checks(m: DataFrame) -> DataFrame:
@@ -147,6 +148,12 @@ def _single(name: str, spark: SparkSession, sf: str) -> DataFrame:
     return checks(metrics(name, spark, sf))
 
 
+def _values(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return metrics(name, spark, sf)
+    return query
+
+
 def _leaderboard(d: Data) -> tuple[dict[str, list[PipelineModel]], DataFrame]:
     """All models with cross-validated F1, and the fitted models by name."""
     def one(name: str) -> tuple[list[PipelineModel], DataFrame]:
@@ -209,6 +216,18 @@ def batch_score(spark, sf):
     return _scored_all(spark, sf).select("entity", "grp", "year", "flag", F.col("score").between(0.0, 1.0).alias("has_score"))
 
 
+def batch_score_values(spark, sf):
+    """Every row of the panel with its risk score."""
+    return _scored_all(spark, sf).select("entity", "grp", "year", "flag", "score")
+
+
+def cv_f1_values(spark, sf):
+    """Mean F1 of the forest over the folds."""
+    d = _data(spark, sf)
+    scores = md.fold_scores(d.train, KINDS["rf_balanced"].fit, KEEP, "rid", range(fv.N_FOLDS))
+    return md.cv_f1(written(scores, "fold-scores"), "flag")
+
+
 def group_risk_from_model(spark, sf):
     """Mean model risk score per group with the three-tier band (> .55, > .35), ascending."""
     return agg.group_mean_rank(_scored_all(spark, sf), "grp", "score", fv.RISK_BAND_HIGH, fv.RISK_BAND_MEDIUM)
@@ -261,16 +280,26 @@ def _load_and_score(spark: SparkSession, raw: DataFrame, path: str) -> DataFrame
         "predicted", (F.col("score") >= F.col("_t")).cast("int")).drop("_t")
 
 
-def model_save_load_score(spark, sf):
-    """Fit, save with scaler and metadata, load, score raw rows, write keys and risk scores: are they
-    equal to the scores in memory?"""
+def _saved(spark: SparkSession, sf: str) -> tuple[list[PipelineModel], Data, str, DataFrame]:
+    """A forest saved with scaler and metadata; the raw rows scored by what was loaded."""
     d = _data(spark, sf)
-    models, row, _ = _evaluated("rf_balanced", d, [0])
+    models, row, _ = _evaluated("rf_balanced", d, list(range(fv.N_FOLDS)))
     path = work_dir(spark, "models")
     _save(models, d, row, path)
+    return models, d, path, written(_load_and_score(spark, d.raw, path), "loaded-scores")
+
+
+def model_save_load_score_values(spark, sf):
+    """Every row with score and decision by the saved and loaded forest."""
+    return _saved(spark, sf)[3].select("entity", "grp", "year", "flag", "score", "predicted")
+
+
+def model_save_load_score(spark, sf):
+    """Fit, save with scaler and metadata, load, score raw rows, write keys and risk scores: are they
+    equal to the scores in memory?"""
+    models, d, path, loaded = _saved(spark, sf)
     keys = ["entity", "grp", "year", "flag"]
     memory = md.score_vote(models, sm.apply_standardizer(d.raw, d.stats), [*keys, "rid"], "rid")
-    loaded = written(_load_and_score(spark, d.raw, path), "loaded-scores")
     both = (_deliver(spark, loaded, path).join(memory.select("entity", "year", F.col("score").alias("_m")), KEYS)
             .join(loaded.select("entity", "year", "predicted"), KEYS))
     return both.select(*keys, (F.abs(F.col("risk_score") - F.col("_m")) < 1e-9).alias("same_as_in_memory"),
@@ -293,3 +322,9 @@ def _deliver(spark: SparkSession, scored: DataFrame, path: str) -> DataFrame:
     """Keys, label and risk score, as a CSV table that is read back."""
     out = write_table(scored.select("entity", "grp", "year", "flag", F.col("score").alias("risk_score")), f"{path}/scores", "csv")
     return read_table(spark, out, "entity long, grp string, year int, flag int, risk_score double", "csv")
+
+
+#: the figures behind the single-model checks
+VALUES = {f"{'soft_vote_ensemble' if n == 'soft_vote' else n}_values": _values(n) for n in KINDS}
+VALUES |= {"batch_score_values": batch_score_values, "cv_f1_values": cv_f1_values,
+           "model_save_load_score_values": model_save_load_score_values}

@@ -92,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_save_load_score": m.model_save_load_score,
     "cv_test_gap": m.cv_test_gap,
     "group_risk_from_model": m.group_risk_from_model,
+    # and the scores and metrics themselves
+    **m.VALUES,
 }
 
 #: queries that fit models, the longest last

@@ -52,3 +52,15 @@ def test_single_queries_hold_their_checks(spark, small):
     assert {r["fold"] for r in m.cv_f1(spark, SF).collect()} == set(range(5))
     assert m.feature_importance(spark, SF).count() == 15
     assert m.group_risk_from_model(spark, SF).count() > 0
+
+
+def test_registered_values_are_the_models_own(spark, small):
+    import __spark_entry__ as e
+    q = e.queries()
+    assert {f"{k}_values" for k in ("rf_balanced", "rf_smote", "gbt_balanced", "gbt_pos_weight", "gbt_smote", "mlp_smote", "balanced_rf",
+                                    "soft_vote_ensemble", "batch_score", "cv_f1", "model_save_load_score")} <= set(q)
+    r = q["rf_balanced_values"](spark, SF).first()
+    assert set(m.RATES + m.COUNTS + ["threshold"]) <= set(r.asDict())
+    assert q["batch_score_values"](spark, SF).select("score").distinct().count() > 1
+    assert 0 <= q["cv_f1_values"](spark, SF).first()["cv_f1"] <= 1
+    assert q["model_save_load_score_values"](spark, SF).select("score").distinct().count() > 1
