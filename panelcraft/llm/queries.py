@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcraft.llm import (host_trust, line_dedup, masked_lm, piece_codec, quality_llr, rans_store, simhash_grid,
-                            slack_packing, toxicity_channel, winnowing)
+from panelcraft.llm import (fim_assembly, host_trust, license_scan, line_dedup, masked_lm, merkle_manifest, oracle, piece_codec,
+                            quality_llr, rans_store, simhash_grid, slack_packing, toxicity_channel, winnowing)
 from panelcraft.llm.common import documents, labels
 
 
@@ -55,6 +55,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(documents(spark, sf_dir), whole_lines=True)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(documents(spark, sf_dir))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_assembly.round_trip(documents(spark, sf_dir))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -66,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_license_scan": op11_license_scan,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
