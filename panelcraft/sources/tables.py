@@ -33,6 +33,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet", mode: str = "overwrite",
+                 partitions: int | None = None) -> str:
+    """A sink whose rows are in order of the keys, within its files and from file to file: a range
+    of keys for each file, sorted inside.  Equal keys stay in one file; ``partitions`` bounds the files."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return write_table(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path, fmt, mode)
+
+
 def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A small reference table given inline (code lists, lookups): literals in the plan, so
     the optimizer knows its size, which a frame made of a driver's list hides."""
