@@ -1,16 +1,16 @@
-"""Model fitting, scoring and comparison on pyspark.ml (all work runs in executors).
+"""Model scoring, evaluation, comparison and saving (all work runs in executors).
 
-The estimators mirror the reference's model list where MLlib has a
-counterpart (random forest, gradient-boosted trees, perceptron); class
-weighting goes through ``weightCol``.  Extremely randomised trees and the RBF
-SVM have no MLlib counterpart and are not offered (see README).
+Fitted members come from ``trees`` (forests, boosting) and ``nets`` (perceptrons), which fit all folds
+of a model together, or are ``pyspark.ml`` pipelines (``estimator``, ``fit``, ``score_vote``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcraft.operators import evaluate as ev
-from panelcraft.session import work_dir, written
+from panelcraft.operators import nets, trees
+from panelcraft.session import written
 
 SEED = 42
 
@@ -101,18 +102,33 @@ def run_parallel(tasks: Sequence[Callable[[], object]], parallelism: int = 4) ->
         return list(pool.map(lambda t: t(), tasks))
 
 
-def fold_scores(train: DataFrame, fit_one: Callable[[DataFrame], list[PipelineModel]], keep: Sequence[str],
-                row_id: str, folds: Sequence[int], fold_col: str = "fold", parallelism: int = 5) -> DataFrame:
-    """(keep..., score, fold) of every row of ``folds``, by models that were fitted on the others."""
-    def one(f: int) -> DataFrame:
-        models = fit_one(train.where(F.col(fold_col) != f))
-        return score_vote(models, train.where(F.col(fold_col) == f), keep, row_id).withColumn(fold_col, F.lit(f))
+def score_fitted(models: dict[int, Sequence], df: DataFrame, features: Sequence[str], keep: Sequence[str],
+                 fold_col: str | None = None) -> DataFrame:
+    """(keep..., score): the mean probability of a fit's members for every row, by the models of its fold
+    (``fold_col``: out-of-fold scores), else by the final ones.
 
-    parts = run_parallel([lambda f=f: one(f) for f in folds], parallelism)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ``models`` maps a fit (``trees.FINAL``, or the fold left out) to its members, which have
+    ``proba(matrix)``; they are bounded by their trees and layers, and go to the tasks once."""
+    from panelcraft.operators.trees import FINAL
+    spark, keep = df.sparkSession, list(keep)
+    sent = spark.sparkContext.broadcast(models)
+    names = [f"_x{i}" for i in range(len(features))]
+
+    def run(frames):
+        for pdf in frames:
+            x = pdf[names].to_numpy(np.float64)
+            fits = pdf["_fit"].to_numpy()
+            score = np.zeros(len(pdf))
+            for f in np.unique(fits):
+                at = np.flatnonzero(fits == f)
+                members = sent.value[int(f)]
+                score[at] = sum(m.proba(x[at]) for m in members) / len(members)
+            yield pdf[keep].assign(score=score)
+
+    fit_of = F.col(fold_col).cast("int") if fold_col else F.lit(FINAL)
+    given = df.select(*keep, fit_of.alias("_fit"), *[F.col(c).cast("double").alias(n) for c, n in zip(features, names)])
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.select(*keep).schema)
+    return given.mapInPandas(run, schema + ", score double")
 
 
 def cv_f1(scores: DataFrame, label: str, fold_col: str = "fold") -> DataFrame:
@@ -121,18 +137,21 @@ def cv_f1(scores: DataFrame, label: str, fold_col: str = "fold") -> DataFrame:
     return per.agg(F.avg("f1").alias("cv_f1"))
 
 
-def feature_importance(model: PipelineModel | Sequence[PipelineModel], features: Sequence[str],
+def feature_importance(model: object, features: Sequence[str],
                        spark: SparkSession, top: int = 15) -> DataFrame:
-    """(feature, importance) of the fitted tree model (or the first member of a vote
+    """(feature, importance) of a fitted tree model (or the first member of a vote
     that has them), uniform when none has;
     the ``top`` largest with bands by strict ``>`` q75 / q40 of those values."""
     members = list(model) if isinstance(model, (list, tuple)) else [model]
-    imp = None
+    vals = [1.0 / len(features)] * len(features)
     for m in members:            # a vote takes its first member that has importances
-        imp = getattr(m.stages[-1], "featureImportances", None)
+        if hasattr(m, "importances"):
+            vals = m.importances().tolist()
+            break
+        imp = getattr(m.stages[-1], "featureImportances", None) if hasattr(m, "stages") else None
         if imp is not None:
+            vals = imp.toArray().tolist()
             break
-    vals = imp.toArray().tolist() if imp is not None else [1.0 / len(features)] * len(features)
     # a fitted model's importances are one small vector per feature (bounded by the schema)
     df = spark.createDataFrame(list(zip(features, [float(v) for v in vals])),
                                "feature string, importance double")
@@ -145,23 +164,6 @@ def feature_importance(model: PipelineModel | Sequence[PipelineModel], features:
                          .otherwise("low").alias("band")))
 
 
-def bagged_forest(bags: DataFrame, features: Sequence[str], label: str, n_bags: int,
-                  max_depth: int = 12, min_leaf: int = 2, parallelism: int = 32) -> list[PipelineModel]:
-    """One tree for each balanced bag (fitted concurrently); scores are averaged by
-    ``score_vote``.  The bags are written by bag, so that a fit reads its own rows only; a fit is
-    a row of small jobs, so many run at a time."""
-    spark, path = bags.sparkSession, work_dir(bags.sparkSession, "bags") + "/t"
-    bags.repartition("bag").write.partitionBy("bag").parquet(path)
-
-    def one(b: int) -> PipelineModel:
-        est = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=1, subsamplingRate=1.0,
-                                     bootstrap=False, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                     featureSubsetStrategy="sqrt", seed=SEED + b)
-        rows = spark.read.parquet(f"{path}/bag={b}")
-        return fit(rows, features, est)
-    return run_parallel([lambda b=b: one(b) for b in range(n_bags)], parallelism)
-
-
 #: members whose probabilities are added up in one pass over the rows
 MEMBERS_AT_ONCE = 50
 
@@ -208,21 +210,26 @@ def scaler_model(stats: dict[str, tuple[float, float]]) -> PipelineModel:
     return PipelineModel(stages=[SQLTransformer(statement=f"SELECT * EXCEPT ({names}), {scaled} FROM __THIS__")])
 
 
-def save_model(models: Sequence[PipelineModel], scaler: PipelineModel, meta: DataFrame, path: str) -> None:
-    """All members of a fitted model, its scaler, and a one-row metadata table."""
+def save_model(models: Sequence, scaler: PipelineModel, meta: DataFrame, path: str) -> None:
+    """All members of a fitted model (trees, nets or pipelines), its scaler, and a one-row metadata table."""
+    spark, kinds = meta.sparkSession, []
     scaler.write().overwrite().save(f"{path}/scaler")
     for i, m in enumerate(models):
-        m.write().overwrite().save(f"{path}/member-{i:04d}")
-    meta.withColumn("n_members", F.lit(len(models))).write.mode("overwrite").parquet(f"{path}/meta")
+        at = f"{path}/member-{i:04d}"
+        kinds.append("trees" if isinstance(m, trees.TreeModel) else "net" if isinstance(m, nets.Net) else "pipeline")
+        if kinds[-1] == "pipeline":
+            m.write().overwrite().save(at)
+        else:
+            (trees if kinds[-1] == "trees" else nets).save(m, spark, at)
+    meta.withColumn("members", F.array(*[F.lit(k) for k in kinds])).write.mode("overwrite").parquet(f"{path}/meta")
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[list[PipelineModel], PipelineModel, DataFrame]:
+def load_model(spark: SparkSession, path: str) -> tuple[list, PipelineModel, DataFrame]:
     meta = spark.read.parquet(f"{path}/meta")
-    n = meta.first()["n_members"]
-    return ([PipelineModel.load(f"{path}/member-{i:04d}") for i in range(n)],
-            PipelineModel.load(f"{path}/scaler"), meta)
+    readers = {"trees": partial(trees.load, spark), "net": partial(nets.load, spark), "pipeline": PipelineModel.load}
+    members = [readers[k](f"{path}/member-{i:04d}") for i, k in enumerate(meta.first()["members"])]
+    return members, PipelineModel.load(f"{path}/scaler"), meta
 
 
-__all__ = ["assembler", "estimator", "fit", "score", "evaluate", "cv_f1", "fold_scores", "feature_importance",
-           "bagged_forest", "score_vote", "vectors_to_columns", "scaler_model", "save_model", "load_model",
+__all__ = ["assembler", "estimator", "fit", "score", "evaluate", "cv_f1", "score_fitted", "feature_importance", "score_vote", "vectors_to_columns", "scaler_model", "save_model", "load_model",
            "array_to_vector"]

@@ -79,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # models (checked by what SQL can state of their output)
     "rf_balanced": m.rf_balanced,
     "rf_smote": m.rf_smote,
+    "extra_trees": m.extra_trees,
     "gbt_balanced": m.gbt_balanced,
     "gbt_pos_weight": m.gbt_pos_weight,
     "gbt_smote": m.gbt_smote,
@@ -87,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "soft_vote_ensemble": m.soft_vote_ensemble,
     "batch_score": m.batch_score,
     "feature_importance": m.feature_importance,
+    "feature_importance_check": m.feature_importance_check,
+    "group_risk_check": m.group_risk_check,
+    "champion_scores": m.champion_scores,
     "cv_f1": m.cv_f1,
     "model_leaderboard": m.model_leaderboard,
     "model_save_load_score": m.model_save_load_score,
@@ -96,9 +100,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **m.VALUES,
 }
 
+LONGEST = ["model_leaderboard", "cv_test_gap", "champion_scores", "champion_scores_values"]
 #: queries that fit models, the longest last
-MODEL_FITS = [k for k, f in QUERIES.items() if f.__module__ == m.__name__ and k not in ("model_leaderboard", "cv_test_gap")]
-MODEL_FITS += ["model_leaderboard", "cv_test_gap"]
+MODEL_FITS = [k for k, f in QUERIES.items() if f.__module__ == m.__name__ and k not in LONGEST]
+MODEL_FITS += LONGEST
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from panelcraft.operators import evaluate as ev
 from panelcraft.operators import models as md
+from panelcraft.operators import nets
 from panelcraft.operators import sampling as sm
+from panelcraft.operators import trees as tr
 from panelcraft.session import work_dir, written
 
 X = ["a", "b"]
@@ -43,16 +45,15 @@ def test_weights_are_attached_without_a_join(data):
     assert "Join" not in w._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_one_tree_for_each_bag_and_vote(data):
+def test_bags_are_balanced_and_members_are_averaged(data):
     bags = sm.balanced_bags(data.select("rid", "flag", *X), "flag", ["rid"], 7, 3, 1)
     per = bags.groupBy("bag", "flag").count().collect()
     assert len(per) == 14 and {r["count"] for r in per} == {60}
-    models = md.bagged_forest(bags, X, "flag", 7, max_depth=3)
-    assert [m.stages[-1].getNumTrees for m in models] == [1] * 7
+    models = [md.fit(bags.where(F.col("bag") == b), X, md.estimator("rf", 2, "flag", numTrees=1, maxDepth=3)) for b in range(2)]
     vote = md.score_vote(models, data, ["rid", "flag"], "rid")
     singles = [{r["rid"]: r["score"] for r in md.score(m, data, ["rid"]).collect()} for m in models]
     for r in vote.collect():
-        assert r["score"] == pytest.approx(sum(s[r["rid"]] for s in singles) / 7)
+        assert r["score"] == pytest.approx(sum(s[r["rid"]] for s in singles) / 2)
 
 
 def test_vote_in_several_passes(data, monkeypatch):
@@ -64,15 +65,30 @@ def test_vote_in_several_passes(data, monkeypatch):
 
 
 def test_folds_cover_all_rows_and_give_f1(data):
-    fit = lambda t: [md.fit(t, X, md.estimator("rf", 2, "flag", **SMALL["rf"]))]
-    s = written(md.fold_scores(data, fit, ["rid", "flag"], "rid", range(5)), "test-folds")
+    models = {f: [m] for f, m in tr.fit(data, X, "flag", tr.Growth("bag", 10, max_depth=4), range(5), "fold").items()}
+    s = written(md.score_fitted(models, data, X, ["rid", "flag", "fold"], "fold"), "test-folds")
     assert s.count() == s.select("rid").distinct().count() == 300
     assert md.cv_f1(s, "flag").first()["cv_f1"] > 0.9
 
 
+def test_members_of_any_kind_are_averaged_saved_and_loaded(spark, data):
+    scaled = sm.apply_standardizer(data, sm.fit_standardizer(data, X))
+    members = [tr.fit(scaled, X, "flag", tr.Growth("boost", 5, max_depth=2))[tr.FINAL],
+               nets.fit(scaled, X, "flag", nets.Shape(hidden=(4,), epochs=5))[tr.FINAL]]
+    each = [{r["rid"]: r["score"] for r in md.score_fitted({tr.FINAL: [m]}, scaled, X, ["rid"]).collect()} for m in members]
+    path = work_dir(spark, "test-members")
+    md.save_model(members, md.scaler_model(sm.fit_standardizer(data, X)), spark.createDataFrame([("vote",)], "model string"), path)
+    loaded, scaler, meta = md.load_model(spark, path)
+    assert meta.first()["members"] == ["trees", "net"]
+    for r in md.score_fitted({tr.FINAL: loaded}, scaler.transform(data), X, ["rid"]).collect():
+        assert r["score"] == pytest.approx((each[0][r["rid"]] + each[1][r["rid"]]) / 2)
+
+
 def test_importance_prefers_the_feature_that_separates(spark, data):
     m = md.fit(data, X, md.estimator("rf", 2, "flag", **SMALL["rf"]))
     assert md.feature_importance([m], X, spark, 2).first()["feature"] == "a"
+    grown = tr.fit(data, X, "flag", tr.Growth("bag", 5, max_depth=3))[tr.FINAL]
+    assert md.feature_importance([grown], X, spark, 2).first()["feature"] == "a"
 
 
 def test_saved_model_scores_raw_rows_alike(spark, data):
