@@ -82,6 +82,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a table of ``written`` that nothing reads any more (its successor is written)."""
+    root = "/".join([checkpoint_root(df.sparkSession).rstrip("/"), "panelcraft"])
+    for folder in {f.rsplit("/t/", 1)[0] for f in df.inputFiles()}:
+        if "/panelcraft/" not in folder:
+            raise ValueError(f"{folder} is not below {root}")
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
