@@ -4,7 +4,7 @@ A text's units are its lines, cut after sentence ends, and sentences of ``LONG``
 once more before each word whose hash is least among the ``SIDE`` words on either side in the
 sentence: such cuts move with the text, so a passage that was pasted inside a sentence has whole
 units in common with its source.  Each unit is normalised (case folded, white space collapsed)
-and hashed to 128 bits.  Digests are grouped over the whole corpus; of equal units the earliest
+and hashed to 96 bits.  Digests are grouped over the whole corpus; of equal units the earliest
 in the order (doc_id, content, position) stays.  A later one is removed if the run of later units
 around it has at least ``MIN_WORDS`` words: a repeated passage goes as a whole, while a
 short sentence that other documents happen to have stays.  With ``whole_lines`` (the queries) every
@@ -12,8 +12,13 @@ later one of equal whole lines goes as well, however short.
 Words are parted by blanks; in scripts without them every character counts as one.
 Spans are code point offsets into the original text.
 
-The texts travel once, to meet their spans.  Digests of which there are many are resolved by
-broadcast (there can be few such), all others by shuffle.
+A first pass counts the first 64 bits of every digest, in plain columns that are summed up before they
+are shuffled; those that occur twice set a bit in a map of fixed size (``BITS``).  Only units whose bit is
+set, that is, repeated ones and few others, are then shuffled with their documents, grouped by the
+whole digest and joined to the first document that has it.  Digests of which there are many are resolved by
+broadcast (there can be few such), all others by shuffle.  A unit that repeats one of its own text is a
+later one in any case, and known without a shuffle.  The texts travel once, to meet their spans.
+What a task holds of a text are some arrays of its length (up to 50 bytes a code point).
 
 Defined cases: units without a word are never removed; null texts have no units and stay null;
 empty texts stay empty; equal rows (id and text) count as one document and have the same
@@ -35,9 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcraft.llm.common import keyed_join, unused
-from panelcraft.session import written
+from panelcraft.operators.ordered import ordered_row_number
+from panelcraft.session import dropped, written
 
 MIN_WORDS, LONG, SIDE = 20, 8, 3
+#: size of the map of repeated digests, and of the parts it is made in
+BITS, PART = 1 << 27, 1 << 20
+#: what a digest stands for: a unit, a whole line, or both
+AS_UNIT, AS_LINE = 1, 2
 #: a sentence with what parts it from the next: up to a line end, to blanks after a sentence end, or to a full-width one
 UNIT = re.compile(r"(?:[^.!?。！？｡\n]++|[.!?]++(?![ \t]))*+(?:[.!?]+[ \t]+|[。！？｡]+[ \t]*|\n|\Z)")
 #: scripts that part no words
@@ -71,17 +81,17 @@ def n_words(content: str) -> int:
     return content.count(" ") + 1 if content.isascii() else len(_words(content)[0])
 
 
-def _cuts(text: str, starts: np.ndarray) -> np.ndarray:
+def _cuts(text: str, folded: str, starts: np.ndarray) -> np.ndarray:
     """Where sentences (which begin at ``starts``) are cut by their content."""
-    first = _words(text)[0]
+    at, points, kinds = _words(folded)
+    first = at if len(folded) == len(text) else _words(text)[0]
     if len(first) < LONG:
         return first[:0]
-    folded, points, kinds = _words(text.casefold())
-    if len(folded) != len(first):
-        folded, points, kinds = _words(text)
-    points, kinds, folded = points[folded[0]:], kinds[folded[0]:], folded - folded[0]
-    place = np.arange(len(points)) - np.repeat(folded, np.diff(folded, append=len(points))) & _LONGEST - 1
-    h = np.add.reduceat(np.where(kinds > 0, _POWERS[place] * (points.astype(np.uint64) + np.uint64(1)), np.uint64(0)), folded)
+    if len(at) != len(first):
+        at, points, kinds = _words(text)
+    points, kinds, at = points[at[0]:], kinds[at[0]:], at - at[0]
+    place = np.arange(len(points)) - np.repeat(at, np.diff(at, append=len(points))) & _LONGEST - 1
+    h = np.add.reduceat(np.where(kinds > 0, _POWERS[place] * (points.astype(np.uint64) + np.uint64(1)), np.uint64(0)), at)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     of = np.searchsorted(starts, first, "right")
@@ -99,7 +109,10 @@ def units(text: str) -> list[tuple[int, int, str]]:
     starts = [m.start() for m in UNIT.finditer(text) if m.end() > m.start()]
     if not starts:
         return []
-    edges = sorted([*starts, *_cuts(text, np.array(starts)).tolist(), len(text)])
+    folded = text.casefold()
+    edges = sorted([*starts, *_cuts(text, folded, np.array(starts)).tolist(), len(text)])
+    if len(folded) == len(text):
+        return [(a, b, " ".join(folded[a:b].split())) for a, b in zip(edges, edges[1:])]
     return [(a, b, " ".join(text[a:b].casefold().split())) for a, b in zip(edges, edges[1:])]
 
 
@@ -141,46 +154,137 @@ def repeated_spans(text: str, later: np.ndarray, min_words: int = MIN_WORDS, lat
     return spans
 
 
+def _marks(text: str, whole_lines: bool) -> tuple[list[int], list[int], list[bytes], list[int]]:
+    """Of the contents of a text (units, and whole lines): the place of the first that has it, its kinds and
+    digest; and the places of all others.  A place is twice a unit's number, plus one for the line it begins."""
+    found, ends, seen = units(text), {}, ({}, set())
+    places, kinds, digests, own = [], [], [], []
+    for a, b in lines(text, found) if whole_lines else []:
+        if a == b:
+            ends[a] = True                                  # a unit that is a line
+            continue
+        content = " ".join(c for _, _, c in found[a:b + 1] if c)
+        if content in seen[1]:
+            own.append(2 * a + 1)
+        elif content:
+            seen[1].add(content)
+            places.append(2 * a + 1)
+            kinds.append(AS_LINE)
+            digests.append(xxhash.xxh3_128_digest(content))
+    units_seen, lines_seen = seen
+    for k, (_, _, content) in enumerate(found):
+        if not content:
+            continue
+        kind = 0
+        if content in units_seen:
+            own.append(2 * k)
+        else:
+            units_seen[content] = True
+            kind = AS_UNIT
+        if k in ends:
+            if content in lines_seen:
+                own.append(2 * k + 1)
+            else:
+                lines_seen.add(content)
+                kind |= AS_LINE
+        if kind:
+            places.append(2 * k)
+            kinds.append(kind)
+            digests.append(xxhash.xxh3_128_digest(content))
+    return places, kinds, digests, own
+
+
 def _digests(docs: DataFrame, whole_lines: bool) -> DataFrame:
-    """A row for each unit with a word: digest (h, g), place (doc_id, t: hash of the text, unit: twice
-    its position).  Whole lines have digests of their own, with the position of their first unit, plus a half."""
+    """A row for each text with a word: digests (h, g) of its contents with their kinds and places (see
+    ``_marks``), and its own repeats."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, t, value in zip(*batch.columns, strict=True):
-                text = value.as_py()
-                if not text:
+                places, kinds, digests, own = _marks(value.as_py() or "", whole_lines)
+                if not places:
                     continue
-                at, hashes = [], []
-                found = units(text)
-                for k, (_, _, content) in enumerate(found):
-                    if content:
-                        at.append(2 * k)
-                        hashes.append(xxhash.xxh3_128_digest(content))
-                for a, b in lines(text, found) if whole_lines else []:
-                    content = " ".join(text[found[a][0]:found[b][1]].casefold().split())
-                    if content:
-                        at.append(2 * a + 1)
-                        hashes.append(xxhash.xxh3_128_digest(content, seed=1))
-                if at:
-                    h = np.frombuffer(b"".join(hashes), dtype="<i8").reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[:, 0]), pa.array(h[:, 1]), pa.repeat(i, len(at)), pa.repeat(t, len(at)),
-                         pa.array(at, pa.int32())], names=["h", "g", "doc_id", "t", "unit"])
-
-    return docs.mapInArrow(run, "h long, g long, doc_id long, t int, unit int")
+                d = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+                lists = [pa.array(d[:, 0]), pa.array(d[:, 1].astype(np.int32)), pa.array(kinds, pa.int8()), pa.array(places, pa.int32()),
+                         pa.array(own, pa.int32())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(i, 1), pa.repeat(t, 1), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]],
+                    names=["doc_id", "t", "h", "g", "kind", "at", "own"])
+
+    return docs.mapInArrow(run, "doc_id long, t int, h array<long>, g array<int>, kind array<tinyint>, at array<int>, own array<int>")
+
+
+def _ranked(digests: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The digests with the ``rank`` of their document, and (rank, doc_id, t) where the rank isn't the id itself:
+    if an id is null, or has several texts."""
+    ids = digests.select("doc_id", "t").distinct()
+    n = ids.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids")).first()
+    if n["n"] == n["ids"]:
+        return digests.withColumnRenamed("doc_id", "rank").drop("t"), None
+    names = written(ordered_row_number(ids, ["doc_id", "t"], (), "rank"), "ranks")
+    same = digests["doc_id"].eqNullSafe(names["doc_id"]) & (digests["t"] == names["t"])
+    return digests.join(names, same).select("rank", "h", "g", "kind", "at", "own"), names
+
+
+def repeated_map(digests: DataFrame) -> np.ndarray:
+    """Bits, as bytes, of which those of all first halves that occur twice or more are set."""
+    counts = digests.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    slot = F.col("h").bitwiseAND(F.lit(BITS - 1))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            part, at = (np.asarray(c) for c in batch.columns)
+            for p in np.unique(part):
+                bits = parts.setdefault(int(p), np.zeros(PART, dtype=bool))
+                bits[at[part == p]] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([np.packbits(b, bitorder="little").tobytes() for b in parts.values()], pa.binary())],
+                                         names=["part", "bits"])
+
+    spread = counts.select(F.floor(slot / PART).cast("int").alias("part"), (slot % PART).cast("int").alias("at")).repartition("part")
+    bits = np.zeros(BITS // 8, dtype=np.uint8)
+    for r in spread.mapInArrow(fill, "part int, bits binary").collect():       # BITS / 8 bytes in all
+        a = r["part"] * PART // 8
+        bits[a:a + PART // 8] |= np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
+def _perhaps_repeated(digests: DataFrame, bits: np.ndarray) -> DataFrame:
+    """A row (h, g, rank, at, kind) for each content whose bit is set."""
+    shared = digests.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            h, g, kind, at = (batch.column(c).flatten().to_numpy() for c in ("h", "g", "kind", "at"))
+            rank = np.repeat(batch.column("rank").to_numpy(), np.diff(batch.column("h").offsets.to_numpy()))
+            slot = h & (BITS - 1)
+            on = (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([pa.array(x[on]) for x in (h, g, rank, at, kind)], names=["h", "g", "rank", "at", "kind"])
+
+    return digests.select("rank", "h", "g", "kind", "at").mapInArrow(run, "h long, g int, rank long, at int, kind tinyint")
 
 
 def later_units(docs: DataFrame, whole_lines: bool = False) -> DataFrame:
-    """(doc_id, t, later array<int>): the units (and lines) that came before, as ``_digests`` numbers
-    them, for each text with any."""
-    place = F.struct("doc_id", "t", "unit")
+    """(doc_id, t, later array<int>): the places (see ``_marks``) of contents that came before, for each text with
+    any; ``t`` is null where the id alone names the text."""
     d = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("t"), "text")
-    u = written(_digests(d, whole_lines), "unit-digests").select(F.struct("h", "g").alias("key"), place.alias("place"))
-    first = written(u.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1"),
-                    "repeated-digests")                          # joined in two parts, hot and other
-    later = keyed_join(u, first, "key", u.count()).filter(~F.col("place").eqNullSafe(F.col("first")))
-    return (later.select("place.*").groupBy("doc_id", "t")
-            .agg(F.sort_array(F.collect_set("unit")).alias("later")))
+    raw = written(_digests(d, whole_lines), "unit-digests")
+    digests, names = _ranked(raw)
+    few = written(_perhaps_repeated(digests, repeated_map(digests)), "repeated-digests")
+    is_unit, is_line = (F.col("kind").bitwiseAND(F.lit(k).cast("tinyint")) > 0 for k in (AS_UNIT, AS_LINE))
+    first = written(few.groupBy("h", "g").agg(F.min(F.when(is_unit, F.col("rank"))).alias("unit"), F.min(F.when(is_line, F.col("rank"))).alias("line"),
+                                              F.count("*").alias("n")).filter("n > 1")
+                    .select(F.struct("h", "g").alias("key"), "unit", "line", "n"), "first-documents")    # joined in two parts, hot and other
+    met = keyed_join(few.withColumn("key", F.struct("h", "g")).drop("h", "g"), first, "key", few.count())
+    at = F.filter(F.array(F.when(is_unit & (F.col("rank") > F.col("unit")), F.col("at")),
+                          F.when(is_line & (F.col("rank") > F.col("line")), F.col("at").bitwiseOR(F.lit(1)))), lambda x: x.isNotNull())
+    every = met.select("rank", F.explode(at).alias("at")).unionByName(digests.select("rank", F.explode("own").alias("at")))
+    later = written(every.groupBy("rank").agg(F.sort_array(F.collect_set("at")).alias("later")), "later-units")
+    for done in (raw, few, first):
+        dropped(done)
+    if names is None:
+        return later.select(F.col("rank").alias("doc_id"), F.lit(None).cast("int").alias("t"), "later")
+    return later.join(names, "rank").select("doc_id", "t", "later")
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "kept_text",
@@ -188,8 +292,8 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "ke
     """``docs`` with two more columns: the text that stays, and the removed spans of the original."""
     found = later_units(docs, whole_lines)
     later = unused([*docs.columns, text, spans], "_later")
-    key = F.hash(docs["text"])
-    met = (docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (key == found["t"]), "left")
+    same = docs["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (F.hash(docs["text"]) == F.coalesce(found["t"], F.hash(docs["text"])))
+    met = (docs.join(found, same, "left")
            .select(*[docs[c] for c in docs.columns], found["later"].alias(later)))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
