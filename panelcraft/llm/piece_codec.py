@@ -151,12 +151,13 @@ class Encoder:
 
     def encode_word(self, word: str) -> tuple[int, ...]:
         """Ids of escaped text, cut where no piece can reach over."""
-        joined, out, at = self.vocabulary.joined, (), 0
+        joined, out, at = self.vocabulary.joined, [], 0
         for i in range(1, len(word)):
             if word[i - 1:i + 1] not in joined:
                 out += self._part(word[at:i])
                 at = i
-        return out + self._part(word[at:])
+        out += self._part(word[at:])
+        return tuple(out)
 
     def words(self, text: str) -> list[str]:
         """Keys of a text's words: a word with a blank before it is written without that

@@ -1,6 +1,8 @@
 """The codec against the sentencepiece library."""
 
 import hashlib
+import random
+import time
 from collections import Counter
 
 import public_tokenizers
@@ -67,3 +69,12 @@ def test_edge_cases(edge):
 
 def test_empty_table(empty):
     assert q.digests(empty, MODEL).collect() == []
+
+
+def test_very_long_texts_without_blanks():
+    rng = random.Random(4)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(500_000)), "ab1," * 125_000]
+    start = time.time()
+    ids, corrected = q.Encoder(MODEL).encode_batch(texts)
+    assert time.time() - start < 60 and corrected == [0, 0]
+    assert ids == [LIBRARY.encode(t, add_eos=True) for t in texts]
