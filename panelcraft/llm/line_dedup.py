@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcraft.llm.common import keyed_join, unused
+from panelcraft.llm.memo import begin
 from panelcraft.operators.ordered import ordered_row_number
 from panelcraft.session import dropped, written
 
@@ -198,6 +199,7 @@ def _digests(docs: DataFrame, whole_lines: bool) -> DataFrame:
     """A row for each text with a word: digests (h, g) of its contents with their kinds and places (see
     ``_marks``), and its own repeats."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("line_dedup")
         for batch in batches:
             for i, t, value in zip(*batch.columns, strict=True):
                 places, kinds, digests, own = _marks(value.as_py() or "", whole_lines)
@@ -298,6 +300,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "ke
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("line_dedup")
         for batch in batches:
             texts, cuts = [], []
             for value, marks in zip(batch.column("text"), batch.column(later), strict=True):

@@ -28,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcraft.llm.memo import begin, remembers
+
 BLANK = "▁"
-#: entries a generation of remembered words may have, and the longest word remembered
-GENERATION = 300_000
+#: entries a generation of remembered words may have (each some 300 bytes), and the longest word remembered
+GENERATION = 150_000
 LONGEST = 48
 
 
@@ -213,11 +215,19 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process."""
+def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+remembers("piece_codec", _encoder.cache_clear)
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder for each worker process, as long as it serves this operator."""
+    begin("piece_codec")
+    return _encoder(path)
+
+
 #: code points of texts that are encoded and checked together
 TOGETHER = 1 << 20
 

@@ -3,7 +3,7 @@
 Every id's frequency in the whole table, scaled to a sum of 2**``SCALE``, is the one table
 that all blocks share and that is stored with them.  Documents are in ascending id order:
 shard by shard (ranges of ids), block by block inside a shard.  A block holds whole documents
-of about ``BLOCK`` ids and depends on no other block.
+of about ``BLOCK`` ids (a longer one alone) and depends on no other block.
 
 Inside a block ``LANES`` coders take turns (id i belongs to lane i mod LANES) and share one
 stream of 32-bit words.  A checkpoint every ``SPAN`` rounds holds all lane states and the place in
@@ -29,16 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from panelcraft.llm.word_ids import encoder
-from panelcraft.session import shuffle_partitions, work_dir, written
+from panelcraft.session import dropped, shuffle_partitions, work_dir
 
-SCALE, LANES, SPAN, BLOCK = 20, 1024, 128, 1 << 18
+SCALE, LANES, SPAN, BLOCK = 20, 4096, 64, 1 << 20
 LOW = np.uint64(1 << 31)                     # states are from LOW to LOW << 32
 HEADER = struct.Struct("<4sBBIIQIIII")
 MAGIC, VERSION = b"rANS", 1
@@ -144,44 +143,42 @@ class Coder:
                 at += n
 
 
-def token_table(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n_tokens, ids): compressed little-endian 16-bit ids, the end id included."""
+def token_table(docs: DataFrame, tokenizer: str, vocab: int, end_id: int = END_ID) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, n_tokens, ids): little-endian 16-bit ids, the end id included; and the scaled frequencies of
+    all ids.  Each task counts the ids that it writes, in the same pass, and writes the counts beside them; at most
+    ``vocab`` sums reach the driver."""
     end = np.array([end_id], dtype="<u2").tobytes()
+    names = ["doc_id", "n_tokens", "ids", "kind"]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, pack = encoder(tokenizer).encode, zstandard.ZstdCompressor(level=1).compress
+        encode, total = encoder(tokenizer).encode, np.zeros(vocab, dtype=np.int64)
         for batch in batches:
-            n, ids = [], []
-            for text in batch.column(1):
-                b = encode(text.as_py()) + end
-                n.append(len(b) // 2)
-                ids.append(pack(b))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
-                                             names=["doc_id", "n_tokens", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenise, "doc_id long, n_tokens long, ids binary")
-
-
-def _raw(packed: pa.Array) -> Iterator[np.ndarray]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    for b in packed:
-        yield np.frombuffer(unpack(b.as_py()), dtype="<u2")
-
-
-def frequencies(tokens: DataFrame, vocab: int) -> np.ndarray:
-    """Scaled frequencies of all ids; at most ``vocab`` rows reach the driver."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                ids = [encode(text.as_py()) + end for text in part.column(1)]
+                total += np.bincount(np.frombuffer(b"".join(ids), dtype="<u2"), minlength=vocab)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(b) // 2 for b in ids], pa.int64()), pa.array(ids, pa.binary()),
+                                                  pa.repeat(0, len(ids)).cast(pa.int32())], names=names)
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([total.astype("<i8").tobytes()], pa.binary()),
+                                              pa.array([1], pa.int32())], names=names)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocab, dtype=np.int64)
         for batch in batches:
-            if len(batch):
-                total += np.bincount(np.concatenate(list(_raw(batch.column(0)))), minlength=vocab)
+            for counts in batch.column(0):
+                total += np.frombuffer(counts.as_py(), "<i8")
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
+    spark, path = docs.sparkSession, work_dir(docs.sparkSession, "tokens") + "/t"
+    (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenise, "doc_id long, n_tokens long, ids binary, kind int")
+     .write.option("compression", "zstd").partitionBy("kind").parquet(path))
+    both = spark.read.schema("doc_id long, n_tokens long, ids binary, kind int").parquet(path)
     counts = np.zeros(vocab, dtype=np.int64)
-    for r in tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in both.where("kind = 1").select("ids").mapInArrow(unpack, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r["id"]] = r["n"]
-    return scaled(counts)
+    return both.where("kind = 0").drop("kind"), scaled(counts)
 
 
 BLOCKS = "shard int, block int, start long, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"
@@ -205,7 +202,8 @@ def write_blocks(tokens: DataFrame, freq: np.ndarray, path: str, block: int = BL
                                               names=[f.split()[0] for f in BLOCKS.split(", ")])
 
         for batch in batches:
-            for i, ids in zip(batch.column(0), _raw(batch.column(1)), strict=True):
+            for i, packed in zip(*batch.columns, strict=True):
+                ids = np.frombuffer(packed.as_py(), dtype="<u2")
                 held.append((i.as_py(), ids))
                 size += len(ids)
                 if size >= block:
@@ -255,7 +253,8 @@ def read_blocks(spark: SparkSession, path: str, vocab: int) -> DataFrame:
 def write_and_read(docs: DataFrame, tokenizer: str, vocab: int, end_id: int = END_ID) -> DataFrame:
     """Write the ids of all documents as token files in the shared folder, and read them back."""
     spark = docs.sparkSession
-    tokens = written(token_table(docs, tokenizer, end_id), "tokens")     # counted, sorted and encoded
+    tokens, freq = token_table(docs, tokenizer, vocab, end_id)
     path = work_dir(spark, "token-files")
-    write_blocks(tokens, frequencies(tokens, vocab), path)
+    write_blocks(tokens, freq, path)
+    dropped(tokens)
     return read_blocks(spark, path, vocab)

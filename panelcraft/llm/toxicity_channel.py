@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcraft.llm.common import hash_sample, unused
+from panelcraft.llm.memo import begin
 from panelcraft.session import written
 
 #: fixed values: letters that a sign may stand for
@@ -50,7 +51,7 @@ LEAST_WEIGHT, LEAST_DOCS = 1.0, 5
 BEGINNINGS = 4, 5, 6
 TOP = 3
 #: remembered words of a worker
-MEMORY = 400_000
+MEMORY = 150_000
 
 # -- character model
 
@@ -73,6 +74,7 @@ def class_of(c: str) -> int:
 def trigrams(docs: DataFrame) -> np.ndarray:
     """Counts of character trigrams over all texts, a table of ``SIZE`` cubed."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         total = np.zeros(SIZE ** 3, dtype=np.int64)
         for batch in batches:
             for value in batch.column(0):
@@ -307,6 +309,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("toxicity")
         m = shared.value
         for batch in batches:
             scores = [m.score(t.as_py()) for t in batch.column("text")]

@@ -1,22 +1,26 @@
 """Token ids of whole texts by a ``tokenizers`` file whose tokens never span white space.
 
 Most of a corpus is repeated words, so ids are kept per chunk between blanks, in two
-generations of bounded size (the older is dropped when the younger is full); only new chunks
-go through the tokenizers library.  ``check_chunked`` states what a file must satisfy for
+generations of bounded bytes (the older is dropped when the younger is full), until the worker gets a
+task of another operator; only new chunks go through the tokenizers library.  ``check_chunked`` states what a file must satisfy for
 chunk-wise ids to equal those of the whole text.
+
+Defined cases: a null text counts as empty and has no ids; a chunk of any length is encoded whole (what
+is remembered is not); ids depend on the text alone, not on what was encoded before.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
 from functools import cache
 
 import numpy as np
 
-#: entries a generation of remembered chunks may have, and the longest chunk remembered
-GENERATION = 300_000
+from panelcraft.llm.memo import Sized, begin, remembers
+
+#: bytes a generation of remembered chunks (or parts of chunks) may have, and the longest one remembered
+GENERATION = 24 << 20
 LONGEST = 64
 
 
@@ -65,28 +69,18 @@ class ChunkEncoder:
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100) if chr(c).isalpha()}
         self.two = [i.to_bytes(2, "little") for i in range(self.library.get_vocab_size(with_added_tokens=True))]
-        self.chunks = _Chunks(self._learn)
-        self.parts: dict[str, bytes] = {}
+        self.chunks = Sized(self._learn, GENERATION, LONGEST)
+        self.parts = Sized(self._merged, GENERATION // 2, LONGEST)
 
     def _merged(self, part: str) -> bytes:
         two = self.two
         tokens = self.library.model.tokenize(part if part.isascii() else part.translate(self.byte_letters))
         return b"".join([two[t.id] for t in tokens])
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            ids = self._merged(part)
-            if len(self.parts) > GENERATION:
-                self.parts.clear()
-            if len(part) <= LONGEST:
-                self.parts[part] = ids
-        return ids
-
     def _learn(self, chunk: str) -> bytes:
         if PLAIN.fullmatch(chunk) and not ("<" in chunk and any(t in chunk for t in self.special)):
             low = chunk.lower()
-            return self._merged(low) if low.isalpha() else b"".join(map(self._part, PARTS.findall(low)))
+            return self._merged(low) if low.isalpha() else b"".join(map(self.parts.__getitem__, PARTS.findall(low)))
         return np.array(self.library.encode(chunk, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
     def _cut(self, text: str) -> list[str]:
@@ -108,31 +102,19 @@ class ChunkEncoder:
             return b""
         ids = b"".join(map(self.chunks.__getitem__, self._cut(text)))
         self.chunks.age()
+        self.parts.age()
         return ids
 
 
-class _Chunks(dict):
-    """Remembered chunks: the younger generation, that asks the older one and then ``learn``."""
-
-    def __init__(self, learn: Callable[[str], bytes]):
-        super().__init__()
-        self.learn, self.old = learn, {}
+@cache
+def _encoder(path: str) -> ChunkEncoder:
+    return ChunkEncoder(path)
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:
-            ids = self.learn(chunk)
-        if len(chunk) <= LONGEST:
-            self[chunk] = ids
-        return ids
 
-    def age(self) -> None:
-        if len(self) > GENERATION:
-            self.old = dict(self)
-            self.clear()
+remembers("word_ids", _encoder.cache_clear)
 
 
-@cache
 def encoder(path: str) -> ChunkEncoder:
-    """One encoder for each worker process."""
-    return ChunkEncoder(path)
+    """One encoder for each worker process, as long as it serves this operator."""
+    begin("word_ids")
+    return _encoder(path)
