@@ -54,6 +54,7 @@ UNIT = re.compile(r"(?:[^.!?。！？｡\n]++|[.!?]++(?![ \t]))*+(?:[.!?]+[ \t]+
 #: scripts that part no words
 UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF),
             (0x20000, 0x3FFFF)]
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 _LONGEST = 1 << 12
 with np.errstate(over="ignore"):
     _POWERS = np.cumprod(np.full(_LONGEST, 0x9E3779B97F4A7C15, dtype=np.uint64))
@@ -77,9 +78,12 @@ def _words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.flatnonzero((kinds > 0) & ((before != 1) | (kinds == 2))), points, kinds
 
 
+_UNSPACED = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSPACED) + "]")
+
+
 def n_words(content: str) -> int:
     """How many words a normalised content has."""
-    return content.count(" ") + 1 if content.isascii() else len(_words(content)[0])
+    return content.count(" ") + 1 if not _UNSPACED.search(content) else len(_words(content)[0])
 
 
 def _cuts(text: str, folded: str, starts: np.ndarray) -> np.ndarray:
@@ -127,52 +131,61 @@ def lines(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int]]
     return out
 
 
-def repeated_spans(text: str, later: np.ndarray, min_words: int = MIN_WORDS, later_lines: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """The spans of runs of later units with enough words, and of later lines; ``later``: positions of
-    units, ``later_lines``: of the first units of lines."""
-    found = units(text)
-    begun = set() if later_lines is None else set(later_lines.tolist())
-    whole = {k for a, b in (lines(text, found) if begun else []) if a in begun for k in range(a, b + 1)}
-    marks = set(later.tolist()) | whole
-    spans, i = [], 0
-    while i < len(found):
-        if i not in marks:
-            i += 1
-            continue
-        j, words, end = i, 0, i
-        while j < len(found) and (j in marks or not found[j][2]):   # blank units join runs
-            if found[j][2]:
-                words, end = words + n_words(found[j][2]), j
-            j += 1
-        if words >= min_words:
-            spans.append((found[i][0], found[end][1]))
+def repeated_spans(ends: np.ndarray, sizes: np.ndarray, later: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """The spans of runs of later units with enough words, and of later lines.  ``ends`` of all units, ``sizes``: twice
+    the words of each, plus one if it ends its line; ``later``: places, as ``_marks`` numbers them."""
+    last = np.flatnonzero(sizes & 1)
+    words, marks, whole = sizes >> 1, np.zeros(len(ends), dtype=bool), np.zeros(len(ends), dtype=bool)
+    marks[later[later % 2 == 0] // 2] = True
+    begun = later[later % 2 == 1] // 2
+    for a, b in zip(begun.tolist(), last[np.searchsorted(last, begun)].tolist() if len(begun) else []):
+        whole[a:b + 1] = True
+    marks |= whole
+    joins = marks | (words == 0)                       # blank units join runs
+    spans, start, i, n = [], np.concatenate([[0], ends[:-1]]), 0, len(ends)
+    breaks, at = np.append(np.flatnonzero(~joins), n), np.flatnonzero(marks)
+    filled = np.flatnonzero(words > 0)
+    total = np.concatenate([[0], np.cumsum(words)])
+    while (k := np.searchsorted(at, i)) < len(at):
+        i = int(at[k])
+        stop = int(breaks[np.searchsorted(breaks, i)])
+        f = np.searchsorted(filled, stop) - 1          # the run's last unit with a word
+        end = max(i, int(filled[f])) if f >= 0 else i
+        if total[stop] - total[i] >= min_words:
+            spans.append((int(start[i]), int(ends[end])))
         else:
-            for k in range(i, end + 1):
-                if k in whole:
-                    joined = spans and spans[-1][1] == found[k][0]
-                    spans.append((spans.pop()[0] if joined else found[k][0], found[k][1]))
+            for u in range(i, end + 1):
+                if whole[u]:
+                    joined = spans and spans[-1][1] == start[u]
+                    spans.append((spans.pop()[0] if joined else int(start[u]), int(ends[u])))
         i = end + 1
     return spans
 
 
-def _marks(text: str, whole_lines: bool) -> tuple[list[int], list[int], list[bytes], list[int]]:
+def _marks(text: str, whole_lines: bool) -> tuple[list[int], list[int], list[bytes], list[int], list[int], list[int]]:
     """Of the contents of a text (units, and whole lines): the place of the first that has it, its kinds and
-    digest; and the places of all others.  A place is twice a unit's number, plus one for the line it begins."""
-    found, ends, seen = units(text), {}, ({}, set())
+    digest; and the places of all others.  A place is twice a unit's number, plus one for the line it begins.
+    Also the ends and sizes of all units (see ``repeated_spans``)."""
+    found, alone = units(text), set()
+    units_seen, lines_seen = set(), set()
     places, kinds, digests, own = [], [], [], []
-    for a, b in lines(text, found) if whole_lines else []:
+    count = n_words if _UNSPACED.search(text) else lambda c: c.count(" ") + 1
+    sizes = [2 * count(c) if c else 0 for _, _, c in found]
+    for a, b in lines(text, found):
+        sizes[b] += 1
+        if not whole_lines:
+            continue
         if a == b:
-            ends[a] = True                                  # a unit that is a line
+            alone.add(a)                                    # a unit that is a line
             continue
         content = " ".join(c for _, _, c in found[a:b + 1] if c)
-        if content in seen[1]:
+        if content in lines_seen:
             own.append(2 * a + 1)
         elif content:
-            seen[1].add(content)
+            lines_seen.add(content)
             places.append(2 * a + 1)
             kinds.append(AS_LINE)
             digests.append(xxhash.xxh3_128_digest(content))
-    units_seen, lines_seen = seen
     for k, (_, _, content) in enumerate(found):
         if not content:
             continue
@@ -180,9 +193,9 @@ def _marks(text: str, whole_lines: bool) -> tuple[list[int], list[int], list[byt
         if content in units_seen:
             own.append(2 * k)
         else:
-            units_seen[content] = True
+            units_seen.add(content)
             kind = AS_UNIT
-        if k in ends:
+        if k in alone:
             if content in lines_seen:
                 own.append(2 * k + 1)
             else:
@@ -192,27 +205,28 @@ def _marks(text: str, whole_lines: bool) -> tuple[list[int], list[int], list[byt
             places.append(2 * k)
             kinds.append(kind)
             digests.append(xxhash.xxh3_128_digest(content))
-    return places, kinds, digests, own
+    return places, kinds, digests, own, [end for _, end, _ in found], sizes
 
 
 def _digests(docs: DataFrame, whole_lines: bool) -> DataFrame:
     """A row for each text with a word: digests (h, g) of its contents with their kinds and places (see
-    ``_marks``), and its own repeats."""
+    ``_marks``), its own repeats, the ends and sizes of its units."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("line_dedup")
         for batch in batches:
             for i, t, value in zip(*batch.columns, strict=True):
-                places, kinds, digests, own = _marks(value.as_py() or "", whole_lines)
+                places, kinds, digests, own, ends, sizes = _marks(value.as_py() or "", whole_lines)
                 if not places:
                     continue
                 d = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
                 lists = [pa.array(d[:, 0]), pa.array(d[:, 1].astype(np.int32)), pa.array(kinds, pa.int8()), pa.array(places, pa.int32()),
-                         pa.array(own, pa.int32())]
+                         pa.array(own, pa.int32()), pa.array(ends, pa.int32()), pa.array(sizes, pa.int32())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.repeat(i, 1), pa.repeat(t, 1), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]],
-                    names=["doc_id", "t", "h", "g", "kind", "at", "own"])
+                    names=["doc_id", "t", "h", "g", "kind", "at", "own", "ends", "sizes"])
 
-    return docs.mapInArrow(run, "doc_id long, t int, h array<long>, g array<int>, kind array<tinyint>, at array<int>, own array<int>")
+    return docs.mapInArrow(run, "doc_id long, t int, h array<long>, g array<int>, kind array<tinyint>, at array<int>, own array<int>, "
+                                "ends array<int>, sizes array<int>")
 
 
 def _ranked(digests: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -224,7 +238,7 @@ def _ranked(digests: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         return digests.withColumnRenamed("doc_id", "rank").drop("t"), None
     names = written(ordered_row_number(ids, ["doc_id", "t"], (), "rank"), "ranks")
     same = digests["doc_id"].eqNullSafe(names["doc_id"]) & (digests["t"] == names["t"])
-    return digests.join(names, same).select("rank", "h", "g", "kind", "at", "own"), names
+    return digests.join(names, same).drop("doc_id", "t"), names
 
 
 def repeated_map(digests: DataFrame) -> np.ndarray:
@@ -266,9 +280,9 @@ def _perhaps_repeated(digests: DataFrame, bits: np.ndarray) -> DataFrame:
     return digests.select("rank", "h", "g", "kind", "at").mapInArrow(run, "h long, g int, rank long, at int, kind tinyint")
 
 
-def later_units(docs: DataFrame, whole_lines: bool = False) -> DataFrame:
-    """(doc_id, t, later array<int>): the places (see ``_marks``) of contents that came before, for each text with
-    any; ``t`` is null where the id alone names the text."""
+def spans_of_repeats(docs: DataFrame, min_words: int = MIN_WORDS, whole_lines: bool = False) -> DataFrame:
+    """(doc_id, t, spans): what is removed from each text that loses something; ``t`` is null where the id alone
+    names the text."""
     d = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("t"), "text")
     raw = written(_digests(d, whole_lines), "unit-digests")
     digests, names = _ranked(raw)
@@ -281,39 +295,62 @@ def later_units(docs: DataFrame, whole_lines: bool = False) -> DataFrame:
     at = F.filter(F.array(F.when(is_unit & (F.col("rank") > F.col("unit")), F.col("at")),
                           F.when(is_line & (F.col("rank") > F.col("line")), F.col("at").bitwiseOR(F.lit(1)))), lambda x: x.isNotNull())
     every = met.select("rank", F.explode(at).alias("at")).unionByName(digests.select("rank", F.explode("own").alias("at")))
-    later = written(every.groupBy("rank").agg(F.sort_array(F.collect_set("at")).alias("later")), "later-units")
+    later = every.groupBy("rank").agg(F.sort_array(F.collect_set("at")).alias("later"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("line_dedup")
+        for batch in batches:
+            ends, sizes, at = ([np.asarray(x) for x in _pieces(batch.column(c))] for c in ("ends", "sizes", "later"))
+            cuts = [repeated_spans(*x, min_words) for x in zip(ends, sizes, at, strict=True)]
+            some = [k for k, c in enumerate(cuts) if c]
+            yield pa.RecordBatch.from_arrays([batch.column("rank").take(pa.array(some, pa.int64())),
+                                              pa.array([[{"start": a, "end": b} for a, b in cuts[k]] for k in some], _SPANS)], names=["rank", "spans"])
+
+    found = written(later.join(digests.select("rank", "ends", "sizes").dropDuplicates(["rank"]) if names is not None or _several(digests)
+                               else digests.select("rank", "ends", "sizes"), "rank")
+                    .mapInArrow(run, "rank long, spans array<struct<start:int,end:int>>"), "repeated-spans")
     for done in (raw, few, first):
         dropped(done)
     if names is None:
-        return later.select(F.col("rank").alias("doc_id"), F.lit(None).cast("int").alias("t"), "later")
-    return later.join(names, "rank").select("doc_id", "t", "later")
+        return found.select(F.col("rank").alias("doc_id"), F.lit(None).cast("int").alias("t"), "spans")
+    return found.join(names, "rank").select("doc_id", "t", "spans")
+
+
+def _pieces(lists: pa.ListArray) -> Iterator[np.ndarray]:
+    values, at = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    at = at - at[0]
+    return (values[a:b] for a, b in zip(at, at[1:]))
+
+
+def _several(digests: DataFrame) -> bool:
+    """Whether a text (a rank) stands in several rows."""
+    n = digests.agg(F.count("*").alias("n"), F.count_distinct("rank").alias("ranks")).first()
+    return n["n"] != n["ranks"]
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "kept_text",
                     spans: str = "removed", whole_lines: bool = False) -> DataFrame:
     """``docs`` with two more columns: the text that stays, and the removed spans of the original."""
-    found = later_units(docs, whole_lines)
-    later = unused([*docs.columns, text, spans], "_later")
+    found = spans_of_repeats(docs, min_words, whole_lines)
+    cut = unused([*docs.columns, text, spans], "_spans")
     same = docs["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (F.hash(docs["text"]) == F.coalesce(found["t"], F.hash(docs["text"])))
     met = (docs.join(found, same, "left")
-           .select(*[docs[c] for c in docs.columns], found["later"].alias(later)))
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+           .select(*[docs[c] for c in docs.columns], found["spans"].alias(cut)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("line_dedup")
         for batch in batches:
             texts, cuts = [], []
-            for value, marks in zip(batch.column("text"), batch.column(later), strict=True):
-                whole, cut = value.as_py(), []
-                if marks.is_valid:
-                    at = np.array(marks.as_py(), dtype=np.int64)
-                    cut = repeated_spans(whole, at[at % 2 == 0] // 2, min_words, at[at % 2 == 1] // 2)
-                    edges = [0, *(x for s in cut for x in s), len(whole)]
+            for value, gone in zip(batch.column("text"), batch.column(cut), strict=True):
+                whole, removed = value.as_py(), []
+                if gone.is_valid:
+                    removed = gone.as_py()
+                    edges = [0, *(x for g in removed for x in (g["start"], g["end"])), len(whole)]
                     whole = "".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 texts.append(whole)
-                cuts.append([{"start": a, "end": b} for a, b in cut])
-            own = [c for c in batch.schema.names if c != later]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(texts, pa.string()), pa.array(cuts, kind)],
+                cuts.append(removed)
+            own = [c for c in batch.schema.names if c != cut]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(texts, pa.string()), pa.array(cuts, _SPANS)],
                                              names=[*own, text, spans])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(text, T.StringType()), T.StructField(

@@ -148,7 +148,7 @@ def token_table(docs: DataFrame, tokenizer: str, vocab: int, end_id: int = END_I
     all ids.  Each task counts the ids that it writes, in the same pass, and writes the counts beside them; at most
     ``vocab`` sums reach the driver."""
     end = np.array([end_id], dtype="<u2").tobytes()
-    names = ["doc_id", "n_tokens", "ids", "kind"]
+    names = ["doc_id", "n_tokens", "ids", "counts"]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, total = encoder(tokenizer).encode, np.zeros(vocab, dtype=np.int64)
@@ -158,10 +158,10 @@ def token_table(docs: DataFrame, tokenizer: str, vocab: int, end_id: int = END_I
                 ids = [encode(text.as_py()) + end for text in part.column(1)]
                 total += np.bincount(np.frombuffer(b"".join(ids), dtype="<u2"), minlength=vocab)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(b) // 2 for b in ids], pa.int64()), pa.array(ids, pa.binary()),
-                                                  pa.repeat(0, len(ids)).cast(pa.int32())], names=names)
+                                                  pa.nulls(len(ids), pa.binary())], names=names)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([total.astype("<i8").tobytes()], pa.binary()),
-                                              pa.array([1], pa.int32())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
+                                              pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocab, dtype=np.int64)
@@ -172,13 +172,13 @@ def token_table(docs: DataFrame, tokenizer: str, vocab: int, end_id: int = END_I
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
     spark, path = docs.sparkSession, work_dir(docs.sparkSession, "tokens") + "/t"
-    (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenise, "doc_id long, n_tokens long, ids binary, kind int")
-     .write.option("compression", "zstd").partitionBy("kind").parquet(path))
-    both = spark.read.schema("doc_id long, n_tokens long, ids binary, kind int").parquet(path)
+    kinds = "doc_id long, n_tokens long, ids binary, counts binary"
+    (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tokenise, kinds).write.option("compression", "zstd").parquet(path))
+    both = spark.read.schema(kinds).parquet(path)
     counts = np.zeros(vocab, dtype=np.int64)
-    for r in both.where("kind = 1").select("ids").mapInArrow(unpack, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in both.where("counts is not null").select("counts").mapInArrow(unpack, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r["id"]] = r["n"]
-    return both.where("kind = 0").drop("kind"), scaled(counts)
+    return both.where("counts is null").drop("counts"), scaled(counts)
 
 
 BLOCKS = "shard int, block int, start long, n_tokens long, doc_ids array<long>, lengths array<long>, payload binary"

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from panelcraft.llm.common import keyed_join
 from panelcraft.llm.components import components
+from panelcraft.llm.memo import begin
 from panelcraft.session import written
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -61,6 +62,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, t, fp): a hash of the text, the fingerprint's bits as a signed 64-bit integer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("simhash")
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))],

@@ -20,7 +20,7 @@ import numpy as np
 from panelcraft.llm.memo import Sized, begin, remembers
 
 #: bytes a generation of remembered chunks (or parts of chunks) may have, and the longest one remembered
-GENERATION = 24 << 20
+GENERATION = 44 << 20
 LONGEST = 64
 
 
@@ -70,7 +70,7 @@ class ChunkEncoder:
         self.byte_letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100) if chr(c).isalpha()}
         self.two = [i.to_bytes(2, "little") for i in range(self.library.get_vocab_size(with_added_tokens=True))]
         self.chunks = Sized(self._learn, GENERATION, LONGEST)
-        self.parts = Sized(self._merged, GENERATION // 2, LONGEST)
+        self.parts = Sized(self._merged, GENERATION // 4, LONGEST)
 
     def _merged(self, part: str) -> bytes:
         two = self.two
@@ -78,6 +78,8 @@ class ChunkEncoder:
         return b"".join([two[t.id] for t in tokens])
 
     def _learn(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha() and chunk.islower():
+            return self._merged(chunk)
         if PLAIN.fullmatch(chunk) and not ("<" in chunk and any(t in chunk for t in self.special)):
             low = chunk.lower()
             return self._merged(low) if low.isalpha() else b"".join(map(self.parts.__getitem__, PARTS.findall(low)))
