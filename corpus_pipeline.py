@@ -3,6 +3,11 @@
 Each stage takes all that the one before kept and applies one operator; its output is written
 as Parquet and read again by the next.  All stages but the last return the columns of
 ``documents``.  Fitted parts (bucket weights, toxicity model) are fitted on the stage's own input.
+
+Defined cases: null, empty and blank texts fail the quality rules' word count, so they go in the first stage;
+repeated rows are near-duplicates, of which one stays; an empty table passes every stage and gives no
+pieces; columns beside ``doc_id`` and ``text`` pass all stages but the last as they are (``n_chars``
+follows a shortened text).
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelcraft.llm import line_dedup, quality_llr, simhash_grid, slack_packing, toxicity_channel
 from panelcraft.llm.common import documents, labels
-from panelcraft.session import written
+from panelcraft.session import dropped, written
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -59,7 +64,10 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, applied to ``documents``."""
-    docs = documents(spark, sf_dir)
+    docs, last = documents(spark, sf_dir), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        if last is not None:
+            dropped(last)                   # its successor is written
+        last = docs
     return docs
