@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from panelcraft.llm.memo import begin
 from panelcraft.llm.word_ids import encoder
 from panelcraft.session import dropped, shuffle_partitions, work_dir
 
@@ -190,6 +191,7 @@ def write_blocks(tokens: DataFrame, freq: np.ndarray, path: str, block: int = BL
     shared = spark.sparkContext.broadcast(freq)          # one entry for each id of the vocabulary
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("token files")                 # what the ids were made with is not needed any more
         coder, shard = Coder(shared.value), TaskContext.get().partitionId()
         held: list[tuple[int | None, np.ndarray]] = []
         number = start = size = 0

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from panelcraft.llm.memo import begin
 from panelcraft.llm.word_ids import encoder
 from panelcraft.session import shuffle_partitions, written
 
@@ -124,6 +125,7 @@ def pack(pieces_: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     shared = spark.sparkContext.broadcast(table)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("packing")                         # what the ids were made with is not needed any more
         t = shared.value
         big = np.int64(1) << 44                  # above any rank of a length
         keys = t[:, 0] * big + t[:, 1]

@@ -20,7 +20,7 @@ import numpy as np
 from panelcraft.llm.memo import Sized, begin, remembers
 
 #: bytes a generation of remembered chunks (or parts of chunks) may have, and the longest one remembered
-GENERATION = 44 << 20
+GENERATION = 28 << 20
 LONGEST = 64
 
 
