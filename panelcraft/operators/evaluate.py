@@ -82,11 +82,16 @@ def roc_auc(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (
 
 
 def roc_curve(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (),
-              origin: bool = False) -> DataFrame:
+              origin: bool = False, corners: bool = False) -> DataFrame:
     """One ROC point per distinct score (predict positive when ``score >= s``); with ``origin``
-    also the point (0, 0) of each curve, at an infinite threshold."""
+    also the point (0, 0) of each curve, at an infinite threshold.
+
+    With ``corners`` only the points that the drawn curve needs: the first, the last and
+    those whose step from the point before differs from the step to the point after.  The step to
+    the next point is the next distinct score's counts, which cross range slices with the offsets."""
     c = _score_counts(df, label, score, group_cols)
-    c = ordered_running_sum(c, [F.col(score).desc()], ["pos", "neg"], group_cols)
+    c = ordered_running_sum(c, [F.col(score).desc()], ["pos", "neg"], group_cols,
+                            next_suffix="_next" if corners else None)
     tot = c.groupBy(*group_cols).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     if group_cols:
         c = c.join(tot, list(group_cols), "inner")
@@ -94,6 +99,10 @@ def roc_curve(df: DataFrame, label: str, score: str, group_cols: Sequence[str] =
         t = tot.select(F.struct("_P", "_N")).scalar()
         c = c.withColumn("_t", t).select("*", F.col("_t._P").alias("_P"),
                                          F.col("_t._N").alias("_N")).drop("_t")
+    if corners:                                  # the first point has nothing but its own counts before it
+        first = (F.col("pos_cum") == F.col("pos")) & (F.col("neg_cum") == F.col("neg"))
+        c = c.where(first | F.col("pos_next").isNull() | (F.col("pos_next") != F.col("pos"))
+                    | (F.col("neg_next") != F.col("neg")))
     if origin:
         inf = F.lit(float("inf")).alias(score)
         zero = F.lit(0).cast("long")

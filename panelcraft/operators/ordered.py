@@ -83,24 +83,37 @@ def ordered_row_number(df: DataFrame, order_cols: Sequence[str | Column],
 def ordered_running_sum(df: DataFrame, order_cols: Sequence[str | Column],
                         value_cols: Sequence[str], group_cols: Sequence[str] = (),
                         suffix: str = "_cum",
-                        num_partitions: int | None = None) -> DataFrame:
-    """Append ``<v><suffix>`` = inclusive running sum of ``v`` in order, per group."""
+                        num_partitions: int | None = None,
+                        next_suffix: str | None = None) -> DataFrame:
+    """Append ``<v><suffix>`` = inclusive running sum of ``v`` in order, per group.
+
+    With ``next_suffix`` also ``<v><next_suffix>``, the value of the next row of the group (null
+    for the last row).  The row after the last one of a slice is the first of the group's next
+    slice; these come with the offsets, from one row for each slice and group.
+    """
     group_cols = list(group_cols)
     keys = _cols(group_cols) + _cols(order_cols)
     r = _ranged(df, keys, num_partitions)
-    stats = r.groupBy(_PID, *group_cols).agg(*[F.sum(v).alias(f"_oq_t_{v}") for v in value_cols])
-    w = (Window.partitionBy(*group_cols).orderBy(_PID)
-         .rowsBetween(Window.unboundedPreceding, -1))
+    firsts = [F.min_by(v, _POS).alias(f"_oq_f_{v}") for v in value_cols] if next_suffix else []
+    stats = r.groupBy(_PID, *group_cols).agg(
+        *[F.sum(v).alias(f"_oq_t_{v}") for v in value_cols], *firsts)
+    ws = Window.partitionBy(*group_cols).orderBy(_PID)
+    w = ws.rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(_PID, *group_cols, *[
-        F.coalesce(F.sum(f"_oq_t_{v}").over(w), F.lit(0)).alias(f"_oq_o_{v}") for v in value_cols])
+        F.coalesce(F.sum(f"_oq_t_{v}").over(w), F.lit(0)).alias(f"_oq_o_{v}") for v in value_cols],
+        *[F.lead(f"_oq_f_{v}").over(ws).alias(f"_oq_s_{v}") for v in value_cols if next_suffix])
     # inside one slice: a window over that slice only (bounded by the range split)
-    wi = (Window.partitionBy(_PID, *group_cols).orderBy(_POS)
-          .rowsBetween(Window.unboundedPreceding, 0))
-    r = r.select("*", *[F.sum(v).over(wi).alias(f"_oq_i_{v}") for v in value_cols])
+    wn = Window.partitionBy(_PID, *group_cols).orderBy(_POS)
+    wi = wn.rowsBetween(Window.unboundedPreceding, 0)
+    last = F.lead(_POS).over(wn).isNull().alias("_oq_last")
+    r = r.select("*", *[F.sum(v).over(wi).alias(f"_oq_i_{v}") for v in value_cols],
+                 *([last] + [F.lead(v).over(wn).alias(f"_oq_n_{v}") for v in value_cols] if next_suffix else []))
     out = _null_safe_join(r, stats, [_PID, *group_cols])
+    following = [F.when(F.col("_oq_last"), F.col(f"_oq_s_{v}")).otherwise(F.col(f"_oq_n_{v}"))
+                 .alias(f"{v}{next_suffix}") for v in value_cols if next_suffix]
     out = out.select("*", *[(F.col(f"_oq_o_{v}") + F.col(f"_oq_i_{v}")).alias(f"{v}{suffix}")
-                            for v in value_cols])
-    drop = [_PID, _POS] + [f"_oq_{t}_{v}" for v in value_cols for t in ("o", "i")]
+                            for v in value_cols], *following)
+    drop = [_PID, _POS, "_oq_last"] + [f"_oq_{t}_{v}" for v in value_cols for t in ("o", "i", "s", "n")]
     return out.drop(*drop)
 
 

@@ -301,6 +301,14 @@ def roc_curve(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("threshold", "tp", "fp", _r("fpr", 12), _r("tpr", 12))
 
 
+def roc_corners(spark: SparkSession, sf: str) -> DataFrame:
+    """ROC points without collinear ones, of each nation's orders scored in steps of a hundredth (many ties)."""
+    from panelcraft.operators.evaluate import roc_curve as curve
+    s = _nation_scores(spark, sf).withColumn("score", F.floor(F.col("score") * 100) / 100)
+    c = curve(s, "y", "score", ["name"], origin=True, corners=True)
+    return c.select("name", "threshold", "tp", "fp", _r("fpr", 12), _r("tpr", 12))
+
+
 def _nation_scores(spark: SparkSession, sf: str) -> DataFrame:
     """(name, y, score): orders by customer nation, a stand-in for scores of several models."""
     o = b.table(spark, sf, "orders").select(

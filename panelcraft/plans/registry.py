@@ -52,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_sweep": c.report_sweep,
     "best_threshold": c.best_threshold,
     "roc_curve": c.roc_curve,
+    "roc_corners": c.roc_corners,
     "roc_curves_top8": c.roc_curves_top8,
     "argmax_tuple": c.argmax_tuple,
     "topk_by_metric": c.topk_by_metric,

@@ -92,6 +92,26 @@ def test_grouped_roc_curve_matches_brute_force(spark):
         assert (r["tp"], r["fp"]) == (tp, fp)
 
 
+def test_roc_corners_match_brute_force_across_slices(spark):
+    """Points that a straight line joins go, also where a slice of the order ends between them."""
+    rows = [(g, i, int(i % 7 == 0 or 30 < i < 60)) for g in ("a", "b") for i in range(100) for _ in range(1 + (g == "b"))]
+    df = spark.createDataFrame([(g, float(i), y) for g, i, y in rows], "g string, s double, y int")
+    got = {(r["g"], r["threshold"], r["tp"], r["fp"]) for r in ev.roc_curve(df, "y", "s", ["g"], corners=True).collect()}
+    want = set()
+    for g in ("a", "b"):
+        pts, tp, fp = [], 0, 0
+        for s in range(99, -1, -1):
+            here = [y for h, i, y in rows if h == g and i == s]
+            tp, fp = tp + sum(here), fp + len(here) - sum(here)
+            pts.append((g, float(s), tp, fp))
+        turns = [b for a, b, c in zip(pts, pts[1:], pts[2:])
+                 if (b[2] - a[2], b[3] - a[3]) != (c[2] - b[2], c[3] - b[3])]
+        want |= {pts[0], pts[-1], *turns}
+    assert got == want and len(got) < 120
+    one = ev.roc_curve(df.where("s = 3"), "y", "s", ["g"], origin=True, corners=True)
+    assert one.count() == 4 and ev.roc_curve(df.limit(0), "y", "s", ["g"], corners=True).count() == 0
+
+
 def test_evaluate_with_separate_tuning_frame(spark):
     o = spark.read.parquet(f"{SF}/orders.parquet").select(
         "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"),
