@@ -47,6 +47,49 @@ def test_pending_keys_and_stream_resume(spark):
     assert pend.count() == 0
 
 
+@pytest.mark.parametrize("known", ["state", "sink"])
+def test_repeats_in_later_files_add_nothing(spark, known):
+    """Files that repeat earlier rows, within and between batches; the state's settings don't stay behind."""
+    base = work_dir(spark, "repeats")
+    args = (spark, f"{base}/landing/*", "k long, v string", f"{base}/sink", f"{base}/ck", lambda df: df, ["k"])
+    row = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    row(0, 100, "a").unionByName(row(0, 50, "a")).write.parquet(f"{base}/landing/1")
+    assert run_ingest(*args, known=known).count() == 100
+    row(50, 200, "b").write.parquet(f"{base}/landing/2")
+    got = {r["k"]: r["v"] for r in run_ingest(*args, known=known).collect()}
+    assert got == {k: "a" if k < 100 else "b" for k in range(200)}
+    assert run_ingest(*args, known=known).count() == 200
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_a_batch_with_known_keys_in_a_state_does_not_read_the_sink(spark):
+    """What a later batch reads is its own files: the plan scans nothing else, the state holds all keys."""
+    from panelcraft.streaming.ingest import start_ingest
+    base = work_dir(spark, "state-reads")
+    args = (spark, f"{base}/landing/*", "k long", f"{base}/sink", f"{base}/ck", lambda df: df, ["k"])
+    for i, (lo, hi) in enumerate([(0, 5000), (4990, 5010)]):
+        spark.range(lo, hi).select(F.col("id").alias("k")).write.parquet(f"{base}/landing/{i}")
+        q = start_ingest(*args)
+        q.awaitTermination()
+    done = [p for p in q.recentProgress if p["numInputRows"]]
+    assert sum(p["numInputRows"] for p in done) == 20
+    state = done[-1]["stateOperators"][0]
+    assert (state["numRowsTotal"], state["numRowsUpdated"]) == (5010, 10)
+    assert "RocksDB" in " ".join(state["customMetrics"]) or any(m.startswith("rocksdb") for m in state["customMetrics"])
+    assert spark.read.parquet(f"{base}/sink").count() == 5010
+
+
+def test_least_of_equal_keys_is_appended(spark):
+    from panelcraft.streaming.ingest import idempotent_append, read_sink
+    sink = work_dir(spark, "least") + "/sink"
+    write = idempotent_append(sink, ["k"])
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 9), (1, "a", 3), (None, "x", 1), (None, None, 1)], "k int, v string, n int")
+    write(df, 0)
+    write(df.repartition(5), 1)
+    got = {(r["k"], r["v"], r["n"]) for r in read_sink(spark, sink).select("k", "v", "n").collect()}
+    assert got == {(1, "a", 3), (None, None, 1)} and read_sink(spark, sink).count() == 2
+
+
 def test_second_key_with_the_same_dates_loses_nothing(spark):
     """Key after key, each with the full date range: the later key's rows are all kept."""
     base = work_dir(spark, "two-keys")
