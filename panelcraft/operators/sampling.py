@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelcraft.functions.expressions import hash_key, hash_uniform
 from panelcraft.operators.ordered import ordered_row_number
+from panelcraft.operators.pivot_knn import knn_pivots
 from panelcraft.session import shuffle_partitions, written
 from panelcraft.sources.tables import lookup_map
 
@@ -187,32 +188,25 @@ def knn_within(df: DataFrame, id_col: str, vec_col: str, k: int = 5,
                block_rows: int = 8192, method: str = "exact", **lsh) -> DataFrame:
     """k nearest neighbours (Euclidean, ties by id) of every row among the rows.
 
-    ``method="exact"`` compares all tiles, at a cost that grows with the square of the rows.
-    ``method="lsh"`` is approximate: see ``knn_lsh``, which takes the remaining arguments.
-
-    Rows are hashed into T balanced tiles; each (query tile, reference tile) pair
-    is one ``applyInPandas`` group that keeps only the k best per query row, so
-    no pair is ever materialised as a row and no group exceeds 2 x block_rows
-    rows whatever the data's skew.  The T*k candidates per row are then reduced
-    to the final k.  Output: ``id_col, nn_rank, nn_id, dist``.
+    ``method="exact"`` takes one task up to ``block_rows`` rows.  Beyond, rows are dealt to
+    pivot cells, and a tile is only compared with cells that can hold a nearer row
+    (``operators/pivot_knn.py``); no pair is ever materialised as a row, and no group is above about twice
+    ``block_rows`` whatever the skew.  ``method="lsh"`` is approximate: see ``knn_lsh``, which takes the
+    remaining arguments.  Output: ``id_col, nn_rank, nn_id, dist``.
     """
     if method == "lsh":
         return knn_lsh(df, id_col, vec_col, k, **lsh)
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
-    m = df.select(F.count(F.lit(1))).first()[0]
-    t = max(1, math.ceil(m / block_rows))
-    base = df.select(F.col(id_col).cast("long").alias("id"),
-                     F.col(vec_col).cast("array<double>").alias("vec"),
-                     F.pmod(F.xxhash64(F.col(id_col)), F.lit(t)).cast("int").alias("_tile"))
-    tiles = F.explode(F.sequence(F.lit(0), F.lit(t - 1)))
-    q = base.select("id", "vec", F.lit(0).alias("_role"), F.col("_tile").alias("_qt"), tiles.alias("_rt"))
-    r = base.select("id", "vec", F.lit(1).alias("_role"), tiles.alias("_qt"), F.col("_tile").alias("_rt"))
-    cand = (q.unionByName(r).groupBy("_qt", "_rt")
-             .applyInPandas(_knn_block(k), "id long, nn_id long, dist double"))
-    w = Window.partitionBy("id").orderBy("dist", "nn_id")     # <= T*k rows per id
-    return (cand.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
-                .select(F.col("id").alias(id_col), "nn_rank", "nn_id", "dist"))
+    base = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    if base.limit(block_rows + 1).count() > block_rows:
+        found = knn_pivots(base, k, block_rows, _knn_block)
+    else:
+        both = base.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_role"))
+        cand = both.groupBy().applyInPandas(_knn_block(k), "id long, nn_id long, dist double")
+        w = Window.partitionBy("id").orderBy("dist", "nn_id")
+        found = cand.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    return found.select(F.col("id").alias(id_col), "nn_rank", "nn_id", "dist")
 
 
 def knn_lsh(df: DataFrame, id_col: str, vec_col: str, k: int = 5, tables: int = 8,
