@@ -4,11 +4,16 @@ The model predicts every word of a text from the ``SIDE`` words on either side o
 word itself masked; a document's score is the sum of these conditional log probabilities.
 
 Word counts come from the whole corpus.  The probability of a word is that of its class given the
-window (a one-layer network on word vectors, softmax over ``CLASSES``) times the share of
-the word in its class by its exact count: the ``TOP_CLASSES`` most frequent words are classes of
-their own, the others go by a hash of their ending.  The counts of the ``VOCABULARY`` most frequent
-words are broadcast, those of all others meet their texts by a join on the word.  So all words of
-the corpus have a probability, and they sum to one.
+window times the share of the word in its class by its exact count: the ``TOP_CLASSES`` most
+frequent words are classes of their own, the others go by a hash of their ending.  The network
+(one hidden layer on word vectors) finds a class in two steps, a softmax over ``GROUPS`` groups and
+one over the ``MEMBERS`` classes of the group; classes are dealt to groups by rank, so groups weigh
+about the same and a window costs ``GROUPS + MEMBERS`` outputs instead of their product.  The counts
+of the ``VOCABULARY`` most frequent words are broadcast, those of all others meet their texts by a
+join on the word.  So all words of the corpus have a probability, and they sum to one.
+
+The words of all texts are turned into numbers once, and that table is written: the rounds and the
+scoring read it.
 
 Training covers every window of every text once: in each of ``ROUNDS`` rounds every task takes
 the current network through its documents by mini-batches in numpy (in round r the words at
@@ -33,20 +38,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.llm.common import words
-from panelcraft.session import written
+from panelcraft.session import dropped, written
 
 SIDE, VECTOR, HIDDEN = 2, 16, 32
-CLASSES, TOP_CLASSES, VOCABULARY, CONTEXT = 256, 200, 131_072, 8_192
-ROUNDS, BATCH, RATE = 2, 1024, 0.1
-#: windows that are scored together, code points that are cut into words together
-TOGETHER, CHARACTERS = 8_192, 1 << 19
-SHAPES = {"vectors": (CONTEXT + CLASSES + 1, VECTOR), "w1": (2 * SIDE * VECTOR, HIDDEN), "b1": (HIDDEN,),
-          "w2": (HIDDEN, CLASSES), "b2": (CLASSES,)}
+GROUPS, MEMBERS, ENDINGS = 64, 64, 256
+CLASSES = GROUPS * MEMBERS
+TOP_CLASSES, VOCABULARY, CONTEXT = CLASSES - ENDINGS, 131_072, 8_192
+ROUNDS, BATCH, RATE = 2, 4096, 0.1
+#: windows that are scored together; code points cut into words, and words taken from the table, together
+TOGETHER, CHARACTERS, WORDS = 16_384, 1 << 19, 1 << 17
+SHAPES = {"vectors": (CONTEXT + ENDINGS + 1, VECTOR), "w1": (2 * SIDE * VECTOR, HIDDEN), "b1": (HIDDEN,),
+          "w2": (HIDDEN, GROUPS), "b2": (GROUPS,), "w3": (GROUPS, HIDDEN, MEMBERS), "b3": (GROUPS, MEMBERS)}
 
 
 def ending_class(word: bytes) -> int:
     """Class of a word that is none of its own: by a hash of its last two bytes."""
-    return TOP_CLASSES + zlib.crc32(word[-2:]) % (CLASSES - TOP_CLASSES)
+    return TOP_CLASSES + zlib.crc32(word[-2:]) % ENDINGS
 
 
 # -- words of a text as numbers, by array operations over its bytes
@@ -138,9 +145,9 @@ class Lexicon:
         self.log_share[VOCABULARY:] = np.log((self.rest + 1) / (self.types + 1) / total)
         #: the share of one count for all words beyond the vocabulary, whose own counts come by a join
         self.log_share_of_one = np.where(np.arange(size) < VOCABULARY, self.log_share, -np.log(total)[self.class_of])
-        #: row of the vectors: frequent words, then classes, then the boundary
-        self.context = np.where(np.arange(size) < CONTEXT, np.arange(size), CONTEXT + self.class_of)
-        self.boundary = CONTEXT + CLASSES
+        #: row of the vectors: frequent words, then endings, then the boundary
+        self.context = np.where(np.arange(size) < CONTEXT, np.arange(size), CONTEXT + self.class_of - TOP_CLASSES).astype(np.int32)
+        self.boundary = CONTEXT + ENDINGS
 
     def __reduce__(self):
         return Lexicon, (self.vocabulary, self.counts, self.rest, self.types)
@@ -160,7 +167,7 @@ class Lexicon:
     def line(self, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The texts' rows of the vectors, each text between boundaries, and the place of every word."""
         at = np.arange(len(ids)) + SIDE * (1 + np.repeat(np.arange(len(size)), size))
-        line = np.full(len(ids) + SIDE * (len(size) + 1), self.boundary)
+        line = np.full(len(ids) + SIDE * (len(size) + 1), self.boundary, dtype=np.int32)
         line[at] = self.context[ids]
         return line, at
 
@@ -208,7 +215,7 @@ def least_count(counts: DataFrame, most: int, parts: int = 1024) -> int:
 def lexicon(counts: DataFrame, least: int) -> Lexicon:
     """The words with at least ``least`` counts and, for all other words, sums by class."""
     top = sorted(counts.filter(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["word"]))
-    k = F.lit(TOP_CLASSES) + F.pmod(F.crc32(F.substring(F.col("word").cast("binary"), -2, 2)), F.lit(CLASSES - TOP_CLASSES))
+    k = F.lit(TOP_CLASSES) + F.pmod(F.crc32(F.substring(F.col("word").cast("binary"), -2, 2)), F.lit(ENDINGS))
     by_class = counts.groupBy(k.cast("int").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect()
     rest, types = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in by_class:
@@ -226,8 +233,10 @@ Network = dict[str, np.ndarray]
 
 def initial(lex: Lexicon) -> Network:
     rng = np.random.default_rng(0)
-    net = {k: rng.normal(0, 0.3 if k == "vectors" else 1 / np.sqrt(s[0]), s) if len(s) > 1 else np.zeros(s) for k, s in SHAPES.items()}
-    net["b2"] = np.log(lex.prior)
+    net = {k: rng.normal(0, 0.3 if k == "vectors" else 1 / np.sqrt(s[-2]), s) if k[0] != "b" else np.zeros(s) for k, s in SHAPES.items()}
+    prior = lex.prior.reshape(MEMBERS, GROUPS).T
+    net["b2"] = np.log(prior.sum(axis=1))
+    net["b3"] = np.log(prior / prior.sum(axis=1, keepdims=True))
     return {k: v.astype(np.float32) for k, v in net.items()}
 
 
@@ -248,35 +257,69 @@ def batches_of(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
         yield first, held
 
 
-def _forward(net: Network, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = net["vectors"][context].reshape(len(context), -1)
-    h = np.tanh(x @ net["w1"] + net["b1"])
-    z = h @ net["w2"] + net["b2"]
-    z -= z.max(axis=1, keepdims=True)
-    return x, h, z
+def group_and_member(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (classes % GROUPS).astype(np.uint8), classes // GROUPS
+
+
+def _runs(group: np.ndarray) -> list[tuple[int, slice]]:
+    """(group, its rows) for sorted groups."""
+    first = np.flatnonzero(np.diff(group.astype(np.int16), prepend=np.int16(-1)))
+    return [(k, slice(a, b)) for k, a, b in zip(group[first].tolist(), first.tolist(), [*first[1:].tolist(), len(group)], strict=True)]
+
+
+def _exponentials(z: np.ndarray) -> np.ndarray:
+    """exp(z) in place, rows shifted where a logit could overflow; returns the sums of the rows."""
+    if max(z.max(initial=0), -z.min(initial=0)) > 60:
+        z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    return z @ np.ones(z.shape[1], dtype=z.dtype)
+
+
+def _member_logits(net: Network, h: np.ndarray, runs: list[tuple[int, slice]]) -> np.ndarray:
+    z = np.empty((len(h), MEMBERS), dtype=h.dtype)
+    for k, rows in runs:
+        np.matmul(h[rows], net["w3"][k], out=z[rows])
+        z[rows] += net["b3"][k]
+    return z
 
 
 def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray, rate: float) -> float:
     """One Adagrad step on a mini-batch; returns its mean loss."""
     n = len(target)
-    x, h, z = _forward(net, context)
-    p = np.exp(z)
-    p /= p.sum(axis=1, keepdims=True)
-    loss = -np.log(np.maximum(p[np.arange(n), target], 1e-12)).mean()
-    p[np.arange(n), target] -= 1
-    p /= n
-    dh = (p @ net["w2"].T) * (1 - h * h)
+    group, member = group_and_member(target)
+    order = np.argsort(group, kind="stable")
+    context, group, member = context.take(order, axis=0), group[order], member[order]
+    runs, every = _runs(group), np.arange(n)
+    x = net["vectors"].take(context, axis=0).reshape(n, -1)
+    h = np.tanh(x @ net["w1"] + net["b1"])
+    p, q = h @ net["w2"], _member_logits(net, h, runs)
+    p += net["b2"]
+    loss = 0.0
+    for z, own in ((p, group), (q, member)):
+        z /= _exponentials(z)[:, None]
+        loss -= np.log(np.maximum(z[every, own], 1e-12)).mean()
+        z[every, own] -= 1
+        z /= n
+    dh = p @ net["w2"].T
+    used = [k for k, _ in runs]
+    d3, db3 = np.empty((len(runs), HIDDEN, MEMBERS), h.dtype), np.empty((len(runs), MEMBERS), h.dtype)
+    for j, (k, rows) in enumerate(runs):
+        dh[rows] += q[rows] @ net["w3"][k].T
+        np.matmul(h[rows].T, q[rows], out=d3[j])
+        np.matmul(np.ones(rows.stop - rows.start, h.dtype), q[rows], out=db3[j])
+    dh *= 1 - h * h
     flat = context.reshape(-1).astype(np.uint16)                        # sorted by radix
     order = np.argsort(flat, kind="stable")
     rows = flat[order]
     starts = np.flatnonzero(np.diff(rows, prepend=-1))
     rows = rows[starts]
-    dv = np.add.reduceat((dh @ net["w1"].T).reshape(-1, VECTOR)[order], starts, axis=0)
+    dv = np.add.reduceat((dh @ net["w1"].T).reshape(-1, VECTOR).take(order, axis=0), starts, axis=0)
     for k, g in (("w2", h.T @ p), ("b2", p.sum(axis=0)), ("w1", x.T @ dh), ("b1", dh.sum(axis=0))):
         squares[k] += g * g
         net[k] -= rate * g / np.sqrt(squares[k] + 1e-8)
-    squares["vectors"][rows] += dv * dv
-    net["vectors"][rows] -= rate * dv / np.sqrt(squares["vectors"][rows] + 1e-8)
+    for k, g, at in (("w3", d3, used), ("b3", db3, used), ("vectors", dv, rows)):
+        squares[k][at] += g * g
+        net[k][at] -= rate * g / np.sqrt(squares[k][at] + 1e-8)
     return float(loss)
 
 
@@ -287,9 +330,46 @@ def windows(size: np.ndarray, number: int, rounds: int) -> np.ndarray:
     return np.flatnonzero(inside % rounds == number)
 
 
-def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int, rounds: int = ROUNDS) -> Network:
-    """Every task trains on its documents; the mean of their networks, weighted by windows."""
-    shared = docs.sparkSession.sparkContext.broadcast((lex, net))      # of a fixed size
+def numbered(docs: DataFrame, lex: Lexicon) -> DataFrame:
+    """(row, doc_id, ids, rare) of every document, written: the numbers of its words as 32-bit
+    integers in a row, and its words beyond the vocabulary."""
+    shared = docs.sparkSession.sparkContext.broadcast(lex)              # bounded by ``VOCABULARY``
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for first, texts in batches_of(batch.column(1)):
+                ids, size, data, at = shared.value.read(texts)
+                n, ends = len(size), np.concatenate([[0], 4 * np.cumsum(size)]).astype(np.int32)
+                found = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(ids.astype(np.int32))])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n), found, rare_words(ids, size, data, at)],
+                    names=["row", "doc_id", "ids", "rare"])
+                row += n
+
+    table = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "row long, doc_id long, ids binary, rare array<string>")
+    table = written(table, "word-numbers")
+    shared.destroy()
+    return table
+
+
+def numbers_of(column: pa.BinaryArray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Runs of rows of about ``WORDS`` words: (rows, numbers of their words, how many each has)."""
+    ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset) // 4
+    values = column.buffers()[2]
+    whole = np.frombuffer(values, np.int32, values.size // 4) if values is not None and values.size else np.empty(0, np.int32)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + WORDS)))
+        last = min(last, len(column))
+        yield slice(first, last), whole[ends[first]:ends[last]], np.diff(ends[first:last + 1])
+        first = last
+
+
+def train_round(table: DataFrame, lex: Lexicon, net: Network, number: int, rounds: int = ROUNDS) -> Network:
+    """Every task trains on its rows of ``numbered``; the mean of their networks, weighted by windows."""
+    shared = table.sparkSession.sparkContext.broadcast((lex, net))      # of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, net = shared.value
@@ -309,8 +389,7 @@ def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int, rounds
             held, size, seen = [(context[order[done:]], target[order[done:]])], len(target) - done, seen + done
 
         for batch in batches:
-            for _, texts in batches_of(batch.column(0)):
-                ids, count = lex.ids(texts)
+            for _, ids, count in numbers_of(batch.column(0)):
                 line, places = lex.line(ids, count)
                 chosen = windows(count, number, rounds)
                 if len(chosen):
@@ -326,8 +405,9 @@ def train_round(docs: DataFrame, lex: Lexicon, net: Network, number: int, rounds
                 [pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))],
                 names=["i", "v", "n"])
 
-    mean = (docs.select("text").mapInArrow(run, "i int, v double, n double").groupBy("i")
+    mean = (table.select("ids").mapInArrow(run, "i int, v double, n double").groupBy("i")
             .agg((F.sum("v") / F.sum("n")).alias("v")).collect())      # one row for each parameter
+    shared.destroy()
     if not mean:
         return net
     flat = np.zeros(len(mean), dtype=np.float32)
@@ -347,27 +427,29 @@ class Scorer:
         self.lex, self.net, self.share = lex, net, lex.log_share if share is None else share
         w1 = net["w1"].reshape(2 * SIDE, VECTOR, HIDDEN)
         self.tables = [net["vectors"] @ w for w in w1]
-        self.ones = np.ones(CLASSES, dtype=np.float32)
-        # hidden values are within (-1, 1): logits that cannot overflow need no shift
-        self.bounded = float(np.abs(net["w2"]).sum(axis=0).max() + np.abs(net["b2"]).max()) < 60.0
 
     def _places(self, context: np.ndarray) -> np.ndarray:
-        h = self.net["b1"] + self.tables[0][context[:, 0]]
+        h = self.net["b1"] + self.tables[0].take(context[:, 0], axis=0)
         for k in range(1, 2 * SIDE):
-            h += self.tables[k][context[:, k]]
+            h += self.tables[k].take(context[:, k], axis=0)
         return np.tanh(h, out=h)
 
     def log_likelihoods(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """For each text the sum over its words of log P(word | both sides)."""
-        lex, out = self.lex, np.empty(len(ids))
+        lex, net, out = self.lex, self.net, np.empty(len(ids))
         line, at = lex.line(ids, size)
         for a in range(0, len(ids), TOGETHER):
-            z = self._places(line[at[a:a + TOGETHER, None] + SIDES]) @ self.net["w2"]
-            z += self.net["b2"]
-            if not self.bounded:
-                z -= z.max(axis=1, keepdims=True)
-            own = z[np.arange(len(z)), lex.class_of[ids[a:a + TOGETHER]]]
-            out[a:a + TOGETHER] = own - np.log(np.exp(z, out=z) @ self.ones)
+            group, member = group_and_member(lex.class_of[ids[a:a + TOGETHER]])
+            order = np.argsort(group, kind="stable")
+            group, member, every = group[order], member[order], np.arange(len(order))
+            h = self._places(line[at[a + order, None] + SIDES])
+            p, q = h @ net["w2"], _member_logits(net, h, _runs(group))
+            p += net["b2"]
+            log = np.zeros(len(order))
+            for z, own in ((p, group), (q, member)):
+                total = _exponentials(z)
+                log += np.log(z[every, own] / total)
+            out[a + order] = log
         out += self.share[ids]
         # each text by itself, so that a sum depends on no other text
         return np.array([x.sum() for x in np.split(out, np.cumsum(size)[:-1])]) if len(size) else np.empty(0)
@@ -380,46 +462,60 @@ class MaskedModel:
     rare: DataFrame                 # (word, n) of all words beyond the vocabulary
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS, vocabulary: int = VOCABULARY) -> MaskedModel:
+def counted(docs: DataFrame, vocabulary: int = VOCABULARY) -> tuple[Lexicon, DataFrame]:
+    """The lexicon of all documents, and (word, n) of the words beyond its vocabulary."""
     counts = word_counts(docs)
     least = least_count(counts, vocabulary)
-    lex = lexicon(counts, least)
+    return lexicon(counts, least), counts.filter(F.col("n") < least)
+
+
+def fit(table: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> Network:
+    """The network trained on the rows of ``numbered``."""
     net = initial(lex)
     for number in range(rounds):
-        net = train_round(docs, lex, net, number, rounds)
-    return MaskedModel(lex, net, counts.filter(F.col("n") < least))
+        net = train_round(table, lex, net, number, rounds)
+    return net
+
+
+def train(docs: DataFrame, rounds: int = ROUNDS, vocabulary: int = VOCABULARY) -> MaskedModel:
+    lex, rare = counted(docs, vocabulary)
+    table = numbered(docs, lex)
+    net = fit(table, lex, rounds)
+    dropped(table)
+    return MaskedModel(lex, net, rare)
 
 
 def score(docs: DataFrame, model: MaskedModel) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.network))
+    return score_numbers(numbered(docs, model.lexicon), model)
+
+
+def score_numbers(table: DataFrame, model: MaskedModel) -> DataFrame:
+    """What ``score`` returns, from the rows of ``numbered``."""
+    shared = table.sparkSession.sparkContext.broadcast((model.lexicon, model.network))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, net = shared.value
         scorer = Scorer(lex, net, lex.log_share_of_one)
-        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for first, texts in batches_of(batch.column(1)):
-                ids, size, data, at = lex.read(texts)
-                n = len(size)
+            for rows, ids, size in numbers_of(batch.column(2)):
+                row, doc_id = (batch.column(i).slice(rows.start, rows.stop - rows.start) for i in (0, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), batch.column(0).slice(first, n), pa.array(size, pa.int64()),
-                     pa.array(scorer.log_likelihoods(ids, size), pa.float64()), rare_words(ids, size, data, at)],
-                    names=["row", "doc_id", "n_tokens", "s", "rare"])
-                row += n
+                    [row, doc_id, pa.array(size, pa.int64()), pa.array(scorer.log_likelihoods(ids, size), pa.float64())],
+                    names=["row", "doc_id", "n_tokens", "s"])
 
-    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "row long, doc_id long, n_tokens long, s double, rare array<string>")
+    found = table.select("row", "doc_id", "ids").mapInArrow(run, "row long, doc_id long, n_tokens long, s double")
     total = F.col("s")
     if model.lexicon.types.any():
         # words beyond the vocabulary are rare ones: none is hot, and one never counted has one count
-        found = written(found, "masked-scores")
-        own = (found.select("row", F.explode("rare").alias("word")).join(model.rare, "word", "left")
+        own = (table.select("row", F.explode("rare").alias("word")).join(model.rare, "word", "left")
                .groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)))).alias("more")))
-        found, total = found.drop("rare").join(own, "row", "left"), total + F.coalesce("more", F.lit(0.0))
+        found, total = found.join(own, "row", "left"), total + F.coalesce("more", F.lit(0.0))
     return found.select("doc_id", "n_tokens", total.alias("log_likelihood")).withColumn(
         "mean_log_likelihood", F.try_divide("log_likelihood", "n_tokens"))
 
 
 def train_and_score(docs: DataFrame) -> DataFrame:
-    return score(docs, train(docs))
+    lex, rare = counted(docs)
+    table = numbered(docs, lex)
+    return score_numbers(table, MaskedModel(lex, fit(table, lex), rare))

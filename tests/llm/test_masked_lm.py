@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,8 +28,10 @@ def plain(text, m):
     for i in range(len(ids)):
         rows = [lex.context[ids[j]] if 0 <= j < len(ids) else lex.boundary for j in (i - 2, i - 1, i + 1, i + 2)]
         h = np.tanh(np.concatenate([net["vectors"][r] for r in rows]) @ net["w1"] + net["b1"])
-        z = h @ net["w2"] + net["b2"]
-        total += z[lex.class_of[ids[i]]] - math.log(np.exp(z).sum()) + lex.log_share[ids[i]]
+        group, member = lex.class_of[ids[i]] % q.GROUPS, lex.class_of[ids[i]] // q.GROUPS
+        for z, own in ((h @ net["w2"] + net["b2"], group), (h @ net["w3"][group] + net["b3"][group], member)):
+            total += z[own] - math.log(np.exp(z).sum())
+        total += lex.log_share[ids[i]]
     return len(ids), total
 
 
@@ -72,7 +75,7 @@ def test_shares_sum_to_one_in_each_class(model, docs_):
 def test_training_beats_the_classes_alone(docs_, model):
     lex = model.lexicon
     texts = [r["text"] for r in docs_.limit(200).collect()]
-    flat = {**q.initial(lex), "w2": np.zeros(q.SHAPES["w2"], np.float32)}
+    flat = {**q.initial(lex), "w2": np.zeros(q.SHAPES["w2"], np.float32), "w3": np.zeros(q.SHAPES["w3"], np.float32)}
     ids, size = lex.ids(texts)
     mean = lambda net: q.Scorer(lex, net).log_likelihoods(ids, size).sum() / size.sum()
     assert mean(model.network) > mean(flat) + 0.1
@@ -123,7 +126,7 @@ def test_rounds_cover_every_window_once(rounds):
 def test_short_texts_are_trained_on(spark):
     df = spark.createDataFrame([(i, ["one", "two words", "three short words"][i % 3]) for i in range(90)], "doc_id long, text string")
     m = q.train(df)
-    assert all(not np.allclose(m.network[k], v) for k, v in q.initial(m.lexicon).items() if k in ("b2", "w2", "vectors"))
+    assert all(not np.allclose(m.network[k], v) for k, v in q.initial(m.lexicon).items() if k in ("b2", "w2", "b3", "w3", "vectors"))
 
 
 def test_words_beyond_the_vocabulary_have_their_own_counts(spark, docs):
@@ -150,3 +153,45 @@ def test_repeated_rows_stay_apart_beside_the_join(spark, edge):
     m = q.train(edge, vocabulary=3)
     whole = sorted((r["doc_id"] or -1, r["n_tokens"]) for r in q.score(edge, m).collect())
     assert whole == sorted((r["doc_id"] or -1, len((r["text"] or "").encode().split())) for r in edge.collect())
+
+
+def test_classes_have_one_place_each():
+    group, member = q.group_and_member(np.arange(q.CLASSES))
+    assert len(set(zip(group.tolist(), member.tolist(), strict=True))) == q.CLASSES
+    assert group.max() == q.GROUPS - 1 and member.max() == q.MEMBERS - 1
+
+
+def test_probabilities_of_all_classes_sum_to_one(model):
+    """One text of one word for each class: all have the same window."""
+    scorer = q.Scorer(model.lexicon, model.network, np.zeros(q.VOCABULARY + q.CLASSES))
+    got = scorer.log_likelihoods(q.VOCABULARY + np.arange(q.CLASSES), np.ones(q.CLASSES, dtype=int))
+    assert np.exp(got).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_gradients_against_differences(model):
+    """A step of Adagrad from given squares moves each parameter by its numeric gradient."""
+    rng = np.random.default_rng(3)
+    net = {k: v.astype(float) for k, v in q.initial(model.lexicon).items()}
+    context, target = rng.integers(0, 30, (40, 2 * q.SIDE)), rng.integers(0, q.CLASSES, 40)
+    loss = lambda m: q.step({k: v.copy() for k, v in m.items()}, {k: np.ones_like(v) for k, v in m.items()}, context, target, 0.0)
+    big = 1e12                                            # squares so large that a step is the gradient over 1e6
+    moved = {k: v.copy() for k, v in net.items()}
+    q.step(moved, {k: np.full_like(v, big) for k, v in net.items()}, context, target, 1e6)
+    g, m = int(target[0]) % q.GROUPS, int(target[0]) // q.GROUPS
+    for k, at in (("vectors", (context[0, 1], 3)), ("w1", (5, 7)), ("b1", (2,)), ("w2", (4, g)), ("b2", (g,)), ("w3", (g, 6, m)), ("b3", (g, m))):
+        up, down = ({n: v.copy() for n, v in net.items()} for _ in range(2))
+        up[k][at] += 1e-5
+        down[k][at] -= 1e-5
+        assert net[k][at] - moved[k][at] == pytest.approx((loss(up) - loss(down)) / 2e-5, rel=1e-3, abs=1e-7)
+
+
+@pytest.mark.parametrize("offset", [0, 3])
+def test_numbers_of_the_table(offset, monkeypatch):
+    monkeypatch.setattr(q, "WORDS", 5)
+    own = [[], [1], [2, 3, 4], [], [5] * 12, [6, 7], [], [8]]
+    column = pa.array([np.array(x, np.int32).tobytes() for x in own], pa.binary())[offset:]
+    got = [(rows, ids.tolist(), size.tolist()) for rows, ids, size in q.numbers_of(column)]
+    assert [i for r, _, _ in got for i in range(r.start, r.stop)] == list(range(len(own) - offset))
+    assert [x for _, ids, _ in got for x in ids] == [x for o in own[offset:] for x in o]
+    assert [n for _, _, size in got for n in size] == [len(o) for o in own[offset:]]
+    assert list(q.numbers_of(pa.array([], pa.binary()))) == []
