@@ -33,11 +33,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcraft.llm.common import words
 from panelcraft.session import dropped, written
 
 SIDE, VECTOR, HIDDEN = 2, 16, 32
@@ -45,10 +45,10 @@ GROUPS, MEMBERS, ENDINGS = 64, 64, 256
 CLASSES = GROUPS * MEMBERS
 TOP_CLASSES, VOCABULARY, CONTEXT = CLASSES - ENDINGS, 131_072, 8_192
 ROUNDS, BATCH, RATE = 2, 4096, 0.1
-#: windows that are scored together; code points cut into words, and words taken from the table, together
-TOGETHER, CHARACTERS, WORDS = 16_384, 1 << 19, 1 << 17
+#: windows that are scored together; code points cut into words, words taken from the table, code points counted together
+TOGETHER, CHARACTERS, WORDS, COUNTED = 16_384, 1 << 19, 1 << 17, 1 << 22
 SHAPES = {"vectors": (CONTEXT + ENDINGS + 1, VECTOR), "w1": (2 * SIDE * VECTOR, HIDDEN), "b1": (HIDDEN,),
-          "w2": (HIDDEN, GROUPS), "b2": (GROUPS,), "w3": (GROUPS, HIDDEN, MEMBERS), "b3": (GROUPS, MEMBERS)}
+          "w2": (HIDDEN, GROUPS), "b2": (GROUPS,), "w3": (GROUPS, HIDDEN + 1, MEMBERS)}      # the bias of w3 is its last row
 
 
 def ending_class(word: bytes) -> int:
@@ -184,9 +184,17 @@ def rare_words(ids: np.ndarray, size: np.ndarray, data: np.ndarray, at: np.ndarr
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over all documents, written (it is read several times)."""
-    w = docs.select(F.explode(words(F.lower("text"))).alias("word"))
-    return written(w.groupBy("word").agg(F.count("*").alias("n")), "word-counts")
+    """(word, n) over all documents, written (it is read several times).  Words are counted in
+    runs of texts first, so that few rows reach the aggregate."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in batches_of(batch.column(0), COUNTED):
+                own = pa.array([(t or "").lower().encode(errors="replace") for t in texts], pa.string())
+                found = pc.value_counts(pc.list_flatten(pc.ascii_split_whitespace(own)))
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "n"])
+
+    w = docs.select("text").mapInArrow(run, "word string, n long").filter(F.col("word") != "")
+    return written(w.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
 
 
 def least_count(counts: DataFrame, most: int, parts: int = 1024) -> int:
@@ -236,7 +244,7 @@ def initial(lex: Lexicon) -> Network:
     net = {k: rng.normal(0, 0.3 if k == "vectors" else 1 / np.sqrt(s[-2]), s) if k[0] != "b" else np.zeros(s) for k, s in SHAPES.items()}
     prior = lex.prior.reshape(MEMBERS, GROUPS).T
     net["b2"] = np.log(prior.sum(axis=1))
-    net["b3"] = np.log(prior / prior.sum(axis=1, keepdims=True))
+    net["w3"][:, HIDDEN] = np.log(prior / prior.sum(axis=1, keepdims=True))
     return {k: v.astype(np.float32) for k, v in net.items()}
 
 
@@ -244,13 +252,13 @@ def initial(lex: Lexicon) -> Network:
 SIDES = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
 
 
-def batches_of(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of texts of about ``CHARACTERS`` code points, with their first row."""
+def batches_of(column: pa.Array, characters: int = CHARACTERS) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of texts of about ``characters`` code points, with their first row."""
     first, held, size = 0, [], 0
     for i, value in enumerate(column):
         held.append(value.as_py())
         size += len(held[-1] or "")
-        if size >= CHARACTERS:
+        if size >= characters:
             yield first, held
             first, held, size = i + 1, [], 0
     if held:
@@ -275,11 +283,17 @@ def _exponentials(z: np.ndarray) -> np.ndarray:
     return z @ np.ones(z.shape[1], dtype=z.dtype)
 
 
+def _hidden(net: Network, x: np.ndarray) -> np.ndarray:
+    """Hidden values, and a one for the bias of ``w3``."""
+    h = np.ones((len(x), HIDDEN + 1), dtype=x.dtype)
+    np.tanh(x @ net["w1"] + net["b1"], out=h[:, :HIDDEN])
+    return h
+
+
 def _member_logits(net: Network, h: np.ndarray, runs: list[tuple[int, slice]]) -> np.ndarray:
     z = np.empty((len(h), MEMBERS), dtype=h.dtype)
     for k, rows in runs:
         np.matmul(h[rows], net["w3"][k], out=z[rows])
-        z[rows] += net["b3"][k]
     return z
 
 
@@ -291,8 +305,9 @@ def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray
     context, group, member = context.take(order, axis=0), group[order], member[order]
     runs, every = _runs(group), np.arange(n)
     x = net["vectors"].take(context, axis=0).reshape(n, -1)
-    h = np.tanh(x @ net["w1"] + net["b1"])
-    p, q = h @ net["w2"], _member_logits(net, h, runs)
+    h1 = _hidden(net, x)
+    h = h1[:, :HIDDEN]
+    p, q = h @ net["w2"], _member_logits(net, h1, runs)
     p += net["b2"]
     loss = 0.0
     for z, own in ((p, group), (q, member)):
@@ -302,11 +317,10 @@ def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray
         z /= n
     dh = p @ net["w2"].T
     used = [k for k, _ in runs]
-    d3, db3 = np.empty((len(runs), HIDDEN, MEMBERS), h.dtype), np.empty((len(runs), MEMBERS), h.dtype)
+    d3 = np.empty((len(runs), HIDDEN + 1, MEMBERS), h.dtype)
     for j, (k, rows) in enumerate(runs):
-        dh[rows] += q[rows] @ net["w3"][k].T
-        np.matmul(h[rows].T, q[rows], out=d3[j])
-        np.matmul(np.ones(rows.stop - rows.start, h.dtype), q[rows], out=db3[j])
+        dh[rows] += q[rows] @ net["w3"][k, :HIDDEN].T
+        np.matmul(h1[rows].T, q[rows], out=d3[j])
     dh *= 1 - h * h
     flat = context.reshape(-1).astype(np.uint16)                        # sorted by radix
     order = np.argsort(flat, kind="stable")
@@ -317,7 +331,7 @@ def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray
     for k, g in (("w2", h.T @ p), ("b2", p.sum(axis=0)), ("w1", x.T @ dh), ("b1", dh.sum(axis=0))):
         squares[k] += g * g
         net[k] -= rate * g / np.sqrt(squares[k] + 1e-8)
-    for k, g, at in (("w3", d3, used), ("b3", db3, used), ("vectors", dv, rows)):
+    for k, g, at in (("w3", d3, used), ("vectors", dv, rows)):
         squares[k][at] += g * g
         net[k][at] -= rate * g / np.sqrt(squares[k][at] + 1e-8)
     return float(loss)
@@ -384,7 +398,7 @@ def train_round(table: DataFrame, lex: Lexicon, net: Network, number: int, round
             done = 0
             while len(target) - done >= least:
                 b = order[done:done + BATCH]
-                step(net, squares, context[b], target[b], RATE)
+                step(net, squares, context.take(b, axis=0), target[b], RATE)
                 done += len(b)
             held, size, seen = [(context[order[done:]], target[order[done:]])], len(target) - done, seen + done
 
@@ -421,18 +435,10 @@ def train_round(table: DataFrame, lex: Lexicon, net: Network, number: int, round
 
 
 class Scorer:
-    """Scores texts with a network whose first layer is folded into a table for each place of a window."""
+    """Scores texts with a network."""
 
     def __init__(self, lex: Lexicon, net: Network, share: np.ndarray | None = None):
         self.lex, self.net, self.share = lex, net, lex.log_share if share is None else share
-        w1 = net["w1"].reshape(2 * SIDE, VECTOR, HIDDEN)
-        self.tables = [net["vectors"] @ w for w in w1]
-
-    def _places(self, context: np.ndarray) -> np.ndarray:
-        h = self.net["b1"] + self.tables[0].take(context[:, 0], axis=0)
-        for k in range(1, 2 * SIDE):
-            h += self.tables[k].take(context[:, k], axis=0)
-        return np.tanh(h, out=h)
 
     def log_likelihoods(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """For each text the sum over its words of log P(word | both sides)."""
@@ -442,8 +448,9 @@ class Scorer:
             group, member = group_and_member(lex.class_of[ids[a:a + TOGETHER]])
             order = np.argsort(group, kind="stable")
             group, member, every = group[order], member[order], np.arange(len(order))
-            h = self._places(line[at[a + order, None] + SIDES])
-            p, q = h @ net["w2"], _member_logits(net, h, _runs(group))
+            x = net["vectors"].take(line.take(at[a + order, None] + SIDES), axis=0).reshape(len(order), -1)
+            h = _hidden(net, x)
+            p, q = h[:, :HIDDEN] @ net["w2"], _member_logits(net, h, _runs(group))
             p += net["b2"]
             log = np.zeros(len(order))
             for z, own in ((p, group), (q, member)):
@@ -507,9 +514,10 @@ def score_numbers(table: DataFrame, model: MaskedModel) -> DataFrame:
     found = table.select("row", "doc_id", "ids").mapInArrow(run, "row long, doc_id long, n_tokens long, s double")
     total = F.col("s")
     if model.lexicon.types.any():
-        # words beyond the vocabulary are rare ones: none is hot, and one never counted has one count
-        own = (table.select("row", F.explode("rare").alias("word")).join(model.rare, "word", "left")
-               .groupBy("row").agg(F.sum(F.log(F.coalesce("n", F.lit(1)))).alias("more")))
+        # words beyond the vocabulary are rare ones: none is hot, and one never counted has one count;
+        # the logarithm of one count is nothing to add
+        own = (table.select("row", F.explode("rare").alias("word")).join(model.rare.filter(F.col("n") > 1), "word")
+               .groupBy("row").agg(F.sum(F.log("n")).alias("more")))
         found, total = found.join(own, "row", "left"), total + F.coalesce("more", F.lit(0.0))
     return found.select("doc_id", "n_tokens", total.alias("log_likelihood")).withColumn(
         "mean_log_likelihood", F.try_divide("log_likelihood", "n_tokens"))

@@ -29,7 +29,7 @@ def plain(text, m):
         rows = [lex.context[ids[j]] if 0 <= j < len(ids) else lex.boundary for j in (i - 2, i - 1, i + 1, i + 2)]
         h = np.tanh(np.concatenate([net["vectors"][r] for r in rows]) @ net["w1"] + net["b1"])
         group, member = lex.class_of[ids[i]] % q.GROUPS, lex.class_of[ids[i]] // q.GROUPS
-        for z, own in ((h @ net["w2"] + net["b2"], group), (h @ net["w3"][group] + net["b3"][group], member)):
+        for z, own in ((h @ net["w2"] + net["b2"], group), (np.append(h, 1) @ net["w3"][group], member)):
             total += z[own] - math.log(np.exp(z).sum())
         total += lex.log_share[ids[i]]
     return len(ids), total
@@ -126,7 +126,7 @@ def test_rounds_cover_every_window_once(rounds):
 def test_short_texts_are_trained_on(spark):
     df = spark.createDataFrame([(i, ["one", "two words", "three short words"][i % 3]) for i in range(90)], "doc_id long, text string")
     m = q.train(df)
-    assert all(not np.allclose(m.network[k], v) for k, v in q.initial(m.lexicon).items() if k in ("b2", "w2", "b3", "w3", "vectors"))
+    assert all(not np.allclose(m.network[k], v) for k, v in q.initial(m.lexicon).items() if k in ("b2", "w2", "w3", "vectors"))
 
 
 def test_words_beyond_the_vocabulary_have_their_own_counts(spark, docs):
@@ -149,6 +149,17 @@ def test_words_beyond_the_vocabulary_have_their_own_counts(spark, docs):
         assert got[r["doc_id"]] == pytest.approx(s, rel=1e-4)
 
 
+def test_counts_of_words(spark, edge, monkeypatch):
+    monkeypatch.setattr(q, "COUNTED", 40)
+    odd = spark.createDataFrame([(1, "A a\x0bb\x0cc\td\re\nf\x1cg\x85h\xa0i  J "), (2, " "), (3, None), (4, "İ ΑΣ ß")], "doc_id long, text string")
+    for docs in (odd, edge, edge.limit(0)):
+        count = {}
+        for r in docs.collect():
+            for w in (r["text"] or "").lower().encode().split():
+                count[w.decode()] = count.get(w.decode(), 0) + 1
+        assert {r["word"]: r["n"] for r in q.word_counts(docs).collect()} == count
+
+
 def test_repeated_rows_stay_apart_beside_the_join(spark, edge):
     m = q.train(edge, vocabulary=3)
     whole = sorted((r["doc_id"] or -1, r["n_tokens"]) for r in q.score(edge, m).collect())
@@ -178,7 +189,7 @@ def test_gradients_against_differences(model):
     moved = {k: v.copy() for k, v in net.items()}
     q.step(moved, {k: np.full_like(v, big) for k, v in net.items()}, context, target, 1e6)
     g, m = int(target[0]) % q.GROUPS, int(target[0]) // q.GROUPS
-    for k, at in (("vectors", (context[0, 1], 3)), ("w1", (5, 7)), ("b1", (2,)), ("w2", (4, g)), ("b2", (g,)), ("w3", (g, 6, m)), ("b3", (g, m))):
+    for k, at in (("vectors", (context[0, 1], 3)), ("w1", (5, 7)), ("b1", (2,)), ("w2", (4, g)), ("b2", (g,)), ("w3", (g, 6, m)), ("w3", (g, q.HIDDEN, m))):
         up, down = ({n: v.copy() for n, v in net.items()} for _ in range(2))
         up[k][at] += 1e-5
         down[k][at] -= 1e-5
