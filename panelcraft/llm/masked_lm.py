@@ -46,7 +46,7 @@ CLASSES = GROUPS * MEMBERS
 TOP_CLASSES, VOCABULARY, CONTEXT = CLASSES - ENDINGS, 131_072, 8_192
 ROUNDS, BATCH, RATE = 2, 4096, 0.1
 #: windows that are scored together; code points cut into words, words taken from the table, code points counted together
-TOGETHER, CHARACTERS, WORDS, COUNTED = 16_384, 1 << 19, 1 << 17, 1 << 22
+TOGETHER, CHARACTERS, WORDS, COUNTED = 4_096, 1 << 19, 1 << 17, 1 << 22
 SHAPES = {"vectors": (CONTEXT + ENDINGS + 1, VECTOR), "w1": (2 * SIDE * VECTOR, HIDDEN), "b1": (HIDDEN,),
           "w2": (HIDDEN, GROUPS), "b2": (GROUPS,), "w3": (GROUPS, HIDDEN + 1, MEMBERS)}      # the bias of w3 is its last row
 
@@ -275,9 +275,14 @@ def _runs(group: np.ndarray) -> list[tuple[int, slice]]:
     return [(k, slice(a, b)) for k, a, b in zip(group[first].tolist(), first.tolist(), [*first[1:].tolist(), len(group)], strict=True)]
 
 
-def _exponentials(z: np.ndarray) -> np.ndarray:
+def _bounded(net: Network) -> bool:
+    """Whether no logit can overflow: hidden values are within (-1, 1)."""
+    return all(float(np.abs(w).sum(axis=-2).max() + np.abs(b).max()) < 60 for w, b in ((net["w2"], net["b2"]), (net["w3"], np.zeros(1))))
+
+
+def _exponentials(z: np.ndarray, bounded: bool) -> np.ndarray:
     """exp(z) in place, rows shifted where a logit could overflow; returns the sums of the rows."""
-    if max(z.max(initial=0), -z.min(initial=0)) > 60:
+    if not bounded:
         z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
     return z @ np.ones(z.shape[1], dtype=z.dtype)
@@ -309,12 +314,12 @@ def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray
     h = h1[:, :HIDDEN]
     p, q = h @ net["w2"], _member_logits(net, h1, runs)
     p += net["b2"]
-    loss = 0.0
+    loss, bounded = 0.0, _bounded(net)
     for z, own in ((p, group), (q, member)):
-        z /= _exponentials(z)[:, None]
-        loss -= np.log(np.maximum(z[every, own], 1e-12)).mean()
-        z[every, own] -= 1
-        z /= n
+        z *= (1 / (n * _exponentials(z, bounded)))[:, None]
+        chance = z[every, own]
+        loss -= np.log(np.maximum(n * chance, 1e-12)).mean()
+        z[every, own] = chance - z.dtype.type(1 / n)
     dh = p @ net["w2"].T
     used = [k for k, _ in runs]
     d3 = np.empty((len(runs), HIDDEN + 1, MEMBERS), h.dtype)
@@ -407,7 +412,7 @@ def train_round(table: DataFrame, lex: Lexicon, net: Network, number: int, round
                 line, places = lex.line(ids, count)
                 chosen = windows(count, number, rounds)
                 if len(chosen):
-                    held.append((line[places[chosen, None] + SIDES], lex.class_of[ids[chosen]]))
+                    held.append((line.take(places[chosen, None] + SIDES), lex.class_of[ids[chosen]]))
                     size += len(chosen)
                 if size >= 16 * BATCH:
                     flush(BATCH)
@@ -439,6 +444,7 @@ class Scorer:
 
     def __init__(self, lex: Lexicon, net: Network, share: np.ndarray | None = None):
         self.lex, self.net, self.share = lex, net, lex.log_share if share is None else share
+        self.bounded = _bounded(net)
 
     def log_likelihoods(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """For each text the sum over its words of log P(word | both sides)."""
@@ -454,7 +460,7 @@ class Scorer:
             p += net["b2"]
             log = np.zeros(len(order))
             for z, own in ((p, group), (q, member)):
-                total = _exponentials(z)
+                total = _exponentials(z, self.bounded)
                 log += np.log(z[every, own] / total)
             out[a + order] = log
         out += self.share[ids]
