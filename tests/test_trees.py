@@ -148,3 +148,61 @@ def test_saved_trees_score_alike(spark, data):
     x = table()[FS].to_numpy()
     assert (tr.load(spark, path).proba(x) == m.proba(x)).all()
     assert ((m.proba(x) >= 0.5) == table()["y"]).mean() > 0.7
+
+
+def whole(g, pdf, bins, width):
+    info = tr.FitInfo(tr.FINAL, (1.0, 2.0), (1.0, 1.0), -0.5)
+    rid, y, fold = (pdf[c].to_numpy() for c in ("rid", "y", "fold"))
+    return [a for _, a in tr._whole_unit(g, info, range(g.trees), rid, y, fold, bins, width)]
+
+
+@pytest.mark.parametrize("g", [
+    tr.Growth("boost", 6, max_leaves=12, rate=0.3, min_rows=5),
+    tr.Growth("boost", 6, max_depth=4, rate=0.3, row_share=0.8, column_share=0.6, min_hessian=1, l2=1),
+    tr.Growth("boost", 6, max_depth=3, rate=0.3, random_cut=True)])
+def test_many_rows_boost_the_same_trees_from_half_the_rows(g, monkeypatch):
+    pdf, rng = table(4000, seed=3), np.random.default_rng(5)
+    fine = np.stack([np.searchsorted(np.sort(pdf[c])[::40], pdf[c]) for c in FS], 1)
+    bins = np.concatenate([fine, rng.integers(0, 4, (4000, 3)), rng.integers(0, 9, (4000, 1)), np.zeros((4000, 1), int)], 1).astype(np.uint8)
+    old = whole(g, pdf, bins, 101)
+    seen = []
+    sums = tr.Joint.sums
+    monkeypatch.setattr(tr, "HALVES_FROM", 1)
+    monkeypatch.setattr(tr, "JOINT_FROM", 700)              # both sizes of joint columns
+    monkeypatch.setattr(tr.Joint, "sums", lambda self, rows, *a: (seen.append(4000 if rows is None else len(rows)), sums(self, rows, *a))[1])
+    new = whole(g, pdf, bins, 101)
+    for a, b in zip(old, new, strict=True):
+        assert all(np.array_equal(a[p], b[p]) for p in ("column", "cut", "left", "right"))
+        assert a["value"] == pytest.approx(b["value"], abs=1e-7)
+    depth = 12 if g.max_leaves else g.max_depth
+    assert len(seen) > 6 and sum(seen) <= 6 * 4000 * (1 + (depth - 1) / 2)
+
+
+def test_exact_sums_do_not_depend_on_order():
+    rng = np.random.default_rng(2)
+    x = tr.exact(rng.normal(size=10_001) * 3)
+    total = np.cumsum(x)[-1]
+    assert all(np.cumsum(rng.permutation(x))[-1] == total for _ in range(20))
+    assert total - np.cumsum(x[:4000])[-1] == np.cumsum(x[4000:])[-1]
+    assert not tr.exact(np.zeros(3)).any() and len(tr.exact(np.zeros(0))) == 0 and tr.exact(np.array([1e-310])).shape == (1,)
+
+
+def test_fits_of_a_boosted_model_meet_in_no_task(spark):
+    from pyspark.sql import functions as F
+    for n in (1, 6):
+        unit = spark.range(n).select(F.pmod(F.hash(F.col("id").cast("int")), F.lit(tr.PARTITIONS_A_UNIT * n)).alias("p"))
+        assert unit.distinct().count() == n
+
+
+def test_histogram_of_either_layout_and_of_some_rows():
+    rng = np.random.default_rng(4)
+    bins, slot, s = rng.integers(0, 7, (200, 5)).astype(np.uint8), rng.integers(0, 3, 200), rng.normal(size=200)
+    columns, rows = np.array([[0, 2], [1, 4], [3, 4]]), np.sort(rng.choice(200, 90, replace=False))
+    for b in (bins, np.asfortranarray(bins)):
+        for r in (None, rows):
+            at = np.arange(200) if r is None else r
+            want = np.zeros((3, 2, 7, 2))
+            for i in at:
+                for j in range(2):
+                    want[slot[i], j, bins[i, columns[slot[i], j]]] += s[i], 1
+            assert tr.histogram(b, slot[at], columns, [s[at], None], 7, r) == pytest.approx(want)
