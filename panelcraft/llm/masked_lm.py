@@ -45,8 +45,9 @@ GROUPS, MEMBERS, ENDINGS = 64, 64, 256
 CLASSES = GROUPS * MEMBERS
 TOP_CLASSES, VOCABULARY, CONTEXT = CLASSES - ENDINGS, 131_072, 8_192
 ROUNDS, BATCH, RATE = 2, 4096, 0.1
-#: windows that are scored together; code points cut into words, words taken from the table, code points counted together
-TOGETHER, CHARACTERS, WORDS, COUNTED = 4_096, 1 << 19, 1 << 17, 1 << 22
+#: windows that are scored together; code points cut into words, words taken from the table, code points counted together,
+#: words of counted runs added up together
+TOGETHER, CHARACTERS, WORDS, COUNTED, ADDED = 4_096, 1 << 19, 1 << 17, 1 << 22, 1 << 20
 SHAPES = {"vectors": (CONTEXT + ENDINGS + 1, VECTOR), "w1": (2 * SIDE * VECTOR, HIDDEN), "b1": (HIDDEN,),
           "w2": (HIDDEN, GROUPS), "b2": (GROUPS,), "w3": (GROUPS, HIDDEN + 1, MEMBERS)}      # the bias of w3 is its last row
 
@@ -185,13 +186,25 @@ def rare_words(ids: np.ndarray, size: np.ndarray, data: np.ndarray, at: np.ndarr
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all documents, written (it is read several times).  Words are counted in
-    runs of texts first, so that few rows reach the aggregate."""
+    runs of texts first and the runs' counts added up, so that few rows reach the aggregate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def added() -> list[pa.RecordBatch]:
+            total = pa.Table.from_batches(held).group_by("word").aggregate([("n", "sum")])
+            return total.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
+
         for batch in batches:
             for _, texts in batches_of(batch.column(0), COUNTED):
                 own = pa.array([(t or "").lower().encode(errors="replace") for t in texts], pa.string())
                 found = pc.value_counts(pc.list_flatten(pc.ascii_split_whitespace(own)))
-                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "n"])
+                held.append(pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "n"]))
+                size += len(found)
+                if size >= ADDED:
+                    yield from added()
+                    held, size = [], 0
+        if held:
+            yield from added()
 
     w = docs.select("text").mapInArrow(run, "word string, n long").filter(F.col("word") != "")
     return written(w.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
@@ -288,52 +301,76 @@ def _exponentials(z: np.ndarray, bounded: bool) -> np.ndarray:
     return z @ np.ones(z.shape[1], dtype=z.dtype)
 
 
-def _hidden(net: Network, x: np.ndarray) -> np.ndarray:
-    """Hidden values, and a one for the bias of ``w3``."""
-    h = np.ones((len(x), HIDDEN + 1), dtype=x.dtype)
-    np.tanh(x @ net["w1"] + net["b1"], out=h[:, :HIDDEN])
-    return h
+class Room:
+    """Arrays that are kept from one mini-batch to the next: fresh ones of this size cost more than what is done with them."""
+
+    def __init__(self, dtype: np.dtype):
+        self.dtype, self.held = dtype, {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.held or self.held[name].size < size:
+            self.held[name] = np.empty(size, self.dtype)
+        return self.held[name][:size].reshape(shape)
 
 
-def _member_logits(net: Network, h: np.ndarray, runs: list[tuple[int, slice]]) -> np.ndarray:
-    z = np.empty((len(h), MEMBERS), dtype=h.dtype)
+def _hidden(net: Network, context: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of the context in a row, hidden values and a one for the bias of ``w3``."""
+    n = len(context)
+    x, h, plain = room("x", *context.shape, VECTOR), room("h", n, HIDDEN + 1), room("plain", n, HIDDEN)
+    net["vectors"].take(context, axis=0, out=x, mode="clip")            # in place only if no row is refused
+    x = x.reshape(n, -1)
+    np.matmul(x, net["w1"], out=plain)
+    plain += net["b1"]
+    np.tanh(plain, out=h[:, :HIDDEN])
+    h[:, HIDDEN] = 1
+    return x, h
+
+
+def _logits(net: Network, h: np.ndarray, runs: list[tuple[int, slice]], room: Room) -> tuple[np.ndarray, np.ndarray]:
+    """Of the groups, and of the members of each row's group."""
+    p, q = room("p", len(h), GROUPS), room("q", len(h), MEMBERS)
+    np.matmul(h[:, :HIDDEN], net["w2"], out=p)
+    p += net["b2"]
     for k, rows in runs:
-        np.matmul(h[rows], net["w3"][k], out=z[rows])
-    return z
+        np.matmul(h[rows], net["w3"][k], out=q[rows])
+    return p, q
 
 
-def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray, rate: float) -> float:
+def step(net: Network, squares: Network, context: np.ndarray, target: np.ndarray, rate: float, room: Room | None = None) -> float:
     """One Adagrad step on a mini-batch; returns its mean loss."""
-    n = len(target)
+    n, room = len(target), room or Room(net["w1"].dtype)
     group, member = group_and_member(target)
     order = np.argsort(group, kind="stable")
     context, group, member = context.take(order, axis=0), group[order], member[order]
     runs, every = _runs(group), np.arange(n)
-    x = net["vectors"].take(context, axis=0).reshape(n, -1)
-    h1 = _hidden(net, x)
+    x, h1 = _hidden(net, context, room)
     h = h1[:, :HIDDEN]
-    p, q = h @ net["w2"], _member_logits(net, h1, runs)
-    p += net["b2"]
+    p, q = _logits(net, h1, runs, room)
     loss, bounded = 0.0, _bounded(net)
     for z, own in ((p, group), (q, member)):
         z *= (1 / (n * _exponentials(z, bounded)))[:, None]
         chance = z[every, own]
         loss -= np.log(np.maximum(n * chance, 1e-12)).mean()
         z[every, own] = chance - z.dtype.type(1 / n)
-    dh = p @ net["w2"].T
+    dh, more = np.matmul(p, net["w2"].T, out=room("dh", n, HIDDEN)), room("plain", n, HIDDEN)
     used = [k for k, _ in runs]
-    d3 = np.empty((len(runs), HIDDEN + 1, MEMBERS), h.dtype)
+    d3 = room("d3", len(runs), HIDDEN + 1, MEMBERS)
     for j, (k, rows) in enumerate(runs):
-        dh[rows] += q[rows] @ net["w3"][k, :HIDDEN].T
+        np.matmul(q[rows], net["w3"][k, :HIDDEN].T, out=more[rows])
         np.matmul(h1[rows].T, q[rows], out=d3[j])
-    dh *= 1 - h * h
+    dh += more
+    np.multiply(h, h, out=more)
+    dh *= np.subtract(1, more, out=more)
     flat = context.reshape(-1).astype(np.uint16)                        # sorted by radix
     order = np.argsort(flat, kind="stable")
     rows = flat[order]
     starts = np.flatnonzero(np.diff(rows, prepend=-1))
     rows = rows[starts]
-    dv = np.add.reduceat((dh @ net["w1"].T).reshape(-1, VECTOR).take(order, axis=0), starts, axis=0)
-    for k, g in (("w2", h.T @ p), ("b2", p.sum(axis=0)), ("w1", x.T @ dh), ("b1", dh.sum(axis=0))):
+    gradients = (("w2", h.T @ p), ("b2", p.sum(axis=0)), ("w1", x.T @ dh), ("b1", dh.sum(axis=0)))
+    dx = np.matmul(dh, net["w1"].T, out=x).reshape(-1, VECTOR)          # ``x`` isn't read any more
+    dv = np.add.reduceat(dx.take(order, axis=0, out=room("sorted", len(order), VECTOR), mode="clip"), starts, axis=0)
+    for k, g in gradients:
         squares[k] += g * g
         net[k] -= rate * g / np.sqrt(squares[k] + 1e-8)
     for k, g, at in (("w3", d3, used), ("vectors", dv, rows)):
@@ -394,7 +431,7 @@ def train_round(table: DataFrame, lex: Lexicon, net: Network, number: int, round
         lex, net = shared.value
         net = {k: v.copy() for k, v in net.items()}
         squares = {k: np.zeros_like(v) for k, v in net.items()}
-        held, size, seen = [], 0, 0
+        held, size, seen, room = [], 0, 0, Room(net["w1"].dtype)
 
         def flush(least: int) -> None:
             nonlocal held, size, seen
@@ -403,7 +440,7 @@ def train_round(table: DataFrame, lex: Lexicon, net: Network, number: int, round
             done = 0
             while len(target) - done >= least:
                 b = order[done:done + BATCH]
-                step(net, squares, context.take(b, axis=0), target[b], RATE)
+                step(net, squares, context.take(b, axis=0), target[b], RATE, room)
                 done += len(b)
             held, size, seen = [(context[order[done:]], target[order[done:]])], len(target) - done, seen + done
 
@@ -444,7 +481,7 @@ class Scorer:
 
     def __init__(self, lex: Lexicon, net: Network, share: np.ndarray | None = None):
         self.lex, self.net, self.share = lex, net, lex.log_share if share is None else share
-        self.bounded = _bounded(net)
+        self.bounded, self.room = _bounded(net), Room(net["w1"].dtype)
 
     def log_likelihoods(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """For each text the sum over its words of log P(word | both sides)."""
@@ -454,10 +491,8 @@ class Scorer:
             group, member = group_and_member(lex.class_of[ids[a:a + TOGETHER]])
             order = np.argsort(group, kind="stable")
             group, member, every = group[order], member[order], np.arange(len(order))
-            x = net["vectors"].take(line.take(at[a + order, None] + SIDES), axis=0).reshape(len(order), -1)
-            h = _hidden(net, x)
-            p, q = h[:, :HIDDEN] @ net["w2"], _member_logits(net, h, _runs(group))
-            p += net["b2"]
+            _, h = _hidden(net, line.take(at[a + order, None] + SIDES), self.room)
+            p, q = _logits(net, h, _runs(group), self.room)
             log = np.zeros(len(order))
             for z, own in ((p, group), (q, member)):
                 total = _exponentials(z, self.bounded)

@@ -206,3 +206,25 @@ def test_numbers_of_the_table(offset, monkeypatch):
     assert [x for _, ids, _ in got for x in ids] == [x for o in own[offset:] for x in o]
     assert [n for _, _, size in got for n in size] == [len(o) for o in own[offset:]]
     assert list(q.numbers_of(pa.array([], pa.binary()))) == []
+
+
+def test_arrays_are_kept_between_batches(model):
+    rng = np.random.default_rng(1)
+    net, other = ({k: v.copy() for k, v in model.network.items()} for _ in range(2))
+    sums, more = ({k: np.zeros_like(v) for k, v in net.items()} for _ in range(2))
+    room = q.Room(np.float32)
+    for n in (50, 7, 64):                                   # a smaller batch uses a part, a larger one makes room
+        context, target = rng.integers(0, q.CONTEXT, (n, 2 * q.SIDE)), rng.integers(0, q.CLASSES, n)
+        assert q.step(net, sums, context, target, 0.1, room) == q.step(other, more, context, target, 0.1)
+    assert all((net[k] == other[k]).all() for k in net)
+    held = room("x", 5, 4)
+    assert np.shares_memory(held, room("x", 3, 4)) and room("x", 3, 4).shape == (3, 4)
+
+
+def test_counts_of_runs_are_added_up_in_a_task(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a b b") for i in range(40)], "doc_id long, text string").coalesce(1)
+    expected = {"a": 40, "b": 80}
+    for added in (1, 3, 1 << 20):
+        monkeypatch.setattr(q, "ADDED", added)
+        monkeypatch.setattr(q, "COUNTED", 10)
+        assert {r["word"]: r["n"] for r in q.word_counts(docs).collect()} == expected
