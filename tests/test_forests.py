@@ -62,6 +62,14 @@ def test_rows_without_or_with_equal_keys_keep_their_own_scores(spark, data, apar
     assert md.score_fitted({tr.FINAL: [forest]}, rows.where("y > 1"), FS, ["rid"]).count() == 0
 
 
+def test_rows_of_one_file_are_scored_by_many_tasks(spark, data, monkeypatch):
+    monkeypatch.setattr(md, "ROWS_TO_SCORE", 100)
+    forest = tr.fit(data, FS, "y", DEEP)[tr.FINAL]
+    scored = md.score_fitted({tr.FINAL: [forest]}, data.coalesce(1), FS, ["rid"]).withColumn("task", F.spark_partition_id()).toPandas()
+    assert sorted(scored["rid"]) == list(range(400)) and scored["task"].value_counts().tolist() == [100] * 4
+    assert (scored.set_index("rid").loc[range(400), "score"].to_numpy() == forest.proba(table()[FS].to_numpy())).all()
+
+
 def test_saved_forest_scores_alike(spark, data):
     forest = tr.fit(data, FS, "y", DEEP, [tr.FINAL, 1], "fold")[1]
     path = work_dir(spark, "test-forest")
