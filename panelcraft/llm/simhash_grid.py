@@ -117,18 +117,20 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS,
     in crowds, enough of them to connect all.  ``points``: distinct ``fp``."""
     if max_bits % 2:
         raise ValueError("an even range: cells lie halfway")
+    # Spark takes a step from one row to many (cells, flips) for one row to one, and written tables by their compressed
+    # size: it would broadcast what is many times its limit, so none of these joins is left to its choice
     placed = cells(points, max_bits, segments)
     size = placed.groupBy("cell").agg(F.count("*").alias("n"))
     # of most cells nothing is left: they hold one fingerprint
-    shared = written(placed.join(size.filter("n > 1"), "cell"), "simhash-cells")
+    shared = written(placed.join(size.filter("n > 1").hint("merge"), "cell"), "simhash-cells")
     near = shared.filter(F.col("n") <= crowd)
     differ = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
-    pairs = (near.select("cell", F.col("fp").alias("a")).join(near.select("cell", F.col("fp").alias("b")), "cell")
+    pairs = (near.select("cell", F.col("fp").alias("a")).join(near.select("cell", F.col("fp").alias("b")).hint("merge"), "cell")
              .filter((F.col("a") < F.col("b")) & (differ("a", "b") <= max_bits)).select("a", "b"))
     fine = (shared.filter(F.col("n") > crowd).select("fp").distinct()
             .select("fp", F.explode(_flips(F.col("fp"), max_bits // 2)).alias("cell")))
     least = fine.groupBy("cell").agg(F.min("fp").alias("a"), F.max("fp").alias("_high")).filter("a < _high")
-    stars = (fine.join(least.select("cell", "a"), "cell").filter(F.col("a") < F.col("fp"))
+    stars = (fine.join(least.select("cell", "a").hint("merge"), "cell").filter(F.col("a") < F.col("fp"))
              .select("a", F.col("fp").alias("b")))
     return pairs.unionAll(stars).distinct()
 

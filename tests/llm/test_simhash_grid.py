@@ -96,6 +96,17 @@ def test_links_connect_what_all_pairs_connect(spark, crowd, segments):
     assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
 
 
+def test_no_join_of_cells_is_left_to_a_broadcast(spark, monkeypatch):
+    """Cells are 33 or 65 times the fingerprints whose size Spark goes by."""
+    plans, kept = [], q.written
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(q, "written", lambda df, name: (plan(df), kept(df, name))[1])
+    found = q.links(spark.createDataFrame([(p,) for p in near_points(5)], "fp long"), crowd=4)
+    plan(found)
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
+    assert found.count() > 0
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(500, i) for i in range(501, 560)]
