@@ -98,3 +98,34 @@ def test_tables_of_more_than_50000_rows_are_grown_in_tasks(spark, monkeypatch):
                                     *[F.pmod(F.col("id"), F.lit(7 + i)).cast("double").alias(c) for i, c in enumerate(FS)])
     assert tr.fit(df, FS, "y", tr.Growth("boost", 2, max_depth=2))[tr.FINAL].proba(np.zeros((1, 4))).shape == (1,)
     assert len(nets.fit(df, FS, "y", nets.Shape(hidden=(2,), epochs=1))[tr.FINAL].history) == 1
+
+
+@pytest.mark.parametrize("sample", ["all", "bootstrap", "balanced"])
+@pytest.mark.parametrize("random_cut", [False, True])
+@pytest.mark.parametrize("dense_from, at_once", [(0, 60), (8, 1 << 16), (10 ** 9, 60)])
+def test_many_rows_grow_the_same_trees_without_a_bin_for_every_node(monkeypatch, sample, random_cut, dense_from, at_once):
+    """Weights are powers of two, so the plain way's sums are exact as well."""
+    from panelcraft.operators import counted
+    n, rng = 2500, np.random.default_rng(3)
+    x = rng.integers(0, 30, (n, 5)).astype(np.uint8)
+    x[:, 3] %= 3
+    y = ((x[:, 0] > 12) ^ (rng.random(n) < 0.3)).astype(np.int64)
+    info, rows = tr.FitInfo(tr.FINAL, (0.5, 2.0), (0.7, 1.0), 0.0), (np.arange(n), y, np.zeros(n, int), x, 31)
+    for depth, least in ((None, 1), (None, 2), (6, 2)):
+        g = tr.Growth("bag", 2, max_depth=depth, min_rows=least, split_columns=2, sample=sample, random_cut=random_cut)
+        plain = [t for _, t in tr._whole_unit(g, info, range(2), *rows)]
+        with monkeypatch.context() as many:
+            many.setattr(tr, "HALVES_FROM", 1000)
+            many.setattr(counted, "DENSE_FROM", dense_from)
+            many.setattr(counted, "ROWS_AT_ONCE", at_once)
+            many.setattr(tr, "histogram", lambda *a: pytest.fail("a bin for every node"))
+            found = [t for _, t in tr._whole_unit(g, info, range(2), *rows)]
+        for a, b in zip(found, plain, strict=True):
+            assert len(b["column"]) > 50 and all(a[p].dtype == b[p].dtype and (a[p] == b[p]).all() for p in b)
+
+
+def test_many_rows_of_one_class_or_none_give_one_leaf():
+    from panelcraft.operators import counted
+    for one in (np.ones(9, bool), np.zeros(9, bool)):
+        t = counted.grow((1.0, 1.0), 1, None, np.arange(9, dtype=np.uint8)[:, None], one, None, 9, lambda nodes: np.zeros((len(nodes), 1), int), lambda *a: None)
+        assert t["column"].tolist() == [-1] and t["value"].tolist() == [float(one[0])]
