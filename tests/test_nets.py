@@ -4,6 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from panelcraft.operators import nets
 from panelcraft.operators.trees import FINAL
 from panelcraft.session import work_dir
@@ -79,3 +81,18 @@ def test_missing_values_no_rows_and_saving(spark, data):
     x = np.array([[np.nan, 1.0], [0.0, 1.0]])
     assert (nets.load(spark, path).proba(x) == net.proba(x)).all() and net.proba(x)[0] == net.proba(x)[1]
     assert (nets.fit(data.where("rid < 0"), FS, "y", nets.Shape(hidden=(3,)))[FINAL].proba(x) == 0.5).all()
+
+
+def test_rows_in_a_file_train_the_net_of_rows_in_memory(data, monkeypatch):
+    """A job a batch takes minutes an epoch on millions of rows."""
+    monkeypatch.setattr(nets, "_fit_spread", lambda *a: pytest.fail("one job for each batch"))
+    monkeypatch.setattr(nets, "FILED_BYTES", 8 * len(FS) * 1_000_000)
+    shape = nets.Shape(hidden=(6, 4), epochs=4, batch=50)
+    a = nets.fit(data, FS, "y", shape, [FINAL, 0, 1], "fold", whole_rows=10 ** 6)
+    monkeypatch.setattr(nets, "WHOLE_BYTES", 0)
+    b = nets.fit(data, FS, "y", shape, [FINAL, 0, 1], "fold")
+    for f in (FINAL, 0, 1):
+        assert a[f].history == b[f].history and len(a[f].history) > 1 and np.abs(a[f].flat - b[f].flat).max() < 1e-12
+    synthetic = data.withColumn("fold", F.lit(-2))
+    c = nets.fit(synthetic, FS, "y", shape, [FINAL, 0], "fold")
+    assert len(c[FINAL].history) > 1 and c[0].history == []
