@@ -129,3 +129,40 @@ def test_many_rows_of_one_class_or_none_give_one_leaf():
     for one in (np.ones(9, bool), np.zeros(9, bool)):
         t = counted.grow((1.0, 1.0), 1, None, np.arange(9, dtype=np.uint8)[:, None], one, None, 9, lambda nodes: np.zeros((len(nodes), 1), int), lambda *a: None)
         assert t["column"].tolist() == [-1] and t["value"].tolist() == [float(one[0])]
+
+
+def test_rows_and_synthetic_rows_of_6_gb_fit_the_bound_of_one_task():
+    """2,016,000 training rows, 411,000 of them of the smaller class: 3,210,000 with synthetic ones."""
+    assert tr.WHOLE_BYTES // (28 + tr.ROW_BYTES) > 3_210_000
+
+
+def test_trees_in_parts_come_one_at_a_time_and_score_alike(spark, data, monkeypatch):
+    x, fits = table()[FS].to_numpy(), [tr.FINAL, 1]
+    one = tr.fit(data, FS, "y", DEEP, fits, "fold")
+    plain = {f: (m.proba(x), m.importances()) for f, m in one.items()}
+    monkeypatch.setattr(tr, "PART_NODES", 8)
+    forests = tr.fit(data, FS, "y", DEEP, fits, "fold")
+    assert forests[1].table.groupBy("fit", "tree").count().agg(F.min("count")).first()[0] > 3
+    for f, m in forests.items():
+        assert (m.trees, m.nodes) == (one[f].trees, one[f].nodes) and (m.proba(x) == plain[f][0]).all()
+        assert np.abs(m.importances() - plain[f][1]).max() < 1e-12
+    held, kept = [], tr.arrays_of
+    monkeypatch.setattr(tr, "arrays_of", lambda parts: (held.append(len({r["tree"] for r in parts})), kept(parts))[1])
+    assert len(tr._trees_of(forests[1].rows().collect())) == 7 and set(held) == {1}
+
+
+def test_rows_go_to_the_units_of_their_own_fits_alone(spark, data, monkeypatch):
+    """Synthetic rows to the final fit's, a fold's rows to those of the others; a fit without rows gives a constant."""
+    seen = spark.sparkContext.accumulator(0)
+    kept = tr._gathered
+
+    def counted(batches, d):
+        out = kept(batches, d)
+        seen.add(len(out[0]))
+        return out
+
+    monkeypatch.setattr(tr, "_gathered", counted)
+    g = tr.Growth("boost", 1, max_depth=1)
+    tr.fit(data.withColumn("fold", F.when(F.col("rid") < 100, tr.ONLY_FINAL).otherwise(F.col("fold").cast("int"))), FS, "y", g, [tr.FINAL, 0, 1, 2], "fold")
+    assert seen.value == 400 + 2 * 300
+    assert (tr.fit(data.withColumn("fold", F.lit(0)), FS, "y", DEEP, [0], "fold")[0].proba(np.zeros((3, 4))) == 0).all()
